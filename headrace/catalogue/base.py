@@ -3,8 +3,8 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import types as T
 
+from headrace.functions.frames import small_frame
 from headrace.plans.metadata import OBJECT_SCHEMA, SOURCE_SCHEMA, normalise_objects, normalise_sources
 from headrace.session import new_schema
 
@@ -18,12 +18,13 @@ CATALOG_SOURCE = {"source_id": 1, "source_name": "Sales", "source_type": "Postgr
                   "options": {"catalog": "spark_catalog"}}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, name: str | None = None):
     """Register a function under its name, with the SQL that must give the same rows."""
     def register(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        key = name or function.__name__
+        QUERIES[key] = function
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[key] = sql
         return function
     return register
 
@@ -40,17 +41,12 @@ def schema_with(spark: SparkSession, sf_dir: str, *names: str) -> str:
     return schema
 
 
-def _frame(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
-    fields = T.StructType.fromDDL(schema)
-    return spark.createDataFrame([tuple(r.get(f.name) for f in fields) for r in rows], fields)
-
-
 def sources_frame(spark: SparkSession, *rows: dict) -> DataFrame:
-    return normalise_sources(_frame(spark, [{"is_active": True} | r for r in rows], SOURCE_SCHEMA))
+    return normalise_sources(small_frame(spark, [{"is_active": True} | r for r in rows], SOURCE_SCHEMA))
 
 
 def objects_frame(spark: SparkSession, *rows: dict) -> DataFrame:
-    return normalise_objects(_frame(spark, list(rows), OBJECT_SCHEMA))
+    return normalise_objects(small_frame(spark, list(rows), OBJECT_SCHEMA))
 
 
 def one_source(spark: SparkSession, **row) -> Row:

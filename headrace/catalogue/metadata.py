@@ -67,8 +67,8 @@ _S, _O, _R = SOURCES.format(supplier="supplier"), OBJECTS.format(part="part"), R
 
 
 @query(f"""SELECT source_id, source_name, upper(source_type) AS source_type,
-upper(coalesce(ingest_method, 'JDBC')) AS ingest_method, is_active FROM ({_S})""")
-def normalise_source_rows(spark, sf_dir):
+upper(coalesce(ingest_method, 'JDBC')) AS ingest_method, is_active FROM ({_S})""", name="normalise_sources")
+def source_rows(spark, sf_dir):
     return sources(spark, sf_dir).select("source_id", "source_name", "source_type", "ingest_method", "is_active")
 
 
@@ -78,8 +78,8 @@ lower(coalesce(schema_evolution_mode, 'none')) AS schema_evolution_mode,
 upper(coalesce(delta_layer, target_medallion_layer, 'BRONZE')) AS delta_layer,
 coalesce(is_enabled, true) AS is_enabled,
 CASE WHEN primary_key_cols <> '' THEN 'p_partkey|p_brand' END AS keys,
-CASE WHEN primary_key_cols <> '' THEN 2 END AS n_keys FROM ({_O})""")
-def normalise_object_rows(spark, sf_dir):
+CASE WHEN primary_key_cols <> '' THEN 2 END AS n_keys FROM ({_O})""", name="normalise_objects")
+def object_rows(spark, sf_dir):
     keys = key_list(F.col("primary_key_cols"))
     return objects(spark, sf_dir).select(
         "ingestion_object_id", "source_object_type", "load_type", "write_mode", "schema_evolution_mode",

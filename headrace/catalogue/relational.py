@@ -1,19 +1,17 @@
 """Queries over relational objects: full, custom-query and incremental reads."""
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headrace.catalogue.base import (CATALOG_SOURCE, one_object, one_source, query, schema_with, shown,
-                                     table)
+from headrace.catalogue.base import CATALOG_SOURCE, one_object, one_source, query, schema_with, table
 from headrace.operators import target
 from headrace.operators.incremental import resolve_watermark, with_metrics
 from headrace.operators.landing import land
 from headrace.plans.ingest import extract
-from headrace.session import new_dir, new_schema
-
-from datetime import date
+from headrace.session import new_dir, new_schema, single_process
 
 
 def _read(spark: SparkSession, sf_dir: str, names: tuple[str, ...], **obj) -> DataFrame:
@@ -118,12 +116,12 @@ def batch_metrics(spark, sf_dir):
 def _to_derby(rows: DataFrame, name: str, types: str) -> dict[str, str]:
     """Copy rows to an in-memory database of this process and return its read options.
 
-    Only the process that made such a database sees it, so these queries need a local
-    master. Against a server the reader is the same with another url.
+    Only the process that made such a database sees it, so these queries need local[n].
+    Against a server the reader is the same with another url.
     """
     spark = rows.sparkSession
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("the embedded database is visible to one process only: use a local master")
+    if not single_process(spark):
+        raise ValueError("the embedded database is visible to one process only: use local[n]")
     options = {"url": f"jdbc:derby:memory:hr_{uuid.uuid4().hex[:12]};create=true",
                "driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     for field in rows.schema:

@@ -1,7 +1,5 @@
 """Whole runs: metadata rows in, bronze tables and a run log out."""
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -6,8 +6,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from headrace.functions.frames import small_frame
 from headrace.operators.eventlog import append_event, create_log
 
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -27,9 +27,7 @@ def create_run_log(spark: SparkSession, table: str) -> None:
 
 
 def _append(spark: SparkSession, table: str, event: dict) -> None:
-    schema = T.StructType.fromDDL(RUN_COLUMNS)
-    row = tuple(event.get(f.name) for f in schema.fields)
-    append_event(spark.createDataFrame([row], schema), table, {
+    append_event(small_frame(spark, [event], RUN_COLUMNS), table, {
         "business_date": f"{event['business_date']:%Y-%m-%d}",
         "writer": spark.sparkContext.applicationId})
 

@@ -9,6 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from headrace.functions.frames import small_frame
 from headrace.functions.values import quoted
 from headrace.operators import runlog, target
 from headrace.operators.eventlog import append_event, create_log
@@ -182,7 +183,7 @@ def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         done = [r for group in pool.map(run_in_turn, by_target.values()) for r in group]
-    return spark.createDataFrame([tuple(r.values()) for r in done], RESULT_SCHEMA).orderBy("ingestion_object_id")
+    return small_frame(spark, done, RESULT_SCHEMA).orderBy("ingestion_object_id")
 
 
 def raise_for_failures(results: DataFrame) -> None:

@@ -36,7 +36,8 @@ REPORT_PIPELINE = "s3_ingestion"
 
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """Exactly the schema's columns, in order; absent ones are NULL."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                        for f in T.StructType.fromDDL(schema).fields])
 
 

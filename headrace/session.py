@@ -5,17 +5,27 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Folders made for local sessions that name none, by application.
+_local: dict[str, str] = {}
+
+
+def single_process(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; a local one only for a local master."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder; one of our own only for an unset, local session."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="headrace-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="headrace-")
+    return _local[context.applicationId]
 
 
 def new_dir(spark: SparkSession) -> str:

@@ -16,6 +16,7 @@ def make_session() -> SparkSession:
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "8g")
                .config("spark.scheduler.mode", "FAIR")
+               .config("spark.sql.maxMetadataStringLength", "10000")
                .config("spark.checkpoint.dir", f"{folder}/shared")
                .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
                .getOrCreate())
