@@ -141,7 +141,7 @@ def file_drop_pending(spark, sf_dir):
                      file_format="parquet", target_schema="none", target_table="bronze")
     files = spark.createDataFrame(select_files(spark, source, obj), "file_path string, modified timestamp")
     ledger = files.filter(F.col("file_path").rlike("daily_view|other_error"))
-    return read_selected(spark, obj, select_files(spark, source, obj, ledger))
+    return read_selected(spark, source, obj, select_files(spark, source, obj, ledger))
 
 
 @query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")

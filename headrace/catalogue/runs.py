@@ -8,6 +8,7 @@ from headrace.catalogue.base import (CATALOG_SOURCE, objects_frame, query, schem
 from headrace.catalogue.bronze import _OLD
 from headrace.operators import runlog, target
 from headrace.plans.ingest import ingest_all, raise_for_failures
+from headrace.plans.metadata import adapt_reports
 from headrace.session import new_dir
 
 
@@ -86,3 +87,29 @@ def ingest_file_drops(spark, sf_dir):
                                           landing_base=f"{root}/landing"))
     return shown(spark, f"{schema}.bronze").groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("""SELECT event_id, ts, event_type, CASE WHEN event_type IN ('view', 'error') THEN value + 1 ELSE value END
+AS value FROM events WHERE event_type <> 'click'""")
+def ingest_reports(spark, sf_dir):
+    """Delimited reports from their own metadata table: the keyed one is merged on its second run."""
+    schema, root = schema_with(spark, sf_dir, "events"), new_dir(spark)
+    path = root if "://" in root else f"file://{root}"
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    reports = spark.createDataFrame(
+        [(1, 3, "daily", "event_id", f"{path}/daily", "|", "bronze", True),
+         (2, 3, "stopped", None, f"{path}/daily", "|", "other", False)],
+        "config_master_id int, source_system_id int, report_name string, key_column string, "
+        "external_path string, column_delimiter string, bronze_sink_table_name string, is_active boolean")
+    objects = adapt_reports(reports.withColumn("bronze_sink_schema_name", F.lit(schema)), "spark_catalog").withColumn(
+        "reader_options", F.create_map(F.lit("schema"), F.lit("event_id long, ts timestamp_ntz, event_type string, "
+                                                              "value double"),
+                                       F.lit("timestampNTZFormat"), F.lit(micros)))
+    sources = sources_frame(spark, {"source_id": 3, "source_name": "Reports", "source_type": "s3"})
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    first = events.filter("event_type <> 'click'")
+    second = events.filter("event_type IN ('view', 'error')").withColumn("value", F.col("value") + 1)
+    for batch in (first, second):
+        batch.write.options(header=True, sep="|", timestampNTZFormat=micros).mode("overwrite").csv(f"{root}/daily")
+        raise_for_failures(ingest_all(spark, sources, objects, f"{schema}.runs", source_type="S3"))
+    return shown(spark, f"{schema}.bronze")

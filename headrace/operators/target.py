@@ -317,15 +317,22 @@ def _matches(near: DataFrame, layout: Layout, batch_keys: DataFrame, keys: list[
                 .join(batch_keys, keys, "left_semi"))
 
 
-def _touched(matched: DataFrame, keys: list[str]) -> list[Row]:
+def _per_key(matched: DataFrame, keys: list[str]) -> DataFrame:
+    """Matched keys with their number of target rows and the places of these rows.
+
+    The rebalance parts the aggregate from the join before it: AQE may then split a hot
+    key's join partition, and the aggregate combines its rows before they meet.
+    """
+    return (matched.hint("rebalance").groupBy(*[F.col(column_name(k)) for k in keys])
+            .agg(F.count(F.lit(1)).alias("copies"),
+                 F.collect_set(F.struct("_in_part", "_in_place")).alias("places")))
+
+
+def _touched(per_key: DataFrame) -> list[Row]:
     """The storage places with a match, and whether some key there is held by several rows.
 
-    Only the keys of matched rows are shuffled, aggregated before they are. One row per
-    touched partition comes back, never one per data row.
+    One row per touched partition comes back, never one per data row.
     """
-    per_key = (matched.groupBy(*[F.col(column_name(k)) for k in keys])
-               .agg(F.count(F.lit(1)).alias("copies"),
-                    F.collect_set(F.struct("_in_part", "_in_place")).alias("places")))
     return (per_key.select("copies", F.explode("places").alias("spot"))
             .groupBy(F.col("spot._in_part").alias("part"), F.col("spot._in_place").alias("place"))
             .agg((F.max("copies") > 1).alias("repeated")).collect())
@@ -370,8 +377,8 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
 
     layout = _drop_replaced(spark, layout)
     live = _live_rows(spark, layout)
-    matched = _matches(_within(live, keys, summary), layout, batch_keys, keys)
-    touched = _touched(matched, keys)
+    matched = _per_key(_matches(_within(live, keys, summary), layout, batch_keys, keys), keys)
+    touched = _touched(matched)
 
     fresh = batch.withColumn("_fresh", F.lit(True))
     if touched:

@@ -2,6 +2,7 @@
 
 import logging
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
@@ -106,7 +107,8 @@ def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, inges
 def ingest_object(spark: SparkSession, source: Row, obj: Row, run_log: str, landing_base: str | None = None,
                   ledger: str | None = None, pipeline_name: str | None = None,
                   trigger_type: str = "MANUAL", trigger_id: str | None = None,
-                  business_date: date | None = None, on_duplicate: str = "error") -> dict:
+                  business_date: date | None = None, on_duplicate: str = "error",
+                  secrets: Callable[[Row], dict[str, str]] | None = None) -> dict:
     """Run one object; a failure is logged and returned, never raised.
 
     ``ledger`` names the table of consumed files. It is written after the target, so a
@@ -116,11 +118,13 @@ def ingest_object(spark: SparkSession, source: Row, obj: Row, run_log: str, land
     try:
         event = runlog.start(spark, run_log, source, obj, pipeline_name, trigger_type, trigger_id,
                              business_date)
+        if secrets:
+            source = Row(**(source.asDict() | {"options": (source.options or {}) | secrets(source)}))
         if source.source_type == "SFTP" and ledger and consumes(obj):
             create_log(spark, ledger, LEDGER_SCHEMA, ["object_key"])
             seen = spark.table(ledger).filter(F.col("object_key") == str(obj.ingestion_object_id))
             files = select_files(spark, source, obj, seen)
-            rows = read_selected(spark, obj, files)
+            rows = read_selected(spark, source, obj, files)
         else:
             rows = extract(spark, source, obj)
         if source.source_type == "S3":
@@ -153,12 +157,15 @@ def _result(obj: Row, event: dict | None, status: str, rows_read: int = 0, rows_
 def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_log: str,
                source_type: str | None = None, source_id: int | None = None,
                source_name: str | None = None, pipeline_name: str | None = None,
-               max_parallel: int = 4, **options) -> DataFrame:
+               max_parallel: int = 4, secrets: Callable[[Row], dict[str, str]] | None = None,
+               **options) -> DataFrame:
     """Run every selected object; one result row each, ordered by object id.
 
     ``sources`` and ``objects`` are normalised frames (for delimited reports, the adapted
     ones). Objects with different targets run side by side as independent Spark jobs,
     each in its own FAIR pool; objects that share a target run one after the other.
+    ``secrets`` gives a source's credentials as reader options, so that no metadata table
+    holds them; ``options`` are those of ``ingest_object``.
     """
     chosen = discover(objects, sources, source_type, source_id, source_name, pipeline_name)
     # Metadata only: one row per object of this run.
@@ -177,7 +184,7 @@ def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_
         results = []
         for obj in group:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"object-{obj.ingestion_object_id}")
-            results.append(ingest_object(spark, by_id[obj.source_system_id], obj, run_log,
+            results.append(ingest_object(spark, by_id[obj.source_system_id], obj, run_log, secrets=secrets,
                                          pipeline_name=pipeline_name, **options))
         return results
 

@@ -77,7 +77,7 @@ def _strip(name: str, pattern: str) -> Column:
     return F.regexp_replace(F.col(name), pattern, "")
 
 
-def adapt_reports(reports: DataFrame) -> DataFrame:
+def adapt_reports(reports: DataFrame, target_catalog: str = REPORT_CATALOG) -> DataFrame:
     """Delimited reports as objects: CSV files, merged if they have a key, else appended."""
     path = F.trim(F.coalesce("external_path", F.lit("")))
     return normalise_objects(conform(reports, REPORT_SCHEMA).select(
@@ -90,7 +90,7 @@ def adapt_reports(reports: DataFrame) -> DataFrame:
         F.when(_set("key_column"), "merge").otherwise("append").alias("write_mode"),
         F.col("key_column").alias("primary_key_cols"),
         F.lit("csv").alias("file_format"),
-        F.lit(REPORT_CATALOG).alias("target_catalog"),
+        F.lit(target_catalog).alias("target_catalog"),
         F.col("bronze_sink_schema_name").alias("target_schema"),
         F.col("bronze_sink_table_name").alias("target_table"),
         F.lit(DEFAULT_LAYER).alias("delta_layer"),

@@ -83,10 +83,12 @@ def consumes(obj: Row) -> bool:
     return (obj.source_filter or "").strip().lower() != KEEP
 
 
-def read_selected(spark: SparkSession, obj: Row, files: list[Row]) -> DataFrame:
-    return read_files(spark, [f.file_path for f in files], obj.file_format, **(obj.reader_options or {}))
+def read_selected(spark: SparkSession, source: Row, obj: Row, files: list[Row]) -> DataFrame:
+    """The chosen files in the object's format, else the source's, else CSV."""
+    file_format = obj.file_format or (source.options or {}).get("file_format")
+    return read_files(spark, [f.file_path for f in files], file_format, **(obj.reader_options or {}))
 
 
 def read_file_drop(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     """All matching files, without a ledger."""
-    return read_selected(spark, obj, select_files(spark, source, obj))
+    return read_selected(spark, source, obj, select_files(spark, source, obj))
