@@ -1,9 +1,9 @@
 """Bronze targets: append, overwrite and merge on catalog Parquet tables.
 
 A Parquet table has no row-level MERGE and cannot be overwritten while it is read. So a
-target is a *view* over one partitioned data table. Every write adds one immutable part
-(``_part``), and replacing the view publishes it: readers see the old rows or the new
-ones, and a crashed write leaves a part no view names. A merge rewrites only the
+target is a *view* over one partitioned data table. Every write adds immutable parts
+(``_part``), and replacing the view publishes them: readers see the old rows or the new
+ones, and a crashed write leaves parts no view names. A merge rewrites only the
 (part, partition) pairs that hold a matching key; all other files stay as they are.
 
 There is one writer per target at a time. Files a write replaces are dropped by the
@@ -26,6 +26,10 @@ STAMP = "_ingested_at"
 PART = "_part"
 _STATE = "headrace.state"
 
+# Tasks whose rows share a part in an unpartitioned merge target: about 8 GB at Spark's
+# default split size.
+TASKS_PER_PART = 64
+
 # Key types whose Parquet statistics order like Spark's comparison.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
@@ -131,8 +135,7 @@ def _drop_replaced(spark: SparkSession, layout: Layout) -> Layout:
     if specs:
         spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {', '.join(specs)}")
     # Parts that lost every partition leave the list; parts of crashed writes leave the table.
-    held = {r["partition"].split("/")[0].split("=")[1]
-            for r in spark.sql(f"SHOW PARTITIONS {quoted(layout.data)}").collect()}
+    held = _stored_parts(spark, layout.data)
     unknown = held - set(layout.parts)
     if unknown:
         orphans = ", ".join(f"PARTITION ({PART} = {sql_text(p)})" for p in sorted(unknown))
@@ -141,26 +144,41 @@ def _drop_replaced(spark: SparkSession, layout: Layout) -> Layout:
                   applied=dict(layout.applied), watermark=layout.watermark)
 
 
-def _write_part(df: DataFrame, data: str, partition_column: str | None,
-                watermark_column: str | None, watermark_type: str | None,
-                fresh: bool = False) -> tuple[str, WriteResult]:
-    """Write one part and count it on the same pass.
+def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
+                watermark_type: str | None = None, keys: list[str] | None = None) -> tuple[list[str], WriteResult]:
+    """Write one batch as new parts, counting it on the same pass; returns the part names.
 
     With a partition column the rows are first rebalanced on it: a partition's rows meet
-    in few files, and AQE splits a hot partition over several tasks.
+    in few files, and AQE splits a hot partition over several tasks. Merged rows come
+    with their ``keys`` and are sorted by them within each task, which narrows the key
+    ranges in the Parquet statistics. Without a partition column they are also cut into a
+    part per group of tasks, so that a later merge can leave most of them alone.
     """
-    if partition_column:
-        df = df.hint("rebalance", F.col(column_name(partition_column)))
-    extra = {"written": F.count_if("_fresh")} if fresh else {}
+    by = layout.partition_column
+    if by:
+        df = df.hint("rebalance", F.col(column_name(by)))
+    extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
-    if fresh:
-        df = df.drop("_fresh")
-    part = uuid.uuid4().hex[:12]
-    by = [PART, partition_column] if partition_column else [PART]
-    (df.withColumn(PART, F.lit(part)).write.format("parquet").mode("append")
-       .partitionBy(*by).saveAsTable(quoted(data)))
+    name = F.lit(uuid.uuid4().hex[:12])
+    if keys and not by:
+        name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / TASKS_PER_PART))
+    df = df.drop("_fresh").withColumn(PART, name)
+    if keys:
+        df = df.sortWithinPartitions(*[F.col(column_name(c)) for c in [PART, *([by] if by else []), *keys]])
+    had = _stored_parts(df.sparkSession, layout.data)
+    (df.write.format("parquet").mode("append").partitionBy(PART, *([by] if by else []))
+       .saveAsTable(quoted(layout.data)))
     seen = metrics.get
-    return part, WriteResult(seen["written"] if fresh else seen["rows"], seen.get("watermark"))
+    return (sorted(_stored_parts(df.sparkSession, layout.data) - had),
+            WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark")))
+
+
+def _stored_parts(spark: SparkSession, data: str) -> set[str]:
+    """Names of the parts a data table holds, live or not."""
+    if not spark.catalog.tableExists(data):
+        return set()
+    return {r["partition"].split("/")[0].split("=")[1]
+            for r in spark.sql(f"SHOW PARTITIONS {quoted(data)}").collect()}
 
 
 def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -> list[str] | None:
@@ -168,18 +186,19 @@ def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -
 
 
 def _create(df: DataFrame, view: str, partition_column: str | None, watermark_column, watermark_type,
-            applied: dict[str, int], retired_table: str | None = None) -> WriteResult:
+            applied: dict[str, int], retired_table: str | None = None,
+            keys: list[str] | None = None) -> WriteResult:
     """Start a new data table with the batch as its only part, and show it."""
     spark = df.sparkSession
     if "." in view:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(view.rsplit('.', 1)[0])}")
     if partition_column:
         partition_column = actual_name(df.schema, partition_column)
-    data = f"{view}__{uuid.uuid4().hex[:8]}"
-    part, result = _write_part(df, data, partition_column, watermark_column, watermark_type)
-    _publish(spark, view, Layout(data, partition_column, [part], retired_table=retired_table,
-                                 applied=applied, watermark=_hint(watermark_column, result, None)),
-             df.columns)
+    layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column, retired_table=retired_table,
+                    applied=applied)
+    layout.parts, result = _write_part(df, layout, watermark_column, watermark_type, keys)
+    layout.watermark = _hint(watermark_column, result, None)
+    _publish(spark, view, layout, df.columns)
     return result
 
 
@@ -217,9 +236,8 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
     layout = _drop_replaced(spark, layout)
-    part, result = _write_part(batch, layout.data, layout.partition_column,
-                               watermark_column, watermark_type)
-    layout.parts.append(part)
+    parts, result = _write_part(batch, layout, watermark_column, watermark_type)
+    layout.parts += parts
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     _publish(spark, view, layout, columns)
@@ -306,36 +324,40 @@ def _within(rows: DataFrame, keys: list[str], summary: dict) -> DataFrame:
     return rows
 
 
-def _matches(near: DataFrame, layout: Layout, batch_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys of the target rows the batch matches, and where those rows are stored."""
+def _matched_keys(near: DataFrame, layout: Layout, batch_keys: DataFrame, keys: list[str]) -> DataFrame:
+    """Matched keys with their number of target rows and the places of these rows.
+
+    Aggregated before the join, so a hot key shrinks in the tasks that read it. If the
+    batch is small enough to broadcast, Catalyst moves the semi join below the aggregate
+    and only matched rows are shuffled.
+    """
     place = F.lit(None).cast("string")
     if layout.partition_column:
         place = as_text(F.col(column_name(layout.partition_column)),
                         near.schema[layout.partition_column].dataType)
-    return (near.select(*[F.col(column_name(k)) for k in keys], F.col(PART).alias("_in_part"),
-                        place.alias("_in_place"))
-                .join(batch_keys, keys, "left_semi"))
+    return (near.groupBy(*[F.col(column_name(k)) for k in keys])
+            .agg(F.count(F.lit(1)).alias("_copies"),
+                 F.collect_set(F.struct(F.col(PART).alias("part"), place.alias("place"))).alias("_places"))
+            .join(batch_keys, keys, "left_semi"))
 
 
-def _per_key(matched: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched keys with their number of target rows and the places of these rows.
-
-    The rebalance parts the aggregate from the join before it: AQE may then split a hot
-    key's join partition, and the aggregate combines its rows before they meet.
-    """
-    return (matched.hint("rebalance").groupBy(*[F.col(column_name(k)) for k in keys])
-            .agg(F.count(F.lit(1)).alias("copies"),
-                 F.collect_set(F.struct("_in_part", "_in_place")).alias("places")))
-
-
-def _touched(per_key: DataFrame) -> list[Row]:
+def _touched(matched: DataFrame) -> list[Row]:
     """The storage places with a match, and whether some key there is held by several rows.
 
     One row per touched partition comes back, never one per data row.
     """
-    return (per_key.select("copies", F.explode("places").alias("spot"))
-            .groupBy(F.col("spot._in_part").alias("part"), F.col("spot._in_place").alias("place"))
-            .agg((F.max("copies") > 1).alias("repeated")).collect())
+    return (matched.select("_copies", F.explode("_places").alias("spot"))
+            .groupBy("spot.part", "spot.place").agg((F.max("_copies") > 1).alias("repeated")).collect())
+
+
+def _update_in_place(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The old rows, each replaced by the batch row of its key if there is one."""
+    new = batch.select(*[F.col(column_name(k)) for k in keys],
+                       F.struct(*[F.col(column_name(c)) for c in batch.columns]).alias("_new"))
+    hit = F.col("_new").isNotNull()
+    return old.join(new, keys, "left").select(*[
+        F.when(hit, F.col(f"_new.{column_name(c)}")).otherwise(F.col(column_name(c))).alias(c)
+        for c in old.columns], hit.alias("_fresh"))
 
 
 def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | None = None,
@@ -367,7 +389,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
 
     layout = load_layout(spark, view)
     if layout is None:
-        return _create(df_rows, view, partition_column, watermark_column, watermark_type, {})
+        return _create(df_rows, view, partition_column, watermark_column, watermark_type, {}, keys=keys)
     batch, columns = _evolve(df_rows, view, layout, "merge" if evo == "overwrite" else evo)
     # The keys alone need no duplicate handling: a semi or anti join ignores repeats.
     batch_keys = align(df.select(*[F.col(column_name(k)) for k in keys]).filter(_no_null(keys)),
@@ -377,10 +399,10 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
 
     layout = _drop_replaced(spark, layout)
     live = _live_rows(spark, layout)
-    matched = _per_key(_matches(_within(live, keys, summary), layout, batch_keys, keys), keys)
+    matched = _matched_keys(_within(live, keys, summary), layout, batch_keys, keys)
     touched = _touched(matched)
 
-    fresh = batch.withColumn("_fresh", F.lit(True))
+    out = batch.withColumn("_fresh", F.lit(True))
     if touched:
         if layout.partition_column:
             layout.replaced = [[r["part"], r["place"]] for r in touched]
@@ -390,18 +412,18 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
             hit = f"{PART} IN ({', '.join(sql_text(p) for p in layout.retired)})"
         shown = [F.col(column_name(c)) for c in columns]
         old = live.filter(hit).select(*shown)
-        keyed = old.filter(_no_null(keys))
         # Rows without a full key bypass the join, where they would all meet in one task.
-        kept = keyed.join(batch_keys, keys, "left_anti").select(*shown).unionByName(old.filter(~_no_null(keys)))
+        keyed, unkeyed = old.filter(_no_null(keys)), old.filter(~_no_null(keys))
         if any(r["repeated"] for r in touched):
             # Keys the target holds several times: every such row is updated, none is lost.
-            inserted = fresh.join(matched.select(*keys), keys, "left_anti")
-            updated = keyed.select(*keys).join(fresh, keys, "inner")
-            fresh = updated.select(*fresh.columns).unionByName(inserted.select(*fresh.columns))
-        fresh = kept.withColumn("_fresh", F.lit(False)).unionByName(fresh)
-    part, result = _write_part(fresh, layout.data, layout.partition_column,
-                               watermark_column, watermark_type, fresh=True)
-    layout.parts = [p for p in layout.parts if p not in layout.retired] + [part]
+            kept = _update_in_place(keyed, batch, keys)
+            out = out.join(matched.select(*[F.col(column_name(k)) for k in keys]), keys, "left_anti")
+        else:
+            kept = keyed.join(batch_keys, keys, "left_anti").withColumn("_fresh", F.lit(False))
+        out = kept.unionByName(unkeyed.withColumn("_fresh", F.lit(False))).unionByName(out)
+        out = out.select(*shown, "_fresh")
+    parts, result = _write_part(out, layout, watermark_column, watermark_type, keys)
+    layout.parts = [p for p in layout.parts if p not in set(layout.retired)] + parts
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     _publish(spark, view, layout, columns)
     return result

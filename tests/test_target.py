@@ -146,6 +146,41 @@ def test_merge_rewrites_touched_partitions_only(spark, schema, ddl, values):
     assert {(r.id, r.v) for r in spark.table(name).collect()} == {(0, "new"), (1, "old"), (2, "new"), (9, "last")}
 
 
+def test_an_unpartitioned_merge_rewrites_touched_parts_only(spark, name, monkeypatch):
+    monkeypatch.setattr(target, "TASKS_PER_PART", 1)
+    target.merge(spark.range(0, 800, 1, 8).withColumn("v", F.lit("old")), name, ["id"])
+    first = target.load_layout(spark, name).parts
+    assert len(first) == 8
+    result = target.merge(spark.range(795, 805).withColumn("v", F.lit("new")), name, ["id"])
+    layout = target.load_layout(spark, name)
+    assert result.rows == 10 and layout.retired == first[7:] and set(first[:7]) < set(layout.parts)
+    got = spark.table(name).groupBy("v").agg(F.count("id"), F.sum("id")).collect()
+    assert sorted(map(tuple, got)) == [("new", 10, sum(range(795, 805))), ("old", 795, sum(range(795)))]
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_a_hot_key_shrinks_before_the_shuffle(spark, name, broadcast):
+    """A third of the target holds one key."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long")
+        target.append(spark.range(0, 90000, 1, 8).select(key.alias("k"), F.lit("old").alias("v")), name)
+        layout, batch = target.load_layout(spark, name), spark.range(45000).select(F.col("id").alias("k"))
+        matched = target._matched_keys(target._live_rows(spark, layout), layout, batch, ["k"])
+        assert matched.agg(F.max("_copies")).first()[0] == 30001
+        lines = matched._jdf.queryExecution().sparkPlan().toString().splitlines()
+        join = next(i for i, line in enumerate(lines) if "Join" in line)
+        partial = next(i for i, line in enumerate(lines) if "partial_count" in line)
+        # small batches filter first; for others the aggregate comes before the join
+        assert (join > partial) == (broadcast != "-1")
+        target.merge(batch.withColumn("v", F.lit("new")), name, ["k"])
+        assert spark.table(name).count() == 90000 + 15000
+        assert spark.table(name).filter("v = 'new'").count() == 30001 + 29999 + 15000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_a_row_may_change_its_partition(spark, name):
     target.append(frame(spark, [(1, "a"), (2, "b")]), name, partition_column="v")
     target.merge(frame(spark, [(1, "b")]), name, ["id"])
@@ -154,8 +189,8 @@ def test_a_row_may_change_its_partition(spark, name):
 
 def test_a_crashed_write_stays_invisible(spark, name):
     target.append(frame(spark, [(1, "a")]), name)
-    data = target.load_layout(spark, name).data
-    orphan, _ = target._write_part(target.stamp(frame(spark, [(7, "z")])), data, None, None, None)
+    layout = target.load_layout(spark, name)
+    data, ([orphan], _) = layout.data, target._write_part(target.stamp(frame(spark, [(7, "z")])), layout)
     assert rows(spark, name) == [(1, "a")]
     target.append(frame(spark, [(2, "b")]), name)
     assert rows(spark, name) == [(1, "a"), (2, "b")]
