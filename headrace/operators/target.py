@@ -26,8 +26,7 @@ STAMP = "_ingested_at"
 PART = "_part"
 _STATE = "headrace.state"
 
-# Tasks whose rows share a part in an unpartitioned merge target: about 8 GB at Spark's
-# default split size.
+# Tasks whose merged rows share a part: about 8 GB at Spark's default split size.
 TASKS_PER_PART = 64
 
 # Key types whose Parquet statistics order like Spark's comparison.
@@ -150,9 +149,9 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
 
     With a partition column the rows are first rebalanced on it: a partition's rows meet
     in few files, and AQE splits a hot partition over several tasks. Merged rows come
-    with their ``keys`` and are sorted by them within each task, which narrows the key
-    ranges in the Parquet statistics. Without a partition column they are also cut into a
-    part per group of tasks, so that a later merge can leave most of them alone.
+    with their ``keys``: they are cut into a part per group of tasks, so that a later merge
+    can leave most of them alone, and sorted by key within each task, which narrows the
+    key ranges in the Parquet statistics.
     """
     by = layout.partition_column
     if by:
@@ -160,7 +159,7 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
     name = F.lit(uuid.uuid4().hex[:12])
-    if keys and not by:
+    if keys:
         name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / TASKS_PER_PART))
     df = df.drop("_fresh").withColumn(PART, name)
     if keys:

@@ -109,3 +109,19 @@ def test_csv_landing_keeps_text(spark):
     back = spark.read.schema(df.schema).options(header=True, escape='"', multiLine=True).csv(path)
     # CSV has one spelling for an empty and a missing text; targets are never built from it
     assert [r.t for r in back.orderBy("id").collect()] == [t or None for t in texts]
+
+
+def test_command_line(spark, schema, capsys):
+    from headrace.__main__ import arguments, run as run_command
+    register_reader("TEST", lambda s, source, obj: s.range(4))
+    sources_frame(spark, {"source_id": 1, "source_name": "S", "source_type": "test"}).write.saveAsTable(f"{schema}.src")
+    objects_frame(spark, {"ingestion_object_id": 1, "source_system_id": 1, "source_object_name": "n",
+                          "target_schema": schema, "target_table": "t"},
+                  {"ingestion_object_id": 2, "source_system_id": 1, "source_object_name": "n", "write_mode": "merge",
+                   "target_schema": schema, "target_table": "u"}).write.saveAsTable(f"{schema}.obj")
+    args = arguments(["--sources", f"{schema}.src", "--objects", f"{schema}.obj", "--run-log", f"{schema}.log",
+                      "--source-type", "test"])
+    assert run_command(spark, args) == 1
+    assert "2 objects, 1 failed" in capsys.readouterr().out
+    assert spark.table(f"{schema}.t").count() == 4
+    assert spark.table(f"{schema}.log").select("trigger_type").distinct().first()[0] == "SCHEDULED"
