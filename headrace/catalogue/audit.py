@@ -40,10 +40,10 @@ def audit_last_status(spark, sf_dir):
     return runlog.last_status(runlog.current_runs(run_events(spark, sf_dir)))
 
 
-@query(f"SELECT * FROM ({_RUNS}) WHERE pipeline_name = 'crm' AND status = 'FAILED' AND run_id LIKE 'run-1%'")
+@query(f"SELECT * FROM ({_RUNS}) WHERE pipeline_name = 'sales' AND status = 'FAILED' AND run_id LIKE 'run-1%'")
 def audit_failures(spark, sf_dir):
     runs = runlog.current_runs(run_events(spark, sf_dir))
-    return runlog.failures(runs, "crm", "run-1").drop("event_time")
+    return runlog.failures(runs, "sales", "run-1").drop("event_time")
 
 
 @query(f"""SELECT status, count(*) AS runs, CAST(sum(rows_read) AS BIGINT) AS rows_read FROM ({_RUNS})

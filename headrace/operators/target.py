@@ -1,30 +1,23 @@
 """Bronze targets: append, overwrite and merge on catalog Parquet tables.
 
-A Parquet table has no row-level MERGE and cannot be overwritten while it is read. So a
-target is a *view* over one partitioned data table. Every write adds immutable parts
-(``_part``), and replacing the view publishes them: readers see the old rows or the new
-ones, and a crashed write leaves parts no view names. A merge rewrites only the
-(part, partition) pairs that hold a matching key; all other files stay as they are.
-
-There is one writer per target at a time. Files a write replaces are dropped by the
-write after it, so a reader has that long to finish.
+A merge rewrites only the (part, partition) pairs of the target that hold a matching key;
+all other files stay as they are. See ``layout`` for how a target is stored.
 """
 
-import json
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headrace.functions.values import actual_name, as_text, column_name, quoted, sql_text
 from headrace.operators.incremental import with_metrics
+from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, publish,
+                                       replaced_condition, stored_parts)
 from headrace.operators.schema import align, evolution_mode, plan_alignment
 
 STAMP = "_ingested_at"
-PART = "_part"
-_STATE = "headrace.state"
 
 # Tasks whose merged rows share a part: about 8 GB at Spark's default split size.
 TASKS_PER_PART = 64
@@ -39,23 +32,6 @@ class WriteResult:
     watermark: str | None = None
 
 
-@dataclass
-class Layout:
-    """What the view shows, kept in its properties."""
-
-    data: str
-    partition_column: str | None = None
-    parts: list[str] = field(default_factory=list)
-    # (part, partition value) pairs and whole parts the last write replaced
-    replaced: list[list[str | None]] = field(default_factory=list)
-    retired: list[str] = field(default_factory=list)
-    retired_table: str | None = None
-    # last applied number per stream, so that a replayed batch changes nothing
-    applied: dict[str, int] = field(default_factory=dict)
-    # column and value of the last batch's watermark; a hint, see ``max_watermark``
-    watermark: list[str] | None = None
-
-
 def stamp(df: DataFrame, at=None) -> DataFrame:
     """Add the ingest time once; a frame that carries it keeps it."""
     if STAMP in df.columns:
@@ -63,86 +39,6 @@ def stamp(df: DataFrame, at=None) -> DataFrame:
     return df.withColumn(STAMP, F.lit(at) if at is not None else F.current_timestamp())
 
 
-def _properties(spark: SparkSession, view: str) -> dict[str, str]:
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(view)}").collect()}
-
-
-def load_layout(spark: SparkSession, view: str) -> Layout | None:
-    """The layout behind a target; None if the target does not exist."""
-    if not spark.catalog.tableExists(view):
-        return None
-    state = _properties(spark, view).get(_STATE)
-    if state is None:
-        raise ValueError(f"{view} exists and is not a target of this library")
-    return Layout(**json.loads(state))
-
-
-def watermark_hint(spark: SparkSession, view: str, column: str) -> str | None:
-    """A value the target's watermark column reached once; only ever a hint."""
-    layout = load_layout(spark, view)
-    if layout is None or layout.watermark is None or layout.watermark[0] != column:
-        return None
-    return layout.watermark[1]
-
-
-def _pairs(layout: Layout, dtype: str | None) -> str:
-    """SQL that is true for the replaced (part, partition value) pairs."""
-    values: dict[str, list[str]] = {}
-    for part, value in layout.replaced:
-        literal = "NULL" if value is None else sql_text(value)
-        values.setdefault(part, []).append(
-            f"{column_name(layout.partition_column)} <=> CAST({literal} AS {dtype})")
-    return " OR ".join(f"({PART} = {sql_text(part)} AND ({' OR '.join(tests)}))"
-                       for part, tests in values.items())
-
-
-def _live_condition(layout: Layout, schema: T.StructType) -> str:
-    if not layout.parts:
-        return "false"
-    condition = f"{PART} IN ({', '.join(sql_text(p) for p in layout.parts)})"
-    if layout.replaced:
-        dtype = schema[layout.partition_column].dataType.simpleString()
-        condition += f" AND NOT ({_pairs(layout, dtype)})"
-    return condition
-
-
-def _live_rows(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The target's rows with the part each is stored in."""
-    data = spark.table(layout.data)
-    return data.filter(_live_condition(layout, data.schema))
-
-
-def _publish(spark: SparkSession, view: str, layout: Layout, columns: list[str]) -> None:
-    """Show the layout: one catalog change."""
-    spark.catalog.refreshTable(layout.data)
-    condition = _live_condition(layout, spark.table(layout.data).schema)
-    state = json.dumps(asdict(layout), separators=(",", ":"))
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {quoted(view)} TBLPROPERTIES ({sql_text(_STATE)} = {sql_text(state)}) "
-        f"AS SELECT {', '.join(column_name(c) for c in columns)} FROM {quoted(layout.data)} WHERE {condition}")
-
-
-def _drop_replaced(spark: SparkSession, layout: Layout) -> Layout:
-    """Delete the files the previous write replaced; nothing shows them any more."""
-    if layout.retired_table:
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(layout.retired_table)}")
-    specs = [f"PARTITION ({PART} = {sql_text(p)})" for p in layout.retired]
-    for part, value in layout.replaced:
-        literal = "null" if value is None else sql_text(value)
-        specs.append(f"PARTITION ({PART} = {sql_text(part)}, "
-                     f"{column_name(layout.partition_column)} = {literal})")
-    if specs:
-        spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {', '.join(specs)}")
-    # Parts that lost every partition leave the list; parts of crashed writes leave the table.
-    held = _stored_parts(spark, layout.data)
-    unknown = held - set(layout.parts)
-    if unknown:
-        orphans = ", ".join(f"PARTITION ({PART} = {sql_text(p)})" for p in sorted(unknown))
-        spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {orphans}")
-    return Layout(layout.data, layout.partition_column, [p for p in layout.parts if p in held],
-                  applied=dict(layout.applied), watermark=layout.watermark)
-
-
 def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
                 watermark_type: str | None = None, keys: list[str] | None = None) -> tuple[list[str], WriteResult]:
     """Write one batch as new parts, counting it on the same pass; returns the part names.
@@ -164,22 +60,14 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
     df = df.drop("_fresh").withColumn(PART, name)
     if keys:
         df = df.sortWithinPartitions(*[F.col(column_name(c)) for c in [PART, *([by] if by else []), *keys]])
-    had = _stored_parts(df.sparkSession, layout.data)
+    had = stored_parts(df.sparkSession, layout.data)
     (df.write.format("parquet").mode("append").partitionBy(PART, *([by] if by else []))
        .saveAsTable(quoted(layout.data)))
     seen = metrics.get
-    return (sorted(_stored_parts(df.sparkSession, layout.data) - had),
+    return (sorted(stored_parts(df.sparkSession, layout.data) - had),
             WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark")))
 
 
-def _stored_parts(spark: SparkSession, data: str) -> set[str]:
-    """Names of the parts a data table holds, live or not."""
-    if not spark.catalog.tableExists(data):
-        return set()
-    return {r["partition"].split("/")[0].split("=")[1]
-            for r in spark.sql(f"SHOW PARTITIONS {quoted(data)}").collect()}
-
-
 def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -> list[str] | None:
     return [column, result.watermark] if column and result.watermark is not None else previous
 
@@ -197,7 +85,7 @@ def _create(df: DataFrame, view: str, partition_column: str | None, watermark_co
                     applied=applied)
     layout.parts, result = _write_part(df, layout, watermark_column, watermark_type, keys)
     layout.watermark = _hint(watermark_column, result, None)
-    _publish(spark, view, layout, df.columns)
+    publish(spark, view, layout, df.columns)
     return result
 
 
@@ -234,12 +122,12 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
     if layout is None:
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
-    layout = _drop_replaced(spark, layout)
+    layout = drop_replaced(spark, layout)
     parts, result = _write_part(batch, layout, watermark_column, watermark_type)
     layout.parts += parts
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
-    _publish(spark, view, layout, columns)
+    publish(spark, view, layout, columns)
     return result
 
 
@@ -255,7 +143,7 @@ def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_
             shown = spark.table(view).schema
             plan_alignment(df.schema, shown, evo)
             df = align(df, shown)
-        layout = _drop_replaced(spark, layout)
+        layout = drop_replaced(spark, layout)
         retired, applied = layout.data, layout.applied
     return _create(df, view, partition_column, watermark_column, watermark_type, applied, retired)
 
@@ -396,8 +284,8 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
                                      {k.lower() for k in keys}]))
     keys = batch_keys.columns
 
-    layout = _drop_replaced(spark, layout)
-    live = _live_rows(spark, layout)
+    layout = drop_replaced(spark, layout)
+    live = live_rows(spark, layout)
     matched = _matched_keys(_within(live, keys, summary), layout, batch_keys, keys)
     touched = _touched(matched)
 
@@ -405,7 +293,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     if touched:
         if layout.partition_column:
             layout.replaced = [[r["part"], r["place"]] for r in touched]
-            hit = _pairs(layout, live.schema[layout.partition_column].dataType.simpleString())
+            hit = replaced_condition(layout, live.schema[layout.partition_column].dataType.simpleString())
         else:
             layout.retired = [r["part"] for r in touched]
             hit = f"{PART} IN ({', '.join(sql_text(p) for p in layout.retired)})"
@@ -424,7 +312,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     parts, result = _write_part(out, layout, watermark_column, watermark_type, keys)
     layout.parts = [p for p in layout.parts if p not in set(layout.retired)] + parts
     layout.watermark = _hint(watermark_column, result, layout.watermark)
-    _publish(spark, view, layout, columns)
+    publish(spark, view, layout, columns)
     return result
 
 

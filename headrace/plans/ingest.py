@@ -16,6 +16,7 @@ from headrace.operators import runlog, target
 from headrace.operators.eventlog import append_event, create_log
 from headrace.operators.incremental import apply_incremental, resolve_watermark, with_metrics
 from headrace.operators.landing import land, landing_format
+from headrace.operators.layout import watermark_hint
 from headrace.plans.metadata import discover, target_name
 from headrace.sources.file_drop import LEDGER_SCHEMA, consumes, read_selected, select_files
 from headrace.sources.registry import read_source
@@ -60,7 +61,7 @@ def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
         return rows
     name = target_name(obj)
     watermark = resolve_watermark(spark, name, column, obj.incremental_column_type,
-                                  obj.incremental_end_value, target.watermark_hint(spark, name, column))
+                                  obj.incremental_end_value, watermark_hint(spark, name, column))
     return apply_incremental(rows, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
 
 
@@ -104,6 +105,14 @@ def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, inges
             spark.sql(f"DROP TABLE IF EXISTS {quoted(staged)}")
 
 
+def prepare_logs(spark: SparkSession, run_log: str, ledger: str | None = None) -> None:
+    """Create the run log and the ledger of consumed files if they are missing."""
+    if not spark.catalog.tableExists(run_log):
+        runlog.create_run_log(spark, run_log)
+    if ledger and not spark.catalog.tableExists(ledger):
+        create_log(spark, ledger, LEDGER_SCHEMA, ["object_key"])
+
+
 def ingest_object(spark: SparkSession, source: Row, obj: Row, run_log: str, landing_base: str | None = None,
                   ledger: str | None = None, pipeline_name: str | None = None,
                   trigger_type: str = "MANUAL", trigger_id: str | None = None,
@@ -116,12 +125,12 @@ def ingest_object(spark: SparkSession, source: Row, obj: Row, run_log: str, land
     """
     event, files = None, None
     try:
+        prepare_logs(spark, run_log, ledger)
         event = runlog.start(spark, run_log, source, obj, pipeline_name, trigger_type, trigger_id,
                              business_date)
         if secrets:
             source = Row(**(source.asDict() | {"options": (source.options or {}) | secrets(source)}))
         if source.source_type == "SFTP" and ledger and consumes(obj):
-            create_log(spark, ledger, LEDGER_SCHEMA, ["object_key"])
             seen = spark.table(ledger).filter(F.col("object_key") == str(obj.ingestion_object_id))
             files = select_files(spark, source, obj, seen)
             rows = read_selected(spark, source, obj, files)
@@ -176,8 +185,7 @@ def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_
     by_target: dict[str, list[Row]] = {}
     for obj in selected:
         by_target.setdefault(target_name(obj).lower(), []).append(obj)
-    if selected:
-        runlog.create_run_log(spark, run_log)
+    prepare_logs(spark, run_log, options.get("ledger"))
 
     @inheritable_thread_target(spark)
     def run_in_turn(group: list[Row]) -> list[dict]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from headrace.operators import target
 from headrace.operators.incremental import apply_incremental, max_watermark, resolve_watermark, with_metrics
+from headrace.operators.layout import watermark_hint
 from headrace.session import new_dir, new_schema
 
 
@@ -66,7 +67,7 @@ def test_resolve(spark):
     assert resolve_watermark(spark, name, "C", initial="5") == "5"
     target.append(spark.createDataFrame([(7,)], "c int"), name, watermark_column="c")
     assert resolve_watermark(spark, name, "C", initial="5") == "7"
-    assert target.watermark_hint(spark, name, "c") == "7" and target.watermark_hint(spark, name, "d") is None
+    assert watermark_hint(spark, name, "c") == "7" and watermark_hint(spark, name, "d") is None
     with pytest.raises(ValueError, match="not among"):
         resolve_watermark(spark, name, "other")
 
@@ -75,7 +76,7 @@ def test_a_lowered_maximum_is_found_despite_the_hint(spark):
     name = f"{new_schema(spark)}.t"
     target.append(spark.createDataFrame([(1, 5), (2, 9)], "k int, c int"), name, watermark_column="c")
     target.merge(spark.createDataFrame([(2, 3)], "k int, c int"), name, ["k"])
-    assert resolve_watermark(spark, name, "c", at_least=target.watermark_hint(spark, name, "c")) == "5"
+    assert resolve_watermark(spark, name, "c", at_least=watermark_hint(spark, name, "c")) == "5"
 
 
 def test_predicates_reach_the_scan(spark):

@@ -1,6 +1,6 @@
 import pytest
 
-from headrace.operators import target
+from headrace.operators.layout import load_layout
 from headrace.session import new_dir, new_schema
 from headrace.streaming.file_drop import read_drop_stream, stream_file_drop
 
@@ -15,7 +15,7 @@ def test_files_arrive_once(spark):
         stream_file_drop(rows, name, checkpoint)
         counts.append(spark.table(name).count())
     assert counts == [3, 3, 7]
-    assert len(target.load_layout(spark, name).applied) == 1
+    assert len(load_layout(spark, name).applied) == 1
 
 
 def test_a_new_checkpoint_is_a_new_stream(spark):

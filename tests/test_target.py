@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headrace.operators import target
+from headrace.operators.layout import live_rows, load_layout
 from headrace.operators.schema import SchemaMismatch
 from headrace.session import new_schema
 
@@ -132,11 +133,11 @@ def test_merge_rewrites_touched_partitions_only(spark, schema, ddl, values):
     name = f"{schema}.by_{ddl[:7].strip('(')}_{len(ddl)}"
     batch = [(i, p, "old") for i, p in enumerate([*values, None])]
     target.append(frame(spark, batch, f"id long, p {ddl}, v string"), name, partition_column="p")
-    first = target.load_layout(spark, name).parts
+    first = load_layout(spark, name).parts
     for value in (0, 2):
         change = [(value, batch[value][1], "new")]
         target.merge(frame(spark, change, f"id long, p {ddl}, v string"), name, ["id"])
-        layout = target.load_layout(spark, name)
+        layout = load_layout(spark, name)
         assert len(layout.replaced) == 1 and layout.replaced[0][0] == first[0]
         assert spark.table(name).count() == 3
     # the files replaced by the first merge are gone, the untouched partition is as it was
@@ -149,10 +150,10 @@ def test_merge_rewrites_touched_partitions_only(spark, schema, ddl, values):
 def test_an_unpartitioned_merge_rewrites_touched_parts_only(spark, name, monkeypatch):
     monkeypatch.setattr(target, "TASKS_PER_PART", 1)
     target.merge(spark.range(0, 800, 1, 8).withColumn("v", F.lit("old")), name, ["id"])
-    first = target.load_layout(spark, name).parts
+    first = load_layout(spark, name).parts
     assert len(first) == 8
     result = target.merge(spark.range(795, 805).withColumn("v", F.lit("new")), name, ["id"])
-    layout = target.load_layout(spark, name)
+    layout = load_layout(spark, name)
     assert result.rows == 10 and layout.retired == first[7:] and set(first[:7]) < set(layout.parts)
     got = spark.table(name).groupBy("v").agg(F.count("id"), F.sum("id")).collect()
     assert sorted(map(tuple, got)) == [("new", 10, sum(range(795, 805))), ("old", 795, sum(range(795)))]
@@ -166,8 +167,8 @@ def test_a_hot_key_shrinks_before_the_shuffle(spark, name, broadcast):
     try:
         key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long")
         target.append(spark.range(0, 90000, 1, 8).select(key.alias("k"), F.lit("old").alias("v")), name)
-        layout, batch = target.load_layout(spark, name), spark.range(45000).select(F.col("id").alias("k"))
-        matched = target._matched_keys(target._live_rows(spark, layout), layout, batch, ["k"])
+        layout, batch = load_layout(spark, name), spark.range(45000).select(F.col("id").alias("k"))
+        matched = target._matched_keys(live_rows(spark, layout), layout, batch, ["k"])
         assert matched.agg(F.max("_copies")).first()[0] == 30001
         lines = matched._jdf.queryExecution().sparkPlan().toString().splitlines()
         join = next(i for i, line in enumerate(lines) if "Join" in line)
@@ -189,7 +190,7 @@ def test_a_row_may_change_its_partition(spark, name):
 
 def test_a_crashed_write_stays_invisible(spark, name):
     target.append(frame(spark, [(1, "a")]), name)
-    layout = target.load_layout(spark, name)
+    layout = load_layout(spark, name)
     data, ([orphan], _) = layout.data, target._write_part(target.stamp(frame(spark, [(7, "z")])), layout)
     assert rows(spark, name) == [(1, "a")]
     target.append(frame(spark, [(2, "b")]), name)
@@ -199,14 +200,14 @@ def test_a_crashed_write_stays_invisible(spark, name):
 
 def test_columns_added_by_a_crashed_write(spark, name):
     target.append(frame(spark, [(1, "a")]), name)
-    spark.sql(f"ALTER TABLE {target.load_layout(spark, name).data} ADD COLUMNS (extra int)")
+    spark.sql(f"ALTER TABLE {load_layout(spark, name).data} ADD COLUMNS (extra int)")
     target.append(frame(spark, [(2, "b", 5)], "id long, v string, extra int"), name, "merge")
     assert rows(spark, name) == [(1, "a", None), (2, "b", 5)]
 
 
 def test_overwrite_keeps_the_old_table_for_one_write(spark, name):
     target.overwrite(frame(spark, [(1, "a")]), name)
-    old = target.load_layout(spark, name).data
+    old = load_layout(spark, name).data
     target.overwrite(spark.table(name).drop("_ingested_at").withColumn("v", F.upper("v")), name)
     assert rows(spark, name) == [(1, "A")] and spark.catalog.tableExists(old)
     target.append(frame(spark, [(2, "b")]), name)
