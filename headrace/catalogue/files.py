@@ -43,6 +43,11 @@ def document_extract(spark, sf_dir):
     return _read_documents(spark, sf_dir)
 
 
+@query("SELECT * FROM events")
+def document_paged_extract(spark, sf_dir):
+    return _read_documents(spark, sf_dir, page_column="event_type")
+
+
 @query(f"""SELECT * FROM events WHERE {_SINCE} AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50""")
 def document_match_extract(spark, sf_dir):
     return _read_documents(spark, sf_dir, load_type="incremental", incremental_column="ts",

@@ -34,13 +34,42 @@ REPORT_CATALOG = "migration_x_catalog"
 REPORT_PIPELINE = "s3_ingestion"
 
 
+# Other names the columns go by, and columns that are reader options.
+_ALIASES = {"root_path": ("sftp_root_path",), "default_pattern": ("sftp_file_pattern",),
+            "default_collection": ("nosql_collection_name", "nosql_collection")}
+_OPTION_COLUMNS = {"url": ("connection_uri",), "driver": ("driver_class",),
+                   "database": ("database_name", "nosql_database"), "file_format": ("sftp_file_format",)}
+
+
 def conform(df: DataFrame, schema: str) -> DataFrame:
     """Exactly the schema's columns, in order; absent ones are NULL."""
     have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+
+    def column(name: str) -> Column:
+        known = [F.col(n) for n in (name, *_ALIASES.get(name, ())) if n in have]
+        return F.coalesce(*known) if known else F.lit(None)
+
+    return df.select(*[column(f.name).cast(f.dataType).alias(f.name)
                        for f in T.StructType.fromDDL(schema).fields])
 
 
+def _reader_options(sources: DataFrame) -> Column:
+    """``options``, else the JSON of ``extra_params``; then whatever columns of their own add."""
+    have = set(sources.columns)
+    maps = [F.col("options")] if "options" in have else []
+    if "extra_params" in have:
+        maps.append(F.from_json("extra_params", "map<string,string>"))
+    given = F.coalesce(*maps, F.create_map().cast("map<string,string>"))
+    own = {option: [F.col(c).cast("string") for c in columns if c in have]
+           for option, columns in _OPTION_COLUMNS.items()}
+    own = {option: F.coalesce(*columns) for option, columns in own.items() if columns}
+    if not own:
+        return given
+    more = F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*own.values()))
+    return F.map_concat(given, F.map_filter(
+        more, lambda option, value: value.isNotNull() & ~F.map_contains_key(given, option)))
+
+
 def _default(name: str, value) -> Column:
     return F.coalesce(F.col(name), F.lit(value))
 
@@ -49,6 +78,7 @@ def normalise_sources(sources: DataFrame) -> DataFrame:
     """Upper-case types, JDBC as the default method; without an activity column all are active."""
     if "is_active" not in sources.columns:
         sources = sources.withColumn("is_active", F.lit(True))
+    sources = sources.withColumn("options", _reader_options(sources))
     return conform(sources, SOURCE_SCHEMA).withColumns({
         "source_type": F.upper("source_type"),
         "ingest_method": F.upper(_default("ingest_method", DEFAULT_METHOD)),

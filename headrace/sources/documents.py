@@ -1,7 +1,6 @@
 """Document collections: JSON documents under ``<root>/<database>/<collection>``.
 
 Scalars may come wrapped (``{"$date": …}``, ``{"$oid": …}``, ``{"$numberLong": …}``).
-Files are split over tasks by Spark, so pages need no shuffle.
 """
 
 import uuid
@@ -81,6 +80,11 @@ def collection_of(source: Row, obj: Row) -> str:
 
 
 def read_documents(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
+    """A collection, filtered or queried.
+
+    Spark splits plain files over tasks by itself. For files it cannot split (gzip), a
+    ``page_column`` spreads the rows again into pages of even size, of which a hot value fills several.
+    """
     options = dict(source.options or {})
     database = obj.source_schema or options.get("database") or ""
     collection = collection_of(source, obj)
@@ -89,4 +93,8 @@ def read_documents(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     documents = read_json_documents(spark, path, (obj.reader_options or {}).get("schema"))
     if obj.custom_query:
         return query_documents(spark, documents, collection, obj.custom_query)
-    return documents.filter(F.expr(obj.source_filter)) if obj.source_filter else documents
+    if obj.source_filter:
+        documents = documents.filter(F.expr(obj.source_filter))
+    if obj.page_column:
+        documents = documents.hint("rebalance", F.col(column_name(obj.page_column)))
+    return documents

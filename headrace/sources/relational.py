@@ -66,5 +66,7 @@ def read_relational(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     if "url" not in options:
         raise ValueError(f"source {source.source_name!r} has neither a JDBC url nor a catalog")
     pages = options.pop("pages", None)
+    # What is left goes to the driver, which need not know options of other readers.
+    options = {k: v for k, v in options.items() if k not in ("database", "file_format")}
     return read_jdbc(spark, options, obj.source_schema, obj.source_object_name, obj.custom_query,
                      obj.source_filter, obj.data_read_size, obj.page_column, int(pages) if pages else None)

@@ -64,3 +64,16 @@ def test_target_name(spark):
     assert target_name(one_object(spark, target_schema="b", target_table="t")) == "b.t"
     assert target_name(one_object(spark, target_catalog="spark_catalog", target_schema="b", target_table="t")) == "b.t"
     assert target_name(one_object(spark, target_catalog="main", target_schema="b", target_table="t")) == "main_b.t"
+
+
+def test_other_column_names(spark):
+    rows = spark.createDataFrame(
+        [(1, "a", "oracle", "jdbc:x", "d.Driver", "db", "/up", "*.csv", "events", '{"authSource": "admin", "url": "jdbc:y"}'),
+         (2, "b", "sftp", None, None, None, None, None, None, None)],
+        "source_id long, source_name string, source_type string, connection_uri string, driver_class string, "
+        "database_name string, sftp_root_path string, sftp_file_pattern string, nosql_collection_name string, "
+        "extra_params string")
+    one, two = normalise_sources(rows).orderBy("source_id").collect()
+    assert one.options == {"authSource": "admin", "url": "jdbc:y", "driver": "d.Driver", "database": "db"}
+    assert (one.root_path, one.default_pattern, one.default_collection) == ("/up", "*.csv", "events")
+    assert two.options == {} and two.root_path is None
