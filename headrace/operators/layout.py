@@ -2,15 +2,16 @@
 
 A Parquet table has no row-level MERGE and cannot be overwritten while it is read. So a
 target is a *view* over one partitioned data table. Every write adds immutable parts
-(``_part``), and replacing the view publishes them: readers see the old rows or the new
-ones, and a crashed write leaves parts no view names.
+(``_part``) that carry its number, and replacing the view publishes them: it shows the
+parts up to that number. So readers see the old rows or the new ones, and a crashed write
+leaves parts above the number, which the next write drops.
 
 There is one writer per target at a time. Files a write replaces are dropped by the
 write after it, so a reader has that long to finish.
 """
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -27,7 +28,8 @@ class Layout:
 
     data: str
     partition_column: str | None = None
-    parts: list[str] = field(default_factory=list)
+    # number of the last published write
+    written: int = 0
     # (part, partition value) pairs and whole parts the last write replaced
     replaced: list[list[str | None]] = field(default_factory=list)
     retired: list[str] = field(default_factory=list)
@@ -71,10 +73,16 @@ def replaced_condition(layout: Layout, dtype: str | None) -> str:
                        for part, tests in values.items())
 
 
+def part_prefix(number: int) -> str:
+    """How the names of a write's parts begin; they sort by number."""
+    return f"{number:010d}"
+
+
 def _live_condition(layout: Layout, schema: T.StructType) -> str:
-    if not layout.parts:
-        return "false"
-    condition = f"{PART} IN ({', '.join(sql_text(p) for p in layout.parts)})"
+    """SQL that is true for live rows. It names only what the last write replaced."""
+    condition = f"{PART} < {sql_text(part_prefix(layout.written + 1))}"
+    if layout.retired:
+        condition += f" AND {PART} NOT IN ({', '.join(map(sql_text, layout.retired))})"
     if layout.replaced:
         dtype = schema[layout.partition_column].dataType.simpleString()
         condition += f" AND NOT ({replaced_condition(layout, dtype)})"
@@ -106,21 +114,14 @@ def drop_replaced(spark: SparkSession, layout: Layout) -> Layout:
         literal = "null" if value is None else sql_text(value)
         specs.append(f"PARTITION ({PART} = {sql_text(part)}, "
                      f"{column_name(layout.partition_column)} = {literal})")
+    crashed = [p for p in stored_parts(spark, layout.data) if p >= part_prefix(layout.written + 1)]
+    specs += [f"PARTITION ({PART} = {sql_text(p)})" for p in crashed]
     if specs:
         spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {', '.join(specs)}")
-    # Parts that lost every partition leave the list; parts of crashed writes leave the table.
-    held = stored_parts(spark, layout.data)
-    unknown = held - set(layout.parts)
-    if unknown:
-        orphans = ", ".join(f"PARTITION ({PART} = {sql_text(p)})" for p in sorted(unknown))
-        spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {orphans}")
-    return Layout(layout.data, layout.partition_column, [p for p in layout.parts if p in held],
-                  applied=dict(layout.applied), watermark=layout.watermark)
+    return replace(layout, replaced=[], retired=[], retired_table=None)
 
 
-def stored_parts(spark: SparkSession, data: str) -> set[str]:
+def stored_parts(spark: SparkSession, data: str) -> list[str]:
     """Names of the parts a data table holds, live or not."""
-    if not spark.catalog.tableExists(data):
-        return set()
-    return {r["partition"].split("/")[0].split("=")[1]
-            for r in spark.sql(f"SHOW PARTITIONS {quoted(data)}").collect()}
+    rows = spark.sql(f"SHOW PARTITIONS {quoted(data)}").collect()
+    return sorted({r["partition"].split("/")[0].split("=")[1] for r in rows})

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from headrace.functions.values import actual_name, as_text, column_name, quoted, sql_text
 from headrace.operators.incremental import with_metrics
-from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, publish,
-                                       replaced_condition, stored_parts)
+from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, part_prefix,
+                                       publish, replaced_condition)
 from headrace.operators.schema import align, evolution_mode, plan_alignment
 
 STAMP = "_ingested_at"
@@ -40,8 +40,8 @@ def stamp(df: DataFrame, at=None) -> DataFrame:
 
 
 def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
-                watermark_type: str | None = None, keys: list[str] | None = None) -> tuple[list[str], WriteResult]:
-    """Write one batch as new parts, counting it on the same pass; returns the part names.
+                watermark_type: str | None = None, keys: list[str] | None = None) -> WriteResult:
+    """Write one batch as the next write's parts, counting it on the same pass.
 
     With a partition column the rows are first rebalanced on it: a partition's rows meet
     in few files, and AQE splits a hot partition over several tasks. Merged rows come
@@ -54,18 +54,16 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
         df = df.hint("rebalance", F.col(column_name(by)))
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
-    name = F.lit(uuid.uuid4().hex[:12])
+    name = F.lit(f"{part_prefix(layout.written + 1)}-{uuid.uuid4().hex[:6]}")
     if keys:
         name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / TASKS_PER_PART))
     df = df.drop("_fresh").withColumn(PART, name)
     if keys:
         df = df.sortWithinPartitions(*[F.col(column_name(c)) for c in [PART, *([by] if by else []), *keys]])
-    had = stored_parts(df.sparkSession, layout.data)
     (df.write.format("parquet").mode("append").partitionBy(PART, *([by] if by else []))
        .saveAsTable(quoted(layout.data)))
     seen = metrics.get
-    return (sorted(stored_parts(df.sparkSession, layout.data) - had),
-            WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark")))
+    return WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark"))
 
 
 def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -> list[str] | None:
@@ -83,7 +81,8 @@ def _create(df: DataFrame, view: str, partition_column: str | None, watermark_co
         partition_column = actual_name(df.schema, partition_column)
     layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column, retired_table=retired_table,
                     applied=applied)
-    layout.parts, result = _write_part(df, layout, watermark_column, watermark_type, keys)
+    result = _write_part(df, layout, watermark_column, watermark_type, keys)
+    layout.written += 1
     layout.watermark = _hint(watermark_column, result, None)
     publish(spark, view, layout, df.columns)
     return result
@@ -123,8 +122,8 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
     layout = drop_replaced(spark, layout)
-    parts, result = _write_part(batch, layout, watermark_column, watermark_type)
-    layout.parts += parts
+    result = _write_part(batch, layout, watermark_column, watermark_type)
+    layout.written += 1
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns)
@@ -309,8 +308,8 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
             kept = keyed.join(batch_keys, keys, "left_anti").withColumn("_fresh", F.lit(False))
         out = kept.unionByName(unkeyed.withColumn("_fresh", F.lit(False))).unionByName(out)
         out = out.select(*shown, "_fresh")
-    parts, result = _write_part(out, layout, watermark_column, watermark_type, keys)
-    layout.parts = [p for p in layout.parts if p not in set(layout.retired)] + parts
+    result = _write_part(out, layout, watermark_column, watermark_type, keys)
+    layout.written += 1
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns)
     return result
