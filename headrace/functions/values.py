@@ -55,3 +55,8 @@ def actual_name(schema: T.StructType, name: str) -> str:
 def sql_text(value: str) -> str:
     """A SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def statement(query: str) -> str:
+    """A query that can stand in parentheses."""
+    return query.strip().rstrip(";")

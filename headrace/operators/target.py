@@ -187,17 +187,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
     return latest.unionByName(df.filter(~_no_null(keys)))
 
 
-def _key_summary(df: DataFrame, keys: list[str], unique: bool) -> dict:
-    """Range of every key column, and with ``unique`` the most rows any key has."""
-    rows = count_per_key(df, keys) if unique else df.select(
-        *[F.col(column_name(k)) for k in keys]).filter(_no_null(keys))
-    ends = [F.max("_copies").alias("copies")] if unique else []
+def _key_summary(df: DataFrame, keys: list[str]) -> dict:
+    """The most rows any key has, and the range of every key column, in one pass over the keys."""
+    ends = [F.max("_copies").alias("copies")]
     for i, k in enumerate(keys):
         if isinstance(df.schema[k].dataType, _RANGED):
             column, dtype = F.col(column_name(k)), df.schema[k].dataType
             ends += [as_text(F.min(column), dtype).alias(f"lo{i}"),
                      as_text(F.max(column), dtype).alias(f"hi{i}")]
-    return rows.agg(*ends).first().asDict() if ends else {}
+    return count_per_key(df, keys).agg(*ends).first().asDict()
 
 
 def _within(rows: DataFrame, keys: list[str], summary: dict) -> DataFrame:
@@ -260,28 +258,24 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
         raise ValueError(f"primary_key_cols must be set to merge into {view}")
     keys = [actual_name(df.schema, k) for k in keys]
     df = stamp(df)
-    if on_duplicate == "latest":
-        if not order_by:
-            raise ValueError("on_duplicate='latest' needs an order_by column")
-        df_rows = latest_per_key(df, keys, order_by)
-    elif on_duplicate == "error":
-        df_rows = df
-    else:
+    if on_duplicate not in ("error", "latest"):
         raise ValueError(f"on_duplicate {on_duplicate!r} is neither 'error' nor 'latest'")
-    summary = _key_summary(df, keys, unique=on_duplicate == "error")
-    if (summary.get("copies") or 0) > 1:
-        example = count_per_key(df, keys).filter("_copies > 1").first().asDict()
-        raise ValueError(f"the batch has several rows for one key of {view}: {example}")
+    if on_duplicate == "latest" and not order_by:
+        raise ValueError("on_duplicate='latest' needs an order_by column")
+    summary, df_rows = _key_summary(df, keys), df
+    key_rows = df.filter(_no_null(keys))
+    if (summary["copies"] or 0) > 1:
+        if on_duplicate == "error":
+            example = count_per_key(df, keys).filter("_copies > 1").first().asDict()
+            raise ValueError(f"the batch has several rows for one key of {view}: {example}")
+        df_rows, key_rows = latest_per_key(df, keys, order_by), count_per_key(df, keys)
 
     layout = load_layout(spark, view)
     if layout is None:
         return _create(df_rows, view, partition_column, watermark_column, watermark_type, {}, keys=keys)
     batch, columns = _evolve(df_rows, view, layout, "merge" if evo == "overwrite" else evo)
-    # The keys alone need no duplicate handling: a semi or anti join ignores repeats.
-    batch_keys = align(df.select(*[F.col(column_name(k)) for k in keys]).filter(_no_null(keys)),
-                       T.StructType([f for f in batch.schema.fields if f.name.lower() in
-                                     {k.lower() for k in keys}]))
-    keys = batch_keys.columns
+    keys = [actual_name(batch.schema, k) for k in keys]
+    batch_keys = align(key_rows, T.StructType([batch.schema[k] for k in keys]))
 
     layout = drop_replaced(spark, layout)
     live = live_rows(spark, layout)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headrace.functions.values import column_name, quoted
+from headrace.functions.values import column_name, quoted, statement
 
 # The wrappers around scalars in extended JSON.
 _WRAPPERS = ("$oid", "$numberLong", "$numberInt", "$numberDouble", "$numberDecimal")
@@ -34,15 +34,16 @@ def _wrappable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, schema: str | None = None, **options) -> DataFrame:
     """Documents with typed scalars. Without a schema Spark infers one, in a pass of its own."""
+    reader = spark.read.options(**options)
     if schema is None:
-        return _unwrap_inferred(spark.read.json(path))
+        return _unwrap_inferred(reader.json(path))
     wanted = T.StructType.fromDDL(schema)
     as_stored = T.StructType([
         T.StructField(f.name, T.StringType() if _wrappable(f.dataType) else f.dataType)
         for f in wanted.fields])
-    documents = spark.read.schema(as_stored).json(path)
+    documents = reader.schema(as_stored).json(path)
     return documents.select(*[
         (_scalar(F.col(column_name(f.name)), f.dataType) if _wrappable(f.dataType)
          else F.col(column_name(f.name))).alias(f.name)
@@ -69,7 +70,7 @@ def query_documents(spark: SparkSession, documents: DataFrame, collection: str,
     view = f"hr_{uuid.uuid4().hex[:12]}"
     documents.createOrReplaceTempView(view)
     try:
-        return spark.sql(f"WITH {quoted(collection)} AS (SELECT * FROM {view}) SELECT * FROM ({query}) q")
+        return spark.sql(f"WITH {quoted(collection)} AS (SELECT * FROM {view}) SELECT * FROM ({statement(query)}) q")
     finally:
         spark.catalog.dropTempView(view)
 
@@ -90,7 +91,7 @@ def read_documents(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     collection = collection_of(source, obj)
     path = "/".join(p.strip("/") if i else p.rstrip("/")
                     for i, p in enumerate([source.root_path, database, collection]) if p)
-    documents = read_json_documents(spark, path, (obj.reader_options or {}).get("schema"))
+    documents = read_json_documents(spark, path, **(obj.reader_options or {}))
     if obj.custom_query:
         return query_documents(spark, documents, collection, obj.custom_query)
     if obj.source_filter:

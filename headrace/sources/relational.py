@@ -7,7 +7,7 @@
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from headrace.functions.values import quoted
+from headrace.functions.values import quoted, statement
 
 
 def _read_jdbc(spark: SparkSession, options: dict[str, str], table: str) -> DataFrame:
@@ -26,7 +26,7 @@ def read_jdbc(spark: SparkSession, options: dict[str, str], schema: str | None =
     """
     table = f"{schema}.{name}" if schema else name
     if query or source_filter:
-        rows = query or f"SELECT * FROM {table}"
+        rows = statement(query) if query else f"SELECT * FROM {table}"
         if source_filter:
             rows = f"SELECT * FROM ({rows}) base WHERE ({source_filter})"
         table = f"({rows}) src"
@@ -52,7 +52,7 @@ def read_catalog(spark: SparkSession, catalog: str | None = None, schema: str |
                  source_filter: str | None = None) -> DataFrame:
     """Read a catalog table, or run a query verbatim."""
     if query:
-        rows = spark.sql(query)
+        rows = spark.sql(statement(query))
     else:
         rows = spark.table(quoted(".".join(p for p in (catalog, schema, name) if p)))
     return rows.filter(F.expr(source_filter)) if source_filter else rows

@@ -58,7 +58,7 @@ def test_jdbc_pushdown_and_column_pruning(spark, derby):
 
 
 def test_jdbc_query_filter_and_pages(spark, derby):
-    df = read_jdbc(spark, derby, query='SELECT "event_id", "value" FROM events', source_filter='"event_id" >= 10',
+    df = read_jdbc(spark, derby, query='SELECT "event_id", "value" FROM events;', source_filter='"event_id" >= 10',
                    page_column='"event_id"', pages=4, fetch_size=100)
     assert df.rdd.getNumPartitions() == 4
     assert df.agg(F.min("event_id")).first()[0] == 10
