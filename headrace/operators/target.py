@@ -7,7 +7,7 @@ all other files stay as they are. See ``layout`` for how a target is stored.
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,9 @@ STAMP = "_ingested_at"
 # Tasks whose merged rows share a part: about 8 GB at Spark's default split size.
 TASKS_PER_PART = 64
 
+# Most bytes of batch keys that are sent to every executor.
+BROADCAST_BYTES = 64 << 20
+
 # Key types whose Parquet statistics order like Spark's comparison.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
@@ -39,19 +42,25 @@ def stamp(df: DataFrame, at=None) -> DataFrame:
     return df.withColumn(STAMP, F.lit(at) if at is not None else F.current_timestamp())
 
 
+def _rebalance(df: DataFrame, by: str) -> DataFrame:
+    return df.hint("rebalance", F.col(column_name(by)))
+
+
 def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
-                watermark_type: str | None = None, keys: list[str] | None = None) -> WriteResult:
+                watermark_type: str | None = None, keys: list[str] | None = None,
+                clustered: bool = False) -> WriteResult:
     """Write one batch as the next write's parts, counting it on the same pass.
 
-    With a partition column the rows are first rebalanced on it: a partition's rows meet
-    in few files, and AQE splits a hot partition over several tasks. Merged rows come
+    With a partition column the rows are first rebalanced on it, unless they are
+    ``clustered`` already: a partition's rows meet in few files, and AQE splits a hot
+    partition over several tasks. Merged rows come
     with their ``keys``: they are cut into a part per group of tasks, so that a later merge
     can leave most of them alone, and sorted by key within each task, which narrows the
     key ranges in the Parquet statistics.
     """
     by = layout.partition_column
-    if by:
-        df = df.hint("rebalance", F.col(column_name(by)))
+    if by and not clustered:
+        df = _rebalance(df, by)
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
     name = F.lit(f"{part_prefix(layout.written + 1)}-{uuid.uuid4().hex[:6]}")
@@ -188,8 +197,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
 
 
 def _key_summary(df: DataFrame, keys: list[str]) -> dict:
-    """The most rows any key has, and the range of every key column, in one pass over the keys."""
-    ends = [F.max("_copies").alias("copies")]
+    """One pass over the keys: the most rows any key has, their total size in memory, and
+    the range of every key column."""
+    size = F.lit(48)
+    for k in keys:
+        if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)):
+            size = size + F.octet_length(F.col(column_name(k)))
+    ends = [F.max("_copies").alias("copies"), F.sum(size).alias("bytes")]
     for i, k in enumerate(keys):
         if isinstance(df.schema[k].dataType, _RANGED):
             column, dtype = F.col(column_name(k)), df.schema[k].dataType
@@ -198,6 +212,12 @@ def _key_summary(df: DataFrame, keys: list[str]) -> dict:
     return count_per_key(df, keys).agg(*ends).first().asDict()
 
 
+def _broadcastable(spark: SparkSession, summary: dict) -> bool:
+    """Whether the batch's keys are measured to be few, and broadcasts are not switched off."""
+    allowed = not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return allowed and (summary["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def _within(rows: DataFrame, keys: list[str], summary: dict) -> DataFrame:
     """Rows whose keys lie in the batch's range; Parquet statistics skip the others."""
     for i, k in enumerate(keys):
@@ -276,13 +296,16 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     batch, columns = _evolve(df_rows, view, layout, "merge" if evo == "overwrite" else evo)
     keys = [actual_name(batch.schema, k) for k in keys]
     batch_keys = align(key_rows, T.StructType([batch.schema[k] for k in keys]))
+    small = _broadcastable(spark, summary)
+    if small:
+        batch_keys = F.broadcast(batch_keys)
 
     layout = drop_replaced(spark, layout)
     live = live_rows(spark, layout)
     matched = _matched_keys(_within(live, keys, summary), layout, batch_keys, keys)
     touched = _touched(matched)
 
-    out = batch.withColumn("_fresh", F.lit(True))
+    out, clustered = batch.withColumn("_fresh", F.lit(True)), False
     if touched:
         if layout.partition_column:
             layout.replaced = [[r["part"], r["place"]] for r in touched]
@@ -300,9 +323,12 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
             out = out.join(matched.select(*[F.col(column_name(k)) for k in keys]), keys, "left_anti")
         else:
             kept = keyed.join(batch_keys, keys, "left_anti").withColumn("_fresh", F.lit(False))
+            if small and layout.partition_column:
+                # Kept rows stay in the order they were read: only the batch is shuffled.
+                out, clustered = _rebalance(out, layout.partition_column), True
         out = kept.unionByName(unkeyed.withColumn("_fresh", F.lit(False))).unionByName(out)
         out = out.select(*shown, "_fresh")
-    result = _write_part(out, layout, watermark_column, watermark_type, keys)
+    result = _write_part(out, layout, watermark_column, watermark_type, keys, clustered)
     layout.written += 1
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns)

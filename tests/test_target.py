@@ -184,6 +184,23 @@ def test_a_hot_key_shrinks_before_the_shuffle(spark, name, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_kept_rows_are_not_shuffled_for_a_small_batch(spark, name, monkeypatch):
+    plans = []
+    write = target._write_part
+    monkeypatch.setattr(target, "_write_part", lambda df, *rest: (
+        plans.append(df._jdf.queryExecution().sparkPlan().toString()), write(df, *rest))[1])
+    start = spark.range(1000).selectExpr("id", "id % 3 AS p", "'old' AS v")
+    batch = spark.range(10).selectExpr("id", "id % 3 AS p", "'new' AS v")
+    target.append(start, name, partition_column="p")
+    target.merge(batch, name, ["id"])
+    monkeypatch.setattr(target, "BROADCAST_BYTES", 10)
+    target.merge(batch, name, ["id"])
+    small, large = plans[1], plans[2]
+    assert "Union" in small.split("REBALANCE")[0] and "REBALANCE" in small
+    assert "REBALANCE" not in large and "Union" in large  # the writer adds it above the union
+    assert spark.table(name).groupBy("v").count().orderBy("v").collect() == [("new", 10), ("old", 990)]
+
+
 def test_a_row_may_change_its_partition(spark, name):
     target.append(frame(spark, [(1, "a"), (2, "b")]), name, partition_column="v")
     target.merge(frame(spark, [(1, "b")]), name, ["id"])
@@ -243,13 +260,17 @@ _key = st.one_of(st.none(), st.integers(0, 3))
 _row = st.tuples(_key, st.one_of(st.none(), st.sampled_from(["x", "y"])), st.integers(0, 9))
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=16, deadline=None, suppress_health_check=list(HealthCheck))
 @given(old=st.lists(_row, max_size=8), new=st.lists(_row, max_size=6, unique_by=lambda r: r[:2] if None not in r[:2] else object()),
-       by=st.sampled_from([None, "b", "v"]))
-def test_merge_follows_the_rules(spark, schema, old, new, by):
+       by=st.sampled_from([None, "b", "v"]), broadcast=st.sampled_from(["10m", "-1"]))
+def test_merge_follows_the_rules(spark, schema, old, new, by, broadcast):
     import uuid
     name, ddl = f"{schema}.m{uuid.uuid4().hex[:10]}", "a int, b string, v int"
     target.append(frame(spark, old[:4], ddl), name, partition_column=by)
     target.append(frame(spark, old[4:], ddl), name)
-    target.merge(frame(spark, new, ddl), name, ["a", "b"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        target.merge(frame(spark, new, ddl), name, ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert rows(spark, name) == sorted(_merged(old, new), key=repr)
