@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headrace.llm.tables import Workspace
@@ -11,30 +11,27 @@ from headrace.llm.tables import Workspace
 def connected_components(work: Workspace, links: DataFrame) -> DataFrame:
     """Rows (node, component) for every end of the links (a, b); component is its smallest node.
 
-    Large-star and small-star steps alternate until the links no longer change: every node's
-    larger (then: smaller) neighbours are linked to its smallest one. That takes a few rounds, also
-    for long chains, and never more links than there were. The smallest neighbours are written
-    before they are joined, so that Spark can split a hub with very many links.
+    In each round every node takes the least label among its own, its neighbours' and that of the
+    node its label names (pointer jumping), until no label changes: a number of rounds that grows
+    with the logarithm of the longest path. Messages are pre-aggregated, and both sides of the
+    joins are written tables, so that Spark can split a hub with very many links.
     """
-    def ordered(df: DataFrame) -> DataFrame:
-        return (df.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-
-    links = work.save(ordered(links))
-    seen = None
+    links = links.filter("a <> b")
+    both = work.save(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = work.save(both.groupBy(F.col("a").alias("node"))
+                       .agg(F.least("a", F.min("b")).alias("component")))
     while True:
-        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hubs = work.save(both.groupBy("a").agg(F.least("a", F.min("b")).alias("hub")))
-        large = work.save(ordered(both.filter("b > a").join(hubs, "a").select(F.col("b").alias("a"),
-                                                                           F.col("hub").alias("b"))))
-        work.drop(links, hubs)
-        hubs = work.save(large.groupBy("a").agg(F.min("b").alias("hub")))
-        nearer = large.join(hubs, "a").select(F.col("b").alias("a"), F.col("hub").alias("b"))
-        small = work.save(ordered(nearer.union(hubs.select("a", F.col("hub").alias("b")))))
-        state = small.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        work.drop(large, hubs)
-        links = small
-        if state == seen:
-            break
-        seen = state
-    return work.save(links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-                     .union(links.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct())
+        told = (both.join(labels, F.col("b") == F.col("node")).groupBy("a")
+                .agg(F.min("component").alias("least")))
+        jump = labels.select(F.col("node").alias("a"), F.col("component").alias("named"))
+        near = labels.join(told.withColumnRenamed("a", "node"), "node").select(
+            "node", F.col("component").alias("was"), F.least("component", "least").alias("label"))
+        changed = Observation()
+        new = work.save(near.join(jump, F.col("label") == F.col("a")).select(
+            "node", "was", F.least("label", "named").alias("component"))
+            .observe(changed, F.count_if(F.col("was") != F.col("component")).alias("n")))
+        work.drop(labels)
+        labels = new
+        if not changed.get["n"]:
+            work.drop(both)
+            return labels.select("node", "component")

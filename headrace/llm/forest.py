@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headrace.llm.components import connected_components
@@ -15,9 +15,9 @@ from headrace.llm.words import Words, mix, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
-TREES, DEPTH = 24, 8
+TREES, DEPTH = 24, 6
 # Shares of the linked pairs that the forest must be expected to hold before it stops.
-TARGET_RECALL = 0.999
+TARGET_RECALL = 0.9995
 # Documents compared at once in a task; larger candidate groups are cut into pairs of such blocks.
 BLOCK = 256
 _RARE = 12
@@ -100,13 +100,16 @@ def _sequence_keys(words: Words) -> list[bytes | None]:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) to (id, sorted distinct shingle hashes)."""
+    """(id, text, key) to (id, sorted distinct shingle hashes), without texts of another key."""
     for batch in batches:
         for at in range(0, batch.num_rows, 2000):
             some = batch.slice(at, 2000)
-            hashes, bounds = shingles_of(words_of(some.column(1)))
+            words = words_of(some.column(1))
+            hashes, bounds = shingles_of(words)
             sets = [np.unique(hashes[a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
+            own = pa.array([k == key for k, key in zip(_sequence_keys(words), some.column(2).to_pylist())], pa.bool_())
+            yield pa.RecordBatch.from_arrays([some.column(0).filter(own), pa.array(sets, pa.binary()).filter(own)],
+                                             names=["id", "shingles"])
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -204,9 +207,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
     read = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text")) \
         .filter("id IS NOT NULL")
     signed = work.save(read.mapInArrow(_sign, "id long, key binary, signature binary"))
+    ids = signed.agg(F.count("*").alias("n"), F.count_distinct("id").alias("d")).first()
+    repeated = ids.n != ids.d
+    if repeated:  # an id given to several rows counts once, with the least of them
+        signed = work.save(signed.groupBy("id").agg(F.min(F.struct("key", "signature")).alias("s"))
+                           .select("id", "s.key", "s.signature"))
     members = signed.filter("key IS NOT NULL")
-    # an id given to several texts counts once, with the least of them
-    entries = work.save(members.groupBy("key").agg(F.min("id").alias("entry"), F.count_distinct("id").alias("copies"),
+    entries = work.save(members.groupBy("key").agg(F.min("id").alias("entry"), F.count("*").alias("copies"),
                                                    F.min("signature").alias("signature")))
     trees = F.array(*[F.struct(F.lit(t).alias("tree"), F.substring("signature", 2 * DEPTH * t + 1, 2 * DEPTH)
                                .alias("label")) for t in range(TREES)])
@@ -219,7 +226,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
         edges = nodes.join(hubs, "node").filter("entry <> a").select("a", F.col("entry").alias("b"))
         groups = connected_components(work, edges)
         work.drop(hubs)
-        return groups.withColumnRenamed("node", "entry").withColumnRenamed("component", "cluster")
+        return work.save(groups.select(F.col("node").alias("entry"), F.col("component").alias("cluster"))
+                         .join(entries.select("entry", "key", "copies"), "entry"))
 
     done, sizes, sets, depth = None, None, None, DEPTH
     while True:
@@ -227,26 +235,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
         # a group is known by its size and the sum over its members; unchanged ones stay compared
         mark = [F.count("*").alias("n"), F.sum(F.xxhash64("entry").cast("decimal(20,0)")).alias("mark")]
         now = work.save(groups.groupBy("cluster").agg(*mark))
-        grown = now if sizes is None else now.join(sizes, ["cluster", "n", "mark"], "left_anti")
-        grown = work.save(grown.select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
-        todo = groups.join(grown, "cluster")
+        grown = now if done is None else now.join(sizes, ["cluster", "n", "mark"], "left_anti")
+        todo = groups.join(grown.select("cluster", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "cluster")
         if sets is None:
-            sets = _sets_of(work, read, todo)
+            sets = _sets_of(work, read, todo, repeated)
         else:
-            known = sets.select("id").distinct()
-            more = _sets_of(work, read, todo.join(known, F.col("entry") == F.col("id"), "left_anti"))
-            sets = sets.union(more)
-        links = work.save(_compare(todo, entries, sets, depth, threshold))
+            sets = sets.union(_sets_of(work, read, todo.join(sets.select(F.col("id").alias("entry")), "entry",
+                                                             "left_anti"), repeated))
+        links = _compare(todo, sets, depth, threshold)
         if done is not None:
-            kept = done.join(now.join(sizes, ["cluster", "n", "mark"], "left_semi").select("cluster"), "cluster",
-                             "left_semi")
-            links = work.save(kept.unionByName(links))
-        done, sizes = links, now
-        sums = done.agg(F.sum("pairs").alias("pairs"), F.sum("expected").alias("expected")).first()
-        recall = (sums.pairs or 0) / sums.expected if sums.expected else 1.0
-        if recall >= target_recall or depth <= 3:
+            same = now.join(sizes, ["cluster", "n", "mark"], "left_semi").select("cluster")
+            links = done.join(same, "cluster", "left_semi").unionByName(links)
+        measured = Observation()
+        done, sizes = work.save(links.observe(measured, F.sum("pairs").alias("pairs"),
+                                              F.sum("expected").alias("expected"))), now
+        pairs, expected = measured.get["pairs"], measured.get["expected"]
+        if not expected or pairs / expected >= target_recall or depth <= 3:
             break
-        depth -= 2 if depth > 5 else 1
+        depth -= 1
 
     joined = connected_components(work, done.filter("id <> root").select(F.col("id").alias("a"),
                                                                          F.col("root").alias("b")))
@@ -255,24 +261,24 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
                         .join(joined.withColumnRenamed("node", "entry"), "entry", "left")
                         .select("key", F.coalesce("component", "entry").alias("class_id"),
                                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    ids = signed.groupBy("id").agg(F.min("key").alias("key"))
-    return (ids.join(classes, "key", "left")
+    return (signed.select("id", "key").join(classes, "key", "left")
             .select(F.col("id").alias(id_column), F.coalesce("class_id", "id").alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     (F.coalesce("class_id", "id") == F.col("id")).alias("kept")))
 
 
-def _sets_of(work: Workspace, read: DataFrame, groups: DataFrame) -> DataFrame:
+def _sets_of(work: Workspace, read: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
     """The shingle sets of the entries in candidate groups, from a second pass over the texts."""
-    wanted = work.save(groups.select(F.col("entry").alias("id")).distinct())
-    texts = read.join(wanted, "id", "left_semi")
-    return work.save(texts.mapInArrow(_shingle_sets, "id long, shingles binary").dropDuplicates(["id"]))
+    wanted = groups.select(F.col("entry").alias("id"), "key")
+    sets = (read.join(wanted, "id").select("id", "text", "key")
+            .mapInArrow(_shingle_sets, "id long, shingles binary"))
+    return work.save(sets.dropDuplicates(["id"]) if repeated else sets)
 
 
-def _compare(todo: DataFrame, entries: DataFrame, sets: DataFrame, depth: int, threshold: float) -> DataFrame:
+def _compare(todo: DataFrame, sets: DataFrame, depth: int, threshold: float) -> DataFrame:
     """All pairs within each group, in pairs of blocks: every entry goes to as many as there are blocks."""
     own = F.pmod(F.xxhash64("entry", F.lit(5)), F.col("blocks")).cast("int")
-    rows = todo.join(entries.select("entry", "copies"), "entry").select(
+    rows = todo.select(
         "cluster", "entry", "copies", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("peer"))
     rows = rows.select("cluster", F.col("entry").alias("id"), "copies", F.least("own", "peer").alias("one"),
                        F.greatest("own", "peer").alias("two"), (F.col("own") > F.col("peer")).cast("int").alias("side"))
