@@ -16,7 +16,7 @@ END_ID = 2
 # A block is closed once it holds this many ids; a longer document has a block of its own.
 BLOCK_IDS = 1 << 22
 # Words whose ids a worker keeps between tasks; the cache is emptied when it is full.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_500_000
 SELECT_STEP = 64
 
 BLOCK_SCHEMA = ("part int, block int, n_docs long, n_ids long, doc_ids binary, ids binary, low_bits int, "
@@ -72,46 +72,61 @@ def ef_decode(n: int, width: int, low: bytes, high: bytes) -> np.ndarray:
 
 @lru_cache(1)
 def _tokenizer(path: str):
+    """The tokenizer, which of its ids end a word, and the words encoded so far."""
     from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}
+    tokenizer = Tokenizer.from_file(path)
+    ends = np.zeros(tokenizer.get_vocab_size() + 1, bool)
+    for token, number in tokenizer.get_vocab().items():
+        ends[number] = token.endswith("</w>")
+    return tokenizer, ends, {}
 
 
-def _single(tokenizer, word: bytes) -> bytes:
-    return np.array(tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+def _ids(tokenizer, text: str) -> np.ndarray:
+    return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
 
-def _learn(tokenizer, cache: dict[bytes, bytes], words: set[bytes]) -> None:
-    """Encode words not met before: plain ones many at a time between end marks, the rest alone."""
-    mark = "<|endoftext|>"
-    mark_id = tokenizer.token_to_id(mark)
-    plain = [w for w in words if b"<|" not in w] if mark_id is not None else []
+def _learn(tokenizer, ends: np.ndarray, cache: dict[bytes, bytes], words: set[bytes]) -> None:
+    """Encode words not met before.
+
+    Words of letters only are one piece each for the tokenizer's splitter: thousands are encoded
+    at once and cut after the ids that end a word. Stops after a letter or digit are a piece of
+    their own. All other words are encoded alone.
+    """
+    stems = {w: w.rstrip(b".,!?;:") for w in words}
+    tailed = {w: s for w, s in stems.items() if s != w and s[-1:].isalnum()}
+    missing = (words - tailed.keys()) | set(tailed.values()) | {w[len(s):] for w, s in tailed.items()}
+    missing = [w for w in missing if w not in cache]
+    plain = [w for w in missing if w.decode().isalpha()]
     for at in range(0, len(plain), 2000):
         some = plain[at:at + 2000]
-        ids = np.array(tokenizer.encode(mark.join(w.decode() for w in some), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(ids == mark_id)
-        if len(cuts) == len(some) - 1:
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
+        ids = _ids(tokenizer, " ".join(w.decode() for w in some))
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) == len(some):
             data = ids.tobytes()
-            cache.update({w: data[4 * a:4 * b] for w, a, b in zip(some, starts, ends)})
-    cache.update({w: _single(tokenizer, w) for w in words if w not in cache})
+            cache.update({w: data[4 * a:4 * b] for w, a, b in zip(some, [0, *cuts[:-1].tolist()], cuts.tolist())})
+    cache.update({w: _ids(tokenizer, w.decode()).tobytes() for w in missing if w not in cache})
+    cache.update({w: cache[s] + cache[w[len(s):]] for w, s in tailed.items()})
 
 
 def encode_texts(texts: list[str | None], tokenizer_path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text, as the tokenizer gives them for the whole text.
 
-    The tokenizer must split at spaces and line ends and ignore ASCII case, as its file says of
-    its normalizer and splitter; then a text's ids are those of its words in turn, and each word
-    is encoded once and looked up afterwards.
+    The tokenizer must split at spaces and line ends, keep runs of letters apart from other
+    characters and ignore ASCII case, as its file says of its normalizer and splitter; then a
+    text's ids are those of its words in turn, and each word is encoded once and looked up
+    afterwards.
     """
-    tokenizer, cache = _tokenizer(tokenizer_path)
+    tokenizer, ends, cache = _tokenizer(tokenizer_path)
     split = [(t or "").encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
-    new = set().union(*split) - cache.keys()
+    found = [list(map(cache.get, words)) for words in split]
+    new = {w for words, got in zip(split, found) if None in got for w, g in zip(words, got) if g is None}
     if new:
         if len(cache) + len(new) > CACHE_WORDS:
             cache.clear()
             new = set().union(*split)
-        _learn(tokenizer, cache, new)
-    return [b"".join(map(cache.__getitem__, words)) for words in split]
+        _learn(tokenizer, ends, cache, new)
+        found = [list(map(cache.get, words)) if None in got else got for words, got in zip(split, found)]
+    return [b"".join(got) for got in found]
 
 
 def _blocks(tokenizer_path: str, end_id: int):
