@@ -354,8 +354,8 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     model, samples, total = train(work, texts.filter("NOT held_out"), seed)
     top = model.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
     frequent = {"word": top["word"].to_numpy(np.int64), "n": top["n"].to_numpy(np.float64),
-                "root": np.array(top["root"].tolist()).reshape(len(top), -1),
-                "seen": np.array(top["seen"].tolist(), np.float64).reshape(len(top), -1)}
+                "root": np.array(top["root"].tolist(), np.float64).reshape(len(top), len(samples)),
+                "seen": np.array(top["seen"].tolist(), np.float64).reshape(len(top), CONTEXTS)}
     parts = work.save(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         _score_frequent(frequent, samples, total),
         f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_known long, "

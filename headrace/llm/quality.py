@@ -268,7 +268,7 @@ def scored(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     sample = (texts.join(F.broadcast(chosen.dropDuplicates(["_id"])), "_id").select("_text", "good", "bad")
               .mapInArrow(_train_features, "features binary, good array<int>, bad array<int>").collect())
     lists = [np.frombuffer(r.features, "<i4") for r in sample]
-    targets = np.stack([m.posterior(np.array([r[c] for r in sample], int).reshape(len(sample), -1))
+    targets = np.stack([m.posterior(np.array([r[c] for r in sample], int).reshape(len(sample), len(m.names)))
                         for m, c in zip(models, ("good", "bad"))], axis=1)
     weights = fit_scorer(lists, targets)
     plain = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))

@@ -7,16 +7,21 @@ from pyspark.sql import functions as F
 
 from headrace.llm.tables import Workspace, hash01, numbered
 
+# How far a shard may grow over its quota while labels propagate.
+SLACK = 1.3
 
-def linked_by_equal_text(work: Workspace, nodes: DataFrame) -> DataFrame:
-    """One link (a, b) from each text's first row to every other row of that text.
 
-    A star has as many links as rows, however large the group; nulls and empty texts link nothing.
+def equal_texts(work: Workspace, nodes: DataFrame, piece: int) -> DataFrame:
+    """Rows (node, hub, unit) of all rows whose text occurs again; hub is the text's first row.
+
+    Linking every row to its hub is as many links as rows, however large the group. A unit is what
+    should move as a whole: the group, or about `piece` rows of a larger one. Nulls and empty
+    texts are in no group.
     """
     texts = nodes.filter("size > 8")
-    hubs = work.save(texts.groupBy("digest").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-                     .filter("n > 1").drop("n"))
-    return work.save(texts.join(hubs, "digest").filter("node <> a").select("a", F.col("node").alias("b")))
+    hubs = work.save(texts.groupBy("digest").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
+    part = F.pmod(F.xxhash64("node", F.lit(9)), F.ceil(F.col("n") / F.lit(max(1, piece))))
+    return work.save(texts.join(hubs, "digest").select("node", "hub", F.xxhash64("hub", part).alias("unit")))
 
 
 def propagate(work: Workspace, links: DataFrame, shards: int, quota: int, rounds: int = 10,
@@ -77,24 +82,29 @@ def shard(docs: DataFrame, shards: int = 24, rounds: int = 10, id_column: str =
         F.monotonically_increasing_id().alias("node")))
     total = nodes.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
-    labels = propagate(work, linked_by_equal_text(work, nodes), shards, total // shards, rounds)
+    groups = equal_texts(work, nodes, total // (8 * shards))
+    links = groups.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    # room to move: what is over the exact quota gives way afterwards, as whole units
+    labels = propagate(work, links, shards, int(SLACK * total / shards), rounds)
 
-    spread = F.xxhash64("node", F.lit(3))
-    at_home = numbered(labels, ["label"], spread, [F.col("node")], "rank")
+    # in the order of their units rows go, or give way, as whole groups
+    spread, order = F.xxhash64("unit", F.lit(3)), [F.col("unit"), F.col("node")]
+    at_home = numbered(work.save(labels.join(groups, "node")), ["label"], spread, order, "rank")
     quota = F.create_map(*[F.lit(x) for s in range(shards) for x in (s, quotas[s])])
     settled = work.save(at_home.filter(F.col("rank") < quota[F.col("label")])
                         .select("node", F.col("label").alias("shard")))
     taken = {r.shard: r.n for r in settled.groupBy("shard").agg(F.count("*").alias("n")).collect()}
 
-    rest = work.save(nodes.select("node").join(settled, "node", "left_anti").withColumn("all", F.lit(0)))
+    rest = work.save(nodes.select("node").join(settled, "node", "left_anti").join(groups, "node", "left")
+                     .select("node", F.coalesce("unit", "node").alias("unit"), F.lit(0).alias("all")))
     ends, end = [], 0
     for s in range(shards):
         end += quotas[s] - taken.get(s, 0)
         ends.append(end)
     free = F.size(F.filter(F.array(*[F.lit(e) for e in ends]), lambda e: e <= F.col("rank"))).cast("int")
-    filled = numbered(rest, ["all"], spread, [F.col("node")], "rank").select("node", free.alias("shard"))
+    filled = numbered(rest, ["all"], spread, order, "rank").select("node", free.alias("shard"))
     placed = work.save(settled.union(filled))
-    slots = numbered(placed, ["shard"], spread, [F.col("node")], "slot")
+    slots = numbered(placed, ["shard"], F.xxhash64("node", F.lit(3)), [F.col("node")], "slot")
     return (nodes.join(slots, "node")
             .select(F.col("id").alias(id_column), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))
