@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MOST = 100.0
+# Rates of up to this many sources, a few kilobytes each, go to every task.
+MOST_BROADCAST = 5000
 
 
 def mixing_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, temperature: float = 0.5,
@@ -59,6 +61,8 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str =
         F.raise_error(F.concat(F.lit("rate above 100: "), F.col("rate").cast("string"))).cast("double"))
     table = (rates.filter("rate > 0").withColumn("rate", checked)
              .select(F.col("source").alias("_source"), _cdf(F.col("rate")).alias("_cdf")))
+    if rates.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:  # else Spark joins by a shuffle
+        table = F.broadcast(table)
     name = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
     uniform = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}"))), 1, 13), 16, 10).cast("double") / 2.0**52
     rows = docs.select(F.struct("*").alias("_row"), F.col(source_column).alias("_from"), name.alias("_name"),
