@@ -10,8 +10,10 @@ from headrace.functions.values import actual_name, as_text, column_name, compara
 def _max_text(df: DataFrame, column: str, declared: str | None):
     column = actual_name(df.schema, column)
     dtype = df.schema[column].dataType
-    value = F.max(comparable(F.col(column_name(column)), dtype, declared))
-    return as_text(value, comparison_type(dtype, declared))
+    value, kind = comparable(F.col(column_name(column)), dtype, declared), comparison_type(dtype, declared)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = F.when(~F.isnan(value), value)  # nothing is greater than NaN: as a watermark it would end all loading
+    return as_text(F.max(value), kind)
 
 
 def max_watermark(df: DataFrame, column: str, declared: str | None = None,

@@ -182,9 +182,10 @@ def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_
     used = chosen.select(F.col("source_system_id").alias("source_id"))
     by_id = {s.source_id: s for s in
              sources.filter("is_active").join(used, "source_id", "left_semi").collect()}
-    by_target: dict[str, list[Row]] = {}
+    by_target: dict[str | int, list[Row]] = {}
     for obj in selected:
-        by_target.setdefault(target_name(obj).lower(), []).append(obj)
+        named = obj.target_schema and obj.target_table  # an object without a target fails in its own run
+        by_target.setdefault(target_name(obj).lower() if named else obj.ingestion_object_id, []).append(obj)
     prepare_logs(spark, run_log, options.get("ledger"))
 
     @inheritable_thread_target(spark)

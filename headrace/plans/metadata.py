@@ -198,6 +198,8 @@ def target_name(obj) -> str:
     """
     catalog = obj.target_catalog
     schema = obj.target_schema
+    if not schema or not obj.target_table:
+        raise ValueError(f"object {obj.ingestion_object_id} names no target schema or table")
     if catalog and catalog != "spark_catalog":
         schema = f"{catalog}_{schema}"
     return f"{schema}.{obj.target_table}"

@@ -91,3 +91,9 @@ def test_metrics_of_an_empty_batch(spark):
     df, metrics = with_metrics(spark.range(0), "id")
     df.write.parquet(new_dir(spark))
     assert metrics.get == {"rows": 0, "watermark": None}
+
+
+def test_nan_is_no_watermark(spark):
+    rows = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "v double")
+    assert float(max_watermark(rows, "v")) == 1.5
+    assert max_watermark(rows.filter("isnan(v)"), "v") is None

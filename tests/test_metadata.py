@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from headrace.catalogue.base import objects_frame, one_object, sources_frame
@@ -77,3 +78,10 @@ def test_other_column_names(spark):
     assert one.options == {"authSource": "admin", "url": "jdbc:y", "driver": "d.Driver", "database": "db"}
     assert (one.root_path, one.default_pattern, one.default_collection) == ("/up", "*.csv", "events")
     assert two.options == {} and two.root_path is None
+
+
+@pytest.mark.parametrize("names", [(None, "t"), ("s", None), ("", "t")])
+def test_target_needs_names(names):
+    obj = Row(ingestion_object_id=1, target_catalog=None, target_schema=names[0], target_table=names[1])
+    with pytest.raises(ValueError, match="names no target"):
+        target_name(obj)
