@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,35 +33,38 @@ def propagate(work: Workspace, links: DataFrame, shards: int, quota: int, rounds
     Labels begin at random. In each round the nodes look at their neighbours' labels (a join
     and a pre-aggregated count) and want the commonest; half of them, others each round, may
     move, so that two neighbours do not keep swapping; a shard takes no more than it has room
-    for below `quota`, chosen by hash. It ends early once nobody wants to move. Only per-shard counts leave the executors.
+    for below `quota`, chosen by hash. It ends early once nobody wants to move, or only to full
+    shards: then no round would change anything. Only per-shard counts leave the executors.
     """
     both = work.save(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))))
     start = F.pmod(F.xxhash64("a", F.lit(seed)), F.lit(shards)).cast("int").alias("label")
-    labels = work.save(both.select("a").distinct().select(F.col("a").alias("node"), start))
+    written = work.save(both.select("a").distinct().select(F.col("a").alias("node"), start))
+    labels = written
     for turn in range(rounds):
         votes = (both.join(labels.withColumnRenamed("node", "b"), "b")
                  .groupBy(F.col("a").alias("node"), F.col("label").alias("vote")).agg(F.count("*").alias("n")))
-        best = votes.groupBy("node").agg(F.max(F.struct("n", -F.col("vote"))).alias("best"))
-        current = votes.withColumnRenamed("vote", "label").withColumnRenamed("n", "same")
-        wants = (labels.join(best, "node").join(current, ["node", "label"], "left")
-                 .select("node", "label",
-                         (hash01("node", F.lit(turn)) < 0.5).alias("active"),
-                         F.when(F.col("best.n") > F.coalesce("same", F.lit(0)),
-                                -F.col("best.col2")).cast("int").alias("want")))
-        wants = work.save(wants)
-        sizes = {r.label: r.n for r in wants.groupBy("label").agg(F.count("*").alias("n")).collect()}
-        asked = {r.want: r.n for r in
-                 wants.filter("want IS NOT NULL").groupBy("want").agg(F.count("*").alias("n")).collect()}
-        if not asked:
+        # after the join on the node its few votes, one for each shard at most, are grouped where they are
+        best = F.max(F.struct("n", -F.col("vote"))).alias("best")
+        same = F.max(F.when(F.col("vote") == F.col("label"), F.col("n")).otherwise(0)).alias("same")
+        asking = (hash01("node", F.lit(turn)) < 0.5).alias("active")
+        want = F.when(F.col("best.n") > F.col("same"), -F.col("best.col2")).cast("int").alias("want")
+        wants = work.save(votes.join(labels, "node").groupBy("node", "label").agg(best, same)
+                          .select("node", "label", asking, want))
+        sizes, asked = Counter(), Counter()
+        for r in wants.groupBy("label", "want").agg(F.count("*").alias("n")).collect():
+            sizes[r.label] += r.n
+            if r.want is not None:
+                asked[r.want] += r.n
+        room = {s: max(0, quota - sizes[s]) for s in range(shards)}
+        if not any(room[s] for s in asked):
             work.drop(wants)
             break
         share = F.create_map(*[F.lit(x) for s in range(shards) for x in
-                               (s, min(1.0, 2.0 * max(0, quota - sizes.get(s, 0)) / max(1, asked.get(s, 0))))])
-        moved = work.save(wants.select("node", F.when(
-            F.col("active") & (hash01("node", F.lit(turn), F.lit(seed)) < share[F.col("want")]), F.col("want"))
-            .otherwise(F.col("label")).alias("label")))
-        work.drop(labels, wants)
-        labels = moved
+                               (s, min(1.0, 2.0 * room[s] / max(1, asked[s])))])
+        moves = F.col("active") & (hash01("node", F.lit(turn), F.lit(seed)) < share[F.col("want")])
+        labels = wants.select("node", F.when(moves, F.col("want")).otherwise(F.col("label")).alias("label"))
+        work.drop(written)
+        written = wants
     return labels
 
 
