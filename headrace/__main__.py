@@ -19,6 +19,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     kind = parser.add_mutually_exclusive_group(required=True)
     kind.add_argument("--objects", help="table of ingestion objects")
     kind.add_argument("--reports", help="table of delimited reports")
+    parser.add_argument("--report-catalog", default="spark_catalog", help="catalog the reports' targets are in")
     parser.add_argument("--run-log", required=True, help="run-log table, created if missing")
     parser.add_argument("--ledger", help="table of consumed files, created if missing")
     parser.add_argument("--landing", help="base path of the raw landing; none means no landing")
@@ -36,7 +37,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def run(spark: SparkSession, args: argparse.Namespace) -> int:
     sources = normalise_sources(spark.table(args.sources))
     objects = (normalise_objects(spark.table(args.objects)) if args.objects
-               else adapt_reports(spark.table(args.reports)))
+               else adapt_reports(spark.table(args.reports), args.report_catalog))
     results = ingest_all(
         spark, sources, objects, args.run_log, source_type=args.source_type, source_id=args.source_id,
         source_name=args.source_name, pipeline_name=args.pipeline, max_parallel=args.max_parallel,

@@ -74,7 +74,7 @@ def _report(spark: SparkSession, path: str, schema: str, **options):
         "column_delimiter string, first_row_header boolean, bronze_sink_schema_name string, "
         "bronze_sink_table_name string, is_active boolean")
     settings = F.create_map(*[F.lit(v) for pair in ({"schema": schema} | options).items() for v in pair])
-    return adapt_reports(reports).withColumn("reader_options", settings).first()
+    return adapt_reports(reports, "spark_catalog").withColumn("reader_options", settings).first()
 
 
 @query("SELECT * FROM events")

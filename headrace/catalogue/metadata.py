@@ -130,7 +130,7 @@ _REPORT_SELECTIONS = {
     f"SELECT '{label}' AS selection, CAST(config_master_id AS BIGINT) AS ingestion_object_id FROM ({_R}) "
     f"WHERE is_active AND {condition}" for label, (_, condition) in _REPORT_SELECTIONS.items()))
 def discover_delimited(spark, sf_dir):
-    found = [discover_reports(reports(spark, sf_dir), **chosen)
+    found = [discover_reports(reports(spark, sf_dir), "lake", **chosen)
              .select(F.lit(label).alias("selection"), "ingestion_object_id")
              for label, (chosen, _) in _REPORT_SELECTIONS.items()]
     return reduce(DataFrame.unionByName, found)
@@ -139,7 +139,7 @@ def discover_delimited(spark, sf_dir):
 @query(f"""SELECT CAST(config_master_id AS BIGINT) AS ingestion_object_id, 'FILE' AS source_object_type,
 CASE WHEN load_type <> '' THEN upper(load_type) ELSE 'FULL' END AS load_type,
 CASE WHEN key_column <> '' THEN 'merge' ELSE 'append' END AS write_mode, 'csv' AS file_format,
-'migration_x_catalog' AS target_catalog, 'BRONZE' AS delta_layer,
+'lake' AS target_catalog, 'BRONZE' AS delta_layer,
 CASE WHEN pipeline_name <> '' THEN pipeline_name ELSE 's3_ingestion' END AS pipeline_name,
 CASE WHEN trim(external_path) LIKE 's3://%' OR trim(external_path) LIKE 's3a://%' THEN trim(external_path)
      WHEN source_bucket_name IS NOT NULL
@@ -147,7 +147,7 @@ CASE WHEN trim(external_path) LIKE 's3://%' OR trim(external_path) LIKE 's3a://%
 CASE WHEN raw_sink_bucket_name <> '' AND raw_sink_file_path <> '' THEN 's3://sink/landing/x' END AS landing_path,
 column_delimiter, first_row_header, coalesce(is_active, false) AS is_enabled FROM ({_R})""")
 def adapt_delimited_config(spark, sf_dir):
-    return adapt_reports(reports(spark, sf_dir)).select(
+    return adapt_reports(reports(spark, sf_dir), "lake").select(
         "ingestion_object_id", "source_object_type", "load_type", "write_mode", "file_format",
         "target_catalog", "delta_layer", "pipeline_name", "source_path", "landing_path", "column_delimiter",
         "first_row_header", "is_enabled")

@@ -2,12 +2,15 @@
 
 A Parquet table has no row-level MERGE and cannot be overwritten while it is read. So a
 target is a *view* over one partitioned data table. Every write adds immutable parts
-(``_part``) that carry its number, and replacing the view publishes them: it shows the
-parts up to that number. So readers see the old rows or the new ones, and a crashed write
-leaves parts above the number, which the next write drops.
-
-There is one writer per target at a time. Files a write replaces are dropped by the
-write after it, so a reader has that long to finish.
+(``_part``) named by its number and a mark of its writer, and replacing the view publishes
+them: it shows the parts below that number, and of that number those with the mark. So
+readers see the old rows or the new ones; parts of a crashed write are not shown, and are
+dropped once a write of their number is published.
+
+Of several writers on one target the first to publish wins; the others find the view
+changed, drop their own parts and raise ``ConcurrentWrite``. The catalog has no
+compare-and-set, so two that publish in the same instant are not told apart. Files a write
+replaces are dropped by the write after it, so a reader has that long to finish.
 """
 
 import json
@@ -28,8 +31,9 @@ class Layout:
 
     data: str
     partition_column: str | None = None
-    # number of the last published write
+    # number of the last published write, and the mark of its writer in its parts' names
     written: int = 0
+    writer: str = ""
     # (part, partition value) pairs and whole parts the last write replaced
     replaced: list[list[str | None]] = field(default_factory=list)
     retired: list[str] = field(default_factory=list)
@@ -51,7 +55,7 @@ def load_layout(spark: SparkSession, view: str) -> Layout | None:
     state = _properties(spark, view).get(_STATE)
     if state is None:
         raise ValueError(f"{view} exists and is not a target of this library")
-    return Layout(**json.loads(state))
+    return Layout(**json.loads(bytes.fromhex(state)))
 
 
 def watermark_hint(spark: SparkSession, view: str, column: str) -> str | None:
@@ -78,9 +82,16 @@ def part_prefix(number: int) -> str:
     return f"{number:010d}"
 
 
+def written_prefix(layout: Layout) -> str:
+    """How the names of the last write's parts begin; other writers' marks differ."""
+    return f"{part_prefix(layout.written)}-{layout.writer}"
+
+
 def _live_condition(layout: Layout, schema: T.StructType) -> str:
     """SQL that is true for live rows. It names only what the last write replaced."""
-    condition = f"{PART} < {sql_text(part_prefix(layout.written + 1))}"
+    own = written_prefix(layout)
+    condition = (f"({PART} < {sql_text(part_prefix(layout.written))} OR "
+                 f"({PART} >= {sql_text(own)} AND {PART} < {sql_text(own + '~')}))")
     if layout.retired:
         condition += f" AND {PART} NOT IN ({', '.join(map(sql_text, layout.retired))})"
     if layout.replaced:
@@ -95,11 +106,28 @@ def live_rows(spark: SparkSession, layout: Layout) -> DataFrame:
     return data.filter(_live_condition(layout, data.schema))
 
 
-def publish(spark: SparkSession, view: str, layout: Layout, columns: list[str]) -> None:
-    """Show the layout: one catalog change."""
+class ConcurrentWrite(RuntimeError):
+    """Another writer published first; nothing of this write is shown, and it can be run again."""
+
+
+def publish(spark: SparkSession, view: str, layout: Layout, columns: list[str], based_on: Layout | None) -> None:
+    """Show the layout: one catalog change.
+
+    `based_on` is the layout this write began with. If the target shows another one by now,
+    this write's parts are deleted and it fails.
+    """
+    now = load_layout(spark, view)
+    if _version(now) != _version(based_on):
+        if based_on is not None and layout.data == based_on.data:
+            own = [p for p in stored_parts(spark, layout.data) if p.startswith(written_prefix(layout))]
+            _drop_parts(spark, layout.data, [f"PARTITION ({PART} = {sql_text(p)})" for p in own])
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {quoted(layout.data)}")
+        raise ConcurrentWrite(f"another writer changed {view} during this write; run it again")
     spark.catalog.refreshTable(layout.data)
     condition = _live_condition(layout, spark.table(layout.data).schema)
-    state = json.dumps(asdict(layout), separators=(",", ":"))
+    # in hex: Spark hides property values that hold words like "token", which a table's name may
+    state = json.dumps(asdict(layout), separators=(",", ":")).encode().hex()
     spark.sql(
         f"CREATE OR REPLACE VIEW {quoted(view)} TBLPROPERTIES ({sql_text(_STATE)} = {sql_text(state)}) "
         f"AS SELECT {', '.join(column_name(c) for c in columns)} FROM {quoted(layout.data)} WHERE {condition}")
@@ -114,13 +142,22 @@ def drop_replaced(spark: SparkSession, layout: Layout) -> Layout:
         literal = "null" if value is None else sql_text(value)
         specs.append(f"PARTITION ({PART} = {sql_text(part)}, "
                      f"{column_name(layout.partition_column)} = {literal})")
-    crashed = [p for p in stored_parts(spark, layout.data) if p >= part_prefix(layout.written + 1)]
-    specs += [f"PARTITION ({PART} = {sql_text(p)})" for p in crashed]
-    if specs:
-        spark.sql(f"ALTER TABLE {quoted(layout.data)} DROP IF EXISTS {', '.join(specs)}")
+    # parts of a higher number may belong to a writer at work: they go once their number is published
+    lost = [p for p in stored_parts(spark, layout.data)
+            if p.startswith(part_prefix(layout.written)) and not p.startswith(written_prefix(layout))]
+    _drop_parts(spark, layout.data, specs + [f"PARTITION ({PART} = {sql_text(p)})" for p in lost])
     return replace(layout, replaced=[], retired=[], retired_table=None)
 
 
+def _version(layout: Layout | None) -> tuple | None:
+    return layout and (layout.data, layout.written, layout.writer)
+
+
+def _drop_parts(spark: SparkSession, data: str, specs: list[str], chunk: int = 500) -> None:
+    for at in range(0, len(specs), chunk):
+        spark.sql(f"ALTER TABLE {quoted(data)} DROP IF EXISTS {', '.join(specs[at:at + chunk])}")
+
+
 def stored_parts(spark: SparkSession, data: str) -> list[str]:
     """Names of the parts a data table holds, live or not."""
     rows = spark.sql(f"SHOW PARTITIONS {quoted(data)}").collect()

@@ -13,8 +13,8 @@ from pyspark.sql import types as T
 
 from headrace.functions.values import actual_name, as_text, column_name, quoted, sql_text
 from headrace.operators.incremental import with_metrics
-from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, part_prefix,
-                                       publish, replaced_condition)
+from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, publish,
+                                       replaced_condition, written_prefix)
 from headrace.operators.schema import align, evolution_mode, plan_alignment
 
 STAMP = "_ingested_at"
@@ -63,7 +63,8 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
         df = _rebalance(df, by)
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
-    name = F.lit(f"{part_prefix(layout.written + 1)}-{uuid.uuid4().hex[:6]}")
+    layout.written, layout.writer = layout.written + 1, uuid.uuid4().hex[:12]
+    name = F.lit(written_prefix(layout))
     if keys:
         name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / TASKS_PER_PART))
     df = df.drop("_fresh").withColumn(PART, name)
@@ -80,7 +81,7 @@ def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -
 
 
 def _create(df: DataFrame, view: str, partition_column: str | None, watermark_column, watermark_type,
-            applied: dict[str, int], retired_table: str | None = None,
+            applied: dict[str, int], based_on: Layout | None = None,
             keys: list[str] | None = None) -> WriteResult:
     """Start a new data table with the batch as its only part, and show it."""
     spark = df.sparkSession
@@ -88,12 +89,11 @@ def _create(df: DataFrame, view: str, partition_column: str | None, watermark_co
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(view.rsplit('.', 1)[0])}")
     if partition_column:
         partition_column = actual_name(df.schema, partition_column)
-    layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column, retired_table=retired_table,
-                    applied=applied)
+    layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column,
+                    retired_table=based_on.data if based_on else None, applied=applied)
     result = _write_part(df, layout, watermark_column, watermark_type, keys)
-    layout.written += 1
     layout.watermark = _hint(watermark_column, result, None)
-    publish(spark, view, layout, df.columns)
+    publish(spark, view, layout, df.columns, based_on)
     return result
 
 
@@ -130,12 +130,11 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
     if layout is None:
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
-    layout = drop_replaced(spark, layout)
+    begun, layout = layout, drop_replaced(spark, layout)
     result = _write_part(batch, layout, watermark_column, watermark_type)
-    layout.written += 1
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
-    publish(spark, view, layout, columns)
+    publish(spark, view, layout, columns, begun)
     return result
 
 
@@ -145,15 +144,15 @@ def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_
     spark, evo = df.sparkSession, evolution_mode(evolution)
     df = stamp(df)
     layout = load_layout(spark, view)
-    retired, applied = None, {}
+    applied = {}
     if layout is not None:
         if evo == "none":
             shown = spark.table(view).schema
             plan_alignment(df.schema, shown, evo)
             df = align(df, shown)
         layout = drop_replaced(spark, layout)
-        retired, applied = layout.data, layout.applied
-    return _create(df, view, partition_column, watermark_column, watermark_type, applied, retired)
+        applied = layout.applied
+    return _create(df, view, partition_column, watermark_column, watermark_type, applied, layout)
 
 
 def _no_null(keys: list[str]):
@@ -300,7 +299,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     if small:
         batch_keys = F.broadcast(batch_keys)
 
-    layout = drop_replaced(spark, layout)
+    begun, layout = layout, drop_replaced(spark, layout)
     live = live_rows(spark, layout)
     matched = _matched_keys(_within(live, keys, summary), layout, batch_keys, keys)
     touched = _touched(matched)
@@ -329,9 +328,8 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
         out = kept.unionByName(unkeyed.withColumn("_fresh", F.lit(False))).unionByName(out)
         out = out.select(*shown, "_fresh")
     result = _write_part(out, layout, watermark_column, watermark_type, keys, clustered)
-    layout.written += 1
     layout.watermark = _hint(watermark_column, result, layout.watermark)
-    publish(spark, view, layout, columns)
+    publish(spark, view, layout, columns, begun)
     return result
 
 

@@ -30,7 +30,6 @@ DEFAULT_OBJECT_TYPE = "TABLE"
 DEFAULT_LOAD = "FULL"
 DEFAULT_MODE = "append"
 DEFAULT_LAYER = "BRONZE"
-REPORT_CATALOG = "migration_x_catalog"
 REPORT_PIPELINE = "s3_ingestion"
 
 
@@ -107,7 +106,7 @@ def _strip(name: str, pattern: str) -> Column:
     return F.regexp_replace(F.col(name), pattern, "")
 
 
-def adapt_reports(reports: DataFrame, target_catalog: str = REPORT_CATALOG) -> DataFrame:
+def adapt_reports(reports: DataFrame, target_catalog: str) -> DataFrame:
     """Delimited reports as objects: CSV files, merged if they have a key, else appended."""
     path = F.trim(F.coalesce("external_path", F.lit("")))
     return normalise_objects(conform(reports, REPORT_SCHEMA).select(
@@ -160,10 +159,11 @@ def discover(objects: DataFrame, sources: DataFrame, source_type: str | None = N
                        "source_system_id", "left_semi").select(*objects.columns)
 
 
-def discover_reports(reports: DataFrame, source_type: str | None = None, source_id: int | None = None,
-                     source_name: str | None = None, pipeline_name: str | None = None) -> DataFrame:
+def discover_reports(reports: DataFrame, target_catalog: str, source_type: str | None = None,
+                     source_id: int | None = None, source_name: str | None = None,
+                     pipeline_name: str | None = None) -> DataFrame:
     """Active delimited reports; the name is the report table's own."""
-    chosen = adapt_reports(reports).filter("is_enabled")
+    chosen = adapt_reports(reports, target_catalog).filter("is_enabled")
     if source_type is not None and source_type.upper() != "S3":
         return chosen.filter(F.lit(False))
     if source_id is not None:

@@ -55,7 +55,8 @@ def test_key_list(spark):
 
 def test_a_report_without_bucket_fails_when_read(spark, sources):
     report = adapt_reports(spark.createDataFrame([(3, 0, "daily", "x.csv")],
-                           "config_master_id int, source_system_id int, report_name string, external_path string"))
+                           "config_master_id int, source_system_id int, report_name string, external_path string"),
+                           "spark_catalog")
     source = sources_frame(spark, {"source_id": 0, "source_name": "S", "source_type": "s3"}).first()
     with pytest.raises(ValueError, match="neither a full path nor a bucket"):
         extract(spark, source, report.first())

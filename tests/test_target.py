@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from headrace.operators import target
-from headrace.operators.layout import live_rows, load_layout, stored_parts
+from headrace.operators.layout import ConcurrentWrite, live_rows, load_layout, stored_parts
 from headrace.operators.schema import SchemaMismatch
 from headrace.session import new_schema
 
@@ -216,9 +216,52 @@ def test_a_crashed_write_stays_invisible(spark, name):
     assert rows(spark, name) == [(1, "a")]
     target.append(frame(spark, [(2, "b")]), name)
     assert rows(spark, name) == [(1, "a"), (2, "b")]
+    target.append(frame(spark, [(3, "c")]), name)
+    assert rows(spark, name) == [(1, "a"), (2, "b"), (3, "c")]
     assert orphan not in stored_parts(spark, layout.data)
 
 
+def test_a_target_may_be_named_like_a_secret(spark, name):
+    for i in (1, 2):
+        target.append(frame(spark, [(i, "a")]), f"{name}_token")
+    assert rows(spark, f"{name}_token") == [(1, "a"), (2, "a")]
+
+
+def _add(spark, name):
+    return target.append(frame(spark, [(7, "z")]), name)
+
+
+def _upsert(spark, name):
+    return target.merge(frame(spark, [(1, "m"), (7, "z")]), name, ["id"])
+
+
+def _replace(spark, name):
+    return target.overwrite(frame(spark, [(7, "z")]), name)
+
+
+@pytest.mark.parametrize("exists", [True, False])
+@pytest.mark.parametrize("slow, quick", [(_add, _add), (_add, _upsert), (_upsert, _add), (_add, _replace),
+                                         (_replace, _add)])
+def test_the_first_of_two_writers_wins(spark, name, monkeypatch, slow, quick, exists):
+    if exists:
+        target.append(frame(spark, [(1, "a"), (2, "b")]), name)
+    publish, won = target.publish, []
+
+    def late(*args):  # the other writer runs from start to end before this one publishes
+        monkeypatch.setattr(target, "publish", publish)
+        quick(spark, name)
+        won.extend(rows(spark, name))
+        publish(*args)
+
+    monkeypatch.setattr(target, "publish", late)
+    with pytest.raises(ConcurrentWrite):
+        slow(spark, name)
+    assert rows(spark, name) == won
+    slow(spark, name)
+    again = rows(spark, name)
+    assert (7, "z") in again and (slow is _replace or len(again) >= len(won))
+
+
 def test_columns_added_by_a_crashed_write(spark, name):
     target.append(frame(spark, [(1, "a")]), name)
     spark.sql(f"ALTER TABLE {load_layout(spark, name).data} ADD COLUMNS (extra int)")
