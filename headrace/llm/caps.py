@@ -210,7 +210,12 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     keys = ["filter", "one", "two"]
     dealt = dealt.select("filter", "entry", F.least("own", "peer").alias("one"), F.greatest("own", "peer").alias("two"),
                          (F.col("own") > F.col("peer")).cast("int").alias("side"))
-    full = (dealt.join(entries.select("entry", "copies", "vector"), "entry").join(lists, "entry")
+    # as narrow as the vectors came, and of the filters only those a pair could have shared before
+    narrow = vectors.schema[vector_column].dataType.simpleString() == "array<float>"
+    compact = F.col("vector").cast("array<float>") if narrow else F.col("vector")
+    before = F.filter("filters", lambda f: f <= F.col("filter")).alias("filters")
+    full = (dealt.join(entries.select("entry", "copies", compact.alias("vector")), "entry").join(lists, "entry")
+            .select(*keys, "side", "entry", "copies", "vector", before)
             .repartition(*keys).sortWithinPartitions(*keys))
     found = work.save(full.select(*keys, "side", "entry", "copies", "vector", "filters").mapInArrow(
         _verify(threshold, dims), "entry long, links long, root long"))
