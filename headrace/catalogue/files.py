@@ -165,27 +165,24 @@ def fixed_width_extract(spark, sf_dir):
                                   "o_totalprice:24:double; o_orderdate:19:timestamp_ntz"}))
 
 
-@query("""SELECT run_id, ingest_date, count(*) AS rows, sum(n_chars) AS chars, sum(length(text)) AS text_length
-FROM documents, (VALUES ('r1', DATE '2024-01-01'), ('r2', DATE '2024-01-02')) runs(run_id, ingest_date)
-GROUP BY run_id, ingest_date""")
+@query("""SELECT documents.*, run_id, ingest_date
+FROM documents, (VALUES ('r1', DATE '2024-01-01'), ('r2', DATE '2024-01-02')) runs(run_id, ingest_date)""")
 def landing_roundtrip(spark, sf_dir):
     """Two runs land side by side; landing the first again replaces its files only."""
     base, documents = new_dir(spark), table(spark, sf_dir, "documents")
     for run, day in (("r1", date(2024, 1, 1)), ("r2", date(2024, 1, 2)), ("r1", date(2024, 1, 1))):
         land(documents, base, "Web Crawl", "raw", "documents*", day, run)
-    landed = spark.read.parquet(object_path(base, "Web Crawl", "raw", "documents*"))
-    return landed.groupBy("run_id", "ingest_date").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("n_chars").alias("chars"),
-        F.sum(F.length("text")).cast("long").alias("text_length"))
+    return spark.read.parquet(object_path(base, "Web Crawl", "raw", "documents*"))
 
 
-@query("SELECT vec_id, label, len(embedding) AS dims, embedding[1] AS first_value FROM embeddings")
+@query("""SELECT vec_id, label, unnest(range(len(embedding))) AS place, CAST(unnest(embedding) AS DOUBLE) AS value
+FROM embeddings""")
 def landing_nested(spark, sf_dir):
     """Nested columns pass through landing unchanged."""
     path = land(table(spark, sf_dir, "embeddings"), new_dir(spark), "vectors", None, "embeddings",
                 date(2024, 1, 1), "r1")
-    return spark.read.parquet(path).select("vec_id", "label", F.size("embedding").cast("long").alias("dims"),
-                                           F.col("embedding")[0].alias("first_value"))
+    values = spark.read.parquet(path).select("vec_id", "label", F.posexplode("embedding").alias("place", "value"))
+    return values.withColumns({"place": F.col("place").cast("long"), "value": F.col("value").cast("double")})
 
 
 @query(_DAILY)

@@ -18,6 +18,9 @@ SOURCES = """SELECT s_suppkey AS source_id, s_name AS source_name,
 CASE s_nationkey % 6 WHEN 0 THEN 'Postgres' WHEN 1 THEN 'mySQL' WHEN 2 THEN 'ORACLE' WHEN 3 THEN 'sftp'
      WHEN 4 THEN 'MongoDb' ELSE 's3' END AS source_type,
 CASE WHEN s_nationkey % 6 < 3 THEN NULL WHEN s_nationkey % 6 = 3 THEN 'Sftp' ELSE 'mongodb' END AS ingest_method,
+CASE WHEN s_nationkey % 2 = 0 THEN '{{"tier":"' || CAST(s_suppkey AS VARCHAR(20)) || '"}}' END AS extra_params,
+'db' || CAST(s_nationkey AS VARCHAR(20)) AS database_name, '/drop/' || s_name AS sftp_root_path,
+CASE WHEN s_nationkey % 3 = 0 THEN '*.csv' END AS default_pattern, 'c' || s_name AS nosql_collection,
 s_nationkey % 7 <> 0 AS is_active FROM {supplier}"""
 
 OBJECTS = """SELECT p_partkey AS ingestion_object_id, p_size AS source_system_id, p_name AS source_object_name,
@@ -67,9 +70,13 @@ _S, _O, _R = SOURCES.format(supplier="supplier"), OBJECTS.format(part="part"), R
 
 
 @query(f"""SELECT source_id, source_name, upper(source_type) AS source_type,
-upper(coalesce(ingest_method, 'JDBC')) AS ingest_method, is_active FROM ({_S})""", name="normalise_sources")
+upper(coalesce(ingest_method, 'JDBC')) AS ingest_method, is_active,
+'database=' || database_name || CASE WHEN extra_params IS NULL THEN '' ELSE ',tier=' || source_id END AS options,
+sftp_root_path AS root_path, default_pattern, nosql_collection AS default_collection FROM ({_S})""",
+       name="normalise_sources")
 def source_rows(spark, sf_dir):
-    return sources(spark, sf_dir).select("source_id", "source_name", "source_type", "ingest_method", "is_active")
+    options = F.transform(F.map_entries("options"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return sources(spark, sf_dir).withColumn("options", F.array_join(F.array_sort(options), ","))
 
 
 @query(f"""SELECT ingestion_object_id, upper(coalesce(source_object_type, 'TABLE')) AS source_object_type,

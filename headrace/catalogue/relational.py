@@ -153,6 +153,16 @@ def jdbc_incremental_extract(spark, sf_dir):
                        incremental_end_value="2000-01-01 00:00:00", data_read_size=50000)
 
 
+@query("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-25' AND event_type <> 'error'")
+def jdbc_incremental_paged_extract(spark, sf_dir):
+    """Four pages between bounds above the watermark, so that no page is empty by design."""
+    options = _to_derby(table(spark, sf_dir, "events"), "events",
+                        "event_type VARCHAR(32), props VARCHAR(256)")
+    return _read_derby(spark, options | {"pages": "4"}, source_object_name="events", load_type="incremental",
+                       source_filter="\"event_type\" <> 'error'", incremental_column="ts",
+                       incremental_end_value="2024-01-25 00:00:00", page_column='"event_id"')
+
+
 @query("SELECT * FROM events")
 def paged_extract(spark, sf_dir):
     """Four range pages over the key, read in parallel between bounds the database finds."""

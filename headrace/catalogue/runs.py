@@ -69,8 +69,7 @@ def run_log_of_runs(spark, sf_dir):
         "table_id", "source_table", "status", "rows_copied")
 
 
-@query("""SELECT event_type, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events
-WHERE event_type <> 'error' GROUP BY event_type""")
+@query("SELECT * FROM events WHERE event_type <> 'error'")
 def ingest_file_drops(spark, sf_dir):
     """Two runs over a drop folder; files that came in between are all the second one reads."""
     schema, root = schema_with(spark, sf_dir, "events"), new_dir(spark)
@@ -87,12 +86,11 @@ def ingest_file_drops(spark, sf_dir):
         if prefix != "other":
             raise_for_failures(ingest_all(spark, sources, objects, f"{schema}.runs", ledger=f"{schema}.ledger",
                                           landing_base=f"{root}/landing"))
-    return shown(spark, f"{schema}.bronze").groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    return shown(spark, f"{schema}.bronze")
 
 
-@query("""SELECT event_id, ts, event_type, CASE WHEN event_type IN ('view', 'error') THEN value + 1 ELSE value END
-AS value FROM events WHERE event_type <> 'click'""")
+@query("""SELECT * REPLACE (CASE WHEN event_type IN ('view', 'error') THEN value + 1 ELSE value END AS value)
+FROM events""")
 def ingest_reports(spark, sf_dir):
     """Delimited reports from their own metadata table: the keyed one is merged on its second run."""
     schema, root = schema_with(spark, sf_dir, "events"), new_dir(spark)
@@ -104,15 +102,15 @@ def ingest_reports(spark, sf_dir):
         "config_master_id int, source_system_id int, report_name string, key_column string, "
         "external_path string, column_delimiter string, bronze_sink_table_name string, is_active boolean")
     objects = adapt_reports(reports.withColumn("bronze_sink_schema_name", F.lit(schema)), "spark_catalog").withColumn(
-        "reader_options", F.create_map(F.lit("schema"), F.lit("event_id long, ts timestamp_ntz, event_type string, "
-                                                              "value double"),
-                                       F.lit("timestampNTZFormat"), F.lit(micros)))
+        "reader_options", F.create_map(F.lit("schema"), F.lit("event_id long, ts timestamp_ntz, user_id long, "
+                                                              "event_type string, value double, props string"),
+                                       F.lit("timestampNTZFormat"), F.lit(micros), F.lit("escape"), F.lit('"')))
     sources = sources_frame(spark, {"source_id": 3, "source_name": "Reports", "source_type": "s3"})
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    first = events.filter("event_type <> 'click'")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     second = events.filter("event_type IN ('view', 'error')").withColumn("value", F.col("value") + 1)
-    for batch in (first, second):
-        batch.write.options(header=True, sep="|", timestampNTZFormat=micros).mode("overwrite").csv(f"{root}/daily")
+    for batch in (events, second):
+        batch.write.options(header=True, sep="|", escape='"', timestampNTZFormat=micros).mode("overwrite").csv(
+            f"{root}/daily")
         raise_for_failures(ingest_all(spark, sources, objects, f"{schema}.runs", source_type="S3"))
     return shown(spark, f"{schema}.bronze")
 

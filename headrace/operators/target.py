@@ -22,9 +22,12 @@ STAMP = "_ingested_at"
 # Tasks whose merged rows share a part: about 8 GB at Spark's default split size.
 TASKS_PER_PART = 64
 
-# Most bytes of batch keys that are sent to every executor.
+# Most bytes of batch keys that are sent to every executor, if the session's own threshold is not lower.
 BROADCAST_BYTES = 64 << 20
 
+# Key types whose size in memory ``_key_summary`` knows: fixed ones, and those with a length in bytes.
+_SIZED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BinaryType)
+
 # Key types whose Parquet statistics order like Spark's comparison.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
@@ -211,10 +214,10 @@ def _key_summary(df: DataFrame, keys: list[str]) -> dict:
     return count_per_key(df, keys).agg(*ends).first().asDict()
 
 
-def _broadcastable(spark: SparkSession, summary: dict) -> bool:
-    """Whether the batch's keys are measured to be few, and broadcasts are not switched off."""
-    allowed = not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
-    return allowed and (summary["bytes"] or 0) <= BROADCAST_BYTES
+def _broadcastable(spark: SparkSession, summary: dict, types: list[T.DataType]) -> bool:
+    """Whether the batch's keys are measured, and within the session's broadcast threshold."""
+    allowed = min(BROADCAST_BYTES, spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return all(isinstance(t, _SIZED) for t in types) and (summary["bytes"] or 0) <= allowed
 
 
 def _within(rows: DataFrame, keys: list[str], summary: dict) -> DataFrame:
@@ -295,7 +298,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     batch, columns = _evolve(df_rows, view, layout, "merge" if evo == "overwrite" else evo)
     keys = [actual_name(batch.schema, k) for k in keys]
     batch_keys = align(key_rows, T.StructType([batch.schema[k] for k in keys]))
-    small = _broadcastable(spark, summary)
+    small = _broadcastable(spark, summary, [df.schema[k].dataType for k in keys if k in df.columns])
     if small:
         batch_keys = F.broadcast(batch_keys)
 

@@ -17,9 +17,10 @@ from headrace.operators.eventlog import append_event, create_log
 from headrace.operators.incremental import apply_incremental, resolve_watermark, with_metrics
 from headrace.operators.landing import land, landing_format
 from headrace.operators.layout import watermark_hint
-from headrace.plans.metadata import discover, target_name
+from headrace.plans.metadata import discover, object_by_id, source_by_id, target_name
 from headrace.sources.file_drop import LEDGER_SCHEMA, consumes, read_selected, select_files
 from headrace.sources.registry import read_source
+from headrace.sources.relational import paged_above
 
 log = logging.getLogger(__name__)
 
@@ -56,12 +57,14 @@ def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     column = incremental_column(source, obj)
     if column and obj.watermark_lag_sec and obj.write_mode != "merge":
         raise ValueError("watermark_lag_sec reads rows again, so it needs write_mode 'merge'")
-    rows = read_source(spark, source, obj)
     if not column:
-        return rows
+        return read_source(spark, source, obj)
     name = target_name(obj)
     watermark = resolve_watermark(spark, name, column, obj.incremental_column_type,
                                   obj.incremental_end_value, watermark_hint(spark, name, column))
+    if watermark is not None:
+        obj = paged_above(spark, source, obj, column, watermark, obj.watermark_lag_sec)
+    rows = read_source(spark, source, obj)
     return apply_incremental(rows, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
 
 
@@ -163,7 +166,15 @@ def _result(obj: Row, event: dict | None, status: str, rows_read: int = 0, rows_
             "status": status, "rows_read": rows_read, "rows_copied": rows_copied, "error": error}
 
 
-def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_log: str,
+def ingest_by_id(spark: SparkSession, sources: DataFrame, objects: DataFrame, object_id: int, run_log: str,
+                 **options) -> DataFrame:
+    """Run one object, enabled or not, of an active source; ``options`` are those of ``ingest_object``."""
+    obj = object_by_id(objects, object_id)
+    result = ingest_object(spark, source_by_id(sources, obj.source_system_id), obj, run_log, **options)
+    return small_frame(spark, [result], RESULT_SCHEMA)
+
+
+def ingest_all(spark:SparkSession, sources: DataFrame, objects: DataFrame, run_log: str,
                source_type: str | None = None, source_id: int | None = None,
                source_name: str | None = None, pipeline_name: str | None = None,
                max_parallel: int = 4, secrets: Callable[[Row], dict[str, str]] | None = None,

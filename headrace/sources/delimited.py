@@ -5,8 +5,12 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 def read_csv(spark: SparkSession, paths, delimiter: str | None = None, header: bool | None = None,
              schema: str | None = None, **options) -> DataFrame:
-    """Delimited text; a header and commas by default. Inferring a schema costs one more pass."""
-    reader = spark.read.options(header=True if header is None else header, sep=delimiter or ",", **options)
+    """Delimited text; a header and commas by default. Inferring a schema costs one more pass.
+
+    A value that does not fit the schema fails the read, unless the option ``mode`` says otherwise.
+    """
+    reader = (spark.read.option("mode", "FAILFAST")
+              .options(header=True if header is None else header, sep=delimiter or ",", **options))
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(paths)
 

@@ -1,15 +1,21 @@
 """File drops: the files of a folder that match a glob, each consumed once."""
 
+import re
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from headrace.sources.delimited import read_csv
 
+# Format names, glob characters of a name, and the filter that keeps files unconsumed.
 FORMATS = ("csv", "json", "parquet", "fixed_width")
 _GLOB = set("*?[]")
 KEEP = "no_archive"
 
+# What Spark's own writers leave beside their files.
+_MARKERS = re.compile(r"_SUCCESS|_temporary|_(started|committed)_.*|\..*\.crc")
+
 LEDGER_SCHEMA = "file_path string, modified timestamp, run_id string, object_key string"
 
 
@@ -31,6 +37,22 @@ def list_files(spark: SparkSession, directory: str, pattern: str) -> DataFrame:
             .select(F.col("path").alias("file_path"), F.col("modificationTime").alias("modified")))
 
 
+def hidden_files(spark: SparkSession, directory: str, pattern: str) -> list[str]:
+    """Files the glob asks for that Spark's readers would skip: their names begin with ``_`` or a dot."""
+    if pattern[0] not in "_.*?[{":
+        return []
+    fs = spark._jvm.org.apache.hadoop.fs
+    place, wanted = fs.Path(f"{directory}/[._]*"), fs.GlobFilter(pattern)
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return sorted(f.getPath().toString() for f in found if f.isFile() and wanted.accept(f.getPath())
+                  and not _MARKERS.fullmatch(f.getPath().getName()))
+
+
+def literal_path(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def pending_files(files: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files the ledger does not hold. A file delivered again under its old name is new."""
     return files.join(ledger.select("file_path", "modified"), ["file_path", "modified"], "left_anti")
@@ -59,7 +81,7 @@ def read_files(spark: SparkSession, paths, file_format: str | None, schema: str
         if layout:
             return cut_lines(spark.read.text(paths), layout)
         return read_csv(spark, paths, header=False, schema=schema, **options)
-    reader = spark.read.options(**options)
+    reader = spark.read.option("mode", "FAILFAST").options(**options)
     if schema:
         reader = reader.schema(schema)
     return reader.json(paths) if fmt == "json" else reader.parquet(*([paths] if isinstance(paths, str) else paths))
@@ -69,6 +91,8 @@ def select_files(spark: SparkSession, source: Row, obj: Row, ledger: DataFrame |
     """The files a run reads. Like Spark's own file index, the list is driver metadata."""
     directory = drop_directory(source.root_path, obj.source_schema)
     pattern = drop_pattern(obj.source_object_name, source.default_pattern)
+    if hidden := hidden_files(spark, directory, pattern):
+        raise ValueError(f"{pattern!r} matches files Spark does not read, by their names: {hidden[:20]}")
     files = list_files(spark, directory, pattern)
     if ledger is not None and consumes(obj):
         files = pending_files(files, ledger)
@@ -86,7 +110,7 @@ def consumes(obj: Row) -> bool:
 def read_selected(spark: SparkSession, source: Row, obj: Row, files: list[Row]) -> DataFrame:
     """The chosen files in the object's format, else the source's, else CSV."""
     file_format = obj.file_format or (source.options or {}).get("file_format")
-    return read_files(spark, [f.file_path for f in files], file_format, **(obj.reader_options or {}))
+    return read_files(spark, [literal_path(f.file_path) for f in files], file_format, **(obj.reader_options or {}))
 
 
 def read_file_drop(spark: SparkSession, source: Row, obj: Row) -> DataFrame:

@@ -6,8 +6,12 @@
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from headrace.functions.values import quoted, statement
+from headrace.functions.values import actual_name, quoted, statement
+
+# How much earlier times are compared in the database, so that no time zone can matter.
+_ZONE_SLACK = 2 * 86400
 
 
 def _read_jdbc(spark: SparkSession, options: dict[str, str], table: str) -> DataFrame:
@@ -58,6 +62,36 @@ def read_catalog(spark: SparkSession, catalog: str | None = None, schema: str |
     return rows.filter(F.expr(source_filter)) if source_filter else rows
 
 
+def paged_above(spark: SparkSession, source: Row, obj: Row, column: str, watermark: str,
+                lag_seconds: int | None = None) -> Row:
+    """The object with the watermark in its filter, so that its pages are cut between bounds above it.
+
+    Only for JDBC objects with a ``page_column``, and for columns of numbers, dates and times;
+    others come back as they are. Times are compared some days early: the exact predicate is the
+    one Spark adds to what is read.
+    """
+    if not obj.page_column or "url" not in (source.options or {}):
+        return obj
+    schema = read_relational(spark, source, Row(**(obj.asDict() | {"page_column": None}))).schema
+    column = actual_name(schema, column)
+    dtype, lag = schema[column].dataType, lag_seconds or 0
+    bound = F.lit(watermark).cast(dtype)
+    if isinstance(dtype, T.NumericType):
+        text, literal = (bound - F.lit(lag)).cast("string"), "{}"
+    elif isinstance(dtype, T.DateType):
+        text, literal = F.date_sub(bound, -(-lag // 86400)).cast("string"), "{{d '{}'}}"
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        early = bound - F.make_interval(secs=F.lit(lag + _ZONE_SLACK))
+        text, literal = F.date_format(early, "yyyy-MM-dd HH:mm:ss.SSSSSS"), "{{ts '{}'}}"
+    else:
+        return obj
+    value = spark.range(1).select(text).first()[0]
+    name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(source.options["url"]).quoteIdentifier(column)
+    above = f"{name} > {literal.format(value)}"
+    filters = f"({obj.source_filter}) AND {above}" if obj.source_filter else above
+    return Row(**(obj.asDict() | {"source_filter": filters}))
+
+
 def read_relational(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     options = dict(source.options or {})
     if "catalog" in options:

@@ -10,7 +10,7 @@ from headrace.plans.ingest import extract, incremental_column
 from headrace.session import new_dir
 from headrace.sources.documents import collection_of, read_json_documents
 from headrace.sources.file_drop import (drop_directory, drop_pattern, list_files, pending_files, read_files,
-                                        select_files)
+                                        read_file_drop, select_files)
 from headrace.sources.registry import read_source, register_reader
 from headrace.sources.relational import read_jdbc
 
@@ -66,6 +66,16 @@ def test_jdbc_query_filter_and_pages(spark, derby):
     assert empty.count() == 0
 
 
+def test_pages_are_cut_above_the_watermark(spark, derby):
+    source = one_source(spark, source_id=1, source_name="s", source_type="ORACLE", options=derby | {"pages": "4"})
+    last = spark.read.parquet("/root/testdata/sf0.001/events.parquet").agg(F.max("event_id")).first()[0]
+    df = extract(spark, source, one_object(
+        spark, source_object_name="events", load_type="INCREMENTAL", incremental_column="event_id",
+        incremental_end_value=str(last - 40), page_column='"event_id"', target_schema="none", target_table="t"))
+    rows = df.groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) == 4 and sum(r["count"] for r in rows) == 40 and max(r["count"] for r in rows) <= 12
+
+
 def test_document_wrappers(spark):
     path = new_dir(spark)
     spark.createDataFrame([
@@ -162,3 +172,32 @@ def test_which_objects_are_incremental(spark):
     assert column("mongo", load_type="incremental", custom_query="SELECT 1") is None
     assert column("sftp", load_type="incremental") is None
     assert column("s3", load_type="incremental") is None
+
+
+def _folder_with(tmp_path, **files):
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    return str(tmp_path)
+
+
+def test_hidden_files_that_match_are_an_error(spark, tmp_path):
+    root = _folder_with(tmp_path, **{"a.csv": "k\n1\n", "_b.csv": "k\n2\n", "_SUCCESS": ""})
+    source = one_source(spark, source_id=1, source_name="s", source_type="SFTP", root_path=root)
+    with pytest.raises(ValueError, match="_b.csv"):
+        read_file_drop(spark, source, one_object(spark, source_object_name="*.csv"))
+    assert read_file_drop(spark, source, one_object(spark, source_object_name="a*.csv")).count() == 1
+
+
+def test_chosen_paths_are_taken_literally(spark, tmp_path):
+    root = _folder_with(tmp_path, **{"c[1].csv": "k\n1\n", "c1.csv": "k\n2\n", "d{x}?.csv": "k\n3\n"})
+    source = one_source(spark, source_id=1, source_name="s", source_type="SFTP", root_path=root)
+    rows = read_file_drop(spark, source, one_object(spark, source_object_name="*.csv")).collect()
+    assert sorted(r.k for r in rows) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("fmt,bad", [("csv", "n\n1\nzz\n"), ("json", '{"n": 1}\n{"n": "zz"}\n')])
+def test_malformed_values_fail_unless_asked_for(spark, tmp_path, fmt, bad):
+    root = _folder_with(tmp_path, **{f"a.{fmt}": bad})
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_files(spark, root, fmt, schema="n int").collect()
+    assert [r.n for r in read_files(spark, root, fmt, schema="n int", mode="PERMISSIVE").collect()] == [1, None]

@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headrace.operators import target
 from headrace.operators.layout import ConcurrentWrite, live_rows, load_layout, stored_parts
@@ -317,3 +318,14 @@ def test_merge_follows_the_rules(spark, schema, old, new, by, broadcast):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
     assert rows(spark, name) == sorted(_merged(old, new), key=repr)
+
+
+def test_what_may_be_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, want in (("0", False), ("-1", False), ("1k", True)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert target._broadcastable(spark, {"bytes": 480}, [T.LongType()]) == want
+        assert not target._broadcastable(spark, {"bytes": 480}, [T.LongType(), T.ArrayType(T.StringType())])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
