@@ -1,331 +1,337 @@
-"""Scoring texts with a hierarchical Pitman-Yor language model."""
+"""Scoring texts with a hierarchical Pitman-Yor language model: a restaurant per previous word."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm.tables import Workspace, ship_library, sorted_groups
-from headrace.llm.words import words_of
+from headrace.llm.tables import Workspace, ship_library
+from headrace.llm.words import mix, words_of
 
-# A context is the shape of the token before: its length class and last character class, or none.
-CONTEXTS = 16
-ROOT = -1
 STRENGTH = 1.0
 BURN_IN, SAMPLES = 2, 3
-# Customers of each dish that are seated anew in a sweep, in each restaurant.
-MOVES = 8
-# Words whose probabilities go to every task; 1 + SAMPLES + CONTEXTS numbers each.
-FREQUENT = 1 << 16
-_END = np.uint64(0x0E4D0E4D0E4D0E4D)
+# Table counts of dishes with up to this many customers are weighed by a recursion, others by an integral.
+SMALL = 1024
+# Points of that integral.
+POINTS = 48
+# Pairs whose probabilities go to every task when texts are scored.
+FREQUENT = 1 << 18
+# Tables of up to this many words are offered as a broadcast; more are joined by a salted shuffle.
+BROADCAST_WORDS = 1 << 20
+SALTS = 16
+_END = np.int64(0x0E4D0E4D0E4D0E4D)
 
 
 def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers (59 bits) and contexts of all tokens, ends included, and the texts' bounds."""
+    """Word numbers (63 bits) and the words before of all tokens, ends included, and the texts' bounds.
+
+    The first word of a text follows an end.
+    """
     words = words_of(texts)
     counts = np.diff(words.first)
     bounds = np.concatenate([[0], np.cumsum(counts + 1)])
     place = np.arange(len(words.hashes)) + np.repeat(np.arange(len(counts)), counts)
-    numbers = np.full(bounds[-1], _END >> np.uint64(5), np.int64)
-    numbers[place] = (words.hashes >> np.uint64(5)).astype(np.int64)
-    shape = np.searchsorted([3, 5, 7, 10], words.lengths, side="left")
-    stop = np.isin(words.ends_with, np.frombuffer(b".!?", np.uint8))
-    comma = np.isin(words.ends_with, np.frombuffer(b",;:", np.uint8))
-    contexts = np.zeros(bounds[-1] + 1, np.int8)
-    contexts[place + 1] = 1 + shape * 3 + np.where(stop, 2, np.where(comma, 1, 0))
-    contexts[bounds] = 0
-    return numbers, contexts[:-1], bounds
+    numbers = np.full(bounds[-1], _END, np.int64)
+    numbers[place] = (words.hashes >> np.uint64(1)).astype(np.int64)
+    contexts = np.concatenate([[_END], numbers[:-1]]).astype(np.int64)[:len(numbers)]
+    return numbers, contexts, bounds
+
+
+def _pair_hash(contexts: np.ndarray, numbers: np.ndarray, seed: int = 0) -> np.ndarray:
+    return mix(mix(contexts.astype(np.uint64) + np.uint64(seed)) + numbers.astype(np.uint64))
+
+
+def _distinct(contexts: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each distinct (row, context, word), by row, and how often it occurs."""
+    order = np.lexsort((numbers, contexts, rows))
+    c, w, r = contexts[order], numbers[order], rows[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1]) | (r[1:] != r[:-1])
+    at = np.flatnonzero(new)
+    return order[at], np.diff(np.append(at, len(order)))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (word, context), added up over a few million tokens before they leave the task."""
-    keys, tokens = [], 0
+    """Counts of (context, word), added up over a few million tokens before they leave the task."""
+    held, tokens = [], 0
 
     def flush():
-        values, n = np.unique(np.concatenate(keys), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(values >> 4), pa.array((values & 15).astype(np.int32)), pa.array(n)],
-                                          names=["word", "context", "n"])
+        numbers, contexts = (np.concatenate(x) for x in zip(*held))
+        at, n = _distinct(contexts, numbers, np.zeros(len(numbers), np.int8))
+        return pa.RecordBatch.from_arrays([pa.array(contexts[at]), pa.array(numbers[at]), pa.array(n)],
+                                          names=["context", "word", "n"])
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
-            numbers, contexts, _ = tokens_of(batch.column(0).slice(at, 1000))
-            keys.append(numbers << 4 | contexts)
-            tokens += len(numbers)
+            held.append(tokens_of(batch.column(0).slice(at, 1000))[:2])
+            tokens += len(held[-1][0])
             if tokens > 4_000_000:
                 yield flush()
-                keys, tokens = [], 0
-    if keys:
+                held, tokens = [], 0
+    if held:
         yield flush()
 
 
-@dataclass(frozen=True)
-class Restaurants:
-    """What all words share: customers and tables per context and at the root, and discounts."""
+# --- table counts -------------------------------------------------------------------------------
 
-    customers: np.ndarray
-    tables: np.ndarray
-    root_customers: float
-    root_tables: float
-    discount: float
-    root_discount: float
-    words: int
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """log of the gamma function for x > 0, by Stirling's series from 10 on."""
+    x = np.asarray(x, float)
+    shift = np.zeros_like(x)
+    for _ in range(10):
+        low = x < 10
+        shift = shift - np.where(low, np.log(np.where(low, x, 1.0)), 0.0)
+        x = np.where(low, x + 1, x)
+    y = 1 / (x * x)
+    return shift + (x - 0.5) * np.log(x) - x + 0.9189385332046727 + (1 / 12 - y * (1 / 360 - y * (1 / 1260 - y / 1680))) / x
 
-    def base(self) -> float:
-        return 1.0 / (self.words + 1)
 
-    def root(self, n: np.ndarray, t: np.ndarray) -> np.ndarray:
-        """Root probabilities of words with n customers at t tables there."""
-        back = (STRENGTH + self.root_discount * self.root_tables) * self.base()
-        return (np.maximum(0, n - self.root_discount * t) + back) / (STRENGTH + self.root_customers)
+@lru_cache(8)
+def _log_ways(discount: float) -> np.ndarray:
+    """Logs of the weights with which n <= SMALL customers sit at t tables, [n, t]: generalised Stirling numbers."""
+    logs = np.full((SMALL + 1, SMALL + 1), -np.inf)
+    logs[1, 1] = 0.0
+    t = np.arange(SMALL + 1)
+    for n in range(1, SMALL):
+        with np.errstate(invalid="ignore", divide="ignore"):
+            stay = logs[n] + np.log(np.maximum(n - t * discount, 1e-300))
+        logs[n + 1, 1:] = np.logaddexp(logs[n, :-1], stay[1:])
+    return logs
 
-    def backoff(self) -> np.ndarray:
-        """The share each context leaves to the root."""
-        return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
 
+def log_sum_of_sizes(n: np.ndarray, t: np.ndarray, discount: float) -> np.ndarray:
+    """log P(t tables hold n customers in all), table sizes being independent Sibuya(discount) numbers.
 
-def _seat(sizes: np.ndarray, owner: np.ndarray, n: np.ndarray, fresh: np.ndarray, discount: float,
-          rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """Gibbs moves for many dishes at once: a customer of each stands up and sits down again.
-
-    Tables (sizes, owner) are sorted by dish; `fresh` is each dish's weight of a new table. Joining
-    a table weighs its size less the discount. Every dish makes min(n, MOVES) moves.
+    Times n! / (t! discount ** t) it is the generalised Stirling number. It is the n-th coefficient of
+    (1 - (1 - z) ** discount) ** t, an integral over a parabola through the saddle point.
+    """
+    n, t = np.asarray(n, float), np.asarray(t, float)
+    def mean(log_x):  # of a size, tilted by z = 1 - x
+        return -np.expm1(log_x) * discount * np.exp((discount - 1) * log_x) / -np.expm1(discount * log_x)
+
+    low, high = np.full(n.shape, -60.0), np.full(n.shape, -1e-9)
+    for _ in range(30):  # log x of the saddle
+        mid = (low + high) / 2
+        more = mean(mid) > n / t
+        low, high = np.where(more, mid, low), np.where(more, high, mid)
+    sigma = np.maximum(-np.log1p(-np.exp((low + high) / 2)), 3.0 / n)
+    # far from the branch point z = 1 a circle through the saddle does, as far as its peak is wide
+    circle = sigma > 0.4
+    far = np.maximum(sigma, 0.4)
+    spread = t * (mean(np.log(-np.expm1(0.001 - far))) - mean(np.log(-np.expm1(-0.001 - far)))) / 0.002
+    arc = np.minimum(np.pi, 9 / np.sqrt(np.maximum(spread, 1.0)))
+    reach = np.sqrt(40 / (n * sigma * min(1.0, 2 * (1 - discount))))
+    steps = (np.arange(POINTS) + 0.5) / POINTS
+    turn = np.where(circle[..., None], 1, 1 + 1j * reach[..., None] * steps)
+    s = sigma[..., None] * turn ** 2 + np.where(circle[..., None], 1j * arc[..., None] * steps, 0)
+    held = np.log1p(-np.exp(discount * np.log(-np.expm1(-s))))
+    logs = n[..., None] * s + t[..., None] * held + np.log(turn)
+    top = logs.real.max(axis=-1)
+    total = np.exp(logs - top[..., None]).real.sum(axis=-1)
+    out = top + np.log(np.maximum(total, 1e-300) * np.where(circle, arc, 2 * sigma * reach) / np.pi / POINTS)
+    return np.where(t == n, n * np.log(discount), out)
+
+
+def draw_tables(n: np.ndarray, strength: np.ndarray, base: np.ndarray, discount: float,
+                uniform: np.ndarray) -> np.ndarray:
+    """For each dish the number of tables of its n customers, all of them seated anew.
+
+    `strength` is the restaurant's, plus the discount for each table of another dish there; `base`
+    is the probability of the dish at a new table. A count t weighs the rising product of
+    `strength` by `discount` over t, times base ** t, times the generalised Stirling number of
+    (n, t): the Gibbs conditional with the sizes summed out. `uniform` inverts its distribution.
     """
-    dishes = len(n)
-    for move in range(int(min(MOVES, n.max(initial=0)))):
-        moving = n > max(move, 1)  # a single customer always has one table
-        if not moving.any():
-            break
-        first = np.searchsorted(owner, np.arange(dishes + 1))
-        sums = np.concatenate([[0.0], np.cumsum(sizes, dtype=float)])
-        start = sums[first[:-1]]
-        pick = np.searchsorted(sums, start + rng.random(dishes) * (sums[first[1:]] - start), side="right") - 1
-        pick = np.clip(pick, first[:-1], first[1:] - 1)[moving]
-        sizes[pick] -= 1
-        weights = np.where(sizes > 0, sizes - discount, 0.0)
-        sums = np.concatenate([[0.0], np.cumsum(weights)])
-        start = sums[first[:-1]]
-        held = sums[first[1:]] - start
-        draw = rng.random(dishes) * (held + fresh)
-        joins = moving & (draw < held)
-        pick = np.searchsorted(sums, start + draw, side="right") - 1
-        pick = np.clip(pick, first[:-1], first[1:] - 1)
-        sizes[pick[joins]] += 1
-        opened = np.flatnonzero(moving & ~joins)
-        keep = sizes > 0
-        sizes, owner = np.concatenate([sizes[keep], np.ones(len(opened), sizes.dtype)]), \
-            np.concatenate([owner[keep], opened])
-        order = np.argsort(owner, kind="stable")
-        sizes, owner = sizes[order], owner[order]
-    return sizes, owner
-
-
-def _opening(n: np.ndarray, fresh: np.ndarray, discount: float, rng) -> tuple[np.ndarray, np.ndarray]:
-    """A first seating: as many tables as the process is expected to open, of near equal sizes."""
-    grown = (fresh + 1) * np.power(np.maximum(n, 1), discount)
-    tables = np.clip(np.rint(np.minimum(grown, fresh * np.log1p(n / np.maximum(fresh, 1e-9)) + 1)), 1, n).astype(int)
-    owner = np.repeat(np.arange(len(n)), tables)
-    spot = np.arange(len(owner)) - np.repeat(np.cumsum(tables) - tables, tables)
-    sizes = n[owner] // tables[owner] + (spot < n[owner] % tables[owner])
-    return sizes.astype(np.int64), owner
-
-
-def _gibbs(shared: Restaurants, sweeps: int, keep: int, seed: int):
-    """Resample all restaurants of each word, given the totals, and give the table counts of the last sweeps.
-
-    Rows are (word, context, n, sizes) by word; the result has the root's rows too. Words are
-    independent of each other but for the totals, which are those of the round before.
+    n = np.asarray(n, np.int64)
+    out = np.ones(len(n), np.int64)
+    ways, a, log_base = _log_ways(discount), strength / discount, np.log(base)
+    for size in np.unique(n[(n > 1) & (n <= SMALL)]):
+        at = np.flatnonzero(n == size)
+        t = np.arange(1, size + 1)
+        rising = np.cumsum(np.log(strength[at, None] + discount * (t - 1)), axis=1)
+        logs = rising + t * log_base[at, None] + ways[size, 1:size + 1]
+        cdf = np.cumsum(np.exp(logs - logs.max(axis=1, keepdims=True)), axis=1)
+        out[at] = np.minimum(1 + (cdf <= uniform[at, None] * cdf[:, -1:]).sum(axis=1), size)
+    for some in np.array_split(np.flatnonzero(n > SMALL), max(1, np.count_nonzero(n > SMALL) // 1000)):
+        if not len(some):
+            continue
+        size, own, logb = n[some], a[some], log_base[some]
+
+        def weight(t, i=slice(None)):
+            return (_log_gamma(own[i] + t) - _log_gamma(t + 1.0) + t * logb[i]
+                    + log_sum_of_sizes(np.broadcast_to(size[i], np.shape(t)), t, discount))
+
+        low, high = np.ones(len(some), np.int64), size.copy()
+        while (low < high).any():  # the weights have one peak
+            mid = (low + high) // 2
+            rises = (low < high) & (weight(np.minimum(mid + 1, size)) > weight(mid))
+            low, high = np.where(rises, mid + 1, low), np.where(rises, high, np.minimum(high, mid))
+        near = np.clip(low, 2, size - 1)
+        bend = 2 * weight(near) - weight(near - 1) - weight(near + 1)
+        reach = np.ceil(8 / np.sqrt(np.maximum(bend, 1e-12)) + 8).astype(np.int64)
+        for i, k in enumerate(some):
+            t = np.arange(max(1, low[i] - reach[i]), min(size[i], low[i] + reach[i]) + 1)
+            logs = weight(t, np.full(len(t), i))
+            cdf = np.cumsum(np.exp(logs - logs.max()))
+            out[k] = t[min(len(t) - 1, int(np.searchsorted(cdf, uniform[k] * cdf[-1], side="right")))]
+    return out
+
+
+def _seat(discount: float, seed: int):
+    """Rows (context, word, n, t, drawn, strength, base), t the tables before, to (context, word, n, t, drawn).
+
+    drawn adds up the tables of the samples. The random number of a row is a hash of its names.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["word"]):
-            word, context, n = (table.column(c).to_numpy() for c in ("word", "context", "n"))
-            rng = np.random.default_rng([seed, int(word[0]) & 0xFFFFFFFF])
-            names, dish = np.unique(word[context != ROOT], return_inverse=True)
-            child = context != ROOT
-            c, nc = context[child], n[child]
-            states = [np.frombuffer(s.as_buffer(), "<i4") if s.is_valid else None for s in table.column("sizes")]
-            begun = all(s is not None for s in states)
-            root_n = np.bincount(dish, minlength=len(names))
-            up = shared.root(root_n, np.ones(len(names)))
-            weight = STRENGTH + shared.discount * shared.tables[c]
-            if begun:
-                own = [s for s, is_child in zip(states, child) if is_child]
-                sizes, owner = np.concatenate(own).astype(np.int64), np.repeat(np.arange(len(own)), [len(s) for s in own])
-                top = [s for s, is_child in zip(states, child) if not is_child]
-                top_sizes, top_owner = np.concatenate(top).astype(np.int64), np.repeat(np.arange(len(top)),
-                                                                                      [len(s) for s in top])
-            else:
-                sizes, owner = _opening(nc, weight * up[dish], shared.discount, rng)
-                top_sizes = top_owner = None
-            kept_child, kept_root = [], []
-            for _ in range(sweeps):
-                sizes, owner = _seat(sizes, owner, nc, weight * up[dish], shared.discount, rng)
-                tables = np.bincount(owner, minlength=len(nc))
-                root_n = np.bincount(dish, tables, len(names)).astype(np.int64)
-                fresh = np.full(len(names), (STRENGTH + shared.root_discount * shared.root_tables) * shared.base())
-                if top_sizes is None or (np.bincount(top_owner, top_sizes, len(names)) != root_n).any():
-                    top_sizes, top_owner = _resized(top_sizes, top_owner, root_n, fresh, shared.root_discount, rng)
-                top_sizes, top_owner = _seat(top_sizes, top_owner, root_n, fresh, shared.root_discount, rng)
-                top_tables = np.bincount(top_owner, minlength=len(names))
-                up = shared.root(root_n, top_tables)
-                kept_child.append(tables)
-                kept_root.append(np.stack([root_n, top_tables], axis=1))
-            yield _seated(names, dish, c, nc, kept_child[-keep:], kept_root[-keep:],
-                          (sizes, owner), (top_sizes, top_owner), root_n)
+        for batch in batches:
+            context, word, n, drawn, strength, base = (batch.column(c).to_numpy() for c in (
+                "context", "word", "n", "drawn", "strength", "base"))
+            uniform = (_pair_hash(context, word, seed) >> np.uint64(11)).astype(float) / 2.0**53
+            t = draw_tables(n, strength, base, discount, uniform)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (context, word, n, t, drawn + t)],
+                                             names=["context", "word", "n", "t", "drawn"])
     return run
 
 
-def _resized(sizes, owner, n, fresh, discount, rng):
-    """Root tables after its customers changed: the largest table of a dish gives or takes the difference."""
-    if sizes is None:
-        return _opening(n, fresh, discount, rng)
-    tables = np.bincount(owner, minlength=len(n))
-    tables = np.minimum(tables, n)
-    new_owner = np.repeat(np.arange(len(n)), tables)
-    spot = np.arange(len(new_owner)) - np.repeat(np.cumsum(tables) - tables, tables)
-    new = n[new_owner] // tables[new_owner] + (spot < n[new_owner] % tables[new_owner])
-    first = np.searchsorted(owner, np.arange(len(n) + 1))
-    same = np.bincount(owner, sizes, len(n)) == n
-    keep_old = same[new_owner]
-    old = sizes[np.minimum(first[new_owner] + spot, len(sizes) - 1)]
-    return np.where(keep_old, old, new).astype(np.int64), new_owner
-
-
-def _seated(names, dish, c, nc, child, root, state, top, root_n) -> pa.RecordBatch:
-    def packed(sizes, owner, count):
-        cuts = np.searchsorted(owner, np.arange(count + 1))
-        data = sizes.astype("<i4")
-        return [data[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-
-    both = np.stack(child, axis=1), np.stack([r[:, 1] for r in root], axis=1)
-    customers = np.stack(child, axis=1) * 0 + nc[:, None], np.stack([r[:, 0] for r in root], axis=1)
-    word = np.concatenate([names[dish], names])
-    order = np.argsort(word, kind="stable")
-    arrays = [word, np.concatenate([c, np.full(len(names), ROOT)]).astype(np.int32), np.concatenate([nc, root_n])]
-    sizes = np.array(packed(*state, len(nc)) + packed(*top, len(names)), dtype=object)
-    tables, served = np.concatenate(both)[order], np.concatenate(customers)[order]
-
-    def lists(x):
-        return pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1]), pa.int32()),
-                                        pa.array(x.ravel().astype(np.int64)))
-    return pa.RecordBatch.from_arrays([*(pa.array(a[order]) for a in arrays), pa.array(list(sizes[order]), pa.binary()),
-                                       lists(tables), lists(served)],
-                                      names=["word", "context", "n", "sizes", "tables", "served"])
-
-
-_STATE = "word long, context int, n long, sizes binary, tables array<long>, served array<long>"
-
-
-def _totals(state: DataFrame, sample: int, like: Restaurants) -> Restaurants:
-    rows = state.groupBy("context").agg(F.sum(F.element_at("served", sample + 1)).alias("n"),
-                                        F.sum(F.element_at("tables", sample + 1)).alias("t")).collect()
-    customers, tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in rows:
-        if r.context != ROOT:
-            customers[r.context], tables[r.context] = r.n, r.t
-    root = next(r for r in rows if r.context == ROOT)
-    return Restaurants(customers, tables, float(root.n), float(root.t), like.discount, like.root_discount, like.words)
-
-
-def train(work: Workspace, texts: DataFrame, seed: int = 5) -> tuple[DataFrame, list[Restaurants], int]:
-    """The model of all texts: rows (word, n, root, seen), the totals of each sample, the token count.
-
-    Counts of (word, context) are added up in the tasks and meet once, by word. Then every word's
-    row of restaurants is resampled by Gibbs moves in place, BURN_IN sweeps and SAMPLES more; only
-    the customers and tables per context, CONTEXTS + 1 rows, go round between the two. root holds
-    the word's root probability in each sample, seen its averaged predictive probability by
-    context where it occurred there.
+_STATE = "context long, word long, n long, t long, drawn long"
+
+
+# --- the model ----------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class Model:
+    """pairs (context, word, n, p), words (word, n, roots), contexts (context, backs), by sample, and sizes."""
+
+    pairs: DataFrame
+    words: DataFrame
+    contexts: DataFrame
+    size: int
+    total: int
+    unknown: list[float]
+
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, size: int) -> DataFrame:
+    """Rows with the table's columns for their key; beyond a broadcast, common keys are cut by `other`."""
+    if size <= BROADCAST_WORDS:
+        return rows.join(F.broadcast(table), key, "left")
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+
+
+def _discount(one, two) -> float:
+    """The leave-one-out estimate of absolute discounting."""
+    return float(np.clip((one or 0) / max(1, (one or 0) + 2 * (two or 0)), 0.1, 0.9))
+
+
+def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
+    """The model of all texts.
+
+    Counts of (context, word) are added up in the tasks and meet once. In a sweep every customer of
+    every pair is seated anew, given the context's tables and the word's root probability as the
+    sweep before left them; then the root's customers, the tables of the pairs, are seated anew, and
+    both totals are counted again. Only table counts are kept. BURN_IN sweeps are followed by SAMPLES.
     """
-    counts = work.save(texts.select("text").mapInArrow(_count, "word long, context int, n long")
-                       .repartition("word").groupBy("word", "context").agg(F.sum("n").alias("n")))
-    once = F.sum((F.col("n") == 1).cast("long")).alias("one"), F.sum((F.col("n") == 2).cast("long")).alias("two")
-    per = counts.groupBy("context").agg(F.sum("n").alias("n"), F.count("*").alias("t"), *once).collect()
-    by_word = counts.groupBy("word").agg(F.sum("n").alias("n")).agg(F.count("*").alias("t"), *once).first()
-    total = sum(r.n for r in per)
-    customers, tables = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
-    for r in per:
-        customers[r.context], tables[r.context] = r.n, r.t
-
-    def discount(one, two):  # the leave-one-out estimate of absolute discounting
-        return float(np.clip((one or 0) / max(1, (one or 0) + 2 * (two or 0)), 0.1, 0.9))
-
-    shared = Restaurants(customers, tables, float(tables.sum()), float(by_word.t),
-                         discount(sum(r.one for r in per), sum(r.two for r in per)),
-                         discount(by_word.one, by_word.two), by_word.t)
+    pairs = work.save(texts.select("text").mapInArrow(_count, "context long, word long, n long")
+                      .groupBy("context", "word").agg(F.sum("n").alias("n")))
+
+    def ones(column: str) -> list[Column]:
+        return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "one"), (2, "two"))]
+
+    per_pair = pairs.agg(F.sum("n").alias("n"), F.count("*").alias("t"), *ones("n")).first()
+    words = work.save(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"))
+                      .withColumns({"tables": F.lit(1).cast("long"), "roots": F.array().cast("array<double>")}))
+    contexts = work.save(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"))
+                         .withColumn("backs", F.array().cast("array<double>")))
+    per_word = words.agg(F.count("*").alias("t"), *ones("served")).first()
+    total, size = int(per_pair.n or 0), int(per_word.t)
+    low, top, base = _discount(per_pair.one, per_pair.two), _discount(per_word.one, per_word.two), 1.0 / (size + 1)
+
+    def root(customers: float, tables: float, served: Column, own: Column) -> Column:
+        back = (STRENGTH + top * tables) * base
+        return (F.greatest(F.lit(0.0), served - top * own) + back) / (STRENGTH + customers)
+
+    customers, tables = float(per_pair.t), float(size)
+    state = pairs.withColumns({"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
+    unknown = []
+    for sweep in range(BURN_IN + SAMPLES if total else 0):
+        if sweep == BURN_IN:
+            state = state.withColumn("drawn", F.lit(0).cast("long"))
+        held = contexts.select("context", F.col("tables").alias("_tables"))
+        named = words.select("word", root(customers, tables, F.col("served"), F.col("tables")).alias("base"))
+        rows = _looked_up(_looked_up(state, held, "context", "word", size), named, "word", "context", size)
+        strength = STRENGTH + low * (F.col("_tables") - F.col("t"))
+        before, state = state, work.save(rows.select("context", "word", "n", "drawn", strength.alias("strength"), "base")
+                                         .mapInArrow(_seat(low, seed + 100 * sweep), _STATE))
+        # the root, whose customers are the tables just drawn; its names are (0, word)
+        dishes = (words.drop("served").join(state.groupBy("word").agg(F.sum("t").alias("served")), "word")
+                  .select(F.lit(0).cast("long").alias("context"), "word", F.col("served").alias("n"),
+                          F.lit(0).cast("long").alias("drawn"),
+                          (STRENGTH + top * (tables - F.col("tables"))).alias("strength"), F.lit(base).alias("base")))
+        seated = work.save(dishes.mapInArrow(_seat(top, seed + 100 * sweep + 1), _STATE))
+        sums = seated.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        customers, tables = float(sums.n), float(sums.t)
+        sampled = sweep >= BURN_IN
+        now = root(customers, tables, F.col("served"), F.col("tables"))
+        words = words.select("word", "n", "roots").join(
+            seated.select("word", F.col("n").alias("served"), F.col("t").alias("tables")), "word")
+        words = work.save(words.withColumn("roots", F.concat("roots", F.array(now)) if sampled else F.col("roots")))
+        back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
+        contexts = contexts.select("context", "guests", "backs").join(
+            state.groupBy("context").agg(F.sum("t").alias("tables")), "context")
+        contexts = work.save(contexts.withColumn("backs", F.concat("backs", F.array(back)) if sampled
+                                                 else F.col("backs")))
+        if sampled:
+            unknown.append((STRENGTH + top * tables) * base / (STRENGTH + customers))
+        if sweep and sweep != BURN_IN:
+            work.drop(before)
     if not total:
-        return work.spark.createDataFrame([], "word long, n long, root array<double>, seen array<double>"), [shared], 0
-    rows = counts.select("word", "context", "n", F.lit(None).cast("binary").alias("sizes"))
-    for stage, (sweeps, keep) in enumerate(((BURN_IN, 1), (SAMPLES, SAMPLES))):
-        # by word: only the first time is a shuffle needed for it, later the state is read as written
-        ordered = rows.repartition("word").sortWithinPartitions("word", "context")
-        state = work.save(ordered.mapInArrow(_gibbs(shared, sweeps, keep, seed + stage), _STATE))
-        samples = [_totals(state, s, shared) for s in range(keep)]
-        shared = samples[-1]
-        rows = state.select("word", "context", "n", "sizes")
-    model = state.select("word", "context", "tables", "served").repartition("word").sortWithinPartitions("word", "context")
-    return (work.save(model.mapInArrow(_predictive(samples), "word long, n long, root array<double>, seen array<double>")),
-            samples, total)
-
-
-def _predictive(samples: list[Restaurants]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in sorted_groups(batches, ["word"]):
-            word, context = table.column("word").to_numpy(), table.column("context").to_numpy()
-            tables = np.array(table.column("tables").to_pylist(), float).reshape(len(word), -1)
-            served = np.array(table.column("served").to_pylist(), float).reshape(len(word), -1)
-            names, dish = np.unique(word, return_inverse=True)
-            top, child = context == ROOT, context != ROOT
-            root = np.empty((len(names), len(samples)))
-            for s, shared in enumerate(samples):
-                root[dish[top], s] = shared.root(served[top, s], tables[top, s])
-            seen = np.zeros((len(names), CONTEXTS))
-            c, d = context[child], dish[child]
-            mean = np.zeros(len(c))
-            for s, shared in enumerate(samples):
-                own = (served[child, s] - shared.discount * tables[child, s]) / (STRENGTH + shared.customers[c])
-                mean += (own + shared.backoff()[c] * root[d, s]) / len(samples)
-            seen[d, c] = mean
-            n = np.bincount(d, served[child, 0], len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(n), pa.array(list(root)), pa.array(list(seen))],
-                                             names=["word", "n", "root", "seen"])
-    return run
-
+        unknown = [1.0] * SAMPLES
+    rows = _looked_up(_looked_up(state, contexts.select("context", "guests", "backs"), "context", "word", size),
+                      words.select("word", F.col("n").alias("word_n"), "roots"), "word", "context", size)
+    own = (F.col("n") - low * F.col("drawn") / SAMPLES) / (STRENGTH + F.col("guests"))
+    model = work.save(rows.select("context", "word", "n", "word_n", (own + _mean(F.col("backs"), F.col("roots"))).alias("p")))
+    return Model(model, words.select("word", F.col("n").alias("word_n"), "roots"), contexts.select("context", "backs"),
+                 size, total, unknown)
 
-def _log_probabilities(root: np.ndarray, seen: np.ndarray, contexts: np.ndarray, samples: list[Restaurants]) -> np.ndarray:
-    """log10 of the averaged predictive probability: `seen` where the word occurred in the context."""
-    backoff = np.stack([s.backoff() for s in samples], axis=1)
-    return np.log10(np.where(seen > 0, seen, (backoff[contexts] * root).mean(axis=1)))
 
+def _mean(backs: Column, roots: Column) -> Column:
+    """What the root gives to a word, averaged over the samples."""
+    return F.aggregate(F.zip_with(backs, roots, lambda b, r: b * r), F.lit(0.0), lambda x, y: x + y) / SAMPLES
 
-def _score_frequent(frequent: dict[str, np.ndarray], samples: list[Restaurants], total: int):
-    """Sums over each text's frequent words, and its other tokens by word and context."""
-    words = samples[0].words
 
+def _score_frequent(frequent: dict[str, np.ndarray], total: int, size: int):
+    """Sums over each text's frequent pairs, and its other pairs with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = frequent["key"]
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 numbers, contexts, bounds = tokens_of(some.column("text"))
                 rows = np.repeat(np.arange(some.num_rows), np.diff(bounds))
-                place = np.searchsorted(frequent["word"], numbers)
-                place = np.minimum(place, max(0, len(frequent["word"]) - 1))
-                known = frequent["word"][place] == numbers if len(frequent["word"]) else np.zeros(len(numbers), bool)
-                p, c = place[known], contexts[known]
-                base = np.log10((frequent["n"][p] + 1) / (total + words + 1)) if total else np.zeros(len(p))
-                score = _log_probabilities(frequent["root"][p], frequent["seen"][p, c], c, samples) if len(p) \
-                    else np.zeros(0)
+                known = np.zeros(len(numbers), bool)
+                place = np.zeros(len(numbers), np.int64)
+                if len(key):
+                    place = np.minimum(np.searchsorted(key, _pair_hash(contexts, numbers)), len(key) - 1)
+                    known = (frequent["context"][place] == contexts) & (frequent["word"][place] == numbers)
+                p = place[known]
+                base = np.log10((frequent["word_n"][p] + 1) / (total + size + 1))
                 rest = np.flatnonzero(~known)
-                keys = numbers[rest] << 4 | contexts[rest]
-                cuts = np.searchsorted(rows[rest], np.arange(some.num_rows + 1))
+                first, times = _distinct(contexts[rest], numbers[rest], rows[rest])
+                first = rest[first]
+                cuts = np.searchsorted(rows[first], np.arange(some.num_rows + 1))
+                left = pa.StructArray.from_arrays([pa.array(contexts[first]), pa.array(numbers[first]), pa.array(times)],
+                                                  names=["context", "word", "times"])
                 yield pa.RecordBatch.from_arrays(
                     [some.column("row"), some.column("doc_id"), pa.array(np.diff(bounds)),
                      pa.array(np.bincount(rows[known], minlength=some.num_rows)),
-                     pa.array(np.bincount(rows[known], base, some.num_rows)),
-                     pa.array(np.bincount(rows[known], score, some.num_rows)),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(keys))],
+                     pa.array(np.bincount(rows[known], base, some.num_rows).astype(float)),
+                     pa.array(np.bincount(rows[known], np.log10(frequent["p"][p]), some.num_rows).astype(float)),
+                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), left)],
                     names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rest"])
     return run
 
@@ -334,14 +340,15 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The model learns from the documents whose crc32 of the id, modulo `folds`, is not `held_out`,
-    and gives log10 probabilities of every whole text: its words and one end token. Each context,
-    the shape of the token before, is a Pitman-Yor restaurant; all share the root restaurant as
-    their parent, whose base is uniform over the words and one more for all unknown ones. Seatings
-    are sampled by Gibbs moves and predictive probabilities averaged over the samples. base_score
-    is the add-one unigram score. The perplexity of a text is 10 ** (-score / n_tokens).
-
-    Probabilities of the FREQUENT commonest words go to all tasks; other tokens, counted per
-    document, are joined with the model by word. A null text counts as empty (one end token), a
+    and gives log10 probabilities of every whole text: its words and one end token. Each word that
+    occurs before another is a Pitman-Yor restaurant; all share the root restaurant as their
+    parent, whose base is uniform over the words and one more for all unknown ones. Seatings are
+    sampled by Gibbs sweeps and predictive probabilities averaged over the samples; after a word
+    not met before the root alone counts. base_score is the add-one unigram score. The perplexity
+    of a text is 10 ** (-score / n_tokens).
+
+    Probabilities of the FREQUENT commonest pairs go to all tasks; other pairs, counted per
+    document, are joined with the model. A null text counts as empty (one end token), a
     null id is learned from; repeated rows are scored each; other columns are ignored; no rows
     give no rows.
     """
@@ -351,33 +358,33 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(folds)) == held_out
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(out, F.lit(False)).alias("held_out"))
-    model, samples, total = train(work, texts.filter("NOT held_out"), seed)
-    top = model.orderBy(F.desc("n"), "word").limit(FREQUENT).toPandas().sort_values("word")
-    frequent = {"word": top["word"].to_numpy(np.int64), "n": top["n"].to_numpy(np.float64),
-                "root": np.array(top["root"].tolist(), np.float64).reshape(len(top), len(samples)),
-                "seen": np.array(top["seen"].tolist(), np.float64).reshape(len(top), CONTEXTS)}
+    model = train(work, texts.filter("NOT held_out"), seed)
+    top = model.pairs.orderBy(F.desc("n"), "context", "word").limit(FREQUENT).toPandas()
+    frequent = {"context": top["context"].to_numpy(np.int64), "word": top["word"].to_numpy(np.int64),
+                "word_n": top["word_n"].to_numpy(np.float64), "p": top["p"].to_numpy(np.float64)}
+    frequent["key"] = _pair_hash(frequent["context"], frequent["word"])
+    order = np.argsort(frequent["key"])
+    frequent = {k: v[order] for k, v in frequent.items()}
     parts = work.save(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        _score_frequent(frequent, samples, total),
+        _score_frequent(frequent, model.total, model.size),
         f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_known long, "
-        "base_score double, score double, rest array<long>"))
-    words, size = samples[0].words, float(total + samples[0].words + 1)
-    tokens = parts.select("row", F.explode("rest").alias("key"))
-    tokens = tokens.select("row", F.shiftright("key", 4).alias("word"), F.col("key").bitwiseAND(15).cast("int").alias("c"))
-    back = F.array(*[F.array(*[F.lit(float(b)) for b in s.backoff()]) for s in samples])
-    mean = F.aggregate(F.zip_with("root", back, lambda r, b: r * F.get(b, F.col("c"))), F.lit(0.0),
-                       lambda a, b: a + b) / len(samples)
-    unknown = F.array(*[F.lit(float(s.root(np.zeros(1), np.zeros(1))[0])) for s in samples])
-    seen = F.get("seen", F.col("c"))
-    joined = tokens.join(model, "word", "left").select(
-        "row", "c", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("root", unknown).alias("root"), "seen")
+        "base_score double, score double, rest array<struct<context: long, word: long, times: long>>"))
+    tokens = parts.select("row", F.inline("rest"))
+    joined = tokens.join(model.pairs.select("context", "word", "p"), ["context", "word"], "left")
+    joined = _looked_up(_looked_up(joined, model.words, "word", "context", model.size),
+                        model.contexts, "context", "word", model.size)
+    alone = F.array(*[F.lit(1.0)] * SAMPLES)
+    new = F.array(*[F.lit(u) for u in model.unknown])
+    p = F.coalesce("p", _mean(F.coalesce("backs", alone), F.coalesce("roots", new)))
+    n = F.coalesce("word_n", F.lit(0))
     rest = joined.groupBy("row").agg(
-        F.sum((F.col("n") > 0).cast("long")).alias("known"),
-        F.sum(F.log10((F.col("n") + 1) / F.lit(size))).alias("base"),
-        F.sum(F.log10(F.when(seen > 0, seen).otherwise(mean))).alias("more"))
+        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(model.total + model.size + 1)))).alias("base"),
+        F.sum(F.col("times") * F.log10(p)).alias("more"))
     held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(folds)) == held_out,
                       F.lit(False))
     return (parts.drop("rest").join(rest, "row", "left").select(
         "doc_id", held.alias("held_out"), "n_tokens",
-        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")))

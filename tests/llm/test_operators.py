@@ -164,6 +164,20 @@ def test_language_model_base_scores_and_gain(spark, docs, odd):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_language_model_learns_word_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    follows = {"of": "tea", "is": "jam", "at": "rye"}
+    texts = [" ".join(f"{w} {follows[w]}" for w in rng.choice(list(follows), 30)) for _ in range(60)]
+    seen = texts + ["of tea", "of jam", "is jam", "is tea"]
+    rows = spark.createDataFrame(list(enumerate(seen)), "doc_id long, text string")
+    got = {r.doc_id: r.score for r in pitman_yor.score(rows, held_out=-1).collect()}
+    assert got[60] > got[61] + 0.5 and got[62] > got[63] + 0.5
+    monkeypatch.setattr(pitman_yor, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(pitman_yor, "FREQUENT", 2)
+    other = {r.doc_id: r.score for r in pitman_yor.score(rows, held_out=-1).collect()}
+    assert other == pytest.approx(got, abs=1e-6)
+
+
 @pytest.mark.parametrize("repeat", [1, 3])
 def test_shards_are_even_and_keep_groups(spark, docs, odd, repeat):
     rows = docs.select("doc_id", "text")
