@@ -178,6 +178,33 @@ def test_language_model_learns_word_pairs(spark, monkeypatch):
     assert other == pytest.approx(got, abs=1e-6)
 
 
+def test_all_customers_of_a_hot_dish_are_seated_anew(monkeypatch):
+    count, discount, n = 4000, 0.6, 900
+    dishes = (np.full(count, n), np.full(count, 40.0), np.full(count, 0.1), discount,
+              np.random.default_rng(4).random(count))
+    exact = pitman_yor.draw_tables(*dishes)
+    assert exact.std() > 1  # a sample, not a formula
+    monkeypatch.setattr(pitman_yor, "SMALL", 100)
+    pitman_yor._log_ways.cache_clear()
+    assert (pitman_yor.draw_tables(*dishes) == exact).mean() > 0.999
+    pitman_yor._log_ways.cache_clear()
+    # a chain in which every customer stands up in each sweep has the same mean
+    rng, sizes, seen = np.random.default_rng(5), [60], []
+    strength, base = 40.0, 0.1
+    for sweep in range(400):
+        for _ in range(60):
+            at = rng.choice(len(sizes), p=np.array(sizes) / 60)
+            sizes[at] -= 1
+            sizes = [x for x in sizes if x]
+            weights = np.array([x - discount for x in sizes] + [(strength + discount * len(sizes)) * base])
+            at = rng.choice(len(weights), p=weights / weights.sum())
+            sizes = sizes + [1] if at == len(sizes) else sizes[:at] + [sizes[at] + 1] + sizes[at + 1:]
+        if sweep >= 100:
+            seen.append(len(sizes))
+    drawn = pitman_yor.draw_tables(np.full(count, 60), *dishes[1:])
+    assert abs(drawn.mean() - np.mean(seen)) < 0.6
+
+
 @pytest.mark.parametrize("repeat", [1, 3])
 def test_shards_are_even_and_keep_groups(spark, docs, odd, repeat):
     rows = docs.select("doc_id", "text")
