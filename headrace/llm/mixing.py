@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST = 100.0
+# Above this rate the distribution is listed from 12 standard deviations below the mean on.
+LONG = 100.0
 # Rates of up to this many sources, a few kilobytes each, go to every task.
 MOST_BROADCAST = 5000
 
@@ -32,8 +33,13 @@ def mixing_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, te
     return counts.select("source", (F.lit(goal) * F.col("weight") / F.lit(sums.w or 1.0) / F.col("n")).alias("rate"))
 
 
+def _first(rate: Column) -> Column:
+    """The smallest count that is listed; below it lies less than 1e-30 of the distribution."""
+    return F.when(rate <= LONG, F.lit(0)).otherwise((rate - 12 * F.sqrt(rate)).cast("int"))
+
+
 def _cdf(rate: Column) -> Column:
-    """P(X <= k) of the Poisson distribution, for k up to where it is 1 in double precision."""
+    """P(X <= k) of the Poisson distribution, for k from `_first` up to where it is 1 in double precision."""
     start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("cdf"))
     last = (rate + 12 * F.sqrt(rate) + 24).cast("int")
 
@@ -41,7 +47,17 @@ def _cdf(rate: Column) -> Column:
         p = state["p"] * rate / k
         return F.struct(p.alias("p"), F.concat(state["cdf"], F.array(F.element_at(state["cdf"], -1) + p)).alias("cdf"))
 
-    return F.aggregate(F.sequence(F.lit(1), last), start, add, lambda state: state["cdf"])
+    def add_log(state, k):
+        return F.concat(state, F.array(F.element_at(state, -1) + F.log(rate / k)))
+
+    # exp(-rate) is 0 for large rates: logs relative to the first count listed
+    logs = F.aggregate(F.sequence(_first(rate) + 1, last), F.array(F.lit(0.0)), add_log)
+    weights = F.element_at(F.transform(F.array(logs), lambda x: F.transform(x, lambda v: F.exp(v - F.array_max(x)))), 1)
+    sums = F.aggregate(weights, F.array().cast("array<double>"),
+                       lambda state, w: F.concat(state, F.array(F.coalesce(F.get(state, F.size(state) - 1), F.lit(0.0)) + w)))
+    long = F.element_at(F.transform(F.array(sums), lambda x: F.transform(x, lambda v: v / F.element_at(x, -1))), 1)
+    return F.when(rate <= LONG, F.aggregate(F.sequence(F.lit(1), last), start, add, lambda state: state["cdf"])) \
+        .otherwise(long)
 
 
 def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str = "doc_id",
@@ -53,14 +69,12 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str =
     id and copy: a random order over all partitions. A null source has its own rate; sources
     without a rate give no rows; rows repeated under one id share their count; a null id counts
     as the text "null". All columns are returned as they are, and the copy's number (from 1) as
-    `copy_column` unless that is None. A rate above 100 is an error.
+    `copy_column` unless that is None.
     """
     if copy_column in docs.columns:
         raise ValueError(f"the documents already have a column {copy_column}")
-    checked = F.when(F.col("rate") <= MOST, F.col("rate")).otherwise(
-        F.raise_error(F.concat(F.lit("rate above 100: "), F.col("rate").cast("string"))).cast("double"))
-    table = (rates.filter("rate > 0").withColumn("rate", checked)
-             .select(F.col("source").alias("_source"), _cdf(F.col("rate")).alias("_cdf")))
+    table = rates.filter("rate > 0").select(F.col("source").alias("_source"), _first(F.col("rate")).alias("_first"),
+                                            _cdf(F.col("rate")).alias("_cdf"))
     if rates.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:  # else Spark joins by a shuffle
         table = F.broadcast(table)
     name = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
@@ -68,7 +82,7 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str =
     rows = docs.select(F.struct("*").alias("_row"), F.col(source_column).alias("_from"), name.alias("_name"),
                        uniform.alias("_u"))
     drawn = (rows.join(table, F.col("_from").eqNullSafe(F.col("_source")))
-             .select("_row", "_name", F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))).alias("_n")))
+             .select("_row", "_name", (F.col("_first") + F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))).alias("_n")))
     copies = drawn.filter("_n > 0").select("_row", "_name", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
     keyed = copies.withColumn("_key", F.xxhash64("_name", "_copy", F.lit(seed)))
     mixed = keyed.repartition("_key").sortWithinPartitions("_key")

@@ -260,6 +260,25 @@ def test_mixing_rates_and_null_sources(spark, docs, odd):
         mixing.mix_sources(odd, copy_column="blob")
 
 
+def test_mixing_at_large_rates(spark, tmp_path):
+    rows = spark.range(62000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("en").alias("lang"),
+                                     F.when(F.col("id") < 3, F.lit(None)).when(F.col("id") == 3, "rare")
+                                     .otherwise("big").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    rates = {r.source: r.rate for r in mixing.mixing_rates(rows).collect()}
+    assert rates["rare"] > 200
+    mixed = mixing.mix_sources(rows)
+    by = Counter(r.doc_id for r in mixed.filter("doc_id <= 3").collect())
+    assert all(abs(by[i] - rates["rare" if i == 3 else None]) < 6 * math.sqrt(rates["rare"]) for i in range(4))
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    con = open_duckdb(SF_DIR)
+    con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    counts = "SELECT doc_id, count(*) FROM ({}) AS m WHERE doc_id <= 3 GROUP BY doc_id"
+    assert dict(con.execute(counts.format(queries.ORACLES["op10_source_mixing"])).fetchall()) == by
+    many = spark.createDataFrame([(None, 2.0e4)], "source string, rate double")
+    drawn = [r["count"] for r in mixing.replicate(rows.limit(3), many).groupBy("doc_id").count().collect()]
+    assert len(drawn) == 3 and all(abs(n - 2.0e4) < 6 * math.sqrt(2.0e4) for n in drawn)
+
+
 def test_empty_tables(spark, odd, path):
     none, bench = odd.limit(0), spark.createDataFrame([], "item_id long, text string")
     assert secret_ledger.scan_versions(none, path + "1").count() == 0
