@@ -111,13 +111,12 @@ def _learn(tokenizer, ends: np.ndarray, cache: dict[bytes, bytes], words: set[by
 def encode_texts(texts: list[str | None], tokenizer_path: str) -> list[bytes]:
     """Little-endian 32-bit ids of each text, as the tokenizer gives them for the whole text.
 
-    The tokenizer must split at spaces and line ends, keep runs of letters apart from other
-    characters and ignore ASCII case, as its file says of its normalizer and splitter; then a
-    text's ids are those of its words in turn, and each word is encoded once and looked up
-    afterwards.
+    The tokenizer must split at spaces and line ends and keep runs of letters apart from other
+    characters, as its file says of its normalizer and splitter; then a text's ids are those of
+    its words in turn, and each word is encoded once, as it stands, and looked up afterwards.
     """
     tokenizer, ends, cache = _tokenizer(tokenizer_path)
-    split = [(t or "").encode().lower().replace(b"\n", b" ").split(b" ") for t in texts]
+    split = [(t or "").encode().replace(b"\n", b" ").split(b" ") for t in texts]
     found = [list(map(cache.get, words)) for words in split]
     new = {w for words, got in zip(split, found) if None in got for w, g in zip(words, got) if g is None}
     if new:

@@ -249,6 +249,15 @@ def test_ids_are_the_tokenizers(spark, docs, odd, path):
     assert token_ids.document_ids(block, 0).tobytes() == bytes(got[0].ids)
 
 
+def test_ids_of_raw_case_and_marks():
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(tokenizer_path())
+    texts = ["<|ENDOFTEXT|> end", "<|endoftext|>", "J\u030c", "T\u0308x A\u030a. \u212b İstanbul I\u0307x", "THE The the. THE, DON'T",
+             "x \u030c\n\u0308y X<|StartOfText|>\u030cY ΣΑΣ ΣΑΣ. ǅ ẞ \tQ"]
+    want = [np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert token_ids.encode_texts(texts, tokenizer_path()) == want
+
+
 def test_mixing_rates_and_null_sources(spark, docs, odd):
     rates = mixing.mixing_rates(docs, {"src0": 3.0, "src1": 1.0}, total=500)
     by = Counter(r.source for r in mixing.replicate(docs, rates).collect())
