@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headrace.llm.tables import Workspace
+from headrace.llm.tables import Workspace, with_row_numbers
 
 # Fixed masks: 1 is a token that counts, 0 one that may differ.
 MASKS = ("1111101", "1101011011")
@@ -108,7 +108,8 @@ def leaked_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFr
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, without those that overlap a test item; one without an id is kept."""
-    leaked = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    return rows.join(leaked, F.col("_id") == F.col("_leaked"), "left_anti").select("_row.*")
+    """The documents, all columns, without the rows that overlap a test item, whatever their id."""
+    rows = with_row_numbers(Workspace(docs.sparkSession), docs)
+    texts = rows.select(F.col("_number").alias("doc_id"), F.col("_row.text").alias("text"))
+    leaked = find_leaks(texts, benchmark, **options).select(F.col("doc_id").alias("_number")).distinct()
+    return rows.join(leaked, "_number", "left_anti").select("_row.*")

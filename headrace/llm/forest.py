@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from headrace.llm.components import connected_components
-from headrace.llm.tables import Workspace, ship_library, sorted_groups
+from headrace.llm.tables import Workspace, ship_library, sorted_groups, with_row_numbers
 from headrace.llm.words import Words, mix, words_of
 
 SHINGLE = 5
@@ -289,7 +289,15 @@ def _compare(todo: DataFrame, sets: DataFrame, depth: int, threshold: float) ->
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """The documents, all columns, with one document of each class; a row without an id is kept."""
-    dropped = near_duplicates(docs, **options).filter("NOT kept").select(F.col("doc_id").alias("_dropped"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    return rows.join(dropped, F.col("_id") == F.col("_dropped"), "left_anti").select("_row.*")
+    """The documents, all columns, with one row of each class.
+
+    Every row is compared, whatever its id; of a class the row of least id stays, one without an
+    id only if no other has one.
+    """
+    rows = with_row_numbers(Workspace(docs.sparkSession), docs)
+    classes = near_duplicates(rows.select(F.col("_number").alias("doc_id"), F.col("_row.text").alias("text")), **options)
+    named = classes.select(F.col("doc_id").alias("_number"), "class_id").join(
+        rows.select("_number", F.col("_row.doc_id").alias("_id")), "_number")
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_number")).alias("first")
+    kept = named.groupBy("class_id").agg(first).select(F.col("first._number").alias("_number"))
+    return rows.join(kept, "_number", "left_semi").select("_row.*")

@@ -18,12 +18,11 @@ def equal_texts(work: Workspace, nodes: DataFrame, piece: int) -> DataFrame:
 
     Linking every row to its hub is as many links as rows, however large the group. A unit is what
     should move as a whole: the group, or about `piece` rows of a larger one. Nulls and empty
-    texts are in no group.
+    texts are a group like any other.
     """
-    texts = nodes.filter("size > 8")
-    hubs = work.save(texts.groupBy("digest").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
+    hubs = work.save(nodes.groupBy("digest").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1"))
     part = F.pmod(F.xxhash64("node", F.lit(9)), F.ceil(F.col("n") / F.lit(max(1, piece))))
-    return work.save(texts.join(hubs, "digest").select("node", "hub", F.xxhash64("hub", part).alias("unit")))
+    return work.save(nodes.join(hubs, "digest").select("node", "hub", F.xxhash64("hub", part).alias("unit")))
 
 
 def propagate(work: Workspace, links: DataFrame, shards: int, quota: int, rounds: int = 10,
@@ -74,7 +73,7 @@ def shard(docs: DataFrame, shards: int = 24, rounds: int = 10, id_column: str =
 
     Rows with equal texts are linked and end in one shard where its quota allows; a group larger
     than a shard fills several. Unlinked rows fill what is left, so no move of theirs cuts a link.
-    Null counts as no text; every input row, repeated ones too, is placed once; other columns are
+    Null counts as an empty text; every input row, repeated ones too, is placed once; other columns are
     ignored; no rows give no rows.
     Returns id, size (UTF-8 bytes + 8), text_crc32, law, shard, slot, grown_shard.
     """

@@ -61,6 +61,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_row_numbers(work: Workspace, docs: DataFrame) -> DataFrame:
+    """Rows (_row, _number): all columns, and a number of its own for every row, written down."""
+    return work.save(docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_number")))
+
+
 def hash01(*columns: Column | str) -> Column:
     """A number in [0, 1) from the columns' values, the same on every run."""
     return F.pmod(F.xxhash64(*columns), F.lit(1 << 52)) / F.lit(float(1 << 52))

@@ -288,6 +288,26 @@ def test_mixing_at_large_rates(spark, tmp_path):
     assert len(drawn) == 3 and all(abs(n - 2.0e4) < 6 * math.sqrt(2.0e4) for n in drawn)
 
 
+def test_rows_without_or_with_shared_ids_take_part(spark):
+    text, leak = "some words of a text that is long enough " * 4, "a passage of the benchmark that nobody may ever train on"
+    rows = spark.createDataFrame([(None, text), (9, text), (9, text), (9, "another text altogether and clean"),
+                                  (None, leak), (7, leak), (7, "clean words under the id of a leak"), (None, None),
+                                  (None, None)], "doc_id long, text string")
+    kept = Counter(map(tuple, forest.deduplicated(rows).collect()))
+    assert kept == Counter([(9, text), (9, "another text altogether and clean"), (7, leak), (None, None), (None, None),
+                            (7, "clean words under the id of a leak")])
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    clean = decontaminate.remove_leaks(rows, bench)
+    assert clean.columns == rows.columns
+    assert Counter(map(tuple, clean.collect())) == Counter(t for t in map(tuple, rows.collect()) if t[1] != leak)
+
+
+def test_empty_texts_share_a_shard(spark):
+    rows = [(i, None if i % 2 else "") for i in range(6)] + [(i, f"text {i}") for i in range(6, 200)]
+    got = shards.shard(spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()
+    assert len(got) == 200 and len({r.shard for r in got if r.size == 8}) == 1
+
+
 def test_empty_tables(spark, odd, path):
     none, bench = odd.limit(0), spark.createDataFrame([], "item_id long, text string")
     assert secret_ledger.scan_versions(none, path + "1").count() == 0
