@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headrace.llm import (caps, chat, decontaminate, forest, mixing, pitman_yor, quality, secret_ledger, shards,
+from headrace.llm import (caps, chat, decontaminate, forest, merkle, mixing, pitman_yor, quality, secret_ledger, shards,
                           token_ids)
 from headrace.llm.tables import Workspace, read_table
 
@@ -66,9 +66,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_decontamination, op3_embedding_near_dup, op4_quality_classifier, op5_ngram_jaccard_join,
-    op6_language_model, op7_sharding, op8_token_ids, op9_chat_formatting, op10_source_mixing)}
+    op6_language_model, op7_sharding, op8_token_ids, op9_chat_formatting, op10_source_mixing, op12_merkle_manifest)}
 
 
 def _secret_sql() -> str:
@@ -138,5 +142,44 @@ _MIXING_SQL = """
     SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy
     FROM drawn, UNNEST(generate_series(1, n_copies)) AS s(copy)"""
 
+def _merkle_sql(levels: int = 7, upper: int = 4) -> str:
+    """Level by level, for up to 16 ** levels documents of a source and 16 ** upper sources."""
+    def leaf(text: str) -> str:
+        values = [f"{v}::VARCHAR" for v in (*merkle.FIELDS[:-1], text)]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda ch: ascii(ch)::BIGINT)), lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))))"""
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.UPPER.lower()}')"
+    parts = [f"leaves AS (SELECT doc_id, source, {leaf('text')} AS leaf, {leaf(lower)} AS other, {crc} % 5 = 0 AS hit FROM documents)",
+             """n0 AS (SELECT doc_id, source, leaf, CASE WHEN hit THEN other ELSE leaf END AS changed, leaf AS d,
+                row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                count(*) OVER (PARTITION BY source) AS cnt FROM leaves)""",
+             "wn0 AS (SELECT doc_id, source, leaf, pos, '' AS proof, changed AS folded FROM n0)"]
+
+    def climb(name: str, key: str, count: int, join: str) -> None:
+        for k in range(count):
+            run = f"OVER (PARTITION BY {key}pos // 16 ORDER BY pos ROWS BETWEEN"
+            parts.append(f"""s{name}{k} AS (SELECT *, coalesce(string_agg(d, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(d, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            parts.append(f"""w{name}{k + 1} AS (SELECT w.* REPLACE (w.pos // 16 AS pos, w.proof || l || r AS proof,
+                CASE WHEN cnt > 1 THEN sha256(l || folded || r) ELSE folded END AS folded)
+                FROM w{name}{k} w JOIN s{name}{k} s ON {join}w.pos = s.pos)""")
+            parts.append(f"""{name}{k + 1} AS (SELECT {key}pos // 16 AS pos, (cnt + 15) // 16 AS cnt,
+                CASE WHEN cnt > 1 THEN sha256(string_agg(d, '' ORDER BY pos)) ELSE min(d) END AS d
+                FROM {name}{k} GROUP BY {key}pos // 16, cnt)""")
+
+    climb("n", "source, ", levels, "w.source IS NOT DISTINCT FROM s.source AND ")
+    parts.append(f"""u0 AS (SELECT source, d, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos,
+        count(*) OVER () AS cnt FROM n{levels})""")
+    parts.append(f"""wu0 AS (SELECT w.doc_id, w.leaf, u.d AS subroot, u.pos, w.proof, w.folded
+        FROM wn{levels} w JOIN u0 u ON w.source IS NOT DISTINCT FROM u.source)""")
+    climb("u", "", upper, "")
+    return f"""WITH {', '.join(parts)}
+        SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = d AS verified
+        FROM wu{upper}, u{upper}"""
+
+
 ORACLES: dict[str, str] = {"op1_secret_scan": _secret_sql(), "op9_chat_formatting": _chat_sql(),
-                           "op10_source_mixing": _MIXING_SQL}
+                           "op10_source_mixing": _MIXING_SQL, "op12_merkle_manifest": _merkle_sql()}
