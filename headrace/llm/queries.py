@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headrace.llm import (caps, chat, decontaminate, forest, merkle, mixing, piecewise, pitman_yor, quality,
+from headrace.llm import (caps, chat, decontaminate, forest, merkle, mixing, piecewise, pitman_yor, quality, repair,
                           secret_ledger, shards, token_ids)
 from headrace.llm.tables import Workspace, read_table
 
@@ -74,10 +74,14 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(read_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_decontamination, op3_embedding_near_dup, op4_quality_classifier, op5_ngram_jaccard_join,
     op6_language_model, op7_sharding, op8_token_ids, op9_chat_formatting, op10_source_mixing,
-    op11_document_fingerprints, op12_merkle_manifest)}
+    op11_document_fingerprints, op12_merkle_manifest, op13_conversation_repair)}
 
 
 def _secret_sql() -> str:
