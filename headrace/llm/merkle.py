@@ -15,7 +15,6 @@ FANOUT = 16
 
 # Levels that one task works through: an aligned block holds up to 16 ** 3 nodes.
 BLOCK_LEVELS = 3
-BLOCK = FANOUT ** BLOCK_LEVELS
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -88,39 +87,40 @@ def height(count: int) -> int:
     return levels
 
 
-def _block(nodes: pa.Table) -> tuple[pa.Table, BlockTree]:
+def _block(nodes: pa.Table, levels: int) -> tuple[pa.Table, BlockTree]:
     nodes = nodes.sort_by("_pos")
-    return nodes, BlockTree(nodes["digest"].to_pylist(), min(BLOCK_LEVELS, height(nodes["_count"][0].as_py())))
+    return nodes, BlockTree(nodes["digest"].to_pylist(), min(levels, height(nodes["_count"][0].as_py())))
 
 
-def _parent(nodes: pa.Table) -> pa.Table:
-    nodes, block = _block(nodes)
-    return pa.table({"tree": nodes["tree"][:1], "_pos": [nodes["_pos"][0].as_py() // BLOCK],
-                     "_count": [-(-nodes["_count"][0].as_py() // BLOCK)], "digest": [block.digests[block.root]]})
+def _in_blocks(nodes: DataFrame, levels: int):
+    return nodes.groupBy("tree", F.expr(f"_pos div {FANOUT ** levels}").alias("_block"))
 
 
-def _in_blocks(nodes: DataFrame):
-    return nodes.groupBy("tree", F.expr(f"_pos div {BLOCK}").alias("_block"))
-
-
-def climb(work: Workspace, nodes: DataFrame) -> list[DataFrame]:
+def climb(work: Workspace, nodes: DataFrame, levels: int = BLOCK_LEVELS) -> list[DataFrame]:
     """The nodes, the roots of their blocks, the roots of those blocks' blocks, up to one row per tree.
 
-    Each step groups 4,096 neighbours in a task and leaves one row of them.
+    Each step groups 16 ** levels neighbours in a task and leaves one row of them.
     """
+    size = FANOUT ** levels
+
+    def parent(nodes: pa.Table) -> pa.Table:
+        nodes, block = _block(nodes, levels)
+        return pa.table({"tree": nodes["tree"][:1], "_pos": [nodes["_pos"][0].as_py() // size],
+                         "_count": [-(-nodes["_count"][0].as_py() // size)], "digest": [block.digests[block.root]]})
+
     steps = [nodes]
     while (steps[-1].agg(F.max("_count")).first()[0] or 0) > 1:
-        steps.append(work.save(_in_blocks(steps[-1].select("tree", "_pos", "_count", "digest"))
-                               .applyInArrow(_parent, _NODES)))
+        steps.append(work.save(_in_blocks(steps[-1].select("tree", "_pos", "_count", "digest"), levels)
+                               .applyInArrow(parent, _NODES)))
     return steps
 
 
-def _paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
+def _paths(nodes: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     if not nodes.num_rows:
         return pa.table({"tree": pa.array([], pa.string()), "_pos": pa.array([], pa.int64()),
                          "path": pa.array([], _RUN_TYPE), "subroot": pa.array([], pa.string()),
                          "root": pa.array([], pa.string())})
-    nodes, block = _block(nodes)
+    nodes, block = _block(nodes, levels)
     rest = [(run["left"], run["right"]) for run in above["path"][0].as_py()]
     paths = [[{"left": a, "right": b} for a, b in block.runs(i) + rest] for i in range(nodes.num_rows)]
     same = {name: pa.repeat(above[name][0], nodes.num_rows) for name in ("subroot", "root")}
@@ -130,7 +130,7 @@ def _paths(nodes: pa.Table, above: pa.Table) -> pa.Table:
 _RUN_TYPE = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
 
 
-def descend(work: Workspace, steps: list[DataFrame], top: DataFrame) -> DataFrame:
+def descend(work: Workspace, steps: list[DataFrame], top: DataFrame, levels: int = BLOCK_LEVELS) -> DataFrame:
     """The path, the siblings on the way up, of every node of the first step.
 
     `top` has the path, subroot and root of the nodes above the last step. A block's root hands its path
@@ -138,8 +138,8 @@ def descend(work: Workspace, steps: list[DataFrame], top: DataFrame) -> DataFram
     """
     paths = top
     for nodes in reversed(steps):
-        below = _in_blocks(nodes).cogroup(paths.groupBy("tree", "_pos"))
-        paths = work.save(below.applyInArrow(_paths, f"tree string, _pos long, path {_RUNS}, subroot string, root string"))
+        below = _in_blocks(nodes, levels).cogroup(paths.groupBy("tree", "_pos"))
+        paths = work.save(below.applyInArrow(lambda n, a: _paths(n, a, levels), f"tree string, _pos long, path {_RUNS}, subroot string, root string"))
     return paths
 
 
@@ -150,12 +150,12 @@ def fold(node: str, path: list[tuple[str, str]]) -> str:
     return node
 
 
-def _proofs(nodes: pa.Table, above: pa.Table) -> pa.Table:
+def _proofs(nodes: pa.Table, above: pa.Table, levels: int) -> pa.Table:
     ids = nodes["doc_id"].type
     if not nodes.num_rows:
         return pa.table({"doc_id": pa.array([], ids), **{name: pa.array([], pa.string()) for name in (
             "leaf", "subroot", "root", "proof_sha256", "folded_root")}})
-    nodes, block = _block(nodes)
+    nodes, block = _block(nodes, levels)
     path = [(run["left"], run["right"]) for run in above["path"][0].as_py()]
     rest = "".join([left + right for left, right in path])
     unchanged = fold(block.digests[block.root], path)
@@ -174,14 +174,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
-def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | None = None) -> DataFrame:
+def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | None = None,
+             levels: int = BLOCK_LEVELS) -> DataFrame:
     """The digest of every document, its proof up to the dataset's root, and what tampering does to it.
 
     Each source is a tree over its documents by doc_id, nulls first, 16 nodes to a parent; the
     sources' roots, by source, nulls first, are the leaves of one more tree. Where `tampered` is
     true the document's text is `text`: by default where 5 divides the CRC of the id, A-Z in
     lower case. Every tampered leaf is a version of its own that shares all nodes but its
-    ancestors; folded_root is that version's root.
+    ancestors; folded_root is that version's root. A task holds a block of 16 ** levels nodes.
 
     Returns doc_id, leaf, subroot, root, proof_sha256, folded_root, verified. A null in any
     column is a field of its own kind, and so is an empty text. Documents of one id stand next to each other, by
@@ -201,19 +202,20 @@ def manifest(docs: DataFrame, tampered: Column | None = None, text: Column | Non
         F.when(tampered, leaf_digest(*other.values())).alias("tampered"), F.monotonically_increasing_id().alias("_row")))
     nodes = work.save(with_positions(work, leaves, "tree", "doc_id", "digest", "_row").drop("_row"))
 
-    steps = climb(work, nodes)
+    steps = climb(work, nodes, levels)
     subroots = steps[-1].select(F.lit("").alias("all"), "tree", "digest")
     sources = with_positions(work, subroots, "all", "tree").select(
         F.col("all").alias("tree"), "_pos", "_count", "digest", F.col("tree").alias("source"))
     sources = work.save(sources)
-    upper = climb(work, sources)
+    upper = climb(work, sources, levels)
     root = upper[-1].select("tree", "_pos", F.array().cast(_RUNS).alias("path"), F.col("digest").alias("subroot"),
                             F.col("digest").alias("root"))
-    ways = descend(work, upper[:-1], root)
+    ways = descend(work, upper[:-1], root, levels)
     top = (sources.join(ways.select("_pos", "path", "root"), "_pos")
            .select(F.col("source").alias("tree"), F.lit(0).cast("long").alias("_pos"), "path",
                    F.col("digest").alias("subroot"), "root"))
-    above = descend(work, steps[1:-1], top)
+    above = descend(work, steps[1:-1], top, levels)
     ids = nodes.schema["doc_id"].dataType.simpleString()
-    proofs = _in_blocks(nodes).cogroup(above.groupBy("tree", "_pos")).applyInArrow(_proofs, _PROOFS.format(ids))
+    proofs = (_in_blocks(nodes, levels).cogroup(above.groupBy("tree", "_pos"))
+              .applyInArrow(lambda n, a: _proofs(n, a, levels), _PROOFS.format(ids)))
     return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
