@@ -122,6 +122,24 @@ def evolve_merge(spark, sf_dir):
     return shown(spark, name)
 
 
+@query("""SELECT doc_id, text, lang, CASE WHEN hit THEN n_chars END AS n_chars, source, CASE WHEN hit THEN lang || '/' || source END
+AS label, CASE WHEN hit THEN length(text) END AS length FROM (SELECT *, n_chars % 2 = 1 OR lang = 'en' AS hit FROM documents)""")
+def evolve_nested(spark, sf_dir):
+    """A field is added in a struct, in an array of structs and in a map's values: by a merge, then by an append."""
+    name, docs = _fresh(spark), table(spark, sf_dir, "documents")
+    narrow = ["doc_id", "text", "named_struct('lang', lang) AS facts", "array(named_struct('source', source)) AS parts",
+              "map('text', named_struct('source', source)) AS by_name"]
+    wide = ["doc_id", "text", "named_struct('n_chars', n_chars, 'lang', lang) AS facts",
+            "array(named_struct('label', concat(lang, '/', source), 'source', source)) AS parts",
+            "map('text', named_struct('source', source, 'length', CAST(length(text) AS BIGINT))) AS by_name"]
+    target.append(docs.filter("lang <> 'de'").selectExpr(*narrow), name, "merge")
+    target.merge(docs.filter("lang = 'en' OR (lang <> 'de' AND n_chars % 2 = 1)").selectExpr(*wide), name, ["doc_id"], "merge")
+    target.append(docs.filter("lang = 'de' AND n_chars % 2 = 0").selectExpr(*narrow), name, "merge")
+    target.append(docs.filter("lang = 'de' AND n_chars % 2 = 1").selectExpr(*wide), name, "merge")
+    return shown(spark, name).selectExpr("doc_id", "text", "facts.lang", "facts.n_chars", "parts[0].source AS source",
+                                         "parts[0].label AS label", "by_name['text'].length AS length")
+
+
 @query("SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_retailprice * 2 AS double_price FROM part")
 def evolve_overwrite(spark, sf_dir):
     """Another schema, one column of another type: the old schema is gone."""
@@ -132,9 +150,9 @@ def evolve_overwrite(spark, sf_dir):
     return shown(spark, name)
 
 
-@query("SELECT * FROM events WHERE event_type = 'purchase'")
+@query("SELECT * FROM events")
 def partitioned_write(spark, sf_dir):
-    """Reading one partition reads its files only."""
+    """One folder per event type."""
     name = _fresh(spark)
     target.append(table(spark, sf_dir, "events"), name, partition_column="event_type")
-    return shown(spark, name).filter("event_type = 'purchase'")
+    return shown(spark, name)

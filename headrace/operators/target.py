@@ -5,31 +5,38 @@ all other files stay as they are. See ``layout`` for how a target is stored.
 """
 
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headrace.functions.values import actual_name, as_text, column_name, quoted, sql_text
+from headrace.functions.values import actual_name, as_text, column_name, quoted
 from headrace.operators.incremental import with_metrics
-from headrace.operators.layout import (PART, Layout, drop_replaced, live_rows, load_layout, publish,
-                                       replaced_condition, written_prefix)
-from headrace.operators.schema import align, evolution_mode, plan_alignment
+from headrace.operators.layout import (PART, Layout, begin, live_rows, load_layout, new_mark, publish, record_replaced,
+                                       replaced_condition, with_place)
+from headrace.operators.schema import align, alter_columns, evolution_mode, evolved
 
 STAMP = "_ingested_at"
 
-# Tasks whose merged rows share a part: about 8 GB at Spark's default split size.
+# Tasks whose merged rows share a part, by default: about 8 GB at Spark's default split size.
 TASKS_PER_PART = 64
 
-# Most bytes of batch keys that are sent to every executor, if the session's own threshold is not lower.
+# Most bytes of batch keys that are sent to every executor, by default, if the session's own threshold is not lower.
 BROADCAST_BYTES = 64 << 20
 
+# A batch of at most so many keys is looked up by Bloom filters of the target's row groups.
+LOOKUP_KEYS = 200
+
 # Key types whose size in memory ``_key_summary`` knows: fixed ones, and those with a length in bytes.
 _SIZED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BinaryType)
 
-# Key types whose Parquet statistics order like Spark's comparison.
+# Key types whose Parquet statistics order like Spark's comparison, and those Parquet looks up in Bloom filters.
 _RANGED = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
+_LOOKED_UP = (T.IntegerType, T.LongType, T.DateType, T.StringType)
 
 
 @dataclass
@@ -38,6 +45,25 @@ class WriteResult:
     watermark: str | None = None
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession, beside: str):
+    """Write a frame once, so that later steps neither compute it again nor disagree; dropped in the end."""
+    made = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        if "." in beside:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(beside.rsplit('.', 1)[0])}")
+        made.append(quoted(f"{beside}__scratch_{uuid.uuid4().hex[:12]}"))
+        df.write.format("parquet").saveAsTable(made[-1])
+        return spark.table(made[-1])
+
+    try:
+        yield keep
+    finally:
+        for table in made:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def stamp(df: DataFrame, at=None) -> DataFrame:
     """Add the ingest time once; a frame that carries it keeps it."""
     if STAMP in df.columns:
@@ -51,29 +77,31 @@ def _rebalance(df: DataFrame, by: str) -> DataFrame:
 
 def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
                 watermark_type: str | None = None, keys: list[str] | None = None,
-                clustered: bool = False) -> WriteResult:
-    """Write one batch as the next write's parts, counting it on the same pass.
+                clustered: bool = False, tasks_per_part: int = TASKS_PER_PART) -> WriteResult:
+    """Write one batch as the layout's parts, counting it on the same pass.
 
     With a partition column the rows are first rebalanced on it, unless they are
     ``clustered`` already: a partition's rows meet in few files, and AQE splits a hot
     partition over several tasks. Merged rows come
     with their ``keys``: they are cut into a part per group of tasks, so that a later merge
     can leave most of them alone, and sorted by key within each task, which narrows the
-    key ranges in the Parquet statistics.
+    key ranges in the Parquet statistics; Bloom filters on the keys tell a small batch which
+    row groups to read, in whatever order the keys came.
     """
     by = layout.partition_column
     if by and not clustered:
         df = _rebalance(df, by)
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
-    layout.written, layout.writer = layout.written + 1, uuid.uuid4().hex[:12]
-    name = F.lit(written_prefix(layout))
+    name, options = F.lit(layout.prefix), {}
     if keys:
-        name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / TASKS_PER_PART))
+        name = F.concat(name, F.lit("-"), F.floor(F.spark_partition_id() / tasks_per_part))
+        options = {f"parquet.bloom.filter.enabled#{k}": "true" for k in keys if isinstance(df.schema[k].dataType, _LOOKED_UP)}
+        options |= {"parquet.bloom.filter.adaptive.enabled": "true"} if options else {}
     df = df.drop("_fresh").withColumn(PART, name)
     if keys:
         df = df.sortWithinPartitions(*[F.col(column_name(c)) for c in [PART, *([by] if by else []), *keys]])
-    (df.write.format("parquet").mode("append").partitionBy(PART, *([by] if by else []))
+    (df.write.format("parquet").mode("append").options(**options).partitionBy(PART, *([by] if by else []))
        .saveAsTable(quoted(layout.data)))
     seen = metrics.get
     return WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark"))
@@ -84,34 +112,30 @@ def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -
 
 
 def _create(df: DataFrame, view: str, partition_column: str | None, watermark_column, watermark_type,
-            applied: dict[str, int], based_on: Layout | None = None,
-            keys: list[str] | None = None) -> WriteResult:
+            applied: dict[str, int], based_on: Layout | None = None, keys: list[str] | None = None,
+            tasks_per_part: int = TASKS_PER_PART) -> WriteResult:
     """Start a new data table with the batch as its only part, and show it."""
     spark = df.sparkSession
     if "." in view:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(view.rsplit('.', 1)[0])}")
     if partition_column:
         partition_column = actual_name(df.schema, partition_column)
-    layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column,
+    layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column, 1, new_mark(),
                     retired_table=based_on.data if based_on else None, applied=applied)
-    result = _write_part(df, layout, watermark_column, watermark_type, keys)
+    result = _write_part(df, layout, watermark_column, watermark_type, keys, tasks_per_part=tasks_per_part)
     layout.watermark = _hint(watermark_column, result, None)
     publish(spark, view, layout, df.columns, based_on)
     return result
 
 
 def _evolve(df: DataFrame, view: str, layout: Layout, evolution: str) -> tuple[DataFrame, list[str]]:
-    """Fit the batch to the target, adding the columns the evolution mode lets in."""
+    """Fit the batch to the target, adding the columns and nested fields the evolution mode lets in."""
     spark = df.sparkSession
-    shown = spark.table(view).schema
-    extra = plan_alignment(df.schema, shown, evolution)
-    stored = {f.name.lower() for f in spark.table(layout.data).schema.fields}
-    add = [f for f in extra if f.name.lower() not in stored]
-    if add:
-        columns = ", ".join(f"{column_name(f.name)} {f.dataType.simpleString()}" for f in add)
-        spark.sql(f"ALTER TABLE {quoted(layout.data)} ADD COLUMNS ({columns})")
-    schema = T.StructType(shown.fields + extra)
-    return align(df, schema), schema.fieldNames()
+    wanted = evolved(df.schema, spark.table(view).schema, evolution)
+    # a crashed write may have added some of them already
+    stored = spark.table(layout.data).schema
+    alter_columns(spark, layout.data, stored, evolved(wanted, stored, "merge"))
+    return align(df, wanted), wanted.fieldNames()
 
 
 def append(df: DataFrame, view: str, evolution: str | None = None, partition_column: str | None = None,
@@ -133,7 +157,7 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
     if layout is None:
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
-    begun, layout = layout, drop_replaced(spark, layout)
+    begun, (_, layout) = layout, begin(spark, layout)
     result = _write_part(batch, layout, watermark_column, watermark_type)
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
@@ -150,10 +174,7 @@ def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_
     applied = {}
     if layout is not None:
         if evo == "none":
-            shown = spark.table(view).schema
-            plan_alignment(df.schema, shown, evo)
-            df = align(df, shown)
-        layout = drop_replaced(spark, layout)
+            df = align(df, evolved(df.schema, spark.table(view).schema, evo))
         applied = layout.applied
     return _create(df, view, partition_column, watermark_column, watermark_type, applied, layout)
 
@@ -199,13 +220,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
 
 
 def _key_summary(df: DataFrame, keys: list[str]) -> dict:
-    """One pass over the keys: the most rows any key has, their total size in memory, and
-    the range of every key column."""
+    """One pass over the keys: how many there are, the most rows any has, their total size in memory,
+    and the range of every key column."""
     size = F.lit(48)
     for k in keys:
         if isinstance(df.schema[k].dataType, (T.StringType, T.BinaryType)):
             size = size + F.octet_length(F.col(column_name(k)))
-    ends = [F.max("_copies").alias("copies"), F.sum(size).alias("bytes")]
+    ends = [F.max("_copies").alias("copies"), F.count(F.lit(1)).alias("keys"), F.sum(size).alias("bytes")]
     for i, k in enumerate(keys):
         if isinstance(df.schema[k].dataType, _RANGED):
             column, dtype = F.col(column_name(k)), df.schema[k].dataType
@@ -214,9 +235,9 @@ def _key_summary(df: DataFrame, keys: list[str]) -> dict:
     return count_per_key(df, keys).agg(*ends).first().asDict()
 
 
-def _broadcastable(spark: SparkSession, summary: dict, types: list[T.DataType]) -> bool:
+def _broadcastable(spark: SparkSession, summary: dict, types: list[T.DataType], most: int = BROADCAST_BYTES) -> bool:
     """Whether the batch's keys are measured, and within the session's broadcast threshold."""
-    allowed = min(BROADCAST_BYTES, spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    allowed = min(most, spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
     return all(isinstance(t, _SIZED) for t in types) and (summary["bytes"] or 0) <= allowed
 
 
@@ -230,50 +251,56 @@ def _within(rows: DataFrame, keys: list[str], summary: dict) -> DataFrame:
     return rows
 
 
-def _matched_keys(near: DataFrame, layout: Layout, batch_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """Matched keys with their number of target rows and the places of these rows.
+def _looked_up(rows: DataFrame, keys: list[str], summary: dict, batch_keys: DataFrame) -> DataFrame:
+    """Rows whose keys a small batch holds, as plain equalities: Parquet skips the row groups without them.
 
-    Aggregated before the join, so a hot key shrinks in the tasks that read it. If the
-    batch is small enough to broadcast, Catalyst moves the semi join below the aggregate
-    and only matched rows are shuffled.
+    At most ``LOOKUP_KEYS`` keys come to the driver; a larger batch is only joined.
     """
-    place = F.lit(None).cast("string")
-    if layout.partition_column:
-        place = as_text(F.col(column_name(layout.partition_column)),
-                        near.schema[layout.partition_column].dataType)
-    return (near.groupBy(*[F.col(column_name(k)) for k in keys])
-            .agg(F.count(F.lit(1)).alias("_copies"),
-                 F.collect_set(F.struct(F.col(PART).alias("part"), place.alias("place"))).alias("_places"))
-            .join(batch_keys, keys, "left_semi"))
+    chosen = [k for k in keys if isinstance(rows.schema[k].dataType, _LOOKED_UP)]
+    if not chosen or not 0 < summary["keys"] <= LOOKUP_KEYS:
+        return rows
+    tests = [reduce(and_, [F.col(column_name(k)) == F.lit(key[k]) for k in chosen])
+             for key in batch_keys.select(*map(column_name, chosen)).distinct().collect()]
+    while len(tests) > 1:  # a balanced tree: deep expressions are slow to plan
+        tests = [reduce(or_, tests[i:i + 2]) for i in range(0, len(tests), 2)]
+    return rows.filter(tests[0])
 
 
-def _touched(matched: DataFrame) -> list[Row]:
-    """The storage places with a match, and whether some key there is held by several rows.
+def _matches(near: DataFrame, layout: Layout, batch_keys: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys and places of the target rows that the batch updates."""
+    return (with_place(near.join(batch_keys, keys, "left_semi"), layout)
+            .select(*[F.col(column_name(k)) for k in keys], "part", "place"))
 
-    One row per touched partition comes back, never one per data row.
-    """
-    return (matched.select("_copies", F.explode("_places").alias("spot"))
-            .groupBy("spot.part", "spot.place").agg((F.max("_copies") > 1).alias("repeated")).collect())
+
+def _marked(batch: DataFrame, batch_keys: DataFrame, repeated: DataFrame, keys: list[str]) -> DataFrame:
+    """The batch's keys, with the whole row for keys that the target holds several times."""
+    row = F.struct(*[F.col(column_name(c)) for c in batch.columns]).alias("_new")
+    new = batch.join(repeated, keys, "left_semi").select(*[F.col(column_name(k)) for k in keys], row)
+    return batch_keys.join(new, keys, "left").withColumn("_hit", F.lit(True))
 
 
-def _update_in_place(old: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The old rows, each replaced by the batch row of its key if there is one."""
-    new = batch.select(*[F.col(column_name(k)) for k in keys],
-                       F.struct(*[F.col(column_name(c)) for c in batch.columns]).alias("_new"))
-    hit = F.col("_new").isNotNull()
-    return old.join(new, keys, "left").select(*[
-        F.when(hit, F.col(f"_new.{column_name(c)}")).otherwise(F.col(column_name(c))).alias(c)
-        for c in old.columns], hit.alias("_fresh"))
+def _updated(old: DataFrame, marked: DataFrame, keys: list[str]) -> DataFrame:
+    """The old rows without those the batch replaces; rows of a repeated key are updated where they are."""
+    columns, fresh = old.columns, F.col("_new").isNotNull()
+    joined = old.join(marked, keys, "left").filter(F.col("_hit").isNull() | fresh)
+    return joined.select(*[F.when(fresh, F.col(f"_new.{column_name(c)}")).otherwise(F.col(column_name(c))).alias(c)
+                           for c in columns], fresh.alias("_fresh"))
 
 
 def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | None = None,
           partition_column: str | None = None, on_duplicate: str = "error", order_by: str | None = None,
-          watermark_column: str | None = None, watermark_type: str | None = None) -> WriteResult:
+          watermark_column: str | None = None, watermark_type: str | None = None,
+          tasks_per_part: int = TASKS_PER_PART, broadcast_bytes: int = BROADCAST_BYTES) -> WriteResult:
     """Upsert: a batch row replaces the target rows with equal keys, or is inserted.
 
     NULL keys never match. The batch is read several times, so it must be stable: files
     or a table, not a live source. Several batch rows for one key raise, or with
     ``on_duplicate="latest"`` the one with the greatest ``order_by`` wins.
+
+    The target is read twice: its keys, to find the rows the batch updates, and then the storage
+    places of these rows, to write them anew. ``tasks_per_part`` tasks write one part, the least
+    that a later merge can leave alone; batch keys of up to ``broadcast_bytes`` in memory, and within
+    the session's threshold, are sent to every executor instead of shuffling the target.
     """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     if not keys:
@@ -284,53 +311,48 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
         raise ValueError(f"on_duplicate {on_duplicate!r} is neither 'error' nor 'latest'")
     if on_duplicate == "latest" and not order_by:
         raise ValueError("on_duplicate='latest' needs an order_by column")
-    summary, df_rows = _key_summary(df, keys), df
-    key_rows = df.filter(_no_null(keys))
-    if (summary["copies"] or 0) > 1:
-        if on_duplicate == "error":
-            example = count_per_key(df, keys).filter("_copies > 1").first().asDict()
-            raise ValueError(f"the batch has several rows for one key of {view}: {example}")
-        df_rows, key_rows = latest_per_key(df, keys, order_by), count_per_key(df, keys)
+    summary = _key_summary(df, keys)
+    if (summary["copies"] or 0) > 1 and on_duplicate == "error":
+        example = count_per_key(df, keys).filter("_copies > 1").first().asDict()
+        raise ValueError(f"the batch has several rows for one key of {view}: {example}")
 
     layout = load_layout(spark, view)
-    if layout is None:
-        return _create(df_rows, view, partition_column, watermark_column, watermark_type, {}, keys=keys)
-    batch, columns = _evolve(df_rows, view, layout, "merge" if evo == "overwrite" else evo)
-    keys = [actual_name(batch.schema, k) for k in keys]
-    batch_keys = align(key_rows, T.StructType([batch.schema[k] for k in keys]))
-    small = _broadcastable(spark, summary, [df.schema[k].dataType for k in keys if k in df.columns])
-    if small:
-        batch_keys = F.broadcast(batch_keys)
-
-    begun, layout = layout, drop_replaced(spark, layout)
-    live = live_rows(spark, layout)
-    matched = _matched_keys(_within(live, keys, summary), layout, batch_keys, keys)
-    touched = _touched(matched)
-
-    out, clustered = batch.withColumn("_fresh", F.lit(True)), False
-    if touched:
-        if layout.partition_column:
-            layout.replaced = [[r["part"], r["place"]] for r in touched]
-            hit = replaced_condition(layout, live.schema[layout.partition_column].dataType.simpleString())
-        else:
-            layout.retired = [r["part"] for r in touched]
-            hit = f"{PART} IN ({', '.join(sql_text(p) for p in layout.retired)})"
-        shown = [F.col(column_name(c)) for c in columns]
-        old = live.filter(hit).select(*shown)
-        # Rows without a full key bypass the join, where they would all meet in one task.
-        keyed, unkeyed = old.filter(_no_null(keys)), old.filter(~_no_null(keys))
-        if any(r["repeated"] for r in touched):
-            # Keys the target holds several times: every such row is updated, none is lost.
-            kept = _update_in_place(keyed, batch, keys)
-            out = out.join(matched.select(*[F.col(column_name(k)) for k in keys]), keys, "left_anti")
-        else:
-            kept = keyed.join(batch_keys, keys, "left_anti").withColumn("_fresh", F.lit(False))
-            if small and layout.partition_column:
-                # Kept rows stay in the order they were read: only the batch is shuffled.
-                out, clustered = _rebalance(out, layout.partition_column), True
-        out = kept.unionByName(unkeyed.withColumn("_fresh", F.lit(False))).unionByName(out)
-        out = out.select(*shown, "_fresh")
-    result = _write_part(out, layout, watermark_column, watermark_type, keys, clustered)
+    with scratch_tables(spark, view) as keep:
+        if (summary["copies"] or 0) > 1:
+            df = latest_per_key(df, keys, order_by)
+            df = df if layout is None else keep(df)
+        if layout is None:
+            return _create(df, view, partition_column, watermark_column, watermark_type, {}, keys=keys,
+                           tasks_per_part=tasks_per_part)
+        batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
+        keys = [actual_name(batch.schema, k) for k in keys]
+        batch_keys = batch.filter(_no_null(keys)).select(*[F.col(column_name(k)) for k in keys])
+        small = _broadcastable(spark, summary, [df.schema[k].dataType for k in keys if k in df.columns], broadcast_bytes)
+        sent = F.broadcast if small else lambda frame: frame
+
+        begun, (shown, layout) = layout, begin(spark, layout)
+        live = live_rows(spark, shown)
+        near = _looked_up(_within(live, keys, summary), keys, summary, batch_keys)
+        found, count = with_metrics(_matches(near, layout, sent(batch_keys), keys))
+        matches = keep(found)
+        out, clustered = batch.withColumn("_fresh", F.lit(True)), False
+        if count.get["rows"]:
+            record_replaced(matches, layout)
+            layout.replaced = True
+            old = live.filter(replaced_condition(layout)).select(*[F.col(column_name(c)) for c in columns])
+            # Rows without a full key bypass the join, where they would all meet in one task.
+            keyed, unkeyed = old.filter(_no_null(keys)), old.filter(~_no_null(keys)).withColumn("_fresh", F.lit(False))
+            repeated = count_per_key(matches, keys).filter("_copies > 1").drop("_copies")
+            if repeated.isEmpty():
+                kept = keyed.join(sent(batch_keys), keys, "left_anti").withColumn("_fresh", F.lit(False))
+                if small and layout.partition_column:
+                    # Kept rows stay in the order they were read: only the batch is shuffled.
+                    out, clustered = _rebalance(out, layout.partition_column), True
+            else:
+                kept = _updated(keyed, _marked(batch, batch_keys, repeated, keys), keys)
+                out = out.join(repeated, keys, "left_anti")
+            out = kept.unionByName(unkeyed).unionByName(out).select(*[F.col(column_name(c)) for c in columns], "_fresh")
+        result = _write_part(out, layout, watermark_column, watermark_type, keys, clustered, tasks_per_part)
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns, begun)
     return result

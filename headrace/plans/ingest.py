@@ -1,7 +1,6 @@
 """Runs: one object end to end, or every selected object with failures isolated."""
 
 import logging
-import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
@@ -11,7 +10,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from headrace.functions.frames import small_frame
-from headrace.functions.values import quoted
 from headrace.operators import runlog, target
 from headrace.operators.eventlog import append_event, create_log
 from headrace.operators.incremental import apply_incremental, resolve_watermark, with_metrics
@@ -68,14 +66,6 @@ def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     return apply_incremental(rows, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
 
 
-def _stage(df: DataFrame, table: str) -> DataFrame:
-    """Write the batch once, so that later steps neither reread the source nor disagree."""
-    if "." in table:
-        df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(table.rsplit('.', 1)[0])}")
-    df.write.format("parquet").mode("overwrite").saveAsTable(quoted(table))
-    return df.sparkSession.table(quoted(table))
-
-
 def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, ingest_date: date,
            run_id: str, on_duplicate: str) -> tuple[int, int]:
     """Land and write one batch, reading the source once; returns rows read and written."""
@@ -84,18 +74,16 @@ def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, inges
     fmt = landing_format(obj.file_format)
     place = (landing_base, source.source_name, obj.source_schema, obj.source_object_name,
              ingest_date, run_id, obj.file_format)
-    staging = f"{name}__batch_{uuid.uuid4().hex[:8]}"
-    staged, rows_read = None, None
+    rows_read = None
     batch = target.stamp(df, datetime.now(timezone.utc))
-    try:
+    with target.scratch_tables(spark, name) as keep:
         if landing_base and fmt == "parquet":
             observed, metrics = with_metrics(batch)
             path = land(observed, *place)
             batch, rows_read = spark.read.schema(batch.schema).parquet(path), metrics.get["rows"]
         elif landing_base or obj.write_mode == "merge":
             observed, metrics = with_metrics(batch)
-            staged = staging
-            batch, rows_read = _stage(observed, staging), metrics.get["rows"]
+            batch, rows_read = keep(observed), metrics.get["rows"]
             if landing_base:
                 land(batch, *place)
         result = target.write(
@@ -103,9 +91,6 @@ def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, inges
             evolution=obj.schema_evolution_mode, partition_column=obj.partition_column,
             watermark_column=column, watermark_type=declared)
         return (result.rows if rows_read is None else rows_read), result.rows
-    finally:
-        if staged:
-            spark.sql(f"DROP TABLE IF EXISTS {quoted(staged)}")
 
 
 def prepare_logs(spark: SparkSession, run_log: str, ledger: str | None = None) -> None:
