@@ -163,6 +163,25 @@ def jdbc_incremental_paged_extract(spark, sf_dir):
                        incremental_end_value="2024-01-25 00:00:00", page_column='"event_id"')
 
 
+@query("""SELECT o.*, CAST(o_totalprice AS VARCHAR) AS price_text FROM orders o
+WHERE o_totalprice > 99999.5 AND o_orderstatus <> 'P'""")
+def jdbc_text_watermark(spark, sf_dir):
+    """Numbers kept as text: the database converts and compares them."""
+    orders = table(spark, sf_dir, "orders").withColumn("price_text", F.col("o_totalprice").cast("string"))
+    options = _to_derby(orders, "orders",
+                        "o_orderstatus VARCHAR(8), o_orderpriority VARCHAR(32), price_text VARCHAR(32)")
+    return _read_derby(spark, options, source_object_name="orders", load_type="incremental",
+                       source_filter="\"o_orderstatus\" <> 'P'", incremental_column="price_text",
+                       incremental_column_type="double", incremental_end_value="99999.5")
+
+
+@query("SELECT * FROM customer")
+def jdbc_text_key_pages(spark, sf_dir):
+    """Pages of one size on a text key, between quantiles the database finds."""
+    options = _to_derby(table(spark, sf_dir, "customer"), "customer", "c_name VARCHAR(64), c_mktsegment VARCHAR(32)")
+    return _read_derby(spark, options | {"pages": "4"}, source_object_name="customer", primary_key_cols="c_name,c_custkey")
+
+
 @query("SELECT * FROM events")
 def paged_extract(spark, sf_dir):
     """Four range pages over the key, read in parallel between bounds the database finds."""

@@ -18,7 +18,7 @@ from headrace.operators.layout import watermark_hint
 from headrace.plans.metadata import discover, object_by_id, source_by_id, target_name
 from headrace.sources.file_drop import LEDGER_SCHEMA, consumes, read_selected, select_files
 from headrace.sources.registry import read_source
-from headrace.sources.relational import paged_above
+from headrace.sources.relational import filtered_above
 
 log = logging.getLogger(__name__)
 
@@ -60,10 +60,11 @@ def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     name = target_name(obj)
     watermark = resolve_watermark(spark, name, column, obj.incremental_column_type,
                                   obj.incremental_end_value, watermark_hint(spark, name, column))
+    done = False
     if watermark is not None:
-        obj = paged_above(spark, source, obj, column, watermark, obj.watermark_lag_sec)
+        obj, done = filtered_above(spark, source, obj, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
     rows = read_source(spark, source, obj)
-    return apply_incremental(rows, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
+    return rows if done else apply_incremental(rows, column, watermark, obj.incremental_column_type, obj.watermark_lag_sec)
 
 
 def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, ingest_date: date,

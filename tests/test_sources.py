@@ -76,6 +76,67 @@ def test_pages_are_cut_above_the_watermark(spark, derby):
     assert len(rows) == 4 and sum(r["count"] for r in rows) == 40 and max(r["count"] for r in rows) <= 12
 
 
+def page_sizes(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+@pytest.fixture(scope="module")
+def odd_keys(spark):
+    """Text keys that bunch at their beginnings, with quotes, some NULL; a number key with one far value."""
+    rows = spark.range(2000).selectExpr(
+        "CASE WHEN id % 100 <> 7 THEN concat('cust\\'', lpad(CAST(id AS STRING), 9, '0')) ELSE 'none' END AS k",
+        "CASE WHEN id = 5 THEN 1000000000 ELSE id * id END AS n", "CAST(id * 10 AS STRING) AS at",
+        "concat('2024-01-', lpad(CAST(id % 28 + 1 AS STRING), 2, '0')) AS day")
+    return _to_derby(rows, "odd_keys", "k VARCHAR(32), at VARCHAR(16), day VARCHAR(10)")
+
+
+def test_text_keys_are_cut_into_even_pages(spark, odd_keys):
+    rows = """SELECT NULLIF("k", 'none') AS "k", "n" FROM odd_keys"""
+    df = read_jdbc(spark, odd_keys, query=rows, page_column='"k"', pages=8)
+    sizes = page_sizes(df)
+    assert len(sizes) == 8 and sum(sizes) == 2000 and sizes[-1] <= 2 * 2000 / 8
+    assert df.select("n").distinct().count() == 2000
+    assert read_jdbc(spark, odd_keys, name="odd_keys", page_column='"k"', source_filter='"n" < 0').count() == 0
+    one = read_jdbc(spark, odd_keys, query=rows, source_filter='"k" IS NULL', page_column='"k"')
+    assert one.count() == 20
+
+
+def test_skewed_keys_above_a_watermark(spark, odd_keys):
+    """Equal ranges would put all rows but one in one page."""
+    source = one_source(spark, source_id=1, source_name="s", source_type="MYSQL",
+                        options=odd_keys | {"pages": "5", "page_bounds": "quantiles"})
+    df = extract(spark, source, one_object(
+        spark, source_object_name="odd_keys", load_type="INCREMENTAL", incremental_column="n", primary_key_cols="n",
+        incremental_end_value=str(999 * 999), target_schema="none", target_table="t"))
+    sizes = page_sizes(df)
+    assert len(sizes) == 5 and sum(sizes) == 1001 and sizes[-1] <= 2 * 1001 / 5
+    with pytest.raises(ValueError, match="page_bounds"):
+        read_jdbc(spark, odd_keys, name="odd_keys", page_column='"n"', page_bounds="even")
+
+
+@pytest.mark.parametrize("column,declared,watermark,lag,want", [
+    ("at", "bigint", "19900", None, 9), ("at", "int", "19900", 100, 19), ("at", "decimal(12,2)", "19899.5", None, 10),
+    ("at", "double", "1.99e4", None, 9), ("day", "date", "2024-01-27", None, 71), ("day", "date", "2024-01-27", 86400, 142)])
+def test_text_watermarks_run_in_the_database(spark, odd_keys, column, declared, watermark, lag, want):
+    source = one_source(spark, source_id=1, source_name="s", source_type="ORACLE", options=odd_keys | {"pages": "3"})
+    df = extract(spark, source, one_object(
+        spark, source_object_name="odd_keys", load_type="INCREMENTAL", incremental_column=column, write_mode="merge",
+        incremental_column_type=declared, incremental_end_value=watermark, watermark_lag_sec=lag, primary_key_cols="k",
+        target_schema="none", target_table="t"))
+    assert df.count() == want
+    assert "Filter (" not in plan(df)
+    assert len(page_sizes(df)) == 3  # the pages are cut above it
+
+
+def test_text_that_is_compared_by_spark(spark, odd_keys):
+    """Zoned times depend on the session, so the database does not compare them."""
+    source = one_source(spark, source_id=1, source_name="s", source_type="ORACLE", options=odd_keys)
+    df = extract(spark, source, one_object(
+        spark, source_object_name="odd_keys", load_type="INCREMENTAL", incremental_column="day",
+        incremental_column_type="timestamp", incremental_end_value="2024-01-27", target_schema="none", target_table="t"))
+    assert df.count() == 71 and "Filter (" in plan(df)
+
+
 def test_document_wrappers(spark):
     path = new_dir(spark)
     spark.createDataFrame([
