@@ -33,6 +33,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--max-parallel", type=int, default=4)
     parser.add_argument("--trigger-type", default="SCHEDULED")
     parser.add_argument("--trigger-id")
+    parser.add_argument("--frequency", help="how often the job runs, for the run log")
+    parser.add_argument("--department-id", type=int, help="who the run is for, for the run log")
     parser.add_argument("--on-duplicate", choices=("error", "latest"), default="error")
     return parser.parse_args(argv)
 
@@ -42,7 +44,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     objects = (normalise_objects(spark.table(args.objects)) if args.objects
                else adapt_reports(spark.table(args.reports), args.report_catalog))
     options = {"landing_base": args.landing, "ledger": args.ledger, "trigger_type": args.trigger_type,
-               "trigger_id": args.trigger_id, "business_date": args.business_date, "on_duplicate": args.on_duplicate}
+               "trigger_id": args.trigger_id, "business_date": args.business_date, "on_duplicate": args.on_duplicate,
+               "frequency": args.frequency, "department_id": args.department_id}
     chosen = {"source_type": args.source_type, "source_id": args.source_id, "source_name": args.source_name}
     if args.object_id is not None:
         results = ingest_by_id(spark, sources, objects, args.object_id, args.run_log, pipeline_name=args.pipeline,

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headrace.catalogue.base import one_object, one_source, query, shown, table
+from headrace.operators import target
 from headrace.operators.landing import land, object_path
+from headrace.operators.layout import load_layout
 from headrace.plans.ingest import extract
 from headrace.plans.metadata import adapt_reports
 from headrace.session import new_dir, new_schema
@@ -35,7 +37,7 @@ def _read_documents(spark: SparkSession, sf_dir: str, **obj) -> DataFrame:
                         root_path=_documents(spark, sf_dir), default_collection="events")
     return extract(spark, source, one_object(
         spark, source_schema="analyticsdb", target_schema="none", target_table="bronze",
-        reader_options={"schema": _EVENTS}, **({"source_object_name": "__default__"} | obj)))
+        **({"source_object_name": "__default__", "reader_options": {"schema": _EVENTS}} | obj)))
 
 
 @query("SELECT * FROM events")
@@ -43,6 +45,19 @@ def document_extract(spark, sf_dir):
     return _read_documents(spark, sf_dir)
 
 
+@query(f"SELECT * FROM events WHERE {_SINCE}")
+def document_variant(spark, sf_dir):
+    """Whole documents as VARIANT values beside a typed column for the watermark; what they hold is taken out later."""
+    name = f"{new_schema(spark)}.bronze"
+    rows = _read_documents(spark, sf_dir, load_type="incremental", incremental_column="ts",
+                           incremental_end_value="2024-01-15T00:00:00Z",
+                           reader_options={"schema": "event_id long, ts timestamp_ntz", "variant": "document"})
+    target.append(rows, name)
+    fields = ("user_id long", "event_type string", "value double", "props string")
+    return shown(spark, name).select("event_id", "ts", *[
+        F.variant_get("document", f"$.{field}", dtype).alias(field) for field, dtype in map(str.split, fields)])
+
+
 @query("SELECT * FROM events")
 def document_paged_extract(spark, sf_dir):
     return _read_documents(spark, sf_dir, page_column="event_type")
@@ -85,6 +100,23 @@ def delimited_extract(spark, sf_dir):
     return extract(spark, source, _report(spark, path, _EVENTS, escape='"', **_MICROS))
 
 
+@query("SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_orderpriority || '!' END AS note FROM orders")
+def delimited_second_run(spark, sf_dir):
+    """The second report has its columns in another order and one more: types are the target's, none is inferred."""
+    path, schema = new_dir(spark), new_schema(spark)
+    orders = table(spark, sf_dir, "orders")
+    source = one_source(spark, source_id=1, source_name="Reports", source_type="s3")
+    obj = one_object(spark, source_path=f"{path}/report", source_object_name="orders", reader_options={"escape": '"'},
+                     target_schema=schema, target_table="bronze", schema_evolution_mode="merge")
+    late = F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")
+    second = orders.filter(late).withColumn("note", F.concat("o_orderpriority", F.lit("!")))
+    for batch in (orders.filter(~late), second.select(*reversed(second.columns))):
+        batch.write.mode("overwrite").options(header=True, escape='"').csv(f"{path}/report")
+        target.append(extract(spark, source, obj), f"{schema}.bronze", "merge")
+    typed = {f.name: F.col(f.name).cast(f.dataType) for f in orders.schema}
+    return shown(spark, f"{schema}.bronze").withColumns(typed).select(*orders.columns, "note")
+
+
 @query("SELECT * FROM pages")
 def delimited_multiline_extract(spark, sf_dir):
     """Whole web pages, with line breaks, delimiters and quotes inside the fields."""
@@ -149,19 +181,21 @@ def file_drop_pending(spark, sf_dir):
     return read_selected(spark, source, obj, select_files(spark, source, obj, ledger))
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+@query("SELECT * FROM orders")
 def fixed_width_extract(spark, sf_dir):
     root = new_dir(spark)
     orders = table(spark, sf_dir, "orders")
     orders.select(F.concat(
-        F.lpad(F.col("o_orderkey").cast("string"), 20, " "), F.rpad("o_orderstatus", 4, " "),
+        F.lpad(F.col("o_orderkey").cast("string"), 20, " "), F.lpad(F.col("o_custkey").cast("string"), 20, " "),
+        F.rpad("o_orderstatus", 4, " "), F.rpad("o_orderpriority", 20, " "),
         F.lpad(F.col("o_totalprice").cast("string"), 24, " "),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))).write.text(f"{root}/fixed")
     source = one_source(spark, source_id=1, source_name="Files", source_type="sftp", root_path=root)
     return extract(spark, source, one_object(
         spark, source_schema="fixed", source_object_name="part-*.txt", file_format="fixed_width",
         target_schema="none", target_table="bronze",
-        reader_options={"layout": "o_orderkey:20:bigint; o_orderstatus:4:string; "
+        reader_options={"layout": "o_orderkey:20:bigint; o_custkey:20:bigint; o_orderstatus:4:string; "
+                                  "o_orderpriority:20:string; "
                                   "o_totalprice:24:double; o_orderdate:19:timestamp_ntz"}))
 
 
@@ -194,3 +228,19 @@ def stream_file_drop(spark, sf_dir):
         rows = drop_stream.read_drop_stream(spark, f"{root}/uploads/daily_*", "part-*.parquet", "parquet", _EVENTS)
         drop_stream.stream_file_drop(rows, name, checkpoint)
     return shown(spark, name)
+
+
+@query("""SELECT * REPLACE (CASE WHEN event_type IN ('view', 'error') THEN value + 1 ELSE value END AS value)
+FROM events""")
+def stream_merge(spark, sf_dir):
+    """Deliveries that update what came before them; a replay of the whole stream's last batch changes nothing."""
+    root, name, checkpoint = new_dir(spark), f"{new_schema(spark)}.bronze", new_dir(spark)
+    events = table(spark, sf_dir, "events")
+    newer = events.filter("event_type IN ('view', 'error')").withColumn("value", F.col("value") + 1)
+    for batch in (events.filter("event_type <> 'error'"), newer):
+        batch.write.mode("append").parquet(f"{root}/drop")
+        rows = drop_stream.read_drop_stream(spark, f"{root}/drop", "part-*.parquet", "parquet", _EVENTS)
+        drop_stream.stream_file_drop(rows, name, checkpoint, keys=["event_id"])
+    stream, number = next(iter(load_layout(spark, name).applied.items()))
+    target.merge(events, name, ["event_id"], batch_of=(stream, number))
+    return shown(spark, name)

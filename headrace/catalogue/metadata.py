@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headrace.catalogue.base import query, table
-from headrace.functions.values import key_list
 from headrace.plans.metadata import (adapt_reports, discover, discover_reports, normalise_objects,
                                      normalise_sources)
 
@@ -87,7 +86,7 @@ coalesce(is_enabled, true) AS is_enabled,
 CASE WHEN primary_key_cols <> '' THEN 'p_partkey|p_brand' END AS keys,
 CASE WHEN primary_key_cols <> '' THEN 2 END AS n_keys FROM ({_O})""", name="normalise_objects")
 def object_rows(spark, sf_dir):
-    keys = key_list(F.col("primary_key_cols"))
+    keys = F.col("key_columns")
     return objects(spark, sf_dir).select(
         "ingestion_object_id", "source_object_type", "load_type", "write_mode", "schema_evolution_mode",
         "delta_layer", "is_enabled", F.array_join(keys, "|").alias("keys"),

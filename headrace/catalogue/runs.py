@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from headrace.catalogue.base import (CATALOG_SOURCE, objects_frame, query, schema_with, shown,
@@ -69,6 +69,22 @@ def run_log_of_runs(spark, sf_dir):
         "table_id", "source_table", "status", "rows_copied")
 
 
+@query("""SELECT 'SUCCESS' AS status, run, CASE run WHEN 2 THEN (SELECT count(*) FROM events WHERE value < 10) ELSE n END AS
+rows_copied, CASE run WHEN 1 THEN 0 WHEN 2 THEN n ELSE (SELECT count(*) FROM events WHERE value < 10) END AS rows_deleted
+FROM (SELECT count(*) AS n FROM events), (VALUES (1), (2), (3)) runs(run)""")
+def run_log_deleted(spark, sf_dir):
+    """Rows that overwrites took out, as the run log has them."""
+    schema = schema_with(spark, sf_dir, "events")
+    for condition in (None, "value < 10", None):
+        objects = objects_frame(spark, {
+            "ingestion_object_id": 1, "source_system_id": 1, "source_schema": schema, "source_object_name": "events",
+            "write_mode": "overwrite", "source_filter": condition, "target_schema": schema, "target_table": "bronze"})
+        raise_for_failures(ingest_all(spark, sources_frame(spark, CATALOG_SOURCE), objects, f"{schema}.runs"))
+    runs = runlog.current_runs(spark.table(f"{schema}.runs"))
+    return runs.select("status", F.row_number().over(Window.partitionBy("table_id").orderBy("trigger_time")).alias("run"),
+                       "rows_copied", "rows_deleted")
+
+
 @query("SELECT * FROM events WHERE event_type <> 'error'")
 def ingest_file_drops(spark, sf_dir):
     """Two runs over a drop folder; files that came in between are all the second one reads."""
@@ -136,7 +152,7 @@ def ingest_every_source(spark, sf_dir):
     """
     schema, root = schema_with(spark, sf_dir, "lineitem", "orders", "supplier", "region"), new_dir(spark)
     base = root if "://" in root else f"file://{root}"
-    customer, events = table(spark, sf_dir, "customer"), table(spark, sf_dir, "events").select("event_id", "value")
+    customer, events = table(spark, sf_dir, "customer"), table(spark, sf_dir, "events")
     customer.write.options(header=True, sep=";", escape='"').csv(f"{root}/reports/customer")
     events.write.json(f"{root}/store/clicks/events")
     sources = sources_frame(
@@ -154,7 +170,7 @@ def ingest_every_source(spark, sf_dir):
          "primary_key_cols": "c_custkey", "reader_options": {"schema": customer.schema.toDDL(), "escape": '"'}},
         shop | {"source_object_name": "supplier", "write_mode": "overwrite", "schema_evolution_mode": "none"},
         {"source_system_id": 3, "source_schema": "clicks", "source_object_name": "events", "page_column": "event_id",
-         "write_mode": "overwrite", "reader_options": {"schema": "event_id long, value double"}},
+         "write_mode": "overwrite", "reader_options": {"schema": events.schema.toDDL()}},
         shop | {"source_object_name": "region", "write_mode": "merge"}]
     objects = objects_frame(spark, *[r | {"ingestion_object_id": i, "target_schema": schema, "target_table": f"b{i}"}
                                      for i, r in enumerate(rows, 1)])

@@ -25,12 +25,12 @@ def table_folder(spark: SparkSession, table: str) -> str:
     return rows[0]["data_type"]
 
 
-def append_event(df: DataFrame, table: str, partition: dict[str, str]) -> None:
-    """Add rows to one partition; the rows carry the other columns."""
+def append_event(df: DataFrame, table: str, partition: dict[str, str], mode: str = "append") -> None:
+    """Add rows to one partition, or replace it; the rows carry the other columns."""
     spark = df.sparkSession
     leaf = "/".join(f"{k}={v}" for k, v in partition.items())
     spec = ", ".join(f"{k} = {sql_text(v)}" for k, v in partition.items())
     with _lock:
-        df.coalesce(1).write.mode("append").parquet(f"{table_folder(spark, table)}/{leaf}")
+        df.coalesce(1).write.mode(mode).parquet(f"{table_folder(spark, table)}/{leaf}")
         spark.sql(f"ALTER TABLE {quoted(table)} ADD IF NOT EXISTS PARTITION ({spec})")
         spark.catalog.refreshTable(quoted(table))

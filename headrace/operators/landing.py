@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame
 
 FORMATS = ("parquet", "json", "csv")
 
+# Layouts of source files that nothing is written in; their rows land as Parquet.
+_READ_ONLY = ("fixed_width", "fixedwidth")
+
 # Full precision; the text formats' defaults stop at milliseconds.
 _TEXT_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -20,8 +23,10 @@ def _folder(name: str) -> str:
 
 
 def landing_format(file_format: str | None) -> str:
-    """Parquet unless the object's format is one that can be written and read back."""
+    """The object's format, Parquet by default; one that cannot be landed in is refused."""
     fmt = (file_format or "parquet").lower()
+    if fmt not in (*FORMATS, *_READ_ONLY):
+        raise ValueError(f"rows cannot land as {file_format!r}; supported: {', '.join(FORMATS)}")
     return fmt if fmt in FORMATS else "parquet"
 
 

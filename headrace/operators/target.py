@@ -43,6 +43,8 @@ _LOOKED_UP = (T.IntegerType, T.LongType, T.DateType, T.StringType)
 class WriteResult:
     rows: int
     watermark: str | None = None
+    # rows an overwrite took out
+    deleted: int = 0
 
 
 @contextmanager
@@ -138,6 +140,14 @@ def _evolve(df: DataFrame, view: str, layout: Layout, evolution: str) -> tuple[D
     return align(df, wanted), wanted.fieldNames()
 
 
+def _applied(layout: Layout | None, batch_of: tuple[str, int] | None) -> dict[str, int] | None:
+    """The last numbers applied, with this batch's; None if the target holds it already."""
+    applied = dict(layout.applied) if layout else {}
+    if batch_of and applied.get(batch_of[0], -1) >= batch_of[1]:
+        return None
+    return applied | dict([batch_of] if batch_of else [])
+
+
 def append(df: DataFrame, view: str, evolution: str | None = None, partition_column: str | None = None,
            watermark_column: str | None = None, watermark_type: str | None = None,
            batch_of: tuple[str, int] | None = None) -> WriteResult:
@@ -149,11 +159,8 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
     spark, evo = df.sparkSession, evolution_mode(evolution)
     df = stamp(df)
     layout = load_layout(spark, view)
-    applied = {} if layout is None else dict(layout.applied)
-    if batch_of:
-        if applied.get(batch_of[0], -1) >= batch_of[1]:
-            return WriteResult(0)
-        applied[batch_of[0]] = batch_of[1]
+    if (applied := _applied(layout, batch_of)) is None:
+        return WriteResult(0)
     if layout is None:
         return _create(df, view, partition_column, watermark_column, watermark_type, applied)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
@@ -166,17 +173,24 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
 
 
 def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_column: str | None = None,
-              watermark_column: str | None = None, watermark_type: str | None = None) -> WriteResult:
-    """Replace all rows. The batch's schema replaces the target's unless evolution is none."""
+              watermark_column: str | None = None, watermark_type: str | None = None,
+              batch_of: tuple[str, int] | None = None) -> WriteResult:
+    """Replace all rows. The batch's schema replaces the target's unless evolution is none.
+
+    The rows taken out are counted from the files' footers, without reading a column. ``batch_of`` is
+    that of ``append``.
+    """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     df = stamp(df)
     layout = load_layout(spark, view)
-    applied = {}
-    if layout is not None:
-        if evo == "none":
-            df = align(df, evolved(df.schema, spark.table(view).schema, evo))
-        applied = layout.applied
-    return _create(df, view, partition_column, watermark_column, watermark_type, applied, layout)
+    if (applied := _applied(layout, batch_of)) is None:
+        return WriteResult(0)
+    deleted = 0 if layout is None else spark.table(view).count()
+    if layout is not None and evo == "none":
+        df = align(df, evolved(df.schema, spark.table(view).schema, evo))
+    result = _create(df, view, partition_column, watermark_column, watermark_type, applied, layout)
+    result.deleted = deleted
+    return result
 
 
 def _no_null(keys: list[str]):
@@ -290,7 +304,8 @@ def _updated(old: DataFrame, marked: DataFrame, keys: list[str]) -> DataFrame:
 def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | None = None,
           partition_column: str | None = None, on_duplicate: str = "error", order_by: str | None = None,
           watermark_column: str | None = None, watermark_type: str | None = None,
-          tasks_per_part: int = TASKS_PER_PART, broadcast_bytes: int = BROADCAST_BYTES) -> WriteResult:
+          tasks_per_part: int = TASKS_PER_PART, broadcast_bytes: int = BROADCAST_BYTES,
+          batch_of: tuple[str, int] | None = None) -> WriteResult:
     """Upsert: a batch row replaces the target rows with equal keys, or is inserted.
 
     NULL keys never match. The batch is read several times, so it must be stable: files
@@ -300,7 +315,8 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     The target is read twice: its keys, to find the rows the batch updates, and then the storage
     places of these rows, to write them anew. ``tasks_per_part`` tasks write one part, the least
     that a later merge can leave alone; batch keys of up to ``broadcast_bytes`` in memory, and within
-    the session's threshold, are sent to every executor instead of shuffling the target.
+    the session's threshold, are sent to every executor instead of shuffling the target. ``batch_of`` is that
+    of ``append``.
     """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     if not keys:
@@ -311,18 +327,20 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
         raise ValueError(f"on_duplicate {on_duplicate!r} is neither 'error' nor 'latest'")
     if on_duplicate == "latest" and not order_by:
         raise ValueError("on_duplicate='latest' needs an order_by column")
+    layout = load_layout(spark, view)
+    if (applied := _applied(layout, batch_of)) is None:
+        return WriteResult(0)
     summary = _key_summary(df, keys)
     if (summary["copies"] or 0) > 1 and on_duplicate == "error":
         example = count_per_key(df, keys).filter("_copies > 1").first().asDict()
         raise ValueError(f"the batch has several rows for one key of {view}: {example}")
 
-    layout = load_layout(spark, view)
     with scratch_tables(spark, view) as keep:
         if (summary["copies"] or 0) > 1:
             df = latest_per_key(df, keys, order_by)
             df = df if layout is None else keep(df)
         if layout is None:
-            return _create(df, view, partition_column, watermark_column, watermark_type, {}, keys=keys,
+            return _create(df, view, partition_column, watermark_column, watermark_type, applied, keys=keys,
                            tasks_per_part=tasks_per_part)
         batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
         keys = [actual_name(batch.schema, k) for k in keys]
@@ -353,6 +371,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
                 out = out.join(repeated, keys, "left_anti")
             out = kept.unionByName(unkeyed).unionByName(out).select(*[F.col(column_name(c)) for c in columns], "_fresh")
         result = _write_part(out, layout, watermark_column, watermark_type, keys, clustered, tasks_per_part)
+    layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns, begun)
     return result

@@ -14,7 +14,7 @@ from headrace.operators import runlog, target
 from headrace.operators.eventlog import append_event, create_log
 from headrace.operators.incremental import apply_incremental, resolve_watermark, with_metrics
 from headrace.operators.landing import land, landing_format
-from headrace.operators.layout import watermark_hint
+from headrace.operators.layout import load_layout, watermark_hint
 from headrace.plans.metadata import discover, object_by_id, source_by_id, target_name
 from headrace.sources.file_drop import LEDGER_SCHEMA, consumes, read_selected, select_files
 from headrace.sources.registry import read_source
@@ -46,10 +46,6 @@ def incremental_column(source: Row, obj: Row) -> str | None:
     return obj.incremental_column or None
 
 
-def key_names(obj: Row) -> list[str]:
-    return [k.strip() for k in (obj.primary_key_cols or "").split(",") if k.strip()]
-
-
 def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
     """The rows a run reads: the whole object, or those above the resolved watermark."""
     column = incremental_column(source, obj)
@@ -68,8 +64,8 @@ def extract(spark: SparkSession, source: Row, obj: Row) -> DataFrame:
 
 
 def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, ingest_date: date,
-           run_id: str, on_duplicate: str) -> tuple[int, int]:
-    """Land and write one batch, reading the source once; returns rows read and written."""
+           run_id: str, on_duplicate: str, batch_of: tuple[str, int] | None = None) -> tuple[int, int, int]:
+    """Land and write one batch, reading the source once; returns rows read, written and deleted."""
     spark, name = df.sparkSession, target_name(obj)
     column, declared = incremental_column(source, obj), obj.incremental_column_type
     fmt = landing_format(obj.file_format)
@@ -88,10 +84,10 @@ def _apply(df: DataFrame, source: Row, obj: Row, landing_base: str | None, inges
             if landing_base:
                 land(batch, *place)
         result = target.write(
-            batch, name, obj.write_mode, keys=key_names(obj), on_duplicate=on_duplicate, order_by=column,
+            batch, name, obj.write_mode, keys=obj.key_columns, on_duplicate=on_duplicate, order_by=column,
             evolution=obj.schema_evolution_mode, partition_column=obj.partition_column,
-            watermark_column=column, watermark_type=declared)
-        return (result.rows if rows_read is None else rows_read), result.rows
+            watermark_column=column, watermark_type=declared, batch_of=batch_of)
+        return (result.rows if rows_read is None else rows_read), result.rows, result.deleted
 
 
 def prepare_logs(spark: SparkSession, run_log: str, ledger: str | None = None) -> None:
@@ -99,42 +95,52 @@ def prepare_logs(spark: SparkSession, run_log: str, ledger: str | None = None) -
     if not spark.catalog.tableExists(run_log):
         runlog.create_run_log(spark, run_log)
     if ledger and not spark.catalog.tableExists(ledger):
-        create_log(spark, ledger, LEDGER_SCHEMA, ["object_key"])
+        create_log(spark, ledger, LEDGER_SCHEMA, ["object_key", "number"])
+
+
+def _claim(spark: SparkSession, source: Row, obj: Row, ledger: str, run_id: str) -> tuple[list[Row], tuple[str, int]]:
+    """The files no write of the target took in yet, noted under the number of the next one."""
+    key = str(obj.ingestion_object_id)
+    layout = load_layout(spark, target_name(obj))
+    done = layout.applied.get(f"files-{key}", 0) if layout else 0
+    seen = spark.table(ledger).filter((F.col("object_key") == key) & (F.col("number") <= done))
+    files = select_files(spark, source, obj, seen)
+    claimed = spark.createDataFrame([(f.file_path, f.modified, run_id) for f in files],
+                                    "file_path string, modified timestamp, run_id string")
+    # files that a failed run noted under this number are not its any more
+    append_event(claimed, ledger, {"object_key": key, "number": str(done + 1)}, mode="overwrite")
+    return files, (f"files-{key}", done + 1)
 
 
 def ingest_object(spark: SparkSession, source: Row, obj: Row, run_log: str, landing_base: str | None = None,
                   ledger: str | None = None, pipeline_name: str | None = None,
                   trigger_type: str = "MANUAL", trigger_id: str | None = None,
                   business_date: date | None = None, on_duplicate: str = "error",
+                  frequency: str | None = None, department_id: int | None = None,
                   secrets: Callable[[Row], dict[str, str]] | None = None) -> dict:
     """Run one object; a failure is logged and returned, never raised.
 
-    ``ledger`` names the table of consumed files. It is written after the target, so a
-    failed run reads its files again.
+    ``ledger`` names the table of consumed files. A run's files are written there first, under the number its
+    write will have; they count as consumed once the target shows a write of that number. So a run that
+    fails, wherever it does, neither loses a file nor takes one in twice.
     """
-    event, files = None, None
+    event, batch_of = None, None
     try:
         prepare_logs(spark, run_log, ledger)
         event = runlog.start(spark, run_log, source, obj, pipeline_name, trigger_type, trigger_id,
-                             business_date)
+                             business_date, frequency, department_id)
         if secrets:
             source = Row(**(source.asDict() | {"options": (source.options or {}) | secrets(source)}))
         if source.source_type == "SFTP" and ledger and consumes(obj):
-            seen = spark.table(ledger).filter(F.col("object_key") == str(obj.ingestion_object_id))
-            files = select_files(spark, source, obj, seen)
+            files, batch_of = _claim(spark, source, obj, ledger, event["run_id"])
             rows = read_selected(spark, source, obj, files)
         else:
             rows = extract(spark, source, obj)
         if source.source_type == "S3":
             landing_base = obj.landing_path
-        rows_read, rows_copied = _apply(rows, source, obj, landing_base,
-                                        event["created_at"].date(), event["run_id"], on_duplicate)
-        if files:
-            consumed = spark.createDataFrame(
-                [(f.file_path, f.modified, event["run_id"]) for f in files],
-                "file_path string, modified timestamp, run_id string")
-            append_event(consumed, ledger, {"object_key": str(obj.ingestion_object_id)})
-        runlog.finish(spark, run_log, event, runlog.SUCCESS, rows_read, rows_copied)
+        rows_read, rows_copied, rows_deleted = _apply(rows, source, obj, landing_base, event["created_at"].date(),
+                                                      event["run_id"], on_duplicate, batch_of)
+        runlog.finish(spark, run_log, event, runlog.SUCCESS, rows_read, rows_copied, rows_deleted)
         return _result(obj, event, runlog.SUCCESS, rows_read, rows_copied)
     except Exception as exc:
         log.error("object %s failed: %s", obj.ingestion_object_id, exc)
@@ -160,7 +166,7 @@ def ingest_by_id(spark: SparkSession, sources: DataFrame, objects: DataFrame, ob
     return small_frame(spark, [result], RESULT_SCHEMA)
 
 
-def ingest_all(spark:SparkSession, sources: DataFrame, objects: DataFrame, run_log: str,
+def ingest_all(spark: SparkSession, sources: DataFrame, objects: DataFrame, run_log: str,
                source_type: str | None = None, source_id: int | None = None,
                source_name: str | None = None, pipeline_name: str | None = None,
                max_parallel: int = 4, secrets: Callable[[Row], dict[str, str]] | None = None,

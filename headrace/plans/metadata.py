@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from headrace.functions.values import key_list
+
 SOURCE_SCHEMA = """source_id long, source_name string, source_type string, ingest_method string,
 options map<string,string>, root_path string, default_pattern string, default_collection string,
 is_active boolean"""
@@ -16,7 +18,7 @@ primary_key_cols string, page_column string, partition_column string, data_read_
 file_format string, reader_options map<string,string>, target_catalog string, target_schema string,
 target_table string, delta_layer string, target_medallion_layer string,
 schema_evolution_mode string, pipeline_name string, source_path string, column_delimiter string,
-first_row_header boolean, landing_path string, is_enabled boolean"""
+first_row_header boolean, landing_path string, is_enabled boolean, key_columns array<string>"""
 
 REPORT_SCHEMA = """config_master_id int, source_system_id int, report_name string, key_column string,
 source_name string, source_bucket_name string, external_path string, load_type string,
@@ -94,6 +96,7 @@ def normalise_objects(objects: DataFrame) -> DataFrame:
         "schema_evolution_mode": F.lower(_default("schema_evolution_mode", "none")),
         "delta_layer": F.upper(F.coalesce("delta_layer", "target_medallion_layer", F.lit(DEFAULT_LAYER))),
         "is_enabled": _default("is_enabled", True),
+        "key_columns": key_list(F.col("primary_key_cols")),
     })
 
 

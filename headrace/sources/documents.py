@@ -34,12 +34,22 @@ def _wrappable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str | None = None, **options) -> DataFrame:
-    """Documents with typed scalars. Without a schema Spark infers one, in a pass of its own."""
-    reader = spark.read.options(**options)
-    if schema is None:
+def read_json_documents(spark: SparkSession, path: str, schema: str | None = None, variant: str | None = None,
+                        **options) -> DataFrame:
+    """Documents with typed scalars. A line that is no document fails the read (``mode`` says otherwise).
+
+    Without a schema Spark infers one, in a pass of its own, unless ``variant`` names a column for whole
+    documents as VARIANT values: then one pass reads whatever fields they have, now or later, beside the
+    columns of the schema, if there is one.
+    """
+    reader = spark.read.option("mode", "FAILFAST").options(**options)
+    wanted = T.StructType.fromDDL(schema) if schema else T.StructType()
+    if variant:
+        documents = reader.option("singleVariantColumn", variant).json(path)
+        return documents.select(*[_from_variant(F.col(column_name(variant)), f).alias(f.name) for f in wanted.fields],
+                                column_name(variant))
+    if not schema:
         return _unwrap_inferred(reader.json(path))
-    wanted = T.StructType.fromDDL(schema)
     as_stored = T.StructType([
         T.StructField(f.name, T.StringType() if _wrappable(f.dataType) else f.dataType)
         for f in wanted.fields])
@@ -50,6 +60,14 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | None = Non
         for f in wanted.fields])
 
 
+def _from_variant(document: Column, field: T.StructField) -> Column:
+    """A field of a document, with its wrapper (if any) taken off."""
+    name = field.name.replace("\\", "\\\\").replace('"', '\\"')
+    if _wrappable(field.dataType):
+        return _scalar(F.variant_get(document, f'$["{name}"]', "string"), field.dataType)
+    return F.variant_get(document, f'$["{name}"]', field.dataType.simpleString())
+
+
 def _unwrap_inferred(df: DataFrame) -> DataFrame:
     """Flatten top-level one-field wrapper structs of an inferred schema."""
     columns = []

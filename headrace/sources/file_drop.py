@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from headrace.sources.delimited import read_csv
+from headrace.sources.delimited import known_columns, read_csv
 
 # Format names, glob characters of a name, and the filter that keeps files unconsumed.
 FORMATS = ("csv", "json", "parquet", "fixed_width")
@@ -16,7 +16,8 @@ KEEP = "no_archive"
 # What Spark's own writers leave beside their files.
 _MARKERS = re.compile(r"_SUCCESS|_temporary|_(started|committed)_.*|\..*\.crc")
 
-LEDGER_SCHEMA = "file_path string, modified timestamp, run_id string, object_key string"
+# Files by the number of the write that took them in; it is the target that says which numbers it has.
+LEDGER_SCHEMA = "file_path string, modified timestamp, run_id string, object_key string, number int"
 
 
 def drop_directory(root: str | None, schema: str | None) -> str:
@@ -70,13 +71,13 @@ def cut_lines(lines: DataFrame, layout: str) -> DataFrame:
 
 
 def read_files(spark: SparkSession, paths, file_format: str | None, schema: str | None = None,
-               layout: str | None = None, **options) -> DataFrame:
-    """Load files of one of the known formats."""
+               layout: str | None = None, known: T.StructType | None = None, **options) -> DataFrame:
+    """Load files of one of the known formats; `known` gives types to CSV columns, see ``read_csv``."""
     fmt = (file_format or "csv").lower().replace("fixedwidth", "fixed_width")
     if fmt not in FORMATS:
         raise ValueError(f"unsupported file_format {file_format!r}; supported: {', '.join(FORMATS)}")
     if fmt == "csv":
-        return read_csv(spark, paths, schema=schema, **options)
+        return read_csv(spark, paths, schema=schema, known=known, **options)
     if fmt == "fixed_width":
         if layout:
             return cut_lines(spark.read.text(paths), layout)
@@ -87,12 +88,16 @@ def read_files(spark: SparkSession, paths, file_format: str | None, schema: str
     return reader.json(paths) if fmt == "json" else reader.parquet(*([paths] if isinstance(paths, str) else paths))
 
 
+def refuse_hidden(spark: SparkSession, directory: str, pattern: str) -> None:
+    if hidden := hidden_files(spark, directory, pattern):
+        raise ValueError(f"{pattern!r} matches files Spark does not read, by their names: {hidden[:20]}")
+
+
 def select_files(spark: SparkSession, source: Row, obj: Row, ledger: DataFrame | None = None) -> list[Row]:
     """The files a run reads. Like Spark's own file index, the list is driver metadata."""
     directory = drop_directory(source.root_path, obj.source_schema)
     pattern = drop_pattern(obj.source_object_name, source.default_pattern)
-    if hidden := hidden_files(spark, directory, pattern):
-        raise ValueError(f"{pattern!r} matches files Spark does not read, by their names: {hidden[:20]}")
+    refuse_hidden(spark, directory, pattern)
     files = list_files(spark, directory, pattern)
     if ledger is not None and consumes(obj):
         files = pending_files(files, ledger)
@@ -110,7 +115,9 @@ def consumes(obj: Row) -> bool:
 def read_selected(spark: SparkSession, source: Row, obj: Row, files: list[Row]) -> DataFrame:
     """The chosen files in the object's format, else the source's, else CSV."""
     file_format = obj.file_format or (source.options or {}).get("file_format")
-    return read_files(spark, [literal_path(f.file_path) for f in files], file_format, **(obj.reader_options or {}))
+    options = dict(obj.reader_options or {})
+    known = None if "schema" in options or "layout" in options else known_columns(spark, obj)
+    return read_files(spark, [literal_path(f.file_path) for f in files], file_format, known=known, **options)
 
 
 def read_file_drop(spark: SparkSession, source: Row, obj: Row) -> DataFrame:

@@ -173,8 +173,7 @@ def filtered_above(spark: SparkSession, source: Row, obj: Row, column: str, wate
 
 def page_column(source: Row, obj: Row) -> str | None:
     """The object's own page column; else, if its source asks for pages, its first key column."""
-    first = (obj.primary_key_cols or "").split(",")[0].strip()
-    return obj.page_column or (first if first and "pages" in (source.options or {}) else None)
+    return obj.page_column or (obj.key_columns[0] if obj.key_columns and "pages" in (source.options or {}) else None)
 
 
 def read_relational(spark: SparkSession, source: Row, obj: Row, paged: bool = True) -> DataFrame:

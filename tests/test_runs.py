@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headrace.catalogue.base import objects_frame, sources_frame
-from headrace.operators import runlog
+from headrace.operators import runlog, target
 from headrace.operators.landing import land, landing_format, object_path
 from headrace.plans.ingest import IngestFailed, ingest_all, raise_for_failures
 from headrace.session import new_dir, new_schema
@@ -38,7 +38,7 @@ def test_the_source_is_read_once(spark, schema, file_format, mode):
         stamps = landed.select("_ingested_at").union(spark.table(f"{schema}.t").select("_ingested_at"))
         assert stamps.distinct().count() == 1
     tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {schema}").collect()]
-    assert not [t for t in tables if "__batch_" in t]
+    assert not [t for t in tables if "__scratch_" in t]
 
 
 def test_failures_are_isolated_and_logged(spark, schema):
@@ -125,3 +125,61 @@ def test_command_line(spark, schema, capsys):
     assert "2 objects, 1 failed" in capsys.readouterr().out
     assert spark.table(f"{schema}.t").count() == 4
     assert spark.table(f"{schema}.log").select("trigger_type").distinct().first()[0] == "SCHEDULED"
+
+
+@pytest.mark.parametrize("mode", ["append", "merge", "overwrite"])
+@pytest.mark.parametrize("where", ["before the target", "after the target"])
+def test_a_crash_takes_no_file_in_twice(spark, schema, monkeypatch, mode, where):
+    """The target says which files it has, so neither order of failure loses or repeats any."""
+    root, write = new_dir(spark), target.write
+    crash = {"now": True}
+
+    def failing(*args, **options):
+        if crash["now"] and where == "before the target":
+            raise RuntimeError("lost")
+        result = write(*args, **options)
+        if crash["now"]:
+            raise RuntimeError("lost")
+        return result
+
+    monkeypatch.setattr(target, "write", failing)
+
+    def drops(*ids):
+        spark.createDataFrame([(i,) for i in ids], "id long").coalesce(1).write.mode("append").parquet(f"{root}/d")
+        return run(spark, schema, {"ingestion_object_id": 7, "source_schema": "d", "source_object_name": "*.parquet",
+                                   "file_format": "parquet", "write_mode": mode, "primary_key_cols": "id"},
+                   source={"source_type": "SFTP", "root_path": root}, ledger=f"{schema}.ledger").first()
+
+    assert drops(1, 2).error == "lost"
+    crash["now"] = False
+    late = drops(3)
+    held = sorted(r.id for r in spark.table(f"{schema}.t").collect())
+    again = drops(4)
+    assert late.status == again.status == "SUCCESS" and again.rows_read == 1
+    if mode == "overwrite":
+        assert held == ([1, 2, 3] if where == "before the target" else [3])
+        assert [r.id for r in spark.table(f"{schema}.t").collect()] == [4]
+    else:
+        assert held == [1, 2, 3] and late.rows_read == (3 if where == "before the target" else 1)
+        assert sorted(r.id for r in spark.table(f"{schema}.t").collect()) == [1, 2, 3, 4]
+
+
+def test_what_the_run_log_is_told(spark, schema):
+    register_reader("TEST", lambda s, source, obj: s.range(5))
+    obj = {"ingestion_object_id": 1, "write_mode": "overwrite"}
+    for _ in range(2):
+        run(spark, schema, obj, frequency="DAILY", department_id=12)
+    got = runlog.current_runs(spark.table(f"{schema}.runs")).orderBy("trigger_time").collect()
+    assert [(r.frequency, r.department_id, r.rows_deleted) for r in got] == [("DAILY", 12, 0), ("DAILY", 12, 5)]
+
+
+def test_deleted_rows_are_counted_from_footers(spark, schema):
+    """The count before an overwrite reads no column, even of a target whose last merge replaced places."""
+    name = f"{schema}.t"
+    target.append(spark.range(9).withColumn("v", F.col("id") % 3), name, partition_column="v")
+    target.merge(spark.range(2).withColumn("v", F.col("id") % 3), name, ["id"])
+    counted = spark.table(name).agg(F.count(F.lit(1)))
+    assert counted.first()[0] == 9
+    scan = next(x for x in counted._jdf.queryExecution().executedPlan().toString().splitlines() if "Scan parquet" in x)
+    assert "ReadSchema: struct<>" in scan
+    assert target.overwrite(spark.range(3).withColumn("v", F.col("id")), name).deleted == 9

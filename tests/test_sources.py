@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from headrace.catalogue.base import one_object, one_source
 from headrace.catalogue.relational import _to_derby
+from headrace.operators import target
+from headrace.operators.landing import landing_format
 from headrace.plans.ingest import extract, incremental_column
-from headrace.session import new_dir
+from headrace.session import new_dir, new_schema
 from headrace.sources.documents import collection_of, read_json_documents
 from headrace.sources.file_drop import (drop_directory, drop_pattern, list_files, pending_files, read_files,
                                         read_file_drop, select_files)
@@ -262,3 +264,73 @@ def test_malformed_values_fail_unless_asked_for(spark, tmp_path, fmt, bad):
     with pytest.raises(Exception, match="(?i)malformed"):
         read_files(spark, root, fmt, schema="n int").collect()
     assert [r.n for r in read_files(spark, root, fmt, schema="n int", mode="PERMISSIVE").collect()] == [1, None]
+
+
+def lines(spark, *texts):
+    path = new_dir(spark)
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.text(path)
+    return path
+
+
+@pytest.mark.parametrize("settings", [{}, {"schema": "a int"}, {"variant": "d"}, {"schema": "a int", "variant": "d"}])
+def test_a_broken_document_fails_the_read(spark, settings):
+    path = lines(spark, '{"a": 1}', '{"a": 2, broken', '{"a": 3}')
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_json_documents(spark, path, **settings).collect()
+
+
+def test_variant_documents(spark):
+    """One pass without inference, whatever the fields; typed columns with their wrappers taken off."""
+    path = lines(spark, '{"_id": {"$oid": "a1"}, "at": {"$date": "2024-01-02T03:04:05.678Z"}, "n": {"$numberLong": "9007199254740993"},'
+                 ' "o": {"k": 1}, "tags": ["x"], "odd name\'s": 1.5}', '{"_id": "b2", "n": 7, "new": {"deep": [1, {"x": true}]}}', "{}")
+    schema = "_id string, at timestamp_ntz, n long, o struct<k: int>, tags array<string>, `odd name's` double"
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup())
+    df = read_json_documents(spark, path, schema, variant="d")
+    assert len(jobs.getJobIdsForGroup()) == before
+    got = {r._id: r for r in df.withColumn("deep", F.variant_get("d", "$.new.deep[1].x", "boolean")).collect()}
+    assert got["a1"].at == datetime(2024, 1, 2, 3, 4, 5, 678000) and got["a1"].n == 9007199254740993
+    assert got["a1"].o.k == 1 and got["a1"].tags == ["x"] and got["a1"]["odd name's"] == 1.5
+    assert got["b2"].n == 7 and got["b2"].deep is True and got[None].n is None
+
+
+def report_run(spark, schema, path, mode="append", evolution="merge", **more):
+    source = one_source(spark, source_id=1, source_name="s", source_type="S3")
+    obj = one_object(spark, source_path=path, target_schema=schema, target_table="t", write_mode=mode,
+                     schema_evolution_mode=evolution, **more)
+    rows = extract(spark, source, obj)
+    target.write(rows, f"{schema}.t", mode, evolution=evolution)
+    return rows
+
+
+def test_types_of_reports_are_the_targets(spark):
+    """`1` and then `3000000000`: whether the second run passes is the evolution mode's matter alone."""
+    schema = new_schema(spark)
+    first = lines(spark, "a,b", "1,2024-01-01", "2,")
+    report_run(spark, schema, first)
+    assert spark.table(f"{schema}.t").schema["a"].dataType.simpleString() == "int"
+    later = lines(spark, "C,B,A", "x,,4")
+    rows = report_run(spark, schema, later)
+    assert [f.dataType.simpleString() for f in rows.schema] == ["string", "date", "int"]
+    for mode, evolution in (("append", "merge"), ("append", "none"), ("overwrite", "none")):
+        with pytest.raises(Exception, match="MALFORMED|schema differs"):
+            report_run(spark, schema, lines(spark, "a,b,c", "3000000000,,"), mode, evolution)
+    assert spark.table(f"{schema}.t").count() == 3
+    report_run(spark, schema, lines(spark, "a,b,c", "3000000000,,"), "overwrite", "overwrite")
+    assert spark.table(f"{schema}.t").select("a").collect() == [(3000000000,)]
+
+
+def test_headers_of_all_files_are_compared(spark):
+    schema, path = new_schema(spark), lines(spark, "a,b", "1,2")
+    report_run(spark, schema, path)
+    spark.createDataFrame([("b,a",), ("5,6",)], "value string").coalesce(1).write.mode("append").text(path)
+    with pytest.raises(Exception, match="header|HEADER"):
+        report_run(spark, schema, path)
+    assert spark.table(f"{schema}.t").count() == 1
+
+
+def test_landing_formats():
+    assert [landing_format(f) for f in (None, "CSV", "json", "fixed_width")] == ["parquet", "csv", "json", "parquet"]
+    for other in ("delta", "orc", "x"):
+        with pytest.raises(ValueError, match="cannot land"):
+            landing_format(other)
