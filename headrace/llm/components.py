@@ -35,3 +35,16 @@ def connected_components(work: Workspace, links: DataFrame) -> DataFrame:
         if not changed.get["n"]:
             work.drop(both)
             return labels.select("node", "component")
+
+
+def hung_components(work: Workspace, hung: DataFrame) -> DataFrame:
+    """Rows (node, component) for nodes that hang on hubs (node, hub), a hub on itself too.
+
+    A node joins the hubs it hangs on; few pairs of hubs come of that, however many nodes do. So the
+    rounds run over hubs alone, and each node is joined once, to the component of its least hub.
+    """
+    nodes = work.save(hung.groupBy("node").agg(F.collect_set("hub").alias("hubs"))
+                      .select("node", "hubs", F.array_min("hubs").alias("least")))
+    links = nodes.select(F.col("least").alias("a"), F.explode("hubs").alias("b")).filter("a <> b").distinct()
+    hubs = connected_components(work, links).withColumnRenamed("node", "least")
+    return nodes.join(hubs, "least", "left").select("node", F.coalesce("component", "least").alias("component"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from headrace.llm.components import connected_components
+from headrace.llm.components import hung_components
 from headrace.llm.tables import Workspace, ship_library, sorted_groups, with_row_numbers
 from headrace.llm.words import Words, mix, words_of
 
@@ -223,9 +223,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
         nodes = tries.select("entry", F.xxhash64("tree", F.expr(f"substring(label, 1, {2 * depth})")).alias("node"))
         hubs = work.save(nodes.groupBy("node").agg(F.min("entry").alias("a"), F.count("*").alias("n"))
                          .filter("n > 1").drop("n"))
-        edges = nodes.join(hubs, "node").filter("entry <> a").select("a", F.col("entry").alias("b"))
-        groups = connected_components(work, edges)
-        work.drop(hubs)
+        groups = hung_components(work, nodes.join(hubs, "node").select(F.col("entry").alias("node"), F.col("a").alias("hub")))
         return work.save(groups.select(F.col("node").alias("entry"), F.col("component").alias("cluster"))
                          .join(entries.select("entry", "key", "copies"), "entry"))
 
@@ -254,8 +252,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, target_recall
             break
         depth -= 1
 
-    joined = connected_components(work, done.filter("id <> root").select(F.col("id").alias("a"),
-                                                                         F.col("root").alias("b")))
+    joined = hung_components(work, done.select(F.col("id").alias("node"), F.col("root").alias("hub")))
     direct = done.groupBy(F.col("id").alias("entry")).agg(F.sum("links").alias("links"))
     classes = work.save(entries.select("key", "entry", "copies").join(direct, "entry", "left")
                         .join(joined.withColumnRenamed("node", "entry"), "entry", "left")
