@@ -16,8 +16,9 @@ from headrace.llm.words import NOT_ALNUM, utf8_buffers, words_of
 
 FEATURE_BITS = 19
 PREFIX = 5
-# The scorer learns from this many documents at most, those of least hash.
+# The scorer learns from this many documents at most, those of least hash, one in so many of them without a known label.
 SAMPLE = 12000
+UNKNOWN = 6
 # Features in fewer documents of the sample, or less unlike the average, get no weight.
 LEAST_DOCUMENTS = 8
 LEAST_Z = 5.0
@@ -27,6 +28,7 @@ INSULTS = ("idiot", "stupid", "moron", "loser", "scum", "trash", "pathetic", "di
 
 
 HEURISTICS = ("symbols", "marks", "digits", "lines", "words", "length")
+TOXIC_HEURISTICS = ("any insult", "several insults", "share of insults")
 
 
 def _bytes(characters: str) -> np.ndarray:
@@ -40,10 +42,7 @@ _LINE_END, _CHARACTER = _bytes("\n"), np.arange(256) & 0xC0 != 0x80
 
 
 def heuristic_votes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Votes of the HEURISTICS on each text, 1 for good, -1 for bad, 0 for no opinion; and insults.
-
-    The second result is 1 where a text holds a word of INSULTS, else 0.
-    """
+    """Votes of the HEURISTICS on each text, 1 for good, -1 for bad, 0 for no opinion; of TOXIC_HEURISTICS, 1 or 0."""
     data, offsets = utf8_buffers(texts)
 
     def count(table: np.ndarray) -> np.ndarray:
@@ -73,8 +72,11 @@ def heuristic_votes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         vote((chars > 100) & (n_words > 15), n_words < 4)], axis=1)
     plain = words_of(texts, NOT_ALNUM)
     hits = np.isin(plain.hashes, words_of(pa.array(INSULTS)).hashes)
-    insults = np.bincount(np.repeat(np.arange(len(texts)), np.diff(plain.first)), hits, len(texts)) > 0
-    return votes, insults.astype(int)
+    n_plain = np.diff(plain.first)
+    insults = np.bincount(np.repeat(np.arange(len(texts)), n_plain), hits, len(texts))
+    # a text without insults may be toxic all the same: no opinion
+    toxic = np.stack([insults > 0, insults > 1, insults > 0.01 * n_plain], axis=1)
+    return votes, toxic.astype(int)
 
 
 @dataclass(frozen=True)
@@ -86,10 +88,11 @@ class WeakLabels:
     prior: float
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """P(positive | votes) for rows of votes."""
+        """P(positive | votes) for rows of votes. No opinion says nothing: labellers that overlap may be silent together."""
         logs = np.log(self.rates)
         odds = np.log(self.prior) - np.log(1 - self.prior)
-        score = odds + sum(logs[j, 1, votes[:, j] + 1] - logs[j, 0, votes[:, j] + 1] for j in range(len(self.names)))
+        score = odds + sum(np.where(votes[:, j] != 0, logs[j, 1, votes[:, j] + 1] - logs[j, 0, votes[:, j] + 1], 0)
+                           for j in range(len(self.names)))
         return 1 / (1 + np.exp(-np.clip(score, -50, 50)))
 
 
@@ -121,33 +124,28 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], p
     return held
 
 
-def _with_labels(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Rows (_row, _id, _text, _quality, _toxic): all columns, and known labels as votes."""
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    if labels is None:
-        return rows.withColumns({"_quality": F.lit(0), "_toxic": F.lit(0)})
-
-    def vote(name: str) -> Column:
-        return F.when(F.col(name) == 1, 1).when(F.col(name) == 0, -1).otherwise(0)
-
-    marks = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_labelled")).agg(
-        F.min("quality").alias("_q"), F.max("toxic").alias("_t"))
-    return (rows.join(marks, F.col("_id") == F.col("_labelled"), "left")
-            .select("_row", "_id", "_text", vote("_q").alias("_quality"), vote("_t").alias("_toxic")))
-
-
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(_id, _text, _quality, _toxic) to (_id, good, bad): the votes of both sets of labellers."""
+    """(_id, _text) to (_id, _key, good, bad): the votes of both sets of heuristics, and a hash of id and text."""
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             some = batch.slice(at, 500)
-            votes, insults = heuristic_votes(some.column("_text"))
-            good = np.column_stack([votes, some.column("_quality").to_numpy()])
-            bad = np.column_stack([insults, some.column("_toxic").to_numpy()])
-            yield pa.RecordBatch.from_arrays(
-                [some.column("_id"), *(pa.array(list(v.astype(np.int32)), pa.list_(pa.int32())) for v in (good, bad))],
-                names=["_id", "good", "bad"])
+            lists = [pa.array(list(v.astype(np.int32)), pa.list_(pa.int32())) for v in heuristic_votes(some.column("_text"))]
+            yield pa.RecordBatch.from_arrays([some.column("_id"), some.column("_key"), *lists], names=["_id", "_key", "good", "bad"])
+
+
+def _with_labels(votes: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The votes with the known label as the last one of each set, and whether there is one."""
+    def vote(name: str) -> Column:
+        return F.array(F.when(F.col(name) == 1, 1).when(F.col(name) == 0, -1).otherwise(0))
+
+    if labels is None:
+        known = votes.withColumns({"_q": F.lit(None).cast("int"), "_t": F.lit(None).cast("int")})
+    else:
+        marks = labels.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_id")).agg(
+            F.min("quality").alias("_q"), F.max("toxic").alias("_t"))
+        known = votes.join(marks, "_id", "left")
+    return known.select("_key", F.concat("good", vote("_q")).alias("good"), F.concat("bad", vote("_t")).alias("bad"),
+                        F.coalesce("_q", "_t").isNotNull().alias("known"))
 
 
 def weak_labels(votes: DataFrame, column: str, names: list[str], prior: float) -> WeakLabels:
@@ -247,9 +245,9 @@ def scored(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
     Two label models are fitted by expectation-maximisation on the vote patterns of all
     documents, one over quality labellers and one over toxicity labellers; known labels are a
-    labeller among the others and abstain elsewhere. Their posteriors label the SAMPLE documents
-    of least hash, of those with a known label if there are any, and the hashed linear scorer
-    trained on these scores every document. Weights are 2 ** FEATURE_BITS rows, whatever the data.
+    labeller among the others and abstain elsewhere. Their posteriors label at most SAMPLE different
+    rows, those of least hash, one in UNKNOWN of them without a known label at any size, and the
+    hashed linear scorer trained on these scores every document. Weights are 2 ** FEATURE_BITS rows, whatever the data.
 
     Null and empty texts are scored by their votes alone; each of several rows is scored;
     clashing column names are kept apart; no rows give no rows.
@@ -257,15 +255,16 @@ def scored(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     spark = docs.sparkSession
     ship_library(spark)
     work = Workspace(spark)
-    rows = _with_labels(docs, labels)
-    votes = work.save(rows.select("_id", "_text", "_quality", "_toxic").mapInArrow(
-        _vote, "_id long, good array<int>, bad array<int>"))
-    models = [weak_labels(votes, "good", [*HEURISTICS, "label"], 0.8), weak_labels(votes, "bad", ["insults", "label"], 0.1)]
-    known = F.element_at("good", -1) != 0
-    chosen = work.save(votes.orderBy((~known).cast("int"), F.xxhash64("_id", F.lit(23)), "_id").limit(SAMPLE))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"),
-                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
-    sample = (texts.join(F.broadcast(chosen.dropDuplicates(["_id"])), "_id").select("_text", "good", "bad")
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
+    texts = texts.withColumn("_key", F.xxhash64("_id", "_text", F.lit(23)))
+    votes = work.save(_with_labels(texts.mapInArrow(_vote, "_id long, _key long, good array<int>, bad array<int>"), labels))
+    models = [weak_labels(votes, "good", [*HEURISTICS, "label"], 0.8), weak_labels(votes, "bad", [*TOXIC_HEURISTICS, "label"], 0.1)]
+    # repeats of a row are one document to learn from
+    unknown = SAMPLE // UNKNOWN
+    parts = [votes.filter(c).groupBy("_key").agg(F.first("good").alias("good"), F.first("bad").alias("bad"))
+             .orderBy("_key").limit(n) for c, n in (("known", SAMPLE - unknown), ("NOT known", unknown))]
+    chosen = work.save(parts[0].unionByName(parts[1]).dropDuplicates(["_key"]))
+    sample = (texts.select("_key", "_text").join(F.broadcast(chosen), "_key").dropDuplicates(["_key"]).select("_text", "good", "bad")
               .mapInArrow(_train_features, "features binary, good array<int>, bad array<int>").collect())
     lists = [np.frombuffer(r.features, "<i4") for r in sample]
     targets = np.stack([m.posterior(np.array([r[c] for r in sample], int).reshape(len(sample), len(m.names)))
@@ -273,7 +272,7 @@ def scored(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     weights = fit_scorer(lists, targets)
     plain = docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("_text"))
     return plain.mapInArrow(
-        _scorer(weights), T.StructType([rows.schema["_row"], T.StructField("_quality", T.DoubleType()),
+        _scorer(weights), T.StructType([plain.schema["_row"], T.StructField("_quality", T.DoubleType()),
                                                T.StructField("_toxicity", T.DoubleType())]))
 
 

@@ -143,6 +143,25 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean(clean) > 0.9
 
 
+def test_training_rows_are_bounded_and_mixed(spark, monkeypatch):
+    """Many rows of one id, repeated ones, and more labels than the sample holds: one in six stays unlabelled."""
+    seen, fit = [], quality.fit_scorer
+    monkeypatch.setattr(quality, "SAMPLE", 300)
+    monkeypatch.setattr(quality, "fit_scorer", lambda lists, targets: (seen.append((lists, targets)), fit(lists, targets))[1])
+    docs = spark.range(4000).selectExpr(
+        "CASE WHEN id < 2000 THEN 7 ELSE id END AS doc_id", "CASE WHEN id < 500 THEN 'one text' ELSE concat('text ', id, ' idiot') END AS text")
+    labels = spark.range(2500, 4000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality", "0 AS toxic")
+    assert quality.scored(docs, labels).count() == 4000
+    lists, targets = seen[0]
+    assert len(lists) == 300
+    # all known labels say not toxic: rows without one are less sure of it
+    assert (targets[:, 1] > 100 * targets[:, 1].min()).sum() == 50
+    quality.scored(docs, labels.limit(10)).count()
+    assert len(seen[1][0]) == 60
+    quality.scored(docs.limit(0), labels).count()
+    assert not seen[2][0]
+
+
 def test_classifier_takes_odd_rows(spark, odd):
     assert quality.accepted(odd).columns == odd.columns
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 1), (None, 1, 1), (6, None, None)],
