@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -59,34 +60,53 @@ def _step(initial: str, fault: int) -> Step:
 STEPS: list[Step] = [_step(initial, fault) for initial in INITIALS for fault in range(4)]
 
 
-def forward(steps: list[Step], low: int, high: int, costs: list[int], ranks: list) -> tuple[list[int], list]:
+@lru_cache(1 << 14)
+def _onward(costs: tuple[int, ...], ranks: tuple[int, ...], step: Step) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    weight, word = step
+    best = [min((costs[before] + weight[4 * before + after], ranks[before], word[4 * before + after]) for before in STATES)
+            for after in STATES]
+    order = sorted(STATES, key=lambda state: best[state][1:])
+    return tuple(min(cost, _FAR) for cost, _, _ in best), tuple(order.index(state) for state in STATES)
+
+
+@lru_cache(1 << 14)
+def _back(costs: tuple[int, ...], step: Step) -> tuple[int, ...]:
+    weight = step[0]
+    return tuple(min(min(weight[4 * before + after] + costs[after] for after in STATES), _FAR) for before in STATES)
+
+
+def _lowered(costs: tuple[int, ...]) -> tuple[tuple[int, ...], int]:
+    """Costs less their least: few such vectors occur, so that most steps are known already."""
+    least = min(costs)
+    return (costs, 0) if not least or least >= _FAR else (tuple(c - least if c < _FAR else _FAR for c in costs), least)
+
+
+def forward(steps: list[Step], low: int, high: int, costs: tuple, ranks: tuple) -> tuple[tuple[int, ...], tuple[int, ...]]:
     """Costs of the four states after some steps, and the order of their audits.
 
     The audits of two states never begin alike and end one within the other, as each takes in the same rows:
     so the order of two audits is settled where they first differ, whatever follows.
     """
+    total = 0
     for i in range(low, high):
-        weight, word = steps[i]
-        best = []
-        for after in STATES:
-            best.append(min((costs[before] + weight[4 * before + after], ranks[before], word[4 * before + after])
-                            for before in STATES))
-        costs = [min(cost, _FAR) for cost, _, _ in best]
-        order = sorted(STATES, key=lambda state: best[state][1:])
-        ranks = [order.index(state) for state in STATES]
-    return costs, ranks
-
-
-def backward(steps: list[Step], low: int, high: int, costs: list[int]) -> list[int]:
+        costs, least = _lowered(costs)
+        total += least
+        costs, ranks = _onward(costs, ranks, steps[i])
+    return tuple(c + total if c < _FAR else _FAR for c in costs), ranks
+
+
+def backward(steps: list[Step], low: int, high: int, costs: tuple) -> tuple[int, ...]:
     """Costs from the four states before some steps to the end."""
+    total = 0
     for i in range(high - 1, low - 1, -1):
-        weight = steps[i][0]
-        costs = [min(weight[4 * before + after] + costs[after] for after in STATES) for before in STATES]
-    return costs
+        costs, least = _lowered(costs)
+        total += least
+        costs = _back(costs, steps[i])
+    return tuple(c + total if c < _FAR else _FAR for c in costs)
 
 
-def _only(state: int) -> list[int]:
-    return [0 if s == state else _FAR for s in STATES]
+def _only(state: int) -> tuple[int, ...]:
+    return tuple(0 if s == state else _FAR for s in STATES)
 
 
 def crossings(steps: list[Step], first: int, last: int) -> list[int]:
@@ -102,7 +122,7 @@ def crossings(steps: list[Step], first: int, last: int) -> list[int]:
         if high - low < 2:
             continue
         middle = (low + high) // 2
-        costs, ranks = forward(steps, low, middle, _only(states[low]), [0] * 4)
+        costs, ranks = forward(steps, low, middle, _only(states[low]), (0,) * 4)
         rest = backward(steps, middle, high, _only(states[high]))
         states[middle] = min(STATES, key=lambda state: (costs[state] + rest[state], ranks[state]))
         waiting += [(low, middle), (middle, high)]
@@ -113,7 +133,7 @@ def joined(steps: list[Step]) -> Step:
     """Many steps as one, with the order of the audits in place of the audits."""
     costs, ranks = [], []
     for state in STATES:
-        cost, rank = forward(steps, 0, len(steps), _only(state), [0] * 4)
+        cost, rank = forward(steps, 0, len(steps), _only(state), (0,) * 4)
         costs += cost
         ranks += rank
     return tuple(costs), tuple(ranks)
