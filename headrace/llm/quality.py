@@ -195,19 +195,21 @@ def fit_scorer(lists: list[np.ndarray], targets: np.ndarray, steps: int = 200, r
     weights = np.zeros((size + 1, targets.shape[1]), np.float32)
     if not lists:
         return weights
-    rows = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    columns = np.concatenate(lists)
-    documents = np.bincount(columns, minlength=size)
+    documents, positive = np.zeros(size), np.zeros((targets.shape[1], size))
+    for x, y in zip(lists, targets):  # a list names each feature once
+        documents[x] += 1
+        for out in range(len(y)):
+            positive[out, x] += y[out]
     for out in range(targets.shape[1]):
         y = targets[:, out]
         mean = float(np.clip(y.mean(), 1e-6, 1 - 1e-6))
-        z = (np.bincount(columns, y[rows], size) - mean * documents) / np.sqrt(
-            mean * (1 - mean) * np.maximum(documents, 1))
+        z = (positive[out] - mean * documents) / np.sqrt(mean * (1 - mean) * np.maximum(documents, 1))
         names = np.flatnonzero((documents >= LEAST_DOCUMENTS) & (np.abs(z) >= LEAST_Z))
-        place = np.full(size, -1)
+        place = np.full(size, -1, np.int32)
         place[names] = np.arange(len(names))
-        taken = place[columns] >= 0
-        at, own = place[columns[taken]], rows[taken]
+        # only the features that take part are laid out for all documents
+        taken = [p[p >= 0] for p in (place[x] for x in lists)]
+        at, own = np.concatenate(taken).astype(np.int64), np.repeat(np.arange(len(lists)), [len(t) for t in taken])
         sure = (2 * y - 1) ** 2 / len(y)
         w, bias = np.zeros(len(names)), float(np.log(mean / (1 - mean)))
         m, v = np.zeros(len(names) + 1), np.zeros(len(names) + 1)
