@@ -204,15 +204,26 @@ _STATE = "context long, word long, n long, t long, drawn long"
 
 @dataclass(frozen=True)
 class Model:
-    """pairs (context, word, n, p), words (word, n, roots), contexts (context, backs), by sample, and sizes."""
+    """pairs (context, word, n, drawn), words (word, word_n, roots), contexts (context, guests, backs), and sizes.
+
+    drawn adds up a pair's tables, roots and backs list probabilities, all over the samples.
+    """
 
     pairs: DataFrame
     words: DataFrame
     contexts: DataFrame
+    repeated: DataFrame
+    discount: float
     size: int
     total: int
     unknown: list[float]
 
+    def probability(self) -> Column:
+        """p of a word after a context, from columns of all three tables; null where a table has no row."""
+        alone, new = F.array(*[F.lit(1.0)] * SAMPLES), F.array(*[F.lit(u) for u in self.unknown])
+        own = (F.col("n") - self.discount * F.col("drawn") / SAMPLES) / (STRENGTH + F.col("guests"))
+        return F.coalesce(own, F.lit(0.0)) + _mean(F.coalesce("backs", alone), F.coalesce("roots", new))
+
 
 def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, size: int) -> DataFrame:
     """Rows with the table's columns for their key; beyond a broadcast, common keys are cut by `other`."""
@@ -235,6 +246,8 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     every pair is seated anew, given the context's tables and the word's root probability as the
     sweep before left them; then the root's customers, the tables of the pairs, are seated anew, and
     both totals are counted again. Only table counts are kept. BURN_IN sweeps are followed by SAMPLES.
+    A pair met once has one table in every sweep: such pairs, most of all, are counted once per word
+    and per context, and the state that sweeps pass on holds the others.
     """
     pairs = work.save(texts.select("text").mapInArrow(_count, "context long, word long, n long")
                       .groupBy("context", "word").agg(F.sum("n").alias("n")))
@@ -243,9 +256,10 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
         return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "one"), (2, "two"))]
 
     per_pair = pairs.agg(F.sum("n").alias("n"), F.count("*").alias("t"), *ones("n")).first()
-    words = work.save(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"))
+    single = F.count(F.when(F.col("n") == 1, 1)).alias("single")
+    words = work.save(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"), single)
                       .withColumns({"tables": F.lit(1).cast("long"), "roots": F.array().cast("array<double>")}))
-    contexts = work.save(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"))
+    contexts = work.save(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"), single)
                          .withColumn("backs", F.array().cast("array<double>")))
     per_word = words.agg(F.count("*").alias("t"), *ones("served")).first()
     total, size = int(per_pair.n or 0), int(per_word.t)
@@ -256,7 +270,7 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
         return (F.greatest(F.lit(0.0), served - top * own) + back) / (STRENGTH + customers)
 
     customers, tables = float(per_pair.t), float(size)
-    state = pairs.withColumns({"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
+    state = pairs.filter("n > 1").withColumns({"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
     unknown = []
     for sweep in range(BURN_IN + SAMPLES if total else 0):
         if sweep == BURN_IN:
@@ -268,8 +282,9 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
         before, state = state, work.save(rows.select("context", "word", "n", "drawn", strength.alias("strength"), "base")
                                          .mapInArrow(_seat(low, seed + 100 * sweep), _STATE))
         # the root, whose customers are the tables just drawn; its names are (0, word)
-        dishes = (words.drop("served").join(state.groupBy("word").agg(F.sum("t").alias("served")), "word")
-                  .select(F.lit(0).cast("long").alias("context"), "word", F.col("served").alias("n"),
+        served = F.col("single") + F.coalesce("more", F.lit(0))
+        dishes = (words.join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left")
+                  .select(F.lit(0).cast("long").alias("context"), "word", served.alias("n"),
                           F.lit(0).cast("long").alias("drawn"),
                           (STRENGTH + top * (tables - F.col("tables"))).alias("strength"), F.lit(base).alias("base")))
         seated = work.save(dishes.mapInArrow(_seat(top, seed + 100 * sweep + 1), _STATE))
@@ -277,12 +292,13 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
         customers, tables = float(sums.n), float(sums.t)
         sampled = sweep >= BURN_IN
         now = root(customers, tables, F.col("served"), F.col("tables"))
-        words = words.select("word", "n", "roots").join(
+        words = words.select("word", "n", "single", "roots").join(
             seated.select("word", F.col("n").alias("served"), F.col("t").alias("tables")), "word")
         words = work.save(words.withColumn("roots", F.concat("roots", F.array(now)) if sampled else F.col("roots")))
         back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
-        contexts = contexts.select("context", "guests", "backs").join(
-            state.groupBy("context").agg(F.sum("t").alias("tables")), "context")
+        contexts = contexts.drop("tables").join(state.groupBy("context").agg(F.sum("t").alias("more")), "context", "left")
+        contexts = contexts.select("context", "guests", "single", "backs",
+                                   (F.col("single") + F.coalesce("more", F.lit(0))).alias("tables"))
         contexts = work.save(contexts.withColumn("backs", F.concat("backs", F.array(back)) if sampled
                                                  else F.col("backs")))
         if sampled:
@@ -291,12 +307,10 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
             work.drop(before)
     if not total:
         unknown = [1.0] * SAMPLES
-    rows = _looked_up(_looked_up(state, contexts.select("context", "guests", "backs"), "context", "word", size),
-                      words.select("word", F.col("n").alias("word_n"), "roots"), "word", "context", size)
-    own = (F.col("n") - low * F.col("drawn") / SAMPLES) / (STRENGTH + F.col("guests"))
-    model = work.save(rows.select("context", "word", "n", "word_n", (own + _mean(F.col("backs"), F.col("roots"))).alias("p")))
-    return Model(model, words.select("word", F.col("n").alias("word_n"), "roots"), contexts.select("context", "backs"),
-                 size, total, unknown)
+    repeated = state.select("context", "word", "n", "drawn")
+    once = pairs.filter("n = 1").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
+    return Model(repeated.unionByName(once), words.select("word", F.col("n").alias("word_n"), "roots"),
+                 contexts.select("context", "guests", "backs"), repeated, low, size, total, unknown)
 
 
 def _mean(backs: Column, roots: Column) -> Column:
@@ -347,8 +361,8 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     not met before the root alone counts. base_score is the add-one unigram score. The perplexity
     of a text is 10 ** (-score / n_tokens).
 
-    Probabilities of the FREQUENT commonest pairs go to all tasks; other pairs, counted per
-    document, are joined with the model. A null text counts as empty (one end token), a
+    Probabilities of the FREQUENT commonest pairs of those met twice go to all tasks; other pairs,
+    counted per document, are joined with the model. A null text counts as empty (one end token), a
     null id is learned from; repeated rows are scored each; other columns are ignored; no rows
     give no rows.
     """
@@ -359,7 +373,9 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(out, F.lit(False)).alias("held_out"))
     model = train(work, texts.filter("NOT held_out"), seed)
-    top = model.pairs.orderBy(F.desc("n"), "context", "word").limit(FREQUENT).toPandas()
+    top = work.save(model.repeated.orderBy(F.desc("n"), "context", "word").limit(FREQUENT))
+    top = (_looked_up(_looked_up(top, model.words, "word", "context", model.size), model.contexts, "context", "word",
+                      model.size).select("context", "word", "word_n", model.probability().alias("p")).toPandas())
     frequent = {"context": top["context"].to_numpy(np.int64), "word": top["word"].to_numpy(np.int64),
                 "word_n": top["word_n"].to_numpy(np.float64), "p": top["p"].to_numpy(np.float64)}
     frequent["key"] = _pair_hash(frequent["context"], frequent["word"])
@@ -370,12 +386,10 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
         f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_known long, "
         "base_score double, score double, rest array<struct<context: long, word: long, times: long>>"))
     tokens = parts.select("row", F.inline("rest"))
-    joined = tokens.join(model.pairs.select("context", "word", "p"), ["context", "word"], "left")
+    joined = tokens.join(model.pairs, ["context", "word"], "left")
     joined = _looked_up(_looked_up(joined, model.words, "word", "context", model.size),
                         model.contexts, "context", "word", model.size)
-    alone = F.array(*[F.lit(1.0)] * SAMPLES)
-    new = F.array(*[F.lit(u) for u in model.unknown])
-    p = F.coalesce("p", _mean(F.coalesce("backs", alone), F.coalesce("roots", new)))
+    p = model.probability()
     n = F.coalesce("word_n", F.lit(0))
     rest = joined.groupBy("row").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
