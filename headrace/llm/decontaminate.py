@@ -20,9 +20,11 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SEPARATORS)
 
 
-def _seeded(rows: DataFrame, words: Column, keep: list[str], masks: list[str]) -> DataFrame:
+def _seeded(rows: DataFrame, words: Column, keep: list[str], masks: list[str], carry: bool = False) -> DataFrame:
     """Rows (keep, at, mask, seed): a hash of the tokens each mask selects at each position.
 
+    `carry` adds the words as `_words`, for rows that are few.
+
     The words go through explode so that they are computed once per text; all that follows is
     one generated loop that carries positions and hashes only.
     """
@@ -32,8 +34,20 @@ def _seeded(rows: DataFrame, words: Column, keep: list[str], masks: list[str]) -
 
     split = rows.select(*keep, F.explode_outer(F.array(words)).alias("_words"))
     positions = split.select(*keep, "_words", F.explode_outer(F.expr("sequence(0, size(_words) - 1)")).alias("at"))
-    hashes = positions.select(*keep, "at", F.array(*[F.expr(seed(n, m)) for n, m in enumerate(masks)]).alias("seeds"))
-    return hashes.select(*keep, "at", F.posexplode_outer("seeds").alias("mask", "seed")).filter("seed IS NOT NULL")
+    kept = [*keep, "_words"] if carry else keep
+    hashes = positions.select(*kept, "at", F.array(*[F.expr(seed(n, m)) for n, m in enumerate(masks)]).alias("seeds"))
+    return hashes.select(*kept, "at", F.posexplode_outer("seeds").alias("mask", "seed")).filter("seed IS NOT NULL")
+
+
+def _distinct_places(seeded: DataFrame, key: str, flank: int, spans: Column, at: Column) -> DataFrame:
+    """Rows (key, mask, seed, at): of the places whose compared words are the same, only one, chosen by `at`.
+
+    Without it a text of equal words would meet an item of equal words in the product of their lengths.
+    """
+    left = F.least(F.col("at"), F.lit(flank))
+    window = F.slice("_words", F.col("at") - left + 1, left + F.get(spans, F.col("mask")) + flank)
+    return (seeded.select(key, "mask", "seed", "at", F.xxhash64(left, window).alias("_window"))
+            .groupBy(key, "mask", "seed", "_window").agg(at.alias("at")).drop("_window"))
 
 
 def _short_masks(items: DataFrame, shortest: int) -> list[str]:
@@ -51,13 +65,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = M
     the aligned tokens from `flank` before to `flank` after the mask's span, as far as the item
     reaches, are compared one to one; the hit stands if at least `share` of them are equal. Items
     shorter than every mask must occur whole. Hashes of documents are not shuffled while the test
-    side measures under BROADCAST_BYTES, and are joined by a shuffle beyond; texts are read again
-    only for documents with hits. Items of equal words count as the one of smallest id.
+    side measures under BROADCAST_BYTES, and are joined by a shuffle beyond; that first join only
+    names the documents with hits. Their texts alone are hashed once more, and places of a text
+    (or of an item) that are compared by the very same words count once, the first of the text
+    against the last of the item: repeated words do not multiply. Items of equal words count as
+    the one of smallest id.
 
     Returns distinct (doc_id, item_id, offset, matched, compared), offset being the document's
     word at which the item would begin, with the best hit of each alignment. Null and empty texts
-    leak nothing; rows with one id count as one document, those without an id as none; other
-    columns are ignored; an empty table on either side gives no rows.
+    leak nothing; rows with one id count as one document, those without an id as none; ids of any
+    type are compared as they are; other columns are ignored; an empty table on either side gives
+    no rows.
     """
     work = Workspace(docs.sparkSession)
     words = F.array_remove(tokens(F.col("text")), "")
@@ -66,15 +84,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = M
     every = [*masks, *_short_masks(items, min(map(len, masks)))]
     spans = F.array(*[F.lit(len(m)) for m in every])
     whole = (F.col("mask") < len(masks)) | (F.size("item_words") == F.get(spans, F.col("mask")))
-    test = work.save(_seeded(items, F.col("item_words"), ["item_id", "item_words"], every).filter(whole)
-                     .select("seed", "item_id", F.col("at").alias("item_at")))
+    places = _seeded(items, F.col("item_words"), ["item_id", "item_words"], every, carry=True).filter(whole)
+    test = work.save(_distinct_places(places, "item_id", flank, spans, F.max("at")).withColumnRenamed("at", "item_at"))
     small = test.count() * 64 <= BROADCAST_BYTES
+    seeds = test.select("seed").distinct()
 
     read = docs.select("doc_id", "text").filter("doc_id IS NOT NULL AND text IS NOT NULL")
     train = _seeded(read, tokens(F.col("text")), ["doc_id"], every)
-    hits = train.join(F.broadcast(test) if small else test, "seed")
-    pairs = work.save(hits.groupBy("doc_id", "item_id").agg(
-        F.collect_list(F.struct("mask", "at", "item_at")).alias("hits")))
+    named = work.save(train.join(F.broadcast(seeds) if small else seeds, "seed", "left_semi").select("doc_id").distinct())
+    hit = work.save(read.join(named, "doc_id", "left_semi"))
+    places = _seeded(hit, tokens(F.col("text")), ["doc_id"], every, carry=True)
+    places = places.join(F.broadcast(seeds) if small else seeds, "seed", "left_semi")
+    places = _distinct_places(places, "doc_id", flank, spans, F.min("at"))
+    pairs = (places.join(F.broadcast(test) if small else test, ["mask", "seed"]).groupBy("doc_id", "item_id")
+             .agg(F.collect_list(F.struct("mask", "at", "item_at")).alias("hits")))
 
     def verified(doc_words: Column) -> Column:
         def compare(hit):
@@ -86,7 +109,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = M
             return F.struct(shift.alias("offset"), same.alias("matched"), (high - low).alias("compared"))
         return F.filter(F.transform("hits", compare), lambda h: h["matched"] >= share * h["compared"])
 
-    texts = pairs.join(items, "item_id").join(read, "doc_id")
+    texts = pairs.join(items, "item_id").join(hit, "doc_id")
     # as a lambda's variable the words are split once for all hits of a text
     found = F.element_at(F.transform(F.array(tokens(F.col("text"))), verified), 1)
     best = F.max(F.struct((F.col("h.matched") / F.col("h.compared")).alias("share"), "h.matched", "h.compared"))
@@ -96,13 +119,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = M
 
 
 def leaked_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """One row per leaking document: its best aligned item, and how many items it overlaps."""
+    """One row per leaking document: its best aligned item, and how many items it overlaps.
+
+    Of equal shares the longer comparison counts, then the smaller item id, then the smaller offset.
+    """
     leaks = find_leaks(docs, benchmark, **options)
-    best = F.max(F.struct((F.col("matched") / F.col("compared")).alias("share"), "compared",
-                          (-F.col("item_id")).alias("minus"), "item_id", (-F.col("offset")).alias("back"), "matched"))
+    best = F.min(F.struct((-F.col("matched") / F.col("compared")).alias("share"), (-F.col("compared")).alias("length"),
+                          "item_id", "offset", "matched", "compared"))
     items = leaks.groupBy("doc_id", "item_id").agg(best.alias("b"))
-    return (items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.max("b").alias("b"))
-            .select("doc_id", "n_items", "b.item_id", (-F.col("b.back")).cast("long").alias("word_offset"),
+    return (items.groupBy("doc_id").agg(F.count("*").alias("n_items"), F.min("b").alias("b"))
+            .select("doc_id", "n_items", "b.item_id", F.col("b.offset").cast("long").alias("word_offset"),
                     F.col("b.matched").cast("long").alias("matched"),
                     F.col("b.compared").cast("long").alias("compared")))
 
