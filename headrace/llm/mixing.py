@@ -66,10 +66,11 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str =
 
     The count inverts the Poisson distribution at a number in [0, 1) hashed from the id and the
     seed, so a run repeats exactly and needs no state. Copies are dealt and sorted by a hash of
-    id and copy: a random order over all partitions. A null source has its own rate; sources
-    without a rate give no rows; rows repeated under one id share their count; a null id counts
-    as the text "null". All columns are returned as they are, and the copy's number (from 1) as
-    `copy_column` unless that is None.
+    id, copy and the row's place in the input: a random order over all partitions, also where
+    many rows share one id. A null source has its own rate; sources without a rate give no rows;
+    rows repeated under one id share their count; each row without an id draws its own, by its
+    place. All columns are returned as they are, and the copy's number (from 1) as `copy_column`
+    unless that is None; a column of that name in the documents raises a ValueError.
     """
     if copy_column in docs.columns:
         raise ValueError(f"the documents already have a column {copy_column}")
@@ -77,14 +78,16 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 7, id_column: str =
                                             _cdf(F.col("rate")).alias("_cdf"))
     if rates.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:  # else Spark joins by a shuffle
         table = F.broadcast(table)
-    name = F.coalesce(F.col(id_column).cast("string"), F.lit("null"))
+    name = F.coalesce(F.col("_id").cast("string"), F.concat(F.lit("row "), F.col("_place").cast("string")))
     uniform = F.conv(F.substring(F.md5(F.concat(name, F.lit(f":{seed}"))), 1, 13), 16, 10).cast("double") / 2.0**52
-    rows = docs.select(F.struct("*").alias("_row"), F.col(source_column).alias("_from"), name.alias("_name"),
-                       uniform.alias("_u"))
+    placed = docs.select(F.struct("*").alias("_row"), F.col(source_column).alias("_from"),
+                         F.col(id_column).alias("_id"), F.monotonically_increasing_id().alias("_place"))
+    rows = placed.select("_row", "_from", "_place", name.alias("_name"), uniform.alias("_u"))
     drawn = (rows.join(table, F.col("_from").eqNullSafe(F.col("_source")))
-             .select("_row", "_name", (F.col("_first") + F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))).alias("_n")))
-    copies = drawn.filter("_n > 0").select("_row", "_name", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
-    keyed = copies.withColumn("_key", F.xxhash64("_name", "_copy", F.lit(seed)))
+             .select("_row", "_name", "_place", (F.col("_first") + F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))).alias("_n")))
+    copies = drawn.filter("_n > 0").select("_row", "_name", "_place",
+                                           F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    keyed = copies.withColumn("_key", F.xxhash64("_name", "_copy", "_place", F.lit(seed)))
     mixed = keyed.repartition("_key").sortWithinPartitions("_key")
     return mixed.select("_row.*", *([F.col("_copy").alias(copy_column)] if copy_column else []))
 
