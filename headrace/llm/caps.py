@@ -94,7 +94,7 @@ def _decode(code: ProductCode, dims: int):
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
                 vectors = _matrix(some.column("vector"), dims)
-                rows, codes = code.filters(vectors / np.linalg.norm(vectors, axis=1, keepdims=True))
+                rows, codes = code.filters(_unit(vectors))
                 counts = np.bincount(rows, minlength=some.num_rows)
                 order = np.lexsort((codes, rows))
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
@@ -103,6 +103,13 @@ def _decode(code: ProductCode, dims: int):
     return run
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; a power of two first takes the largest component near 1, so that squares stay finite."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    scaled = np.ldexp(vectors, -power)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
@@ -115,8 +122,7 @@ def _verify(threshold: float, dims: int):
         for table in sorted_groups(batches, ["filter", "one", "two"]):
             number, one, two, side, ids, copies = (table.column(c).to_numpy() for c in
                                                    ("filter", "one", "two", "side", "entry", "copies"))
-            vectors = _matrix(table.column("vector"), dims)
-            vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+            vectors = _unit(_matrix(table.column("vector"), dims))
             filters = pa.concat_arrays(table.column("filters").chunks)
             bounds, values = filters.offsets.to_numpy(), filters.values.to_numpy()
             lists = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
@@ -178,27 +184,49 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     vectors so that filters keep their mean size; links found are exact, recall is measured in the
     tests (0.99 and more).
 
-    Vectors that are null, empty, zero, of another length than the most common one, or with null
-    or non-finite components link with nothing, also not with their copies. Rows repeated under
-    one id count as one vector (the least), rows without an id as none; other columns are
-    ignored; no rows give no rows.
+    Vectors of different lengths have no cosine: each length that two entries have gets a code of
+    its own. Vectors that are null, empty, zero, or with null or non-finite components link with
+    nothing, also not with their copies; finite ones of any size do. Rows repeated under one id
+    count as one vector (the least), rows without an id as none; other columns are ignored; no
+    rows give no rows.
     """
     spark = vectors.sparkSession
     ship_library(spark)
     work = Workspace(spark)
     vector = F.col(vector_column).cast("array<double>")
     rows = vectors.select(F.col(id_column).cast("long").alias("id"), vector.alias("vector")).filter("id IS NOT NULL")
-    common = rows.filter("size(vector) > 0").groupBy(F.size("vector").alias("n")).agg(F.count("*").alias("c")) \
-        .orderBy(F.desc("c"), "n").first()
-    dims = common.n if common else 1
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = (F.size("vector") == dims) & finite & F.exists("vector", lambda x: x != 0)
+    usable = (F.size("vector") > 0) & finite & F.exists("vector", lambda x: x != 0)
     rows = rows.groupBy("id").agg(F.min(F.when(usable, F.col("vector"))).alias("vector"))
     named = work.save(rows.withColumn("key", F.when(F.col("vector").isNotNull(), F.sha2(
         F.array_join(F.transform("vector", lambda x: (x + 0.0).cast("string")), ","), 256))))
     entries = work.save(named.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("id").alias("entry"), F.count("*").alias("copies"), F.min("vector").alias("vector")))
-    code = ProductCode.fitted(dims, entries.count())
+    # as narrow as the vectors came
+    narrow = vectors.schema[vector_column].dataType.simpleString() == "array<float>"
+    compact = F.col("vector").cast("array<float>") if narrow else F.col("vector")
+    lengths = (entries.groupBy(F.size("vector").alias("dims")).agg(F.count("*").alias("n")).filter("n > 1")
+               .orderBy("dims").collect())
+    found = spark.createDataFrame([], "entry long, links long, root long")
+    for dims, count in lengths:
+        some = entries.filter(F.size("vector") == dims).select("entry", "copies", compact.alias("vector"))
+        found = found.unionByName(_links(work, some, dims, count, threshold))
+    joined = connected_components(work, found.filter("entry <> root").select(F.col("entry").alias("a"),
+                                                                             F.col("root").alias("b")))
+    direct = found.groupBy("entry").agg(F.sum("links").alias("links"))
+    classes = work.save(entries.select("key", "entry", "copies").join(direct, "entry", "left")
+                        .join(joined.withColumnRenamed("node", "entry"), "entry", "left")
+                        .select("key", F.coalesce("component", "entry").alias("component_id"),
+                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    component = F.coalesce("component_id", "id")
+    return (named.select("id", "key").join(classes, "key", "left")
+            .select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    component.alias("component_id"), (component == F.col("id")).alias("kept")))
+
+
+def _links(work: Workspace, entries: DataFrame, dims: int, count: int, threshold: float) -> DataFrame:
+    """Rows (entry, links, root) of `count` entries (entry, copies, vector) of one length: what each task linked."""
+    code = ProductCode.fitted(dims, count)
     lists = work.save(entries.select("entry", "vector").mapInArrow(_decode(code, dims),
                                                                   "entry long, filters array<long>"))
     sizes = work.save(lists.select(F.explode("filters").alias("filter")).groupBy("filter")
@@ -210,23 +238,10 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_column: st
     keys = ["filter", "one", "two"]
     dealt = dealt.select("filter", "entry", F.least("own", "peer").alias("one"), F.greatest("own", "peer").alias("two"),
                          (F.col("own") > F.col("peer")).cast("int").alias("side"))
-    # as narrow as the vectors came, and of the filters only those a pair could have shared before
-    narrow = vectors.schema[vector_column].dataType.simpleString() == "array<float>"
-    compact = F.col("vector").cast("array<float>") if narrow else F.col("vector")
+    # of the filters only those a pair could have shared before
     before = F.filter("filters", lambda f: f <= F.col("filter")).alias("filters")
-    full = (dealt.join(entries.select("entry", "copies", compact.alias("vector")), "entry").join(lists, "entry")
+    full = (dealt.join(entries, "entry").join(lists, "entry")
             .select(*keys, "side", "entry", "copies", "vector", before)
             .repartition(*keys).sortWithinPartitions(*keys))
-    found = work.save(full.select(*keys, "side", "entry", "copies", "vector", "filters").mapInArrow(
+    return work.save(full.select(*keys, "side", "entry", "copies", "vector", "filters").mapInArrow(
         _verify(threshold, dims), "entry long, links long, root long"))
-    joined = connected_components(work, found.filter("entry <> root").select(F.col("entry").alias("a"),
-                                                                             F.col("root").alias("b")))
-    direct = found.groupBy("entry").agg(F.sum("links").alias("links"))
-    classes = work.save(entries.select("key", "entry", "copies").join(direct, "entry", "left")
-                        .join(joined.withColumnRenamed("node", "entry"), "entry", "left")
-                        .select("key", F.coalesce("component", "entry").alias("component_id"),
-                                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    component = F.coalesce("component_id", "id")
-    return (named.select("id", "key").join(classes, "key", "left")
-            .select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                    component.alias("component_id"), (component == F.col("id")).alias("kept")))
