@@ -77,34 +77,47 @@ def _known(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("scanned"))).alias("done"))
 
 
-def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
-                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Scan every version whose blob lacks a rule version in the ledger, and report all of them.
+def scan_unseen(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
+                text_column: str = "text") -> None:
+    """Scan every blob that lacks a rule version in the ledger, under those rules only.
 
     A version's text is addressed by its SHA-256; equal texts are scanned once, however many
     paths carry them, and never again under the same rule version. The new ledger rows are
     appended to the Parquet folder `ledger_path` in one commit: a run that fails leaves none.
+    Addresses alone are compared with the ledger; texts move only if some are unseen.
+    """
+    spark = versions.sparkSession
+    work = Workspace(spark)
+    texts = versions.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    pairs = F.array(*[F.lit(f"{r.kind}@{r.version}") for r in rules])
+    # grouped by the text itself: copies meet before the shuffle, and no pass is spent on sorting
+    blobs = texts.distinct().select(F.sha2("text", 256).alias("blob"), "text")
+    if _exists(spark, ledger_path):
+        known = _known(spark.read.parquet(ledger_path))
+        unseen = work.save(texts.select(F.sha2("text", 256).alias("blob")).distinct().join(known, "blob", "left")
+                           .select("blob", F.array_except(pairs, F.coalesce("done", F.array().cast("array<string>")))
+                                   .alias("missing")).filter(F.size("missing") > 0))
+        if unseen.isEmpty():
+            return
+        blobs = blobs.join(unseen, "blob")
+    else:
+        blobs = blobs.select("blob", "text", pairs.alias("missing"))
+    scan_blobs(blobs, rules).write.mode("append").parquet(ledger_path)
+
+
+def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...] = RULES,
+                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Scan what the ledger lacks, and join the findings back to all versions.
+
     Returns one row per input row: id, blob, findings (kind, start, end). A null text counts as
     an empty one, repeated rows are all reported, other columns are ignored, and an empty table
     gives no rows.
     """
     spark = versions.sparkSession
     work = Workspace(spark)
+    scan_unseen(versions, ledger_path, rules, text_column)
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    addressed = versions.select(F.col(id_column).alias("id"), F.sha2(text, 256).alias("blob"), text.alias("text"))
-    pairs = F.array(*[F.lit(f"{r.kind}@{r.version}") for r in rules])
-    blobs = addressed.select("blob", "text")
-    if _exists(spark, ledger_path):
-        known = work.save(_known(spark.read.parquet(ledger_path)))
-        blobs = (blobs.join(known, "blob", "left")
-                 .select("blob", "text", F.array_except(pairs, F.coalesce("done", F.array().cast("array<string>")))
-                         .alias("missing")).filter(F.size("missing") > 0))
-        unseen = blobs.groupBy("blob", "text").agg(F.first("missing").alias("missing"))
-    else:
-        # grouped by the text itself: copies meet before the shuffle, and no pass is spent on sorting
-        unseen = blobs.select("text").distinct().select(F.sha2("text", 256).alias("blob"), "text",
-                                                        pairs.alias("missing"))
-    scan_blobs(unseen, rules).write.mode("append").parquet(ledger_path)
+    addressed = versions.select(F.col(id_column).alias("id"), F.sha2(text, 256).alias("blob"))
 
     current = [f"{r.kind}@{r.version}" for r in rules]
     ledger = spark.read.parquet(ledger_path)
@@ -113,7 +126,7 @@ def scan_versions(versions: DataFrame, ledger_path: str, rules: tuple[Rule, ...]
     rows = ledger.select("blob", F.filter("findings", lambda f: F.array_contains(kinds, f["kind"])).alias("findings"))
     resolved = work.save(rows.groupBy("blob").agg(
         F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings")))
-    return addressed.select("id", "blob").join(resolved, "blob").select(F.col("id").alias(id_column), "blob", "findings")
+    return addressed.join(resolved, "blob").select(F.col("id").alias(id_column), "blob", "findings")
 
 
 def _exists(spark, path: str) -> bool:
