@@ -20,11 +20,13 @@ BURN_IN, SAMPLES = 2, 3
 SMALL = 1024
 # Points of that integral.
 POINTS = 48
-# Pairs whose probabilities go to every task when texts are scored.
+# Pairs, and words, whose probabilities go to every task when texts are scored.
 FREQUENT = 1 << 18
-# Tables of up to this many words are offered as a broadcast; more are joined by a salted shuffle.
-BROADCAST_WORDS = 1 << 20
-SALTS = 16
+COMMON = 1 << 17
+# Other pairs of the texts are joined with the model in this many rounds, each with its own shuffle files.
+ROUNDS = 4
+# Repeated pairs of one context or word from which on its rows are dealt to several tasks, so many to each.
+HOT_PAIRS = 1 << 16
 _END = np.int64(0x0E4D0E4D0E4D0E4D)
 
 
@@ -204,34 +206,38 @@ _STATE = "context long, word long, n long, t long, drawn long"
 
 @dataclass(frozen=True)
 class Model:
-    """pairs (context, word, n, drawn), words (word, word_n, roots), contexts (context, guests, backs), and sizes.
+    """Repeated pairs (context, word, n, drawn), all pairs (context, word, n), words (word, word_n, roots),
+    contexts (context, guests, backs), and sizes.
 
     drawn adds up a pair's tables, roots and backs list probabilities, all over the samples.
     """
 
+    repeated: DataFrame
     pairs: DataFrame
     words: DataFrame
     contexts: DataFrame
-    repeated: DataFrame
     discount: float
     size: int
     total: int
     unknown: list[float]
 
-    def probability(self) -> Column:
-        """p of a word after a context, from columns of all three tables; null where a table has no row."""
-        alone, new = F.array(*[F.lit(1.0)] * SAMPLES), F.array(*[F.lit(u) for u in self.unknown])
-        own = (F.col("n") - self.discount * F.col("drawn") / SAMPLES) / (STRENGTH + F.col("guests"))
-        return F.coalesce(own, F.lit(0.0)) + _mean(F.coalesce("backs", alone), F.coalesce("roots", new))
+
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, hot: DataFrame | None) -> DataFrame:
+    """Rows with the table's columns for their key; those of a hot key (key, salts) are cut by `other`."""
+    if hot is None:
+        return rows.join(table, key, "left")
+    one, hot = F.lit(1), F.broadcast(hot)
+    salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(other), F.coalesce("salts", one)).cast("int"))
+    copies = (table.join(hot, key, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", one) - 1))).drop("salts"))
+    return salted.drop("salts").join(copies, [key, "_salt"], "left").drop("_salt")
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, size: int) -> DataFrame:
-    """Rows with the table's columns for their key; beyond a broadcast, common keys are cut by `other`."""
-    if size <= BROADCAST_WORDS:
-        return rows.join(F.broadcast(table), key, "left")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+def _hot(work: Workspace, table: DataFrame, key: str) -> DataFrame | None:
+    """Keys of HOT_PAIRS repeated pairs and more: no more of them than pairs / HOT_PAIRS."""
+    salts = (1 + F.col("live") / HOT_PAIRS).cast("int").alias("salts")
+    hot = work.save(table.filter(F.col("live") >= HOT_PAIRS).select(key, salts).coalesce(1))
+    return None if hot.isEmpty() else hot
 
 
 def _discount(one, two) -> float:
@@ -249,18 +255,18 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     A pair met once has one table in every sweep: such pairs, most of all, are counted once per word
     and per context, and the state that sweeps pass on holds the others.
     """
-    pairs = work.save(texts.select("text").mapInArrow(_count, "context long, word long, n long")
-                      .groupBy("context", "word").agg(F.sum("n").alias("n")))
+    pairs = work.save_tidy(texts.select("text").mapInArrow(_count, "context long, word long, n long")
+                           .groupBy("context", "word").agg(F.sum("n").alias("n")))
 
     def ones(column: str) -> list[Column]:
         return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "one"), (2, "two"))]
 
     per_pair = pairs.agg(F.sum("n").alias("n"), F.count("*").alias("t"), *ones("n")).first()
-    single = F.count(F.when(F.col("n") == 1, 1)).alias("single")
-    words = work.save(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"), single)
-                      .withColumns({"tables": F.lit(1).cast("long"), "roots": F.array().cast("array<double>")}))
-    contexts = work.save(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"), single)
-                         .withColumn("backs", F.array().cast("array<double>")))
+    single, live = (F.count(F.when(c, 1)).alias(name) for c, name in ((F.col("n") == 1, "single"), (F.col("n") > 1, "live")))
+    words = work.save_tidy(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"), single, live)
+                           .withColumns({"tables": F.lit(1).cast("long"), "roots": F.array().cast("array<double>")}))
+    contexts = work.save_tidy(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"), single, live)
+                              .withColumn("backs", F.array().cast("array<double>")))
     per_word = words.agg(F.count("*").alias("t"), *ones("served")).first()
     total, size = int(per_pair.n or 0), int(per_word.t)
     low, top, base = _discount(per_pair.one, per_pair.two), _discount(per_word.one, per_word.two), 1.0 / (size + 1)
@@ -269,87 +275,203 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
         back = (STRENGTH + top * tables) * base
         return (F.greatest(F.lit(0.0), served - top * own) + back) / (STRENGTH + customers)
 
+    hot_words, hot_contexts = _hot(work, words, "word"), _hot(work, contexts, "context")
     customers, tables = float(per_pair.t), float(size)
     state = pairs.filter("n > 1").withColumns({"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
-    unknown = []
+    unknown, passed = [], None
     for sweep in range(BURN_IN + SAMPLES if total else 0):
         if sweep == BURN_IN:
             state = state.withColumn("drawn", F.lit(0).cast("long"))
-        held = contexts.select("context", F.col("tables").alias("_tables"))
-        named = words.select("word", root(customers, tables, F.col("served"), F.col("tables")).alias("base"))
-        rows = _looked_up(_looked_up(state, held, "context", "word", size), named, "word", "context", size)
+        held = contexts.filter("live > 0").select("context", F.col("tables").alias("_tables"))
+        named = words.filter("live > 0").select("word", root(customers, tables, F.col("served"), F.col("tables")).alias("base"))
+        rows = _looked_up(_looked_up(state, held, "context", "word", hot_contexts), named, "word", "context", hot_words)
         strength = STRENGTH + low * (F.col("_tables") - F.col("t"))
-        before, state = state, work.save(rows.select("context", "word", "n", "drawn", strength.alias("strength"), "base")
-                                         .mapInArrow(_seat(low, seed + 100 * sweep), _STATE))
+        state = work.save_tidy(rows.select("context", "word", "n", "drawn", strength.alias("strength"), "base")
+                               .mapInArrow(_seat(low, seed + 100 * sweep), _STATE))
+        if passed is not None:
+            work.drop(passed)
+        passed = state
         # the root, whose customers are the tables just drawn; its names are (0, word)
         served = F.col("single") + F.coalesce("more", F.lit(0))
         dishes = (words.join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left")
                   .select(F.lit(0).cast("long").alias("context"), "word", served.alias("n"),
                           F.lit(0).cast("long").alias("drawn"),
                           (STRENGTH + top * (tables - F.col("tables"))).alias("strength"), F.lit(base).alias("base")))
-        seated = work.save(dishes.mapInArrow(_seat(top, seed + 100 * sweep + 1), _STATE))
+        seated = work.save_tidy(dishes.mapInArrow(_seat(top, seed + 100 * sweep + 1), _STATE))
         sums = seated.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
         customers, tables = float(sums.n), float(sums.t)
         sampled = sweep >= BURN_IN
         now = root(customers, tables, F.col("served"), F.col("tables"))
-        words = words.select("word", "n", "single", "roots").join(
+        older = [words, contexts, seated]
+        words = words.select("word", "n", "single", "live", "roots").join(
             seated.select("word", F.col("n").alias("served"), F.col("t").alias("tables")), "word")
-        words = work.save(words.withColumn("roots", F.concat("roots", F.array(now)) if sampled else F.col("roots")))
+        words = work.save_tidy(words.withColumn("roots", F.concat("roots", F.array(now)) if sampled else F.col("roots")))
         back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
         contexts = contexts.drop("tables").join(state.groupBy("context").agg(F.sum("t").alias("more")), "context", "left")
-        contexts = contexts.select("context", "guests", "single", "backs",
+        contexts = contexts.select("context", "guests", "single", "live", "backs",
                                    (F.col("single") + F.coalesce("more", F.lit(0))).alias("tables"))
-        contexts = work.save(contexts.withColumn("backs", F.concat("backs", F.array(back)) if sampled
-                                                 else F.col("backs")))
+        contexts = work.save_tidy(contexts.withColumn("backs", F.concat("backs", F.array(back)) if sampled
+                                                      else F.col("backs")))
         if sampled:
             unknown.append((STRENGTH + top * tables) * base / (STRENGTH + customers))
-        if sweep and sweep != BURN_IN:
-            work.drop(before)
+        work.drop(*older)
     if not total:
         unknown = [1.0] * SAMPLES
-    repeated = state.select("context", "word", "n", "drawn")
-    once = pairs.filter("n = 1").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
-    return Model(repeated.unionByName(once), words.select("word", F.col("n").alias("word_n"), "roots"),
-                 contexts.select("context", "guests", "backs"), repeated, low, size, total, unknown)
+    return Model(state.select("context", "word", "n", "drawn"), pairs, words.select("word", F.col("n").alias("word_n"), "roots"),
+                 contexts.select("context", "guests", "backs"), low, size, total, unknown)
+
+
+# --- scores -------------------------------------------------------------------------------------
 
+@dataclass(frozen=True)
+class Common:
+    """The commonest words by number, as words (count, roots) and as contexts (guests, backs).
 
-def _mean(backs: Column, roots: Column) -> Column:
-    """What the root gives to a word, averaged over the samples."""
-    return F.aggregate(F.zip_with(backs, roots, lambda b, r: b * r), F.lit(0.0), lambda x, y: x + y) / SAMPLES
+    `pairs` are the frequent pairs of them, rank of the context * COMMON + rank of the word, with `p`.
+    """
 
+    numbers: np.ndarray
+    counts: np.ndarray
+    roots: np.ndarray
+    guests: np.ndarray
+    backs: np.ndarray
+    pairs: np.ndarray
+    p: np.ndarray
+
+    def ranks(self, numbers: np.ndarray) -> np.ndarray:
+        """The place of each word here, or -1."""
+        if not len(self.numbers):
+            return np.full(len(numbers), -1)
+        place = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
+        return np.where(self.numbers[place] == numbers, place, -1)
+
+
+def _stack(lists, count: int) -> np.ndarray:
+    return np.array([*lists], float).reshape(count, SAMPLES)
+
+
+def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame]:
+    """The common words, and all pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, n, drawn)."""
+    spark, step = work.spark, COMMON
+    top = work.save_tidy(model.words.orderBy(F.desc("word_n"), "word").limit(COMMON))
+    top = top.join(model.contexts.withColumnRenamed("context", "word"), "word").orderBy("word").toPandas()
+    numbers = top["word"].to_numpy(np.int64)
+    ranks = spark.createDataFrame(pa.table({"word": numbers, "rank": np.arange(len(numbers))}))
+    once = model.pairs.filter("n = 1").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
+    every = model.repeated.unionByName(once)
+    every = every.join(F.broadcast(ranks.withColumnRenamed("rank", "_w")), "word", "left").join(
+        F.broadcast(ranks.select(F.col("word").alias("context"), F.col("rank").alias("_c"))), "context", "left")
+    near = work.save_tidy(every.filter("_w IS NOT NULL AND _c IS NOT NULL")
+                          .select((F.col("_c") * step + F.col("_w")).alias("pair"), "n", "drawn"))
+    far = work.save_tidy(every.filter("_w IS NULL OR _c IS NULL").select("context", "word", "n", "drawn"))
+    roots, backs = (_stack(top[c], len(top)) for c in ("roots", "backs"))
+    counts, guests = (top[c].to_numpy(float) for c in ("word_n", "guests"))
+    often = near.filter("n > 1").orderBy(F.desc("n"), "pair").limit(FREQUENT).toPandas().sort_values("pair")
+    pairs = often["pair"].to_numpy(np.int64)
+    c, w = pairs // step, pairs % step
+    own = (often["n"].to_numpy(float) - model.discount * often["drawn"].to_numpy(float) / SAMPLES) / (STRENGTH + guests[c])
+    return Common(numbers, counts, roots, guests, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1)), near, far
+
+
+def _lists(rows: np.ndarray, count: int, **columns: np.ndarray) -> pa.ListArray:
+    """For each of `count` texts the list of its structs; `rows` ascends."""
+    cuts = np.searchsorted(rows, np.arange(count + 1))
+    items = pa.StructArray.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)
+
+
+def _score_frequent(common: Common, total: int, size: int):
+    """Sums over each text's frequent pairs, and its other pairs with their counts, by kind."""
+    step = COMMON
 
-def _score_frequent(frequent: dict[str, np.ndarray], total: int, size: int):
-    """Sums over each text's frequent pairs, and its other pairs with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = frequent["key"]
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 numbers, contexts, bounds = tokens_of(some.column("text"))
-                rows = np.repeat(np.arange(some.num_rows), np.diff(bounds))
-                known = np.zeros(len(numbers), bool)
-                place = np.zeros(len(numbers), np.int64)
-                if len(key):
-                    place = np.minimum(np.searchsorted(key, _pair_hash(contexts, numbers)), len(key) - 1)
-                    known = (frequent["context"][place] == contexts) & (frequent["word"][place] == numbers)
-                p = place[known]
-                base = np.log10((frequent["word_n"][p] + 1) / (total + size + 1))
-                rest = np.flatnonzero(~known)
-                first, times = _distinct(contexts[rest], numbers[rest], rows[rest])
-                first = rest[first]
-                cuts = np.searchsorted(rows[first], np.arange(some.num_rows + 1))
-                left = pa.StructArray.from_arrays([pa.array(contexts[first]), pa.array(numbers[first]), pa.array(times)],
-                                                  names=["context", "word", "times"])
+                count = some.num_rows
+                rows = np.repeat(np.arange(count), np.diff(bounds))
+                w = common.ranks(numbers)
+                c = np.concatenate([common.ranks(contexts[:1]), w[:-1]])[:len(w)]
+                both = (w >= 0) & (c >= 0)
+                pair = np.where(both, c * step + w, -1)
+                known, place = np.zeros(len(pair), bool), np.zeros(len(pair), np.int64)
+                if len(common.pairs):
+                    place = np.minimum(np.searchsorted(common.pairs, pair), len(common.pairs) - 1)
+                    known = common.pairs[place] == pair
+                base = np.log10((common.counts[w[known]] + 1) / (total + size + 1))
+                at_near = np.flatnonzero(both & ~known)
+                first, near_times = _distinct(np.zeros(len(at_near), np.int8), pair[at_near], rows[at_near])
+                near = at_near[first]
+                at_far = np.flatnonzero(~both)
+                first, far_times = _distinct(contexts[at_far], numbers[at_far], rows[at_far])
+                far = at_far[first]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("row"), some.column("doc_id"), pa.array(np.diff(bounds)),
-                     pa.array(np.bincount(rows[known], minlength=some.num_rows)),
-                     pa.array(np.bincount(rows[known], base, some.num_rows).astype(float)),
-                     pa.array(np.bincount(rows[known], np.log10(frequent["p"][p]), some.num_rows).astype(float)),
-                     pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), left)],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rest"])
+                     pa.array(np.bincount(rows[known], minlength=count)),
+                     pa.array(np.bincount(rows[known], base, count).astype(float)),
+                     pa.array(np.bincount(rows[known], np.log10(common.p[place[known]]), count).astype(float)),
+                     _lists(rows[near], count, pair=pair[near], times=near_times),
+                     _lists(rows[far], count, context=contexts[far], word=numbers[far], times=far_times,
+                            c=c[far].astype(np.int32), w=w[far].astype(np.int32))],
+                    names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "near", "far"])
+    return run
+
+
+_PARTS = ("n_tokens long, n_known long, base_score double, score double, near array<struct<pair: long, times: long>>, "
+          "far array<struct<context: long, word: long, times: long, c: int, w: int>>")
+
+
+def _finish(common: Common, model: tuple[float, int, int, list[float]]):
+    """Sums (row, known, base, more) over pairs of texts.
+
+    A pair has the ranks of its words or, where a rank is -1, the columns of the model's tables;
+    what the model has not met is null there.
+    """
+    low, total, size, unknown = model
+    step = COMMON
+
+    def filled(out: np.ndarray, rank: np.ndarray, source: np.ndarray, column: pa.Array | None) -> np.ndarray:
+        if column is not None:
+            met = column.is_valid().to_numpy(zero_copy_only=False)
+            values = column.drop_null()
+            out[met] = np.asarray(values.flatten()).reshape(-1, SAMPLES) if out.ndim > 1 else np.asarray(values)
+        out[rank >= 0] = source[rank[rank >= 0]]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            has = batch.schema.names
+            count = batch.num_rows
+            column = {name: batch.column(name) for name in has}
+            if "pair" in has:
+                pair = column["pair"].to_numpy()
+                c, w = pair // step, pair % step
+            else:
+                c, w = (column[x].to_numpy() for x in "cw")
+            n, drawn = (column[x].fill_null(0).to_numpy() for x in ("n", "drawn"))
+            guests = filled(np.zeros(count), c, common.guests, column.get("guests"))
+            backs = filled(np.ones((count, SAMPLES)), c, common.backs, column.get("backs"))
+            word_n = filled(np.zeros(count), w, common.counts, column.get("word_n"))
+            roots = filled(np.tile(unknown, (count, 1)), w, common.roots, column.get("roots"))
+            p = (n - low * drawn / SAMPLES) / (STRENGTH + guests) + (backs * roots).mean(axis=1)
+            times = column["times"].to_numpy()
+            rows, at = np.unique(column["row"].to_numpy(), return_inverse=True)
+            sums = [np.bincount(at, times * x, len(rows)).astype(float) for x in (
+                word_n > 0, np.log10((word_n + 1) / (total + size + 1)), np.log10(p))]
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])],
+                                             names=["row", "known", "base", "more"])
     return run
 
 
+def _rare(rows: DataFrame, table: DataFrame, key: str, rank: str) -> DataFrame:
+    """Rows with the table's columns for their rare keys; the others, of any number, are spread and meet nothing."""
+    spread = F.when(F.col(rank) < 0, F.col(key)).otherwise(F.xxhash64("row", "context", "word"))
+    named = rows.withColumns({"_key": spread, "_rare": F.col(rank) < 0})
+    met = table.withColumnRenamed(key, "_key").withColumn("_rare", F.lit(True))
+    return named.join(met, ["_key", "_rare"], "left").drop("_key", "_rare")
+
+
 def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -361,8 +483,9 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     not met before the root alone counts. base_score is the add-one unigram score. The perplexity
     of a text is 10 ** (-score / n_tokens).
 
-    Probabilities of the FREQUENT commonest pairs of those met twice go to all tasks; other pairs,
-    counted per document, are joined with the model. A null text counts as empty (one end token), a
+    Probabilities of the COMMON commonest words, and of the FREQUENT commonest pairs of them that were
+    met twice, go to all tasks. A document's other pairs are counted and joined with the model in ROUNDS,
+    by ranks where both words are common; only rare words and contexts are looked up in tables. A null text counts as empty (one end token), a
     null id is learned from; repeated rows are scored each; other columns are ignored; no rows
     give no rows.
     """
@@ -373,31 +496,28 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(out, F.lit(False)).alias("held_out"))
     model = train(work, texts.filter("NOT held_out"), seed)
-    top = work.save(model.repeated.orderBy(F.desc("n"), "context", "word").limit(FREQUENT))
-    top = (_looked_up(_looked_up(top, model.words, "word", "context", model.size), model.contexts, "context", "word",
-                      model.size).select("context", "word", "word_n", model.probability().alias("p")).toPandas())
-    frequent = {"context": top["context"].to_numpy(np.int64), "word": top["word"].to_numpy(np.int64),
-                "word_n": top["word_n"].to_numpy(np.float64), "p": top["p"].to_numpy(np.float64)}
-    frequent["key"] = _pair_hash(frequent["context"], frequent["word"])
-    order = np.argsort(frequent["key"])
-    frequent = {k: v[order] for k, v in frequent.items()}
-    parts = work.save(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        _score_frequent(frequent, model.total, model.size),
-        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_known long, "
-        "base_score double, score double, rest array<struct<context: long, word: long, times: long>>"))
-    tokens = parts.select("row", F.inline("rest"))
-    joined = tokens.join(model.pairs, ["context", "word"], "left")
-    joined = _looked_up(_looked_up(joined, model.words, "word", "context", model.size),
-                        model.contexts, "context", "word", model.size)
-    p = model.probability()
-    n = F.coalesce("word_n", F.lit(0))
-    rest = joined.groupBy("row").agg(
-        F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * F.log10((n + 1) / F.lit(float(model.total + model.size + 1)))).alias("base"),
-        F.sum(F.col("times") * F.log10(p)).alias("more"))
+    common, near, far = _common(work, model)
+    parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
+        _score_frequent(common, model.total, model.size),
+        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_PARTS}"))
+    finish = _finish(common, (model.discount, model.total, model.size, model.unknown))
+    sums = None
+    for r in range(ROUNDS):
+        def part(rows, *key):
+            return rows.filter(F.pmod(F.xxhash64(*key), F.lit(ROUNDS)) == r)
+        nearby = part(parts.select("row", F.inline("near")), "pair").join(part(near, "pair"), "pair", "left")
+        others = part(parts.select("row", F.inline("far")), "context", "word").join(
+            part(far, "context", "word"), ["context", "word"], "left")
+        others = _rare(_rare(others, model.words, "word", "w"), model.contexts, "context", "c")
+        for rows in (nearby, others.drop("context", "word")):
+            some = rows.mapInArrow(finish, "row long, known long, base double, more double").groupBy("row").agg(
+                *[F.sum(c).alias(c) for c in ("known", "base", "more")])
+            some = work.save_tidy(some)
+            sums = some if sums is None else sums.unionByName(some)
+    rest = sums.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "more")])
     held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(folds)) == held_out,
                       F.lit(False))
-    return (parts.drop("rest").join(rest, "row", "left").select(
+    return (parts.drop("near", "far").join(rest, "row", "left").select(
         "doc_id", held.alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),

@@ -33,6 +33,16 @@ class Workspace:
         saved._workspace_path = path
         return saved
 
+    def save_tidy(self, df: DataFrame) -> DataFrame:
+        """`save`, and the shuffle files of the write are deleted with it: nothing reads them again."""
+        conf, key = self.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = conf.get(key, "false")
+        conf.set(key, "true")
+        try:
+            return self.save(df)
+        finally:
+            conf.set(key, before)
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing will read again."""
         for df in tables:

@@ -159,9 +159,10 @@ def reference_model(train, seed=5):
     return probability
 
 
-@pytest.mark.parametrize("frequent", [1 << 18, 5])
-def test_language_model_matches_plain_loops(spark, monkeypatch, frequent):
-    monkeypatch.setattr(pitman_yor, "FREQUENT", frequent)
+@pytest.mark.parametrize("frequent, common, hot", [(1 << 18, 1 << 17, 1 << 16), (5, 20, 3)])
+def test_language_model_matches_plain_loops(spark, monkeypatch, frequent, common, hot):
+    for name, value in (("FREQUENT", frequent), ("COMMON", common), ("HOT_PAIRS", hot)):
+        monkeypatch.setattr(pitman_yor, name, value)
     rng = np.random.default_rng(21)
     words = np.array([f"w{i}" for i in range(60)])
     texts = [" ".join(words[(rng.pareto(1.0, n) * 3).astype(int) % 60]) for n in rng.integers(1, 40, 150)]

@@ -191,7 +191,8 @@ def test_language_model_learns_word_pairs(spark, monkeypatch):
     rows = spark.createDataFrame(list(enumerate(seen)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in pitman_yor.score(rows, held_out=-1).collect()}
     assert got[60] > got[61] + 0.5 and got[62] > got[63] + 0.5
-    monkeypatch.setattr(pitman_yor, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(pitman_yor, "HOT_PAIRS", 1)
+    monkeypatch.setattr(pitman_yor, "COMMON", 3)
     monkeypatch.setattr(pitman_yor, "FREQUENT", 2)
     other = {r.doc_id: r.score for r in pitman_yor.score(rows, held_out=-1).collect()}
     assert other == pytest.approx(got, abs=1e-6)
