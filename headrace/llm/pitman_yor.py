@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -346,16 +347,17 @@ class Common:
         return np.where(self.numbers[place] == numbers, place, -1)
 
 
-def _stack(lists, count: int) -> np.ndarray:
-    return np.array([*lists], float).reshape(count, SAMPLES)
+def _stack(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of one number per sample as rows."""
+    return np.asarray(column.combine_chunks().flatten()).reshape(-1, SAMPLES)
 
 
 def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame]:
     """The common words, and all pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, n, drawn)."""
     spark, step = work.spark, COMMON
     top = work.save_tidy(model.words.orderBy(F.desc("word_n"), "word").limit(COMMON))
-    top = top.join(model.contexts.withColumnRenamed("context", "word"), "word").orderBy("word").toPandas()
-    numbers = top["word"].to_numpy(np.int64)
+    top = top.join(model.contexts.withColumnRenamed("context", "word"), "word").toArrow().sort_by("word")
+    numbers = top["word"].to_numpy()
     ranks = spark.createDataFrame(pa.table({"word": numbers, "rank": np.arange(len(numbers))}))
     once = model.pairs.filter("n = 1").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
     every = model.repeated.unionByName(once)
@@ -364,12 +366,12 @@ def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame
     near = work.save_tidy(every.filter("_w IS NOT NULL AND _c IS NOT NULL")
                           .select((F.col("_c") * step + F.col("_w")).alias("pair"), "n", "drawn"))
     far = work.save_tidy(every.filter("_w IS NULL OR _c IS NULL").select("context", "word", "n", "drawn"))
-    roots, backs = (_stack(top[c], len(top)) for c in ("roots", "backs"))
-    counts, guests = (top[c].to_numpy(float) for c in ("word_n", "guests"))
-    often = near.filter("n > 1").orderBy(F.desc("n"), "pair").limit(FREQUENT).toPandas().sort_values("pair")
-    pairs = often["pair"].to_numpy(np.int64)
+    roots, backs = (_stack(top[c]) for c in ("roots", "backs"))
+    counts, guests = (top[c].to_numpy().astype(float) for c in ("word_n", "guests"))
+    often = near.filter("n > 1").orderBy(F.desc("n"), "pair").limit(FREQUENT).toArrow().sort_by("pair")
+    pairs = often["pair"].to_numpy()
     c, w = pairs // step, pairs % step
-    own = (often["n"].to_numpy(float) - model.discount * often["drawn"].to_numpy(float) / SAMPLES) / (STRENGTH + guests[c])
+    own = (often["n"].to_numpy() - model.discount * often["drawn"].to_numpy() / SAMPLES) / (STRENGTH + guests[c])
     return Common(numbers, counts, roots, guests, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1)), near, far
 
 
@@ -380,11 +382,12 @@ def _lists(rows: np.ndarray, count: int, **columns: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)
 
 
-def _score_frequent(common: Common, total: int, size: int):
+def _score_frequent(everywhere: Broadcast, total: int, size: int):
     """Sums over each text's frequent pairs, and its other pairs with their counts, by kind."""
     step = COMMON
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = everywhere.value
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
@@ -422,7 +425,7 @@ _PARTS = ("n_tokens long, n_known long, base_score double, score double, near ar
           "far array<struct<context: long, word: long, times: long, c: int, w: int>>")
 
 
-def _finish(common: Common, model: tuple[float, int, int, list[float]]):
+def _finish(everywhere: Broadcast, model: tuple[float, int, int, list[float]]):
     """Sums (row, known, base, more) over pairs of texts.
 
     A pair has the ranks of its words or, where a rank is -1, the columns of the model's tables;
@@ -440,6 +443,7 @@ def _finish(common: Common, model: tuple[float, int, int, list[float]]):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = everywhere.value
         for batch in batches:
             has = batch.schema.names
             count = batch.num_rows
@@ -497,6 +501,7 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
                         F.coalesce(out, F.lit(False)).alias("held_out"))
     model = train(work, texts.filter("NOT held_out"), seed)
     common, near, far = _common(work, model)
+    common = spark.sparkContext.broadcast(common)
     parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         _score_frequent(common, model.total, model.size),
         f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_PARTS}"))
