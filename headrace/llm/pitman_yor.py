@@ -501,6 +501,7 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
                         F.coalesce(out, F.lit(False)).alias("held_out"))
     model = train(work, texts.filter("NOT held_out"), seed)
     common, near, far = _common(work, model)
+    work.drop(model.pairs)
     common = spark.sparkContext.broadcast(common)
     parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         _score_frequent(common, model.total, model.size),
