@@ -8,6 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,9 @@ BURN_IN, SAMPLES = 2, 3
 SMALL = 1024
 # Points of that integral.
 POINTS = 48
+# Counts at which a dish's weights are computed; a polynomial through them gives the others.
+NODES = 32
+_CHEBYSHEV = np.cos(np.pi * (np.arange(NODES) + 0.5) / NODES)
 # Pairs, and words, whose probabilities go to every task when texts are scored.
 FREQUENT = 1 << 18
 COMMON = 1 << 17
@@ -51,8 +55,12 @@ def _pair_hash(contexts: np.ndarray, numbers: np.ndarray, seed: int = 0) -> np.n
 
 
 def _distinct(contexts: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first place of each distinct (row, context, word), by row, and how often it occurs."""
-    order = np.lexsort((numbers, contexts, rows))
+    """A place of each distinct (row, context, word), by row, and how often it occurs.
+
+    Pairs are brought together by hash; two with one hash may give several places with a share each. Rows are below 2 ** 16.
+    """
+    order = np.argsort(_pair_hash(contexts, numbers))
+    order = order[np.argsort(rows[order].astype(np.uint16), kind="stable")]
     c, w, r = contexts[order], numbers[order], rows[order]
     new = np.ones(len(order), bool)
     new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1]) | (r[1:] != r[:-1])
@@ -178,29 +186,52 @@ def draw_tables(n: np.ndarray, strength: np.ndarray, base: np.ndarray, discount:
         reach = np.ceil(8 / np.sqrt(np.maximum(bend, 1e-12)) + 8).astype(np.int64)
         for i, k in enumerate(some):
             t = np.arange(max(1, low[i] - reach[i]), min(size[i], low[i] + reach[i]) + 1)
-            logs = weight(t, np.full(len(t), i))
+            if len(t) > 3 * NODES:  # smooth: a polynomial through the weights of some counts
+                at = t[0] + (t[-1] - t[0]) * (1 + _CHEBYSHEV) / 2
+                fit = np.polynomial.chebyshev.chebfit(_CHEBYSHEV, weight(at, np.full(NODES, i)), NODES - 1)
+                logs = np.polynomial.chebyshev.chebval(np.linspace(-1, 1, len(t)), fit)
+            else:
+                logs = weight(t, np.full(len(t), i))
             cdf = np.cumsum(np.exp(logs - logs.max()))
             out[k] = t[min(len(t) - 1, int(np.searchsorted(cdf, uniform[k] * cdf[-1], side="right")))]
     return out
 
 
-def _seat(discount: float, seed: int):
-    """Rows (context, word, n, t, drawn, strength, base), t the tables before, to (context, word, n, t, drawn).
+def _seat(discount: float, seed: int, names: tuple[str, ...]):
+    """Rows with n, strength and base to rows of `names`, t being the tables of the n customers.
 
-    drawn adds up the tables of the samples. The random number of a row is a hash of its names.
+    A row's random number is a hash of its context and word; drawn, if among the names, adds up the tables of the samples.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, word, n, drawn, strength, base = (batch.column(c).to_numpy() for c in (
-                "context", "word", "n", "drawn", "strength", "base"))
+        for some in _together(batches, 100_000):
+            context, word, n, strength, base = (some[c].to_numpy() for c in ("context", "word", "n", "strength", "base"))
             uniform = (_pair_hash(context, word, seed) >> np.uint64(11)).astype(float) / 2.0**53
-            t = draw_tables(n, strength, base, discount, uniform)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (context, word, n, t, drawn + t)],
-                                             names=["context", "word", "n", "t", "drawn"])
+            new = {"t": pa.array(draw_tables(n, strength, base, discount, uniform))}
+            if "drawn" in names:
+                new["drawn"] = pc.add(some["drawn"], new["t"])
+            yield from pa.table({c: new[c] if c in new else some[c] for c in names}).to_batches()
     return run
 
 
-_STATE = "context long, word long, n long, t long, drawn long"
+def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Tables of about so many rows."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.Table.from_batches(held)
+            held, count = [], 0
+    if count:
+        yield pa.Table.from_batches(held)
+
+
+_STATE = "context long, word long, n long, t long, drawn long, often_context boolean, often_word boolean"
+_DISHES = "word long, word_n long, single long, live long, common boolean, roots array<double>, n long, t long"
+
+
+def _names(schema: str) -> tuple[str, ...]:
+    return tuple(column.split()[0] for column in schema.split(", "))
 
 
 # --- the model ----------------------------------------------------------------------------------
@@ -224,14 +255,20 @@ class Model:
 
 
 def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, hot: DataFrame | None) -> DataFrame:
-    """Rows with the table's columns for their key; those of a hot key (key, salts) are cut by `other`."""
+    """Rows with the table's columns for their key.
+
+    Those of the common keys, COMMON at most, go to all tasks; rows of another hot key (key, salts) are cut by `other`.
+    """
+    often = F.col(f"often_{key}")
+    near = rows.filter(often).join(F.broadcast(table.filter("common").drop("common")), key, "left")
+    rows, table = rows.filter(~often), table.filter("NOT common").drop("common")
     if hot is None:
-        return rows.join(table, key, "left")
+        return near.unionByName(rows.join(table, key, "left"))
     one, hot = F.lit(1), F.broadcast(hot)
     salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(other), F.coalesce("salts", one)).cast("int"))
     copies = (table.join(hot, key, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", one) - 1))).drop("salts"))
-    return salted.drop("salts").join(copies, [key, "_salt"], "left").drop("_salt")
+    return near.unionByName(salted.drop("salts").join(copies, [key, "_salt"], "left").drop("_salt"))
 
 
 def _hot(work: Workspace, table: DataFrame, key: str) -> DataFrame | None:
@@ -254,7 +291,8 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     sweep before left them; then the root's customers, the tables of the pairs, are seated anew, and
     both totals are counted again. Only table counts are kept. BURN_IN sweeps are followed by SAMPLES.
     A pair met once has one table in every sweep: such pairs, most of all, are counted once per word
-    and per context, and the state that sweeps pass on holds the others.
+    and per context, and the state that sweeps pass on holds the others. So do words met once at the
+    root, and contexts without a repeated pair keep their tables: sweeps leave both out.
     """
     pairs = work.save_tidy(texts.select("text").mapInArrow(_count, "context long, word long, n long")
                            .groupBy("context", "word").agg(F.sum("n").alias("n")))
@@ -264,62 +302,75 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
 
     per_pair = pairs.agg(F.sum("n").alias("n"), F.count("*").alias("t"), *ones("n")).first()
     single, live = (F.count(F.when(c, 1)).alias(name) for c, name in ((F.col("n") == 1, "single"), (F.col("n") > 1, "live")))
-    words = work.save_tidy(pairs.groupBy("word").agg(F.sum("n").alias("n"), F.count("*").alias("served"), single, live)
-                           .withColumns({"tables": F.lit(1).cast("long"), "roots": F.array().cast("array<double>")}))
-    contexts = work.save_tidy(pairs.groupBy("context").agg(F.sum("n").alias("guests"), F.count("*").alias("tables"), single, live)
-                              .withColumn("backs", F.array().cast("array<double>")))
-    per_word = words.agg(F.count("*").alias("t"), *ones("served")).first()
+    words = work.save_tidy(pairs.groupBy("word").agg(F.sum("n").alias("word_n"), single, live))
+    contexts = work.save_tidy(pairs.groupBy("context").agg(F.sum("n").alias("guests"), single, live))
+    lone = (F.col("single") == 1) & (F.col("live") == 0)
+    per_word = words.withColumn("served", F.col("single") + F.col("live")).agg(
+        F.count("*").alias("t"), F.count(F.when(lone, 1)).alias("lone"), *ones("served")).first()
     total, size = int(per_pair.n or 0), int(per_word.t)
     low, top, base = _discount(per_pair.one, per_pair.two), _discount(per_word.one, per_word.two), 1.0 / (size + 1)
 
-    def root(customers: float, tables: float, served: Column, own: Column) -> Column:
-        back = (STRENGTH + top * tables) * base
-        return (F.greatest(F.lit(0.0), served - top * own) + back) / (STRENGTH + customers)
+    def root(customers: float, tables: float, served, own):
+        return (served - top * own + (STRENGTH + top * tables) * base) / (STRENGTH + customers)
+
+    often = work.save_tidy(words.orderBy(F.desc("word_n"), "word").limit(COMMON).select("word", F.lit(True).alias("common")))
+
+    def marked(table: DataFrame, key: str, name: str) -> DataFrame:
+        """The table, and whether the key is one of the COMMON commonest words."""
+        named = F.broadcast(often.select(F.col("word").alias(key), F.col("common").alias(name)))
+        return table.join(named, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
-    hot_words, hot_contexts = _hot(work, words, "word"), _hot(work, contexts, "context")
+    nothing = F.array().cast("array<double>")
+    dishes = marked(words.filter(~lone), "word", "common").withColumns(
+        {"roots": nothing, "n": F.col("single") + F.col("live"), "t": F.lit(1).cast("long")})
+    rooms = marked(contexts.filter("live > 0"), "context", "common").withColumns(
+        {"backs": nothing, "tables": F.col("single") + F.col("live")})
+    dishes, rooms = work.save_tidy(dishes), work.save_tidy(rooms)
+    hot_words, hot_contexts = (_hot(work, table.filter("NOT common"), key) for table, key in ((dishes, "word"), (rooms, "context")))
     customers, tables = float(per_pair.t), float(size)
-    state = pairs.filter("n > 1").withColumns({"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
-    unknown, passed = [], None
+    state = marked(marked(pairs.filter("n > 1"), "word", "often_word"), "context", "often_context").withColumns(
+        {"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
+    unknown, alone, passed = [], [], None
     for sweep in range(BURN_IN + SAMPLES if total else 0):
         if sweep == BURN_IN:
             state = state.withColumn("drawn", F.lit(0).cast("long"))
-        held = contexts.filter("live > 0").select("context", F.col("tables").alias("_tables"))
-        named = words.filter("live > 0").select("word", root(customers, tables, F.col("served"), F.col("tables")).alias("base"))
+        held = rooms.select("context", "common", F.col("tables").alias("_tables"))
+        now = root(customers, tables, F.col("n"), F.col("t"))
+        named = dishes.filter("live > 0").select("word", "common", now.alias("base"))
         rows = _looked_up(_looked_up(state, held, "context", "word", hot_contexts), named, "word", "context", hot_words)
         strength = STRENGTH + low * (F.col("_tables") - F.col("t"))
-        state = work.save_tidy(rows.select("context", "word", "n", "drawn", strength.alias("strength"), "base")
-                               .mapInArrow(_seat(low, seed + 100 * sweep), _STATE))
+        state = work.save_tidy(rows.withColumn("strength", strength).drop("_tables", "t").mapInArrow(
+            _seat(low, seed + 100 * sweep, _names(_STATE)), _STATE))
         if passed is not None:
             work.drop(passed)
         passed = state
         # the root, whose customers are the tables just drawn; its names are (0, word)
-        served = F.col("single") + F.coalesce("more", F.lit(0))
-        dishes = (words.join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left")
-                  .select(F.lit(0).cast("long").alias("context"), "word", served.alias("n"),
-                          F.lit(0).cast("long").alias("drawn"),
-                          (STRENGTH + top * (tables - F.col("tables"))).alias("strength"), F.lit(base).alias("base")))
-        seated = work.save_tidy(dishes.mapInArrow(_seat(top, seed + 100 * sweep + 1), _STATE))
-        sums = seated.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-        customers, tables = float(sums.n), float(sums.t)
-        sampled = sweep >= BURN_IN
-        now = root(customers, tables, F.col("served"), F.col("tables"))
-        older = [words, contexts, seated]
-        words = words.select("word", "n", "single", "live", "roots").join(
-            seated.select("word", F.col("n").alias("served"), F.col("t").alias("tables")), "word")
-        words = work.save_tidy(words.withColumn("roots", F.concat("roots", F.array(now)) if sampled else F.col("roots")))
-        back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
-        contexts = contexts.drop("tables").join(state.groupBy("context").agg(F.sum("t").alias("more")), "context", "left")
-        contexts = contexts.select("context", "guests", "single", "live", "backs",
-                                   (F.col("single") + F.coalesce("more", F.lit(0))).alias("tables"))
-        contexts = work.save_tidy(contexts.withColumn("backs", F.concat("backs", F.array(back)) if sampled
-                                                      else F.col("backs")))
-        if sampled:
-            unknown.append((STRENGTH + top * tables) * base / (STRENGTH + customers))
+        older = [dishes, rooms]
+        fresh = dishes.withColumn("roots", F.concat("roots", F.array(now))) if sweep > BURN_IN else dishes
+        fresh = (fresh.join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left").withColumns({
+            "context": F.lit(0).cast("long"), "n": F.col("single") + F.coalesce("more", F.lit(0)), "base": F.lit(base),
+            "strength": STRENGTH + top * (tables - F.col("t"))}).drop("t", "more"))
+        dishes = work.save_tidy(fresh.mapInArrow(_seat(top, seed + 100 * sweep + 1, _names(_DISHES)), _DISHES))
+        sums = dishes.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        customers, tables = (float((x or 0) + per_word.lone) for x in (sums.n, sums.t))
+        rooms = rooms.drop("tables").join(state.groupBy("context").agg(F.sum("t").alias("more")), "context", "left")
+        rooms = rooms.withColumn("tables", F.col("single") + F.coalesce("more", F.lit(0))).drop("more")
+        if sweep >= BURN_IN:
+            back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
+            rooms = rooms.withColumn("backs", F.concat("backs", F.array(back)))
+            unknown.append(root(customers, tables, 0, 0))
+            alone.append(root(customers, tables, 1, 1))
+        rooms = work.save_tidy(rooms)
         work.drop(*older)
     if not total:
-        unknown = [1.0] * SAMPLES
-    return Model(state.select("context", "word", "n", "drawn"), pairs, words.select("word", F.col("n").alias("word_n"), "roots"),
-                 contexts.select("context", "guests", "backs"), low, size, total, unknown)
+        unknown = alone = [1.0] * SAMPLES
+    now = root(customers, tables, F.col("n"), F.col("t"))
+    every_word = dishes.select("word", "word_n", F.concat("roots", F.array(now)).alias("roots")).unionByName(
+        words.filter(lone).select("word", "word_n", F.array(*map(F.lit, alone)).alias("roots")))
+    back = (STRENGTH + low * F.col("single")) / (STRENGTH + F.col("guests"))
+    every_context = rooms.select("context", "guests", "backs").unionByName(
+        contexts.filter("live = 0").select("context", "guests", F.array(*[back] * SAMPLES).alias("backs")))
+    return Model(state.select("context", "word", "n", "drawn"), pairs, every_word, every_context, low, size, total, unknown)
 
 
 # --- scores -------------------------------------------------------------------------------------
