@@ -28,7 +28,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> str:
         F.struct(F.col("event_id").cast("string").alias("$numberLong")).alias("event_id"),
         F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("$date")).alias("ts"),
         "user_id", "event_type", "value", "props")
-    documents.write.json(f"{root}/analyticsdb/events")
+    documents.write.json(f"{root}/readings/events")
     return root
 
 
@@ -36,7 +36,7 @@ def _read_documents(spark: SparkSession, sf_dir: str, **obj) -> DataFrame:
     source = one_source(spark, source_id=1, source_name="Analytics", source_type="mongodb",
                         root_path=_documents(spark, sf_dir), default_collection="events")
     return extract(spark, source, one_object(
-        spark, source_schema="analyticsdb", target_schema="none", target_table="bronze",
+        spark, source_schema="readings", target_schema="none", target_table="bronze",
         **({"source_object_name": "__default__", "reader_options": {"schema": _EVENTS}} | obj)))
 
 
@@ -129,16 +129,16 @@ def delimited_multiline_extract(spark, sf_dir):
 
 
 def _drop(spark: SparkSession, sf_dir: str, fmt: str) -> str:
-    """A drop folder: one daily file set per event type, plus files no daily glob matches."""
+    """A drop folder: one file set of a shift per event type, plus files no shift glob matches."""
     root = new_dir(spark)
     events = table(spark, sf_dir, "events")
     for kind in ("error", "view", "signup", "purchase", "click"):
         # Spark names its own files, so each set is a folder whose name carries the date role.
-        prefix = "other" if kind == "error" else "daily"
+        prefix = "other" if kind == "error" else "shift"
         writer = events.filter(F.col("event_type") == kind).write.options(**_MICROS)
         if fmt == "csv":
             writer = writer.options(header=True, escape='"')
-        writer.format(fmt).save(f"{root}/uploads/{prefix}_{kind}")
+        writer.format(fmt).save(f"{root}/inbox/{prefix}_{kind}")
     return root
 
 
@@ -147,7 +147,7 @@ def _read_drop(spark: SparkSession, sf_dir: str, fmt: str, **reader_options) ->
     source = one_source(spark, source_id=1, source_name="Files", source_type="sftp",
                         root_path=_drop(spark, sf_dir, fmt), default_pattern="*")
     return extract(spark, source, one_object(
-        spark, source_schema="uploads/daily_*", source_object_name=f"part-*.{fmt}*", file_format=fmt,
+        spark, source_schema="inbox/shift_*", source_object_name=f"part-*.{fmt}*", file_format=fmt,
         target_schema="none", target_table="bronze", reader_options=options))
 
 
@@ -174,10 +174,10 @@ def file_drop_pending(spark, sf_dir):
     """Files a ledger already holds are not read again."""
     source = one_source(spark, source_id=1, source_name="Files", source_type="sftp",
                         root_path=_drop(spark, sf_dir, "parquet"))
-    obj = one_object(spark, source_schema="uploads/*", source_object_name="part-*.parquet",
+    obj = one_object(spark, source_schema="inbox/*", source_object_name="part-*.parquet",
                      file_format="parquet", target_schema="none", target_table="bronze")
     files = spark.createDataFrame(select_files(spark, source, obj), "file_path string, modified timestamp")
-    ledger = files.filter(F.col("file_path").rlike("daily_view|other_error"))
+    ledger = files.filter(F.col("file_path").rlike("shift_view|other_error"))
     return read_selected(spark, source, obj, select_files(spark, source, obj, ledger))
 
 
@@ -225,7 +225,7 @@ def stream_file_drop(spark, sf_dir):
     root, name = _drop(spark, sf_dir, "parquet"), f"{new_schema(spark)}.bronze"
     checkpoint = new_dir(spark)
     for _ in range(2):
-        rows = drop_stream.read_drop_stream(spark, f"{root}/uploads/daily_*", "part-*.parquet", "parquet", _EVENTS)
+        rows = drop_stream.read_drop_stream(spark, f"{root}/inbox/shift_*", "part-*.parquet", "parquet", _EVENTS)
         drop_stream.stream_file_drop(rows, name, checkpoint)
     return shown(spark, name)
 

@@ -92,13 +92,13 @@ def ingest_file_drops(spark, sf_dir):
     sources = sources_frame(spark, {"source_id": 4, "source_name": "Reports", "source_type": "SFTP",
                                     "root_path": root, "default_pattern": "*.parquet"})
     objects = objects_frame(spark, {
-        "ingestion_object_id": 401, "source_system_id": 4, "source_schema": "uploads/daily_*",
+        "ingestion_object_id": 401, "source_system_id": 4, "source_schema": "inbox/shift_*",
         "source_object_name": "*.parquet", "file_format": "parquet", "write_mode": "append",
         "schema_evolution_mode": "merge", "target_schema": schema, "target_table": "bronze",
         "partition_column": "event_type"})
     events = table(spark, sf_dir, "events")
-    for prefix, kinds in (("daily_1", ["view", "signup"]), ("daily_2", ["purchase", "click"]), ("other", ["error"])):
-        events.filter(F.col("event_type").isin(kinds)).write.parquet(f"{root}/uploads/{prefix}")
+    for prefix, kinds in (("shift_1", ["view", "signup"]), ("shift_2", ["purchase", "click"]), ("other", ["error"])):
+        events.filter(F.col("event_type").isin(kinds)).write.parquet(f"{root}/inbox/{prefix}")
         if prefix != "other":
             raise_for_failures(ingest_all(spark, sources, objects, f"{schema}.runs", ledger=f"{schema}.ledger",
                                           landing_base=f"{root}/landing"))
