@@ -4,8 +4,9 @@ A merge rewrites only the (part, partition) pairs of the target that hold a matc
 all other files stay as they are. See ``layout`` for how a target is stored.
 """
 
+import threading
 import uuid
-from contextlib import contextmanager
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -31,6 +32,9 @@ BROADCAST_BYTES = 64 << 20
 # A batch of at most so many keys is looked up by Bloom filters of the target's row groups.
 LOOKUP_KEYS = 200
 
+# A batch of at most so many partition values is written where its rows are: each task makes a file per value.
+FEW_VALUES = 8
+
 # Key types whose size in memory ``_key_summary`` knows: fixed ones, and those with a length in bytes.
 _SIZED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType, T.BinaryType)
 
@@ -73,25 +77,51 @@ def stamp(df: DataFrame, at=None) -> DataFrame:
     return df.withColumn(STAMP, F.lit(at) if at is not None else F.current_timestamp())
 
 
+_opened: dict[SparkSession, tuple[int, str]] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _open_files(spark: SparkSession):
+    """Tasks keep the files of up to FEW_VALUES partitions open instead of sorting; writes side by side share the setting."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    with _lock:
+        users, before = _opened.get(spark, (0, spark.conf.get(key)))
+        _opened[spark] = users + 1, before
+        if not users:
+            spark.conf.set(key, str(FEW_VALUES))
+    try:
+        yield
+    finally:
+        with _lock:
+            users, before = _opened.pop(spark)
+            if users > 1:
+                _opened[spark] = users - 1, before
+            else:
+                spark.conf.set(key, before)
+
+
 def _rebalance(df: DataFrame, by: str) -> DataFrame:
     return df.hint("rebalance", F.col(column_name(by)))
 
 
 def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = None,
                 watermark_type: str | None = None, keys: list[str] | None = None,
-                clustered: bool = False, tasks_per_part: int = TASKS_PER_PART) -> WriteResult:
+                clustered: bool = False, tasks_per_part: int = TASKS_PER_PART,
+                partition_values: int | None = None) -> WriteResult:
     """Write one batch as the layout's parts, counting it on the same pass.
 
     With a partition column the rows are first rebalanced on it, unless they are
-    ``clustered`` already: a partition's rows meet in few files, and AQE splits a hot
-    partition over several tasks. Merged rows come
+    ``clustered`` already or are known to hold few ``partition_values``: a partition's rows
+    meet in few files, and AQE splits a hot partition over several tasks. Merged rows come
     with their ``keys``: they are cut into a part per group of tasks, so that a later merge
     can leave most of them alone, and sorted by key within each task, which narrows the
     key ranges in the Parquet statistics; Bloom filters on the keys tell a small batch which
     row groups to read, in whatever order the keys came.
     """
     by = layout.partition_column
-    if by and not clustered:
+    few = bool(by) and partition_values is not None and partition_values <= FEW_VALUES
+    if by and not clustered and not few:
         df = _rebalance(df, by)
     extra = {"written": F.count_if("_fresh")} if "_fresh" in df.columns else {}
     df, metrics = with_metrics(df, watermark_column, watermark_type, **extra)
@@ -103,8 +133,9 @@ def _write_part(df: DataFrame, layout: Layout, watermark_column: str | None = No
     df = df.drop("_fresh").withColumn(PART, name)
     if keys:
         df = df.sortWithinPartitions(*[F.col(column_name(c)) for c in [PART, *([by] if by else []), *keys]])
-    (df.write.format("parquet").mode("append").options(**options).partitionBy(PART, *([by] if by else []))
-       .saveAsTable(quoted(layout.data)))
+    with _open_files(df.sparkSession) if few and not keys else nullcontext():
+        (df.write.format("parquet").mode("append").options(**options).partitionBy(PART, *([by] if by else []))
+           .saveAsTable(quoted(layout.data)))
     seen = metrics.get
     return WriteResult(seen["written"] if extra else seen["rows"], seen.get("watermark"))
 
@@ -115,7 +146,7 @@ def _hint(column: str | None, result: WriteResult, previous: list[str] | None) -
 
 def _create(df: DataFrame, view: str, partition_column: str | None, watermark_column, watermark_type,
             applied: dict[str, int], based_on: Layout | None = None, keys: list[str] | None = None,
-            tasks_per_part: int = TASKS_PER_PART) -> WriteResult:
+            tasks_per_part: int = TASKS_PER_PART, partition_values: int | None = None) -> WriteResult:
     """Start a new data table with the batch as its only part, and show it."""
     spark = df.sparkSession
     if "." in view:
@@ -124,7 +155,8 @@ def _create(df: DataFrame, view: str, partition_column: str | None, watermark_co
         partition_column = actual_name(df.schema, partition_column)
     layout = Layout(f"{view}__{uuid.uuid4().hex[:8]}", partition_column, 1, new_mark(),
                     retired_table=based_on.data if based_on else None, applied=applied)
-    result = _write_part(df, layout, watermark_column, watermark_type, keys, tasks_per_part=tasks_per_part)
+    result = _write_part(df, layout, watermark_column, watermark_type, keys, tasks_per_part=tasks_per_part,
+                         partition_values=partition_values)
     layout.watermark = _hint(watermark_column, result, None)
     publish(spark, view, layout, df.columns, based_on)
     return result
@@ -150,11 +182,12 @@ def _applied(layout: Layout | None, batch_of: tuple[str, int] | None) -> dict[st
 
 def append(df: DataFrame, view: str, evolution: str | None = None, partition_column: str | None = None,
            watermark_column: str | None = None, watermark_type: str | None = None,
-           batch_of: tuple[str, int] | None = None) -> WriteResult:
+           batch_of: tuple[str, int] | None = None, partition_values: int | None = None) -> WriteResult:
     """Add rows; the first write creates the target.
 
     ``batch_of`` = (stream, number) makes the write repeatable: a number at or below the
-    last one applied for that stream is skipped.
+    last one applied for that stream is skipped. ``partition_values`` is about how many values
+    ``partition_column`` has in the batch, if that is known: few ones need no shuffle.
     """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     df = stamp(df)
@@ -162,10 +195,13 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
     if (applied := _applied(layout, batch_of)) is None:
         return WriteResult(0)
     if layout is None:
-        return _create(df, view, partition_column, watermark_column, watermark_type, applied)
+        return _create(df, view, partition_column, watermark_column, watermark_type, applied,
+                       partition_values=partition_values)
     batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
     begun, (_, layout) = layout, begin(spark, layout)
-    result = _write_part(batch, layout, watermark_column, watermark_type)
+    if (partition_column or "").lower() != (layout.partition_column or "").lower():
+        partition_values = None  # counted for another column
+    result = _write_part(batch, layout, watermark_column, watermark_type, partition_values=partition_values)
     layout.applied = applied
     layout.watermark = _hint(watermark_column, result, layout.watermark)
     publish(spark, view, layout, columns, begun)
@@ -174,11 +210,11 @@ def append(df: DataFrame, view: str, evolution: str | None = None, partition_col
 
 def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_column: str | None = None,
               watermark_column: str | None = None, watermark_type: str | None = None,
-              batch_of: tuple[str, int] | None = None) -> WriteResult:
+              batch_of: tuple[str, int] | None = None, partition_values: int | None = None) -> WriteResult:
     """Replace all rows. The batch's schema replaces the target's unless evolution is none.
 
-    The rows taken out are counted from the files' footers, without reading a column. ``batch_of`` is
-    that of ``append``.
+    The rows taken out are counted from the files' footers, without reading a column. ``batch_of`` and
+    ``partition_values`` are those of ``append``.
     """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     df = stamp(df)
@@ -188,7 +224,8 @@ def overwrite(df: DataFrame, view: str, evolution: str | None = None, partition_
     deleted = 0 if layout is None else spark.table(view).count()
     if layout is not None and evo == "none":
         df = align(df, evolved(df.schema, spark.table(view).schema, evo))
-    result = _create(df, view, partition_column, watermark_column, watermark_type, applied, layout)
+    result = _create(df, view, partition_column, watermark_column, watermark_type, applied, layout,
+                     partition_values=partition_values)
     result.deleted = deleted
     return result
 
@@ -305,7 +342,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
           partition_column: str | None = None, on_duplicate: str = "error", order_by: str | None = None,
           watermark_column: str | None = None, watermark_type: str | None = None,
           tasks_per_part: int = TASKS_PER_PART, broadcast_bytes: int = BROADCAST_BYTES,
-          batch_of: tuple[str, int] | None = None) -> WriteResult:
+          batch_of: tuple[str, int] | None = None, partition_values: int | None = None) -> WriteResult:
     """Upsert: a batch row replaces the target rows with equal keys, or is inserted.
 
     NULL keys never match. The batch is read several times, so it must be stable: files
@@ -316,7 +353,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
     places of these rows, to write them anew. ``tasks_per_part`` tasks write one part, the least
     that a later merge can leave alone; batch keys of up to ``broadcast_bytes`` in memory, and within
     the session's threshold, are sent to every executor instead of shuffling the target. ``batch_of`` is that
-    of ``append``.
+    of ``append``, and so is ``partition_values``, which counts for a first write.
     """
     spark, evo = df.sparkSession, evolution_mode(evolution)
     if not keys:
@@ -341,7 +378,7 @@ def merge(df: DataFrame, view: str, keys: list[str] | None, evolution: str | Non
             df = df if layout is None else keep(df)
         if layout is None:
             return _create(df, view, partition_column, watermark_column, watermark_type, applied, keys=keys,
-                           tasks_per_part=tasks_per_part)
+                           tasks_per_part=tasks_per_part, partition_values=partition_values)
         batch, columns = _evolve(df, view, layout, "merge" if evo == "overwrite" else evo)
         keys = [actual_name(batch.schema, k) for k in keys]
         batch_keys = batch.filter(_no_null(keys)).select(*[F.col(column_name(k)) for k in keys])

@@ -41,6 +41,20 @@ def test_the_source_is_read_once(spark, schema, file_format, mode):
     assert not [t for t in tables if "__scratch_" in t]
 
 
+@pytest.mark.parametrize("values, moved", [(3, False), (40, True)])
+def test_a_landed_batch_of_few_partition_values_is_not_shuffled(spark, schema, monkeypatch, values, moved):
+    register_reader("TEST", lambda s, source, obj: s.range(0, 400, 1, 4).withColumn("Day", F.col("id") % values))
+    shuffled, rebalance, key = [], target._rebalance, "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(target, "_rebalance", lambda df, by: (shuffled.append(by), rebalance(df, by))[1])
+    for _ in range(2):
+        raise_for_failures(run(spark, schema, {"ingestion_object_id": 1, "source_object_name": "days",
+                                               "partition_column": "day"}, landing_base=new_dir(spark)))
+    assert bool(shuffled) == moved and spark.conf.get(key) == before
+    got = spark.table(f"{schema}.t").groupBy("Day").count().collect()
+    assert sorted(map(tuple, got)) == [(v, 800 // values + (2 if v < 400 % values else 0)) for v in range(values)]
+
+
 def test_failures_are_isolated_and_logged(spark, schema):
     def reader(s, source, obj):
         if obj.source_object_name == "bad":

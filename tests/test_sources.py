@@ -10,7 +10,7 @@ from headrace.operators import target
 from headrace.operators.landing import landing_format
 from headrace.plans.ingest import extract, incremental_column
 from headrace.session import new_dir, new_schema
-from headrace.sources.documents import collection_of, read_json_documents
+from headrace.sources.documents import _is_split, collection_of, read_json_documents
 from headrace.sources.file_drop import (drop_directory, drop_pattern, list_files, pending_files, read_files,
                                         read_file_drop, select_files)
 from headrace.sources.registry import read_source, register_reader
@@ -334,3 +334,13 @@ def test_landing_formats():
     for other in ("delta", "orc", "x"):
         with pytest.raises(ValueError, match="cannot land"):
             landing_format(other)
+
+
+@pytest.mark.parametrize("codec, multiline, split", [("none", False, True), ("bzip2", False, True), ("gzip", False, False),
+                                                     ("none", True, False)])
+def test_documents_are_paged_where_spark_cannot_split_their_files(spark, codec, multiline, split):
+    path = new_dir(spark)
+    spark.range(20).write.option("compression", codec).json(path)
+    options = {"multiLine": "true"} if multiline else {}
+    documents = read_json_documents(spark, path, "id long", **options)
+    assert _is_split(documents.filter("id > 3"), options) == split
