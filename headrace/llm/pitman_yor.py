@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,10 @@ FREQUENT = 1 << 18
 COMMON = 1 << 17
 # Other pairs of the texts are joined with the model in this many rounds, each with its own shuffle files.
 ROUNDS = 4
+# Bits (a power of two) of the filter that tells most pairs the join would not find; two a pair.
+FILTER_BITS = 26
+# Tokens a counting task holds at once.
+HELD_TOKENS = 1_000_000
 # Repeated pairs of one context or word from which on its rows are dealt to several tasks, so many to each.
 HOT_PAIRS = 1 << 16
 _END = np.int64(0x0E4D0E4D0E4D0E4D)
@@ -69,19 +73,25 @@ def _distinct(contexts: np.ndarray, numbers: np.ndarray, rows: np.ndarray) -> tu
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of (context, word), added up over a few million tokens before they leave the task."""
+    """Counts of (context, word) in texts to learn from, added up over HELD_TOKENS before they leave the task.
+
+    Pairs of texts held out are marked and count nothing.
+    """
     held, tokens = [], 0
 
     def flush():
-        numbers, contexts = (np.concatenate(x) for x in zip(*held))
-        at, n = _distinct(contexts, numbers, np.zeros(len(numbers), np.int8))
-        return pa.RecordBatch.from_arrays([pa.array(contexts[at]), pa.array(numbers[at]), pa.array(n)],
-                                          names=["context", "word", "n"])
+        numbers, contexts, out = (np.concatenate(x) for x in zip(*held))
+        at, n = _distinct(contexts, numbers, out)
+        return pa.RecordBatch.from_arrays([pa.array(contexts[at]), pa.array(numbers[at]), pa.array(np.where(out[at], 0, n)),
+                                           pa.array(out[at])], names=["context", "word", "n", "asked"])
     for batch in batches:
-        for at in range(0, batch.num_rows, 1000):
-            held.append(tokens_of(batch.column(0).slice(at, 1000))[:2])
-            tokens += len(held[-1][0])
-            if tokens > 4_000_000:
+        for at in range(0, batch.num_rows, 200):
+            some = batch.slice(at, 200)
+            numbers, contexts, bounds = tokens_of(some.column("text"))
+            out = some.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+            held.append((numbers, contexts, np.repeat(out, np.diff(bounds))))
+            tokens += len(numbers)
+            if tokens > HELD_TOKENS:
                 yield flush()
                 held, tokens = [], 0
     if held:
@@ -238,9 +248,11 @@ def _names(schema: str) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class Model:
-    """Repeated pairs (context, word, n, drawn), all pairs (context, word, n), words (word, word_n, roots),
+    """Repeated pairs (context, word, n, drawn), all pairs (context, word, n, asked), words (word, word_n, roots),
     contexts (context, guests, backs), and sizes.
 
+    A pair is asked for if a text held out has it.
+
     drawn adds up a pair's tables, roots and backs list probabilities, all over the samples.
     """
 
@@ -284,7 +296,7 @@ def _discount(one, two) -> float:
 
 
 def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
-    """The model of all texts.
+    """The model of all texts (text, held_out) that are not held out.
 
     Counts of (context, word) are added up in the tasks and meet once. In a sweep every customer of
     every pair is seated anew, given the context's tables and the word's root probability as the
@@ -294,8 +306,8 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     and per context, and the state that sweeps pass on holds the others. So do words met once at the
     root, and contexts without a repeated pair keep their tables: sweeps leave both out.
     """
-    pairs = work.save_tidy(texts.select("text").mapInArrow(_count, "context long, word long, n long")
-                           .groupBy("context", "word").agg(F.sum("n").alias("n")))
+    pairs = work.save_tidy(texts.select("text", "held_out").mapInArrow(_count, "context long, word long, n long, asked boolean")
+                           .groupBy("context", "word").agg(F.sum("n").alias("n"), F.max("asked").alias("asked")).filter("n > 0"))
 
     def ones(column: str) -> list[Column]:
         return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "one"), (2, "two"))]
@@ -328,7 +340,7 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     dishes, rooms = work.save_tidy(dishes), work.save_tidy(rooms)
     hot_words, hot_contexts = (_hot(work, table.filter("NOT common"), key) for table, key in ((dishes, "word"), (rooms, "context")))
     customers, tables = float(per_pair.t), float(size)
-    state = marked(marked(pairs.filter("n > 1"), "word", "often_word"), "context", "often_context").withColumns(
+    state = marked(marked(pairs.filter("n > 1").drop("asked"), "word", "often_word"), "context", "often_context").withColumns(
         {"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
     unknown, alone, passed = [], [], None
     for sweep in range(BURN_IN + SAMPLES if total else 0):
@@ -379,7 +391,8 @@ def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
 class Common:
     """The commonest words by number, as words (count, roots) and as contexts (guests, backs).
 
-    `pairs` are the frequent pairs of them, rank of the context * COMMON + rank of the word, with `p`.
+    `pairs` are the frequent pairs of them, rank of the context * COMMON + rank of the word, with `p`. `listed` are
+    the bits of the filter.
     """
 
     numbers: np.ndarray
@@ -389,6 +402,14 @@ class Common:
     backs: np.ndarray
     pairs: np.ndarray
     p: np.ndarray
+    listed: np.ndarray
+
+    def may_list(self, contexts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """False for pairs that the model's tables of pairs certainly lack."""
+        out = np.ones(len(numbers), bool)
+        for place in _bits(contexts, numbers):
+            out &= (self.listed[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
 
     def ranks(self, numbers: np.ndarray) -> np.ndarray:
         """The place of each word here, or -1."""
@@ -403,15 +424,37 @@ def _stack(column: pa.ChunkedArray) -> np.ndarray:
     return np.asarray(column.combine_chunks().flatten()).reshape(-1, SAMPLES)
 
 
+def _bits(contexts: np.ndarray, numbers: np.ndarray) -> list[np.ndarray]:
+    """A pair's places in the filter."""
+    code, last = _pair_hash(contexts, numbers), np.uint64((1 << FILTER_BITS) - 1)
+    return [code & last, code >> np.uint64(32) & last]
+
+
+def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs to words (at, bits) of the filter."""
+    for some in _together(batches, 500_000):
+        place = np.sort(np.concatenate(_bits(some["context"].to_numpy(), some["word"].to_numpy())))
+        at, first = np.unique(place >> np.uint64(6), return_index=True)
+        bits = np.bitwise_or.reduceat(np.uint64(1) << (place & np.uint64(63)), first)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(bits.view(np.int64))], names=["at", "bits"])
+
+
 def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame]:
-    """The common words, and all pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, n, drawn)."""
+    """The common words, and the listed pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, n, drawn).
+
+    Pairs met once are listed if they are asked for; any other one is in a single text, from which the model learned.
+    """
     spark, step = work.spark, COMMON
     top = work.save_tidy(model.words.orderBy(F.desc("word_n"), "word").limit(COMMON))
     top = top.join(model.contexts.withColumnRenamed("context", "word"), "word").toArrow().sort_by("word")
     numbers = top["word"].to_numpy()
     ranks = spark.createDataFrame(pa.table({"word": numbers, "rank": np.arange(len(numbers))}))
-    once = model.pairs.filter("n = 1").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
+    once = model.pairs.filter("n = 1 AND asked").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
     every = model.repeated.unionByName(once)
+    set_bits = every.select("context", "word").mapInArrow(_set_bits, "at long, bits long").groupBy("at").agg(
+        F.bit_or("bits").alias("bits")).toArrow()
+    listed = np.zeros(max(1, 1 << FILTER_BITS >> 6), np.uint64)
+    listed[set_bits["at"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
     every = every.join(F.broadcast(ranks.withColumnRenamed("rank", "_w")), "word", "left").join(
         F.broadcast(ranks.select(F.col("word").alias("context"), F.col("rank").alias("_c"))), "context", "left")
     near = work.save_tidy(every.filter("_w IS NOT NULL AND _c IS NOT NULL")
@@ -423,7 +466,7 @@ def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame
     pairs = often["pair"].to_numpy()
     c, w = pairs // step, pairs % step
     own = (often["n"].to_numpy() - model.discount * often["drawn"].to_numpy() / SAMPLES) / (STRENGTH + guests[c])
-    return Common(numbers, counts, roots, guests, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1)), near, far
+    return Common(numbers, counts, roots, guests, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1), listed), near, far
 
 
 def _lists(rows: np.ndarray, count: int, **columns: np.ndarray) -> pa.ListArray:
@@ -433,47 +476,58 @@ def _lists(rows: np.ndarray, count: int, **columns: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)
 
 
-def _score_frequent(everywhere: Broadcast, total: int, size: int):
-    """Sums over each text's frequent pairs, and its other pairs with their counts, by kind."""
+def _score_common(everywhere: Broadcast, low: float, total: int, size: int):
+    """Sums over each text's pairs of common words that are frequent or certainly not listed, and its other pairs
+    with their counts: near ones, and far ones by which word is rare and whether they may be listed."""
     step = COMMON
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = everywhere.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                some = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                some = batch.slice(at, 500)
                 numbers, contexts, bounds = tokens_of(some.column("text"))
                 count = some.num_rows
+                out = some.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
                 rows = np.repeat(np.arange(count), np.diff(bounds))
                 w = common.ranks(numbers)
                 c = np.concatenate([common.ranks(contexts[:1]), w[:-1]])[:len(w)]
                 both = (w >= 0) & (c >= 0)
                 pair = np.where(both, c * step + w, -1)
-                known, place = np.zeros(len(pair), bool), np.zeros(len(pair), np.int64)
+                p = np.zeros(len(pair))
                 if len(common.pairs):
                     place = np.minimum(np.searchsorted(common.pairs, pair), len(common.pairs) - 1)
-                    known = common.pairs[place] == pair
+                    p = np.where(common.pairs[place] == pair, common.p[place], 0.0)
+                listed = p == 0
+                listed[listed] = common.may_list(contexts[listed], numbers[listed])
+                alone = np.flatnonzero(both & (p == 0) & ~listed)
+                p[alone] = (np.where(out[rows[alone]], 0.0, (1 - low) / (STRENGTH + common.guests[c[alone]]))
+                            + (common.backs[c[alone]] * common.roots[w[alone]]).mean(axis=1))
+                known = p > 0
                 base = np.log10((common.counts[w[known]] + 1) / (total + size + 1))
-                at_near = np.flatnonzero(both & ~known)
+                at_near = np.flatnonzero(both & listed)
                 first, near_times = _distinct(np.zeros(len(at_near), np.int8), pair[at_near], rows[at_near])
                 near = at_near[first]
-                at_far = np.flatnonzero(~both)
-                first, far_times = _distinct(contexts[at_far], numbers[at_far], rows[at_far])
-                far = at_far[first]
+                lists = [_lists(rows[near], count, pair=pair[near], times=near_times)]
+                for kind in ((w < 0) & (c >= 0), (w >= 0) & (c < 0), (w < 0) & (c < 0)):
+                    for at_far in (np.flatnonzero(kind & listed), np.flatnonzero(kind & ~listed)):
+                        first, times = _distinct(contexts[at_far], numbers[at_far], rows[at_far])
+                        far = at_far[first]
+                        lists.append(_lists(rows[far], count, context=contexts[far], word=numbers[far], times=times,
+                                            c=c[far].astype(np.int32), w=w[far].astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("row"), some.column("doc_id"), pa.array(np.diff(bounds)),
+                    [some.column("row"), some.column("doc_id"), some.column("held_out"), pa.array(np.diff(bounds)),
                      pa.array(np.bincount(rows[known], minlength=count)),
                      pa.array(np.bincount(rows[known], base, count).astype(float)),
-                     pa.array(np.bincount(rows[known], np.log10(common.p[place[known]]), count).astype(float)),
-                     _lists(rows[near], count, pair=pair[near], times=near_times),
-                     _lists(rows[far], count, context=contexts[far], word=numbers[far], times=far_times,
-                            c=c[far].astype(np.int32), w=w[far].astype(np.int32))],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base_score", "score", "near", "far"])
+                     pa.array(np.bincount(rows[known], np.log10(p[known]), count).astype(float)), *lists],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "near", *_FAR])
     return run
 
 
-_PARTS = ("n_tokens long, n_known long, base_score double, score double, near array<struct<pair: long, times: long>>, "
-          "far array<struct<context: long, word: long, times: long, c: int, w: int>>")
+# Lists of pairs with a rare word, a rare context or both: those that may be listed, and others.
+_FAR = tuple(f"{kind}_{part}" for kind in ("word", "context", "both") for part in ("met", "new"))
+_PARTS = ", ".join(["n_tokens long, n_known long, base_score double, score double, near array<struct<pair: long, times: long>>",
+                    *(f"{name} array<struct<context: long, word: long, times: long, c: int, w: int>>" for name in _FAR)])
 
 
 def _finish(everywhere: Broadcast, model: tuple[float, int, int, list[float]]):
@@ -519,14 +573,6 @@ def _finish(everywhere: Broadcast, model: tuple[float, int, int, list[float]]):
     return run
 
 
-def _rare(rows: DataFrame, table: DataFrame, key: str, rank: str) -> DataFrame:
-    """Rows with the table's columns for their rare keys; the others, of any number, are spread and meet nothing."""
-    spread = F.when(F.col(rank) < 0, F.col(key)).otherwise(F.xxhash64("row", "context", "word"))
-    named = rows.withColumns({"_key": spread, "_rare": F.col(rank) < 0})
-    met = table.withColumnRenamed(key, "_key").withColumn("_rare", F.lit(True))
-    return named.join(met, ["_key", "_rare"], "left").drop("_key", "_rare")
-
-
 def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -539,7 +585,9 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     of a text is 10 ** (-score / n_tokens).
 
     Probabilities of the COMMON commonest words, and of the FREQUENT commonest pairs of them that were
-    met twice, go to all tasks. A document's other pairs are counted and joined with the model in ROUNDS,
+    met twice, go to all tasks, with a filter of the pairs that a join can find: those met again, and
+    those met once that a document held out has too. Where a document's pair is not found, it was met once if the
+    model learned from the document, else never. A document's other pairs are counted and joined with the model in ROUNDS,
     by ranks where both words are common; only rare words and contexts are looked up in tables. A null text counts as empty (one end token), a
     null id is learned from; repeated rows are scored each; other columns are ignored; no rows
     give no rows.
@@ -550,32 +598,44 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     out = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(folds)) == held_out
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(out, F.lit(False)).alias("held_out"))
-    model = train(work, texts.filter("NOT held_out"), seed)
+    model = train(work, texts, seed)
     common, near, far = _common(work, model)
     work.drop(model.pairs)
     common = spark.sparkContext.broadcast(common)
-    parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-        _score_frequent(common, model.total, model.size),
-        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, {_PARTS}"))
+    parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
+        _score_common(common, model.discount, model.total, model.size),
+        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, {_PARTS}"))
     finish = _finish(common, (model.discount, model.total, model.size, model.unknown))
-    sums = None
+
+    def one_part(rows, r, *key):
+        return rows.filter(F.pmod(F.xxhash64(*key), F.lit(ROUNDS)) == r)
+
+    def of(name):
+        return parts.select("row", "held_out", F.inline(name))
+
+    def summed(rows):
+        once = F.when(F.col("held_out"), 0).otherwise(1).cast("long")
+        rows = rows.withColumns({"n": F.coalesce("n", once), "drawn": F.coalesce("drawn", once * SAMPLES)})
+        return work.save_tidy(rows.drop("held_out", "context", "word").mapInArrow(
+            finish, "row long, known long, base double, more double").groupBy("row").agg(
+            *[F.sum(c).alias(c) for c in ("known", "base", "more")]))
+
+    def joined(kind, r, *key):
+        met = one_part(of(f"{kind}_met"), r, *key).join(one_part(far, r, *key), ["context", "word"], "left")
+        none = F.lit(None).cast("long")
+        return met.unionByName(one_part(of(f"{kind}_new"), r, *key).withColumns({"n": none, "drawn": none}))
+
+    sums = []
     for r in range(ROUNDS):
-        def part(rows, *key):
-            return rows.filter(F.pmod(F.xxhash64(*key), F.lit(ROUNDS)) == r)
-        nearby = part(parts.select("row", F.inline("near")), "pair").join(part(near, "pair"), "pair", "left")
-        others = part(parts.select("row", F.inline("far")), "context", "word").join(
-            part(far, "context", "word"), ["context", "word"], "left")
-        others = _rare(_rare(others, model.words, "word", "w"), model.contexts, "context", "c")
-        for rows in (nearby, others.drop("context", "word")):
-            some = rows.mapInArrow(finish, "row long, known long, base double, more double").groupBy("row").agg(
-                *[F.sum(c).alias(c) for c in ("known", "base", "more")])
-            some = work.save_tidy(some)
-            sums = some if sums is None else sums.unionByName(some)
-    rest = sums.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "more")])
-    held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(folds)) == held_out,
-                      F.lit(False))
-    return (parts.drop("near", "far").join(rest, "row", "left").select(
-        "doc_id", held.alias("held_out"), "n_tokens",
+        sums.append(summed(one_part(of("near"), r, "pair").join(one_part(near, r, "pair"), "pair", "left")))
+        by_word = joined("word", r, "word").join(one_part(model.words, r, "word"), "word", "left")
+        by_context = joined("context", r, "context").join(one_part(model.contexts, r, "context"), "context", "left")
+        both = joined("both", r, "word").join(one_part(model.words, r, "word"), "word", "left").join(
+            model.contexts, "context", "left")
+        sums += [summed(by_word), summed(by_context), summed(both)]
+    rest = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "more")])
+    return (parts.drop("near", *_FAR).join(rest, "row", "left").select(
+        "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score")))

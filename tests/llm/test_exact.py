@@ -188,3 +188,27 @@ def test_shards_of_every_row_with_sizes(spark):
     assert {i: (r.size, r.text_crc32) for i, r in got.items()} == \
         {i: (len(t) + 8, zlib.crc32(t)) for i, t in texts.items()}
     assert {r.law for r in got.values()} == {"rows"} and {r.shard for r in got.values()} == set(range(24))
+
+
+def test_counting_holds_few_tokens_and_counts_no_text_held_out(monkeypatch):
+    monkeypatch.setattr(pitman_yor, "HELD_TOKENS", 1000)
+    out = [i % 7 == 2 for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([f"w{i} v{i}" for i in range(3000)]), pa.array(out)], names=["text", "held_out"])
+    got = list(pitman_yor._count(iter([batch])))
+    assert max(b.num_rows for b in got) <= 1000 + 600
+    rows = pa.Table.from_batches(got).to_pylist()
+    assert sum(r["n"] for r in rows) == 3 * (3000 - sum(out))
+    assert {r["n"] for r in rows if r["asked"]} == {0} and sum(r["asked"] for r in rows) == 3 * sum(out)
+
+
+@pytest.mark.parametrize("size", [6, 26])
+def test_the_filter_of_listed_pairs_misses_none(monkeypatch, size):
+    monkeypatch.setattr(pitman_yor, "FILTER_BITS", size)
+    context, word = np.random.default_rng(4).integers(0, 2**63, (2, 5000))
+    batch = pa.RecordBatch.from_arrays([pa.array(context[:1000]), pa.array(word[:1000])], names=["context", "word"])
+    listed = np.zeros(1 << size >> 6, np.uint64)
+    for some in pitman_yor._set_bits(iter([batch])):
+        listed[some["at"].to_numpy()] |= some["bits"].to_numpy().view(np.uint64)
+    common = pitman_yor.Common(*[np.empty(0)] * 7, listed)
+    may = common.may_list(context, word)
+    assert may[:1000].all() and (size < 26 or may[1000:].mean() < 0.01)
