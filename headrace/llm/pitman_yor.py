@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import cached_property, lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headrace.llm.tables import Workspace, ship_library
@@ -34,6 +35,8 @@ ROUNDS = 4
 FILTER_BITS = 26
 # Tokens a counting task holds at once.
 HELD_TOKENS = 1_000_000
+# Dishes that a task seats at once.
+SEATED = 400_000
 # Repeated pairs of one context or word from which on its rows are dealt to several tasks, so many to each.
 HOT_PAIRS = 1 << 16
 _END = np.int64(0x0E4D0E4D0E4D0E4D)
@@ -98,6 +101,79 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def _cut(to: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row per bucket: its number and, in each column, the bytes of its rows."""
+    order = np.argsort(to.astype(np.uint16), kind="stable")
+    to = to[order]
+    first = np.flatnonzero(np.diff(to, prepend=-1))
+    ends, arrays = np.append(first, len(to)), [pa.array(to[first].astype(np.int32))]
+    for x in columns.values():
+        data = np.ascontiguousarray(x[order])
+        offsets = (ends * (data.nbytes // max(1, len(data)))).astype(np.int32)
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(data)]))
+    return pa.RecordBatch.from_arrays(arrays, names=["bucket", *columns])
+
+
+def _opened(blocks: pa.Table | pa.RecordBatch, name: str, kind: type, width: int = 0) -> np.ndarray:
+    """A column of the rows of all blocks that have it, lists of `width` numbers as rows."""
+    out = np.frombuffer(b"".join(x for x in blocks.column(name).to_pylist() if x is not None), kind)
+    return out.reshape(-1, width) if width else out
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (mix(keys.astype(np.uint64) + np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _buckets(spark: SparkSession) -> int:
+    """How many buckets rows are dealt to: as many as shuffles have partitions."""
+    return min(1 << 15, max(2 * ROUNDS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def _count_blocks(buckets: int):
+    """The counts of `_count` as blocks, by the hash of the pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _count(batches):
+            context, word = (some.column(c).to_numpy() for c in ("context", "word"))
+            yield _cut(_bucket(_pair_hash(context, word), buckets), context=context, word=word,
+                       n=some.column("n").to_numpy().astype(np.int32), asked=some.column("asked").to_numpy(zero_copy_only=False))
+    return run
+
+
+def _merge(blocks: pa.Table) -> pa.Table:
+    """The pairs of a bucket that are met again or asked for, and sums over all of its pairs by word and by context.
+
+    Rows of sums have no context; single and live count a word's pairs met once and again, out_single and out_live those of the
+    context of that name.
+    """
+    context, word, n, asked = (_opened(blocks, c, kind) for c, kind in (
+        ("context", np.int64), ("word", np.int64), ("n", np.int32), ("asked", np.bool_)))
+    code = _pair_hash(context, word)
+    order = np.argsort(code)
+    c, w, code = context[order], word[order], code[order]
+    differs = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
+    if (differs & (code[1:] == code[:-1])).any():  # two pairs with one hash
+        order = np.lexsort((word, context))
+        c, w = context[order], word[order]
+        differs = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
+    at = np.flatnonzero(np.append(True, differs))
+    c, w, n, asked = c[at], w[at], np.add.reduceat(n[order].astype(np.int64), at), np.logical_or.reduceat(asked[order], at)
+    learned = n > 0
+    keep = learned & ((n > 1) | asked)
+    pairs = {"context": c[keep], "word": w[keep], "n": n[keep], "asked": asked[keep]}
+    c, w, n = c[learned], w[learned], n[learned]
+    words, place = np.unique(np.concatenate([w, c]), return_inverse=True)
+    as_word, as_context, once = place[:len(w)], place[len(w):], n == 1
+
+    def sums(at, weights=None):
+        return np.bincount(at, weights, len(words)).astype(np.int64)
+    total = {"word": words, "n": sums(as_word, n), "single": sums(as_word[once]), "live": sums(as_word[~once]),
+             "out_single": sums(as_context[once]), "out_live": sums(as_context[~once])}
+    schema = pa.schema([(name, pa.bool_() if name == "asked" else pa.int64()) for name in _names(_MERGED)])
+    return pa.concat_tables([pa.table({name: x[name] if name in x else pa.nulls(rows, schema.field(name).type)
+                                       for name in schema.names}, schema)
+                             for x, rows in ((pairs, int(keep.sum())), (total, len(words)))])
+
+
 # --- table counts -------------------------------------------------------------------------------
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -170,8 +246,10 @@ def draw_tables(n: np.ndarray, strength: np.ndarray, base: np.ndarray, discount:
     n = np.asarray(n, np.int64)
     out = np.ones(len(n), np.int64)
     ways, a, log_base = _log_ways(discount), strength / discount, np.log(base)
-    for size in np.unique(n[(n > 1) & (n <= SMALL)]):
-        at = np.flatnonzero(n == size)
+    small = np.flatnonzero((n > 1) & (n <= SMALL))
+    small = small[np.argsort(n[small].astype(np.uint16), kind="stable")]
+    sizes, first = np.unique(n[small], return_index=True)
+    for size, at in zip(sizes, np.split(small, first[1:])):
         t = np.arange(1, size + 1)
         rising = np.cumsum(np.log(strength[at, None] + discount * (t - 1)), axis=1)
         logs = rising + t * log_base[at, None] + ways[size, 1:size + 1]
@@ -207,19 +285,101 @@ def draw_tables(n: np.ndarray, strength: np.ndarray, base: np.ndarray, discount:
     return out
 
 
+def _uniform(contexts: np.ndarray, numbers: np.ndarray, seed: int) -> np.ndarray:
+    """A random number in [0, 1) for each pair: a hash of its context and word."""
+    return (_pair_hash(contexts, numbers, seed) >> np.uint64(11)).astype(float) / 2.0**53
+
+
 def _seat(discount: float, seed: int, names: tuple[str, ...]):
-    """Rows with n, strength and base to rows of `names`, t being the tables of the n customers.
+    """Dishes of the root with n, strength and base to rows of `names`, t being the tables of the n customers."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _together(batches, SEATED):
+            word, n, strength, base = (some[c].to_numpy() for c in ("word", "n", "strength", "base"))
+            t = pa.array(draw_tables(n, strength, base, discount, _uniform(np.zeros(len(word), np.int64), word, seed)))
+            yield from pa.table({c: t if c == "t" else some[c] for c in names}).to_batches()
+    return run
 
-    A row's random number is a hash of its context and word; drawn, if among the names, adds up the tables of the samples.
+
+def _seat_pairs(everywhere: Broadcast, step: int, discount: float, seed: int, names: tuple[str, ...]):
+    """Pairs seated anew, in rows of `names`; drawn adds up the tables of the samples.
+
+    Common words have their tables, as contexts, and probabilities, as words, in the broadcast; rows have those of others.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for some in _together(batches, 100_000):
-            context, word, n, strength, base = (some[c].to_numpy() for c in ("context", "word", "n", "strength", "base"))
-            uniform = (_pair_hash(context, word, seed) >> np.uint64(11)).astype(float) / 2.0**53
-            new = {"t": pa.array(draw_tables(n, strength, base, discount, uniform))}
-            if "drawn" in names:
-                new["drawn"] = pc.add(some["drawn"], new["t"])
-            yield from pa.table({c: new[c] if c in new else some[c] for c in names}).to_batches()
+        numbers, tables, bases = everywhere.value
+        for some in _together(batches, SEATED):
+            n, t = (some[c].to_numpy() for c in ("n", "t"))
+            if "pair" in names:
+                pair = some["pair"].to_numpy()
+                c, w = pair // step, pair % step
+                context, word, held, base = numbers[c], numbers[w], tables[c], bases[w]
+            else:
+                context, word, c, w = (some[x].to_numpy() for x in ("context", "word", "c", "w"))
+                held, base = (np.where(at >= 0, source[at], some[x].to_numpy()) if len(source) else some[x].to_numpy()
+                              for at, source, x in ((c, tables, "_tables"), (w, bases, "base")))
+            new = draw_tables(n, STRENGTH + discount * (held - t), base, discount, _uniform(context, word, seed))
+            changed = {"t": pa.array(new), "drawn": pc.add(some["drawn"], pa.array(new))}
+            yield from pa.table({x: changed.get(x, some[x]) for x in names}).to_batches()
+    return run
+
+
+def _table_sums(everywhere: Broadcast, step: int):
+    """Sums of the tables in a task by word and by context: rows (word, more, out_more)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = everywhere.value[0]
+        sums = np.zeros((2, len(numbers)))
+        for batch in batches:
+            pair, t = (batch.column(c).to_numpy() for c in ("pair", "t"))
+            for own, at in zip(sums, (pair % step, pair // step)):
+                own += np.bincount(at, t, len(numbers))
+        at = np.flatnonzero(sums.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[at]), *(pa.array(x[at].astype(np.int64)) for x in sums)],
+                                         names=["word", "more", "out_more"])
+    return run
+
+
+def _places(numbers: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The place of each word among the ascending numbers, or -1."""
+    if not len(numbers):
+        return np.full(len(words), -1)
+    place = np.minimum(np.searchsorted(numbers, words), len(numbers) - 1)
+    return np.where(numbers[place] == words, place, -1)
+
+
+class Lookup:
+    """Places of many numbers among distinct keys, by hash."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = len(keys).bit_length() + 1
+        self._shift = np.uint64(64 - bits)
+        code = mix(keys.astype(np.uint64)) >> self._shift
+        order = np.argsort(code)
+        self._keys, self._places = keys[order], order
+        self._first = np.searchsorted(code[order], np.arange((1 << bits) + 1, dtype=np.uint64))
+
+    def __call__(self, numbers: np.ndarray) -> np.ndarray:
+        """The place of each number, or -1."""
+        code = (mix(numbers.astype(np.uint64)) >> self._shift).astype(np.int64)
+        at, end = self._first[code], self._first[code + 1]
+        out = np.full(len(numbers), -1)
+        todo = np.flatnonzero(at < end)
+        at, end, numbers = at[todo], end[todo], numbers[todo]
+        while len(todo):
+            hit = self._keys[at] == numbers
+            out[todo[hit]] = self._places[at[hit]]
+            at += 1
+            left = ~hit & (at < end)
+            todo, at, end, numbers = todo[left], at[left], end[left], numbers[left]
+        return out
+
+
+def _ranked(everywhere: Broadcast):
+    """Rows with context and word, and their ranks c and w."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank = Lookup(everywhere.value)
+        for batch in batches:
+            c, w = (rank(batch.column(x).to_numpy()).astype(np.int32) for x in ("context", "word"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(c), pa.array(w)], names=[*batch.schema.names, "c", "w"])
     return run
 
 
@@ -236,8 +396,12 @@ def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-_STATE = "context long, word long, n long, t long, drawn long, often_context boolean, often_word boolean"
-_DISHES = "word long, word_n long, single long, live long, common boolean, roots array<double>, n long, t long"
+_COUNTED = "bucket int, context binary, word binary, n binary, asked binary"
+_MERGED = "context long, word long, n long, asked boolean, single long, live long, out_single long, out_live long"
+_NEAR = "pair long, n long, t long, drawn long"
+_FAR = "context long, word long, c int, w int, n long, t long, drawn long"
+_KEPT = ("word long, word_n long, single long, live long, out_single long, out_live long, common boolean, roots array<double>, "
+         "backs array<double>, n long, t long, tables long")
 
 
 def _names(schema: str) -> tuple[str, ...]:
@@ -248,45 +412,47 @@ def _names(schema: str) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class Model:
-    """Repeated pairs (context, word, n, drawn), all pairs (context, word, n, asked), words (word, word_n, roots),
-    contexts (context, guests, backs), and sizes.
+    """The pairs (context, word, n, asked, c, w) met again or asked for, those met again by two kinds: near (pair, n, drawn) of
+    common words, far (context, word, c, w, n, drawn) others; words (word, word_n, common, roots, backs), `numbers` of the common
+    ones, and sizes.
 
-    A pair is asked for if a text held out has it.
-
-    drawn adds up a pair's tables, roots and backs list probabilities, all over the samples.
+    A pair is asked for if a text held out has it; c and w are the ranks of its words among the common ones, or -1.
+    drawn adds up a pair's tables, roots and backs list probabilities as a word and as a context, all over the samples.
+    A word occurs as often as a context as it does as a word.
     """
 
-    repeated: DataFrame
     pairs: DataFrame
+    near: DataFrame
+    far: DataFrame
     words: DataFrame
-    contexts: DataFrame
+    numbers: np.ndarray
     discount: float
     size: int
     total: int
     unknown: list[float]
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, key: str, other: str, hot: DataFrame | None) -> DataFrame:
-    """Rows with the table's columns for their key.
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, rank: str, other: str, hot: DataFrame | None) -> DataFrame:
+    """Rows with the table's columns for their key, null for common keys.
 
-    Those of the common keys, COMMON at most, go to all tasks; rows of another hot key (key, salts) are cut by `other`.
+    Rows of a hot key (key, salts) are cut by `other`.
     """
-    often = F.col(f"often_{key}")
-    near = rows.filter(often).join(F.broadcast(table.filter("common").drop("common")), key, "left")
-    rows, table = rows.filter(~often), table.filter("NOT common").drop("common")
+    common = rows.filter(F.col(rank) >= 0).withColumns(
+        {c: F.lit(None).cast(kind) for c, kind in table.dtypes if c != key})
+    rows = rows.filter(F.col(rank) < 0)
     if hot is None:
-        return near.unionByName(rows.join(table, key, "left"))
+        return common.unionByName(rows.join(table, key, "left"))
     one, hot = F.lit(1), F.broadcast(hot)
     salted = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(other), F.coalesce("salts", one)).cast("int"))
     copies = (table.join(hot, key, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", one) - 1))).drop("salts"))
-    return near.unionByName(salted.drop("salts").join(copies, [key, "_salt"], "left").drop("_salt"))
+    return common.unionByName(salted.drop("salts").join(copies, [key, "_salt"], "left").drop("_salt"))
 
 
-def _hot(work: Workspace, table: DataFrame, key: str) -> DataFrame | None:
+def _hot(work: Workspace, table: DataFrame, key: str, live: str) -> DataFrame | None:
     """Keys of HOT_PAIRS repeated pairs and more: no more of them than pairs / HOT_PAIRS."""
-    salts = (1 + F.col("live") / HOT_PAIRS).cast("int").alias("salts")
-    hot = work.save(table.filter(F.col("live") >= HOT_PAIRS).select(key, salts).coalesce(1))
+    salts = (1 + F.col(live) / HOT_PAIRS).cast("int").alias("salts")
+    hot = work.save(table.filter(F.col(live) >= HOT_PAIRS).select(F.col("word").alias(key), salts).coalesce(1))
     return None if hot.isEmpty() else hot
 
 
@@ -298,91 +464,95 @@ def _discount(one, two) -> float:
 def train(work: Workspace, texts: DataFrame, seed: int = 5) -> Model:
     """The model of all texts (text, held_out) that are not held out.
 
-    Counts of (context, word) are added up in the tasks and meet once. In a sweep every customer of
+    Counts of (context, word) are added up in the tasks and meet once, in blocks. In a sweep every customer of
     every pair is seated anew, given the context's tables and the word's root probability as the
     sweep before left them; then the root's customers, the tables of the pairs, are seated anew, and
     both totals are counted again. Only table counts are kept. BURN_IN sweeps are followed by SAMPLES.
     A pair met once has one table in every sweep: such pairs, most of all, are counted once per word
     and per context, and the state that sweeps pass on holds the others. So do words met once at the
-    root, and contexts without a repeated pair keep their tables: sweeps leave both out.
+    root, and contexts without a repeated pair keep their tables: sweeps leave out words that are both.
+    Tables and probabilities of the COMMON commonest words go to all tasks before each sweep; only pairs with another
+    word are joined.
     """
-    pairs = work.save_tidy(texts.select("text", "held_out").mapInArrow(_count, "context long, word long, n long, asked boolean")
-                           .groupBy("context", "word").agg(F.sum("n").alias("n"), F.max("asked").alias("asked")).filter("n > 0"))
-
-    def ones(column: str) -> list[Column]:
-        return [F.sum((F.col(column) == k).cast("long")).alias(name) for k, name in ((1, "one"), (2, "two"))]
-
-    per_pair = pairs.agg(F.sum("n").alias("n"), F.count("*").alias("t"), *ones("n")).first()
-    single, live = (F.count(F.when(c, 1)).alias(name) for c, name in ((F.col("n") == 1, "single"), (F.col("n") > 1, "live")))
-    words = work.save_tidy(pairs.groupBy("word").agg(F.sum("n").alias("word_n"), single, live))
-    contexts = work.save_tidy(pairs.groupBy("context").agg(F.sum("n").alias("guests"), single, live))
-    lone = (F.col("single") == 1) & (F.col("live") == 0)
-    per_word = words.withColumn("served", F.col("single") + F.col("live")).agg(
-        F.count("*").alias("t"), F.count(F.when(lone, 1)).alias("lone"), *ones("served")).first()
-    total, size = int(per_pair.n or 0), int(per_word.t)
-    low, top, base = _discount(per_pair.one, per_pair.two), _discount(per_word.one, per_word.two), 1.0 / (size + 1)
+    spark, step = work.spark, COMMON
+    counted = work.save_tidy(texts.select("text", "held_out").mapInArrow(_count_blocks(_buckets(spark)), _COUNTED)
+                             .groupBy("bucket").applyInArrow(_merge, _MERGED))
+    names = work.save_tidy(counted.filter("context IS NULL").groupBy("word").agg(
+        F.sum("n").alias("word_n"), *[F.sum(c).alias(c) for c in ("single", "live", "out_single", "out_live")]))
+    met_again = counted.filter("context IS NOT NULL").select("context", "word", "n", "asked")
+    served, lone = F.col("single") + F.col("live"), (F.col("single") == 1) & (F.col("live") == 0)
+    still = lone & (F.col("out_live") == 0)
+    per_word = names.agg(
+        F.sum("word_n").alias("total"), F.sum(served).alias("pairs"), F.sum("single").alias("single"), F.count("*").alias("t"),
+        F.count(F.when(still, 1)).alias("still"), *[F.count(F.when(served == k, 1)).alias(f"served_{k}") for k in (1, 2)]).first()
+    total, size = int(per_word.total or 0), int(per_word.t)
+    low = _discount(per_word.single, met_again.filter("n = 2").count())
+    top, base = _discount(per_word.served_1, per_word.served_2), 1.0 / (size + 1)
 
     def root(customers: float, tables: float, served, own):
         return (served - top * own + (STRENGTH + top * tables) * base) / (STRENGTH + customers)
 
-    often = work.save_tidy(words.orderBy(F.desc("word_n"), "word").limit(COMMON).select("word", F.lit(True).alias("common")))
-
-    def marked(table: DataFrame, key: str, name: str) -> DataFrame:
-        """The table, and whether the key is one of the COMMON commonest words."""
-        named = F.broadcast(often.select(F.col("word").alias(key), F.col("common").alias(name)))
-        return table.join(named, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
-
-    nothing = F.array().cast("array<double>")
-    dishes = marked(words.filter(~lone), "word", "common").withColumns(
-        {"roots": nothing, "n": F.col("single") + F.col("live"), "t": F.lit(1).cast("long")})
-    rooms = marked(contexts.filter("live > 0"), "context", "common").withColumns(
-        {"backs": nothing, "tables": F.col("single") + F.col("live")})
-    dishes, rooms = work.save_tidy(dishes), work.save_tidy(rooms)
-    hot_words, hot_contexts = (_hot(work, table.filter("NOT common"), key) for table, key in ((dishes, "word"), (rooms, "context")))
-    customers, tables = float(per_pair.t), float(size)
-    state = marked(marked(pairs.filter("n > 1").drop("asked"), "word", "often_word"), "context", "often_context").withColumns(
-        {"t": F.lit(1).cast("long"), "drawn": F.lit(0).cast("long")})
-    unknown, alone, passed = [], [], None
+    often = work.save_tidy(names.orderBy(F.desc("word_n"), "word").limit(step).select("word", F.lit(True).alias("common")))
+    numbers = np.sort(often.select("word").toArrow()["word"].to_numpy())
+    pairs = work.save_tidy(met_again.mapInArrow(
+        _ranked(spark.sparkContext.broadcast(numbers)), "context long, word long, n long, asked boolean, c int, w int"))
+    work.drop(counted)
+    names = names.join(F.broadcast(often), "word", "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    nothing, one, none = F.array().cast("array<double>"), F.lit(1).cast("long"), F.lit(0).cast("long")
+    kept = work.save_tidy(names.filter(~still).withColumns({
+        "roots": nothing, "backs": nothing, "n": served, "t": one, "tables": F.col("out_single") + F.col("out_live")})
+        .select(*_names(_KEPT)))
+    rare = kept.filter("NOT common")
+    hot_words, hot_contexts = _hot(work, rare, "word", "live"), _hot(work, rare, "context", "out_live")
+    customers, tables = float(per_word.pairs or 0), float(size)
+    again = pairs.filter("n > 1").withColumns({"t": one, "drawn": none, "pair": F.col("c").cast("long") * step + F.col("w")})
+    near = again.filter("c >= 0 AND w >= 0").select(*_names(_NEAR))
+    far = again.filter("c < 0 OR w < 0").select(*_names(_FAR))
+    unknown, alone, passed = [], [], []
     for sweep in range(BURN_IN + SAMPLES if total else 0):
         if sweep == BURN_IN:
-            state = state.withColumn("drawn", F.lit(0).cast("long"))
-        held = rooms.select("context", "common", F.col("tables").alias("_tables"))
+            near, far = near.withColumn("drawn", none), far.withColumn("drawn", none)
         now = root(customers, tables, F.col("n"), F.col("t"))
-        named = dishes.filter("live > 0").select("word", "common", now.alias("base"))
-        rows = _looked_up(_looked_up(state, held, "context", "word", hot_contexts), named, "word", "context", hot_words)
-        strength = STRENGTH + low * (F.col("_tables") - F.col("t"))
-        state = work.save_tidy(rows.withColumn("strength", strength).drop("_tables", "t").mapInArrow(
-            _seat(low, seed + 100 * sweep, _names(_STATE)), _STATE))
-        if passed is not None:
-            work.drop(passed)
-        passed = state
+        shared = kept.filter("common").select("word", "tables", now.alias("base")).toArrow()
+        held, bases = np.zeros(len(numbers)), np.ones(len(numbers))
+        place = np.searchsorted(numbers, shared["word"].to_numpy())
+        held[place], bases[place] = shared["tables"].to_numpy(), shared["base"].to_numpy()
+        everywhere = spark.sparkContext.broadcast((numbers, held, bases))
+        rare = kept.filter("NOT common")
+        rows = _looked_up(far, rare.filter("out_live > 0").select(
+            F.col("word").alias("context"), F.col("tables").cast("double").alias("_tables")), "context", "c", "word", hot_contexts)
+        rows = _looked_up(rows, rare.filter("live > 0").select("word", now.alias("base")), "word", "w", "context", hot_words)
+        near, far = (work.save_tidy(x.mapInArrow(_seat_pairs(everywhere, step, low, seed + 100 * sweep, _names(schema)), schema))
+                     for x, schema in ((near, _NEAR), (rows, _FAR)))
+        work.drop(*passed)
         # the root, whose customers are the tables just drawn; its names are (0, word)
-        older = [dishes, rooms]
-        fresh = dishes.withColumn("roots", F.concat("roots", F.array(now))) if sweep > BURN_IN else dishes
-        fresh = (fresh.join(state.groupBy("word").agg(F.sum("t").alias("more")), "word", "left").withColumns({
-            "context": F.lit(0).cast("long"), "n": F.col("single") + F.coalesce("more", F.lit(0)), "base": F.lit(base),
-            "strength": STRENGTH + top * (tables - F.col("t"))}).drop("t", "more"))
-        dishes = work.save_tidy(fresh.mapInArrow(_seat(top, seed + 100 * sweep + 1, _names(_DISHES)), _DISHES))
-        sums = dishes.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
-        customers, tables = (float((x or 0) + per_word.lone) for x in (sums.n, sums.t))
-        rooms = rooms.drop("tables").join(state.groupBy("context").agg(F.sum("t").alias("more")), "context", "left")
-        rooms = rooms.withColumn("tables", F.col("single") + F.coalesce("more", F.lit(0))).drop("more")
+        sums = near.select("pair", "t").mapInArrow(_table_sums(everywhere, step), "word long, more long, out_more long")
+        sums = sums.unionByName(far.select("word", F.col("t").alias("more"), none.alias("out_more"))).unionByName(
+            far.select(F.col("context").alias("word"), none.alias("more"), F.col("t").alias("out_more")))
+        fresh = kept.withColumn("roots", F.concat("roots", F.array(now))) if sweep > BURN_IN else kept
+        fresh = fresh.join(sums.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("more", "out_more")]), "word", "left").withColumns({
+            "n": F.col("single") + F.coalesce("more", none), "tables": F.col("out_single") + F.coalesce("out_more", none),
+            "base": F.lit(base), "strength": STRENGTH + top * (tables - F.col("t"))}).drop("t", "more", "out_more")
+        if sweep >= BURN_IN:
+            back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("word_n"))
+            fresh = fresh.withColumn("backs", F.concat("backs", F.array(back)))
+        passed = [near, far, kept]
+        kept = work.save_tidy(fresh.mapInArrow(_seat(top, seed + 100 * sweep + 1, _names(_KEPT)), _KEPT))
+        work.drop(passed.pop())
+        everywhere.unpersist()
+        now = kept.agg(F.sum("n").alias("n"), F.sum("t").alias("t")).first()
+        customers, tables = (float((x or 0) + per_word.still) for x in (now.n, now.t))
         if sweep >= BURN_IN:
-            back = (STRENGTH + low * F.col("tables")) / (STRENGTH + F.col("guests"))
-            rooms = rooms.withColumn("backs", F.concat("backs", F.array(back)))
             unknown.append(root(customers, tables, 0, 0))
             alone.append(root(customers, tables, 1, 1))
-        rooms = work.save_tidy(rooms)
-        work.drop(*older)
     if not total:
         unknown = alone = [1.0] * SAMPLES
     now = root(customers, tables, F.col("n"), F.col("t"))
-    every_word = dishes.select("word", "word_n", F.concat("roots", F.array(now)).alias("roots")).unionByName(
-        words.filter(lone).select("word", "word_n", F.array(*map(F.lit, alone)).alias("roots")))
-    back = (STRENGTH + low * F.col("single")) / (STRENGTH + F.col("guests"))
-    every_context = rooms.select("context", "guests", "backs").unionByName(
-        contexts.filter("live = 0").select("context", "guests", F.array(*[back] * SAMPLES).alias("backs")))
-    return Model(state.select("context", "word", "n", "drawn"), pairs, every_word, every_context, low, size, total, unknown)
+    back = (STRENGTH + low * F.col("out_single")) / (STRENGTH + F.col("word_n"))
+    words = kept.select("word", "word_n", "common", F.concat("roots", F.array(now)).alias("roots"), "backs").unionByName(
+        names.filter(still).select("word", "word_n", "common", F.array(*map(F.lit, alone)).alias("roots"),
+                                   F.array(*[back] * SAMPLES).alias("backs")))
+    return Model(pairs, near.drop("t"), far.drop("t"), words, numbers, low, size, total, unknown)
 
 
 # --- scores -------------------------------------------------------------------------------------
@@ -413,10 +583,16 @@ class Common:
 
     def ranks(self, numbers: np.ndarray) -> np.ndarray:
         """The place of each word here, or -1."""
-        if not len(self.numbers):
-            return np.full(len(numbers), -1)
-        place = np.minimum(np.searchsorted(self.numbers, numbers), len(self.numbers) - 1)
-        return np.where(self.numbers[place] == numbers, place, -1)
+        return self._ranks(numbers)
+
+    @cached_property
+    def _ranks(self) -> Lookup:
+        return Lookup(self.numbers)
+
+    @cached_property
+    def frequent(self) -> Lookup:
+        """The places of pairs among the frequent ones."""
+        return Lookup(self.pairs)
 
 
 def _stack(column: pa.ChunkedArray) -> np.ndarray:
@@ -440,50 +616,63 @@ def _set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _common(work: Workspace, model: Model) -> tuple[Common, DataFrame, DataFrame]:
-    """The common words, and the listed pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, n, drawn).
+    """The common words, and the listed pairs of the model by two kinds: near (pair, n, drawn) and far (context, word, c, w, n, drawn).
 
     Pairs met once are listed if they are asked for; any other one is in a single text, from which the model learned.
     """
-    spark, step = work.spark, COMMON
-    top = work.save_tidy(model.words.orderBy(F.desc("word_n"), "word").limit(COMMON))
-    top = top.join(model.contexts.withColumnRenamed("context", "word"), "word").toArrow().sort_by("word")
-    numbers = top["word"].to_numpy()
-    ranks = spark.createDataFrame(pa.table({"word": numbers, "rank": np.arange(len(numbers))}))
-    once = model.pairs.filter("n = 1 AND asked").select("context", "word", "n", F.lit(SAMPLES).cast("long").alias("drawn"))
-    every = model.repeated.unionByName(once)
-    set_bits = every.select("context", "word").mapInArrow(_set_bits, "at long, bits long").groupBy("at").agg(
-        F.bit_or("bits").alias("bits")).toArrow()
+    step = COMMON
+    top = model.words.filter("common").toArrow().sort_by("word")
+    once = model.pairs.filter("n = 1 AND asked").withColumns({
+        "drawn": F.lit(SAMPLES).cast("long"), "pair": F.col("c").cast("long") * step + F.col("w")})
+    near, far = (table.unionByName(once.filter(kind).select(*table.columns)) for table, kind in (
+        (model.near, "c >= 0 AND w >= 0"), (model.far, "c < 0 OR w < 0")))
+    set_bits = model.pairs.filter("c >= 0 AND w >= 0").select("context", "word").mapInArrow(
+        _set_bits, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     listed = np.zeros(max(1, 1 << FILTER_BITS >> 6), np.uint64)
     listed[set_bits["at"].to_numpy()] = set_bits["bits"].to_numpy().view(np.uint64)
-    every = every.join(F.broadcast(ranks.withColumnRenamed("rank", "_w")), "word", "left").join(
-        F.broadcast(ranks.select(F.col("word").alias("context"), F.col("rank").alias("_c"))), "context", "left")
-    near = work.save_tidy(every.filter("_w IS NOT NULL AND _c IS NOT NULL")
-                          .select((F.col("_c") * step + F.col("_w")).alias("pair"), "n", "drawn"))
-    far = work.save_tidy(every.filter("_w IS NULL OR _c IS NULL").select("context", "word", "n", "drawn"))
     roots, backs = (_stack(top[c]) for c in ("roots", "backs"))
-    counts, guests = (top[c].to_numpy().astype(float) for c in ("word_n", "guests"))
-    often = near.filter("n > 1").orderBy(F.desc("n"), "pair").limit(FREQUENT).toArrow().sort_by("pair")
+    counts = top["word_n"].to_numpy().astype(float)
+    often = model.near.orderBy(F.desc("n"), "pair").limit(FREQUENT).toArrow().sort_by("pair")
     pairs = often["pair"].to_numpy()
     c, w = pairs // step, pairs % step
-    own = (often["n"].to_numpy() - model.discount * often["drawn"].to_numpy() / SAMPLES) / (STRENGTH + guests[c])
-    return Common(numbers, counts, roots, guests, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1), listed), near, far
+    own = (often["n"].to_numpy() - model.discount * often["drawn"].to_numpy() / SAMPLES) / (STRENGTH + counts[c])
+    return Common(model.numbers, counts, roots, counts, backs, pairs, own + (backs[c] * roots[w]).mean(axis=1), listed), near, far
 
 
-def _lists(rows: np.ndarray, count: int, **columns: np.ndarray) -> pa.ListArray:
-    """For each of `count` texts the list of its structs; `rows` ascends."""
-    cuts = np.searchsorted(rows, np.arange(count + 1))
-    items = pa.StructArray.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
-    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), items)
+# Kinds of a text's other pairs: of common words (key: the pair), with one rare word (key: that word, code: the rank of
+# the other, times two, and one more if the rare word is the context) and of rare words (key: the word, code: the context).
+_BOTH_COMMON, _ONE_RARE, _BOTH_RARE = range(3)
+_TEXTS = "n_tokens long, n_known long, base_score double, score double"
+_BLOCKS = "kind int, bucket int, rows binary, key binary, code binary, times binary, out binary"
+_SUMS = "bucket int, rows binary, known binary, base binary, more binary"
 
 
-def _score_common(everywhere: Broadcast, low: float, total: int, size: int):
-    """Sums over each text's pairs of common words that are frequent or certainly not listed, and its other pairs
-    with their counts: near ones, and far ones by which word is rare and whether they may be listed."""
+def _score_common(everywhere: Broadcast, low: float, total: int, size: int, buckets: int, names: tuple[str, ...]):
+    """Sums over each text's pairs of common words that are frequent or certainly not listed, and over its common words;
+    blocks of its other pairs with their counts."""
     step = COMMON
 
+    def rows_of(columns: dict[str, pa.Array], like: pa.Schema) -> pa.RecordBatch:
+        count = len(next(iter(columns.values())))
+        kinds = {"doc_id": like.field("doc_id").type, "held_out": pa.bool_(), "base_score": pa.float64(), "score": pa.float64(),
+                 "kind": pa.int32(), "bucket": pa.int32(), **dict.fromkeys(("rows", "key", "code", "times", "out"), pa.binary())}
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(count, kinds.get(c, pa.int64())) for c in names],
+                                          names=list(names))
+
+    def blocks(held: list[list], like: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for kind, parts in enumerate(held):
+            rows, key, code, times, out = (np.concatenate(x) for x in zip(*parts))
+            if len(rows):
+                to = _bucket(key, buckets) if kind != _BOTH_RARE else np.zeros(len(key), np.int64)
+                cut = _cut(to, rows=rows, key=key, code=code, times=times.astype(np.int32), out=out)
+                columns = dict(zip(cut.schema.names, cut.columns))
+                yield rows_of(columns | {"kind": pa.array(np.full(cut.num_rows, kind, np.int32))}, like)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = everywhere.value
+        held, tokens, like = [[], [], []], 0, None
         for batch in batches:
+            like = batch.schema
             for at in range(0, batch.num_rows, 500):
                 some = batch.slice(at, 500)
                 numbers, contexts, bounds = tokens_of(some.column("text"))
@@ -494,85 +683,156 @@ def _score_common(everywhere: Broadcast, low: float, total: int, size: int):
                 c = np.concatenate([common.ranks(contexts[:1]), w[:-1]])[:len(w)]
                 both = (w >= 0) & (c >= 0)
                 pair = np.where(both, c * step + w, -1)
-                p = np.zeros(len(pair))
-                if len(common.pairs):
-                    place = np.minimum(np.searchsorted(common.pairs, pair), len(common.pairs) - 1)
-                    p = np.where(common.pairs[place] == pair, common.p[place], 0.0)
-                listed = p == 0
-                listed[listed] = common.may_list(contexts[listed], numbers[listed])
-                alone = np.flatnonzero(both & (p == 0) & ~listed)
+                place = common.frequent(pair)
+                p = np.append(common.p, 0.0)[place]
+                rest = np.flatnonzero(both & (p == 0))
+                listed = common.may_list(contexts[rest], numbers[rest])
+                alone, rest = rest[~listed], rest[listed]
                 p[alone] = (np.where(out[rows[alone]], 0.0, (1 - low) / (STRENGTH + common.guests[c[alone]]))
                             + (common.backs[c[alone]] * common.roots[w[alone]]).mean(axis=1))
-                known = p > 0
+                done, known = p > 0, w >= 0
                 base = np.log10((common.counts[w[known]] + 1) / (total + size + 1))
-                at_near = np.flatnonzero(both & listed)
-                first, near_times = _distinct(np.zeros(len(at_near), np.int8), pair[at_near], rows[at_near])
-                near = at_near[first]
-                lists = [_lists(rows[near], count, pair=pair[near], times=near_times)]
-                for kind in ((w < 0) & (c >= 0), (w >= 0) & (c < 0), (w < 0) & (c < 0)):
-                    for at_far in (np.flatnonzero(kind & listed), np.flatnonzero(kind & ~listed)):
-                        first, times = _distinct(contexts[at_far], numbers[at_far], rows[at_far])
-                        far = at_far[first]
-                        lists.append(_lists(rows[far], count, context=contexts[far], word=numbers[far], times=times,
-                                            c=c[far].astype(np.int32), w=w[far].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("row"), some.column("doc_id"), some.column("held_out"), pa.array(np.diff(bounds)),
-                     pa.array(np.bincount(rows[known], minlength=count)),
-                     pa.array(np.bincount(rows[known], base, count).astype(float)),
-                     pa.array(np.bincount(rows[known], np.log10(p[known]), count).astype(float)), *lists],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "near", *_FAR])
+                ids = some.column("row").to_numpy()
+                kinds = ((_BOTH_COMMON, rest, pair, np.zeros(len(w), np.int8)),
+                         (_ONE_RARE, np.flatnonzero((w < 0) & (c >= 0)), numbers, (2 * c).astype(np.int32)),
+                         (_ONE_RARE, np.flatnonzero((w >= 0) & (c < 0)), contexts, (2 * w + 1).astype(np.int32)),
+                         (_BOTH_RARE, np.flatnonzero((w < 0) & (c < 0)), numbers, contexts))
+                for kind, places, key, code in kinds:
+                    first, times = _distinct(code[places], key[places], rows[places])
+                    places = places[first]
+                    held[kind].append((ids[rows[places]], key[places], code[places], times, out[rows[places]]))
+                yield rows_of({"row": some.column("row"), "doc_id": some.column("doc_id"), "held_out": some.column("held_out"),
+                               "n_tokens": pa.array(np.diff(bounds)),
+                               "n_known": pa.array(np.bincount(rows[known], minlength=count)),
+                               "base_score": pa.array(np.bincount(rows[known], base, count).astype(float)),
+                               "score": pa.array(np.bincount(rows[done], np.log10(p[done]), count).astype(float))}, like)
+                tokens += len(numbers)
+                if tokens > HELD_TOKENS:
+                    yield from blocks(held, like)
+                    held, tokens = [[], [], []], 0
+        if tokens:
+            yield from blocks(held, like)
+    return run
+
+
+def _blocks(buckets: int, key: str):
+    """Rows to blocks of all their columns, by the key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for some in _together(batches, 500_000):
+            columns = {c: _stack(some[c]) if pa.types.is_list(some[c].type) else some[c].to_numpy() for c in some.column_names}
+            yield _cut(_bucket(columns[key], buckets), **columns)
     return run
 
 
-# Lists of pairs with a rare word, a rare context or both: those that may be listed, and others.
-_FAR = tuple(f"{kind}_{part}" for kind in ("word", "context", "both") for part in ("met", "new"))
-_PARTS = ", ".join(["n_tokens long, n_known long, base_score double, score double, near array<struct<pair: long, times: long>>",
-                    *(f"{name} array<struct<context: long, word: long, times: long, c: int, w: int>>" for name in _FAR)])
+def _in_blocks(rows: DataFrame, buckets: int, key: str) -> DataFrame:
+    schema = ", ".join(["bucket int", *(f"{c} binary" for c in rows.columns)])
+    return rows.mapInArrow(_blocks(buckets, key), schema).withColumn("round", F.col("bucket") % ROUNDS)
+
+
+def _texts_pairs(texts: pa.Table, code: type) -> tuple[np.ndarray, ...]:
+    return tuple(_opened(texts, name, kind) for name, kind in (
+        ("rows", np.int64), ("key", np.int64), ("code", code), ("times", np.int32), ("out", np.bool_)))
+
+
+def _seen(keys: np.ndarray, table: pa.Table, table_keys: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n and drawn of pairs by key; a pair that is not listed was met once, if the model learned from the text, or never."""
+    order = np.argsort(table_keys)
+    place = _places(table_keys[order], keys)
+    once = np.where(out, 0, 1)
+    n, drawn = (_opened(table, name, np.int64)[order] for name in ("n", "drawn"))
+    if not len(n):
+        return once, once * SAMPLES
+    return np.where(place >= 0, n[place], once), np.where(place >= 0, drawn[place], once * SAMPLES)
 
 
-def _finish(everywhere: Broadcast, model: tuple[float, int, int, list[float]]):
-    """Sums (row, known, base, more) over pairs of texts.
+def _row_sums(buckets: int, rows: np.ndarray, known: np.ndarray, base: np.ndarray, more: np.ndarray) -> pa.Table:
+    """Sums by row, in blocks by the row.
 
-    A pair has the ranks of its words or, where a rank is -1, the columns of the model's tables;
-    what the model has not met is null there.
+    Their buckets grow as the root of the others, so that the blocks do not get ever smaller.
     """
-    low, total, size, unknown = model
+    buckets = max(16, 4 * math.isqrt(buckets))
+    own, at = np.unique(rows, return_inverse=True)
+    known, base, more = (np.bincount(at, x, len(own)).astype(float) for x in (known, base, more))
+    return pa.Table.from_batches([_cut(_bucket(own, buckets), rows=own, known=known, base=base, more=more)])
+
+
+def _sum_near(everywhere: Broadcast, low: float, buckets: int):
+    """A bucket of pairs of common words, and the listed ones of the model, to sums by row."""
     step = COMMON
 
-    def filled(out: np.ndarray, rank: np.ndarray, source: np.ndarray, column: pa.Array | None) -> np.ndarray:
-        if column is not None:
-            met = column.is_valid().to_numpy(zero_copy_only=False)
-            values = column.drop_null()
-            out[met] = np.asarray(values.flatten()).reshape(-1, SAMPLES) if out.ndim > 1 else np.asarray(values)
-        out[rank >= 0] = source[rank[rank >= 0]]
+    def run(texts: pa.Table, model: pa.Table) -> pa.Table:
+        common = everywhere.value
+        rows, pair, _, times, out = _texts_pairs(texts, np.int8)
+        n, drawn = _seen(pair, model, _opened(model, "pair", np.int64), out)
+        c, w = pair // step, pair % step
+        p = (n - low * drawn / SAMPLES) / (STRENGTH + common.guests[c]) + (common.backs[c] * common.roots[w]).mean(axis=1)
+        none = np.zeros(len(rows))
+        return _row_sums(buckets, rows, none, none, times * np.log10(p))
+    return run
+
+
+def _sum_one_rare(everywhere: Broadcast, model: tuple[float, int, int, list[float]], buckets: int):
+    """A bucket of pairs with one rare word, and the model's words and listed pairs, to sums by row."""
+    low, total, size, unknown = model
+    step = 2 * COMMON
+
+    def run(texts: pa.Table, model: pa.Table) -> pa.Table:
+        common = everywhere.value
+        rows, key, code, times, out = _texts_pairs(texts, np.int32)
+        words = _opened(model, "word", np.int64)
+        order = np.argsort(words)
+        words, place = words[order], _places(words[order], key)
+        # one more word, that no place but -1 names, for all unknown ones
+        word_n = np.append(_opened(model, "word_n", np.int64)[order], 0)[place]
+        own_roots, own_backs = (np.concatenate([_opened(model, name, float, SAMPLES)[order], np.reshape(last, (1, SAMPLES))])[place]
+                                for name, last in (("roots", unknown), ("backs", [1.0] * SAMPLES)))
+        listed = _places(words, _opened(model, "key", np.int64)) * step + _opened(model, "code", np.int32)
+        n, drawn = _seen(np.where(place >= 0, place * step + code, -1), model, listed, out)
+        is_word, other = code % 2 == 0, code // 2
+        guests = np.where(is_word, common.guests[other], word_n)
+        both = np.where(is_word[:, None], common.backs[other] * own_roots, own_backs * common.roots[other])
+        p = (n - low * drawn / SAMPLES) / (STRENGTH + guests) + both.mean(axis=1)
+        base = np.log10((word_n + 1) / (total + size + 1))
+        return _row_sums(buckets, rows, times * (is_word & (place >= 0)), times * base * is_word, times * np.log10(p))
+    return run
+
+
+def _rare_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of pairs of rare words to rows."""
+    for batch in batches:
+        rows, word, context, times, out = _texts_pairs(batch, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows, context, word, times.astype(np.int64), out)],
+                                         names=["row", "context", "word", "times", "out"])
+
+
+def _sum_rare(model: tuple[float, int, int, list[float]], buckets: int):
+    """Pairs of rare words with the columns of the model's tables, null for what it has not met, to sums by row."""
+    low, total, size, unknown = model
+
+    def filled(column: pa.ChunkedArray, row: list[float]) -> np.ndarray:
+        out = np.tile(row, (len(column), 1))
+        met = column.is_valid().to_numpy()
+        out[met] = _stack(column.drop_null())
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = everywhere.value
-        for batch in batches:
-            has = batch.schema.names
-            count = batch.num_rows
-            column = {name: batch.column(name) for name in has}
-            if "pair" in has:
-                pair = column["pair"].to_numpy()
-                c, w = pair // step, pair % step
-            else:
-                c, w = (column[x].to_numpy() for x in "cw")
-            n, drawn = (column[x].fill_null(0).to_numpy() for x in ("n", "drawn"))
-            guests = filled(np.zeros(count), c, common.guests, column.get("guests"))
-            backs = filled(np.ones((count, SAMPLES)), c, common.backs, column.get("backs"))
-            word_n = filled(np.zeros(count), w, common.counts, column.get("word_n"))
-            roots = filled(np.tile(unknown, (count, 1)), w, common.roots, column.get("roots"))
-            p = (n - low * drawn / SAMPLES) / (STRENGTH + guests) + (backs * roots).mean(axis=1)
-            times = column["times"].to_numpy()
-            rows, at = np.unique(column["row"].to_numpy(), return_inverse=True)
-            sums = [np.bincount(at, times * x, len(rows)).astype(float) for x in (
-                word_n > 0, np.log10((word_n + 1) / (total + size + 1)), np.log10(p))]
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sums[0].astype(np.int64)), *map(pa.array, sums[1:])],
-                                             names=["row", "known", "base", "more"])
+        for some in _together(batches, 100_000):
+            n, drawn, guests, word_n = (pc.fill_null(some[c], 0).to_numpy() for c in ("n", "drawn", "guests", "word_n"))
+            both = filled(some["roots"], unknown) * filled(some["backs"], [1.0] * SAMPLES)
+            p = (n - low * drawn / SAMPLES) / (STRENGTH + guests) + both.mean(axis=1)
+            times = some["times"].to_numpy()
+            yield from _row_sums(buckets, some["row"].to_numpy(), times * (word_n > 0),
+                                 times * np.log10((word_n + 1) / (total + size + 1)), times * np.log10(p)).to_batches()
     return run
 
 
+def _add(blocks: pa.Table) -> pa.Table:
+    """The sums of a bucket of rows."""
+    rows, at = np.unique(_opened(blocks, "rows", np.int64), return_inverse=True)
+    sums = [np.bincount(at, _opened(blocks, c, float), len(rows)).astype(float) for c in ("known", "base", "more")]
+    return pa.table({"row": rows, "known": sums[0].astype(np.int64), "base": sums[1], "more": sums[2]})
+
+
 def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -587,8 +847,8 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
     Probabilities of the COMMON commonest words, and of the FREQUENT commonest pairs of them that were
     met twice, go to all tasks, with a filter of the pairs that a join can find: those met again, and
     those met once that a document held out has too. Where a document's pair is not found, it was met once if the
-    model learned from the document, else never. A document's other pairs are counted and joined with the model in ROUNDS,
-    by ranks where both words are common; only rare words and contexts are looked up in tables. A null text counts as empty (one end token), a
+    model learned from the document, else never. A document's other pairs are counted and meet the model's in blocks, in ROUNDS,
+    by ranks where a word is common; only pairs of two rare words are joined as rows. A null text counts as empty (one end token), a
     null id is learned from; repeated rows are scored each; other columns are ignored; no rows
     give no rows.
     """
@@ -600,41 +860,44 @@ def score(docs: DataFrame, held_out: int = 2, folds: int = 7, seed: int = 5) ->
                         F.coalesce(out, F.lit(False)).alias("held_out"))
     model = train(work, texts, seed)
     common, near, far = _common(work, model)
-    work.drop(model.pairs)
     common = spark.sparkContext.broadcast(common)
-    parts = work.save_tidy(texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text").mapInArrow(
-        _score_common(common, model.discount, model.total, model.size),
-        f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, {_PARTS}"))
-    finish = _finish(common, (model.discount, model.total, model.size, model.unknown))
-
-    def one_part(rows, r, *key):
-        return rows.filter(F.pmod(F.xxhash64(*key), F.lit(ROUNDS)) == r)
-
-    def of(name):
-        return parts.select("row", "held_out", F.inline(name))
-
-    def summed(rows):
-        once = F.when(F.col("held_out"), 0).otherwise(1).cast("long")
-        rows = rows.withColumns({"n": F.coalesce("n", once), "drawn": F.coalesce("drawn", once * SAMPLES)})
-        return work.save_tidy(rows.drop("held_out", "context", "word").mapInArrow(
-            finish, "row long, known long, base double, more double").groupBy("row").agg(
-            *[F.sum(c).alias(c) for c in ("known", "base", "more")]))
-
-    def joined(kind, r, *key):
-        met = one_part(of(f"{kind}_met"), r, *key).join(one_part(far, r, *key), ["context", "word"], "left")
-        none = F.lit(None).cast("long")
-        return met.unionByName(one_part(of(f"{kind}_new"), r, *key).withColumns({"n": none, "drawn": none}))
-
-    sums = []
-    for r in range(ROUNDS):
-        sums.append(summed(one_part(of("near"), r, "pair").join(one_part(near, r, "pair"), "pair", "left")))
-        by_word = joined("word", r, "word").join(one_part(model.words, r, "word"), "word", "left")
-        by_context = joined("context", r, "context").join(one_part(model.contexts, r, "context"), "context", "left")
-        both = joined("both", r, "word").join(one_part(model.words, r, "word"), "word", "left").join(
-            model.contexts, "context", "left")
-        sums += [summed(by_word), summed(by_context), summed(both)]
+    buckets, sizes = _buckets(spark), (model.discount, model.total, model.size, model.unknown)
+    schema = f"row long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, {_TEXTS}, {_BLOCKS}"
+    numbered = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
+    parts = work.save_tidy(numbered.mapInArrow(_score_common(common, *sizes[:3], buckets, _names(schema)), schema)
+                           .withColumn("round", F.col("bucket") % ROUNDS), "kind", "round")
+    words = model.words.filter("NOT common").select("word", "word_n", "roots", "backs")
+    word_is_rare = F.col("w") < 0
+    one_rare = far.filter("(c < 0) != (w < 0)").select(
+        F.when(word_is_rare, F.col("word")).otherwise(F.col("context")).alias("key"),
+        F.when(word_is_rare, 2 * F.col("c")).otherwise(2 * F.col("w") + 1).alias("code"), "n", "drawn")
+
+    def of(kind):
+        return parts.filter(F.col("kind") == kind).select("round", *_names(_BLOCKS)[1:])
+
+    def met(kind, r, model, run):
+        """Blocks of one round with the model's of the same buckets, to sums."""
+        def one_round(blocks):
+            return blocks.filter(F.col("round") == r).drop("round").groupBy("bucket")
+        return one_round(of(kind)).cogroup(one_round(model)).applyInArrow(run, _SUMS)
+
+    near_blocks = work.save(_in_blocks(near, buckets, "pair"), "round")
+    rare_blocks = work.save(_in_blocks(words, buckets, "word").unionByName(
+        _in_blocks(one_rare, buckets, "key"), allowMissingColumns=True), "round")
+    sums = [work.save_tidy(
+        met(_BOTH_COMMON, r, near_blocks, _sum_near(common, model.discount, buckets))
+        .unionByName(met(_ONE_RARE, r, rare_blocks, _sum_one_rare(common, sizes, buckets)))
+        .groupBy("bucket").applyInArrow(_add, "row long, known long, base double, more double")) for r in range(ROUNDS)]
+    once = F.when(F.col("out"), 0).otherwise(1).cast("long")
+    rare = (of(_BOTH_RARE).mapInArrow(_rare_pairs, "row long, context long, word long, times long, out boolean")
+            .join(far.filter("c < 0 AND w < 0").select("context", "word", "n", "drawn"), ["context", "word"], "left")
+            .withColumns({"n": F.coalesce("n", once), "drawn": F.coalesce("drawn", once * SAMPLES)})
+            .join(words.select("word", "word_n", "roots"), "word", "left")
+            .join(words.select(F.col("word").alias("context"), F.col("word_n").alias("guests"), "backs"), "context", "left"))
+    sums.append(work.save_tidy(rare.drop("context", "word", "out").mapInArrow(_sum_rare(sizes, buckets), _SUMS)
+                               .groupBy("bucket").applyInArrow(_add, "row long, known long, base double, more double")))
     rest = reduce(DataFrame.unionByName, sums).groupBy("row").agg(*[F.sum(c).alias(c) for c in ("known", "base", "more")])
-    return (parts.drop("near", *_FAR).join(rest, "row", "left").select(
+    return (parts.filter("kind IS NULL").join(rest, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"), F.lit(model.total).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),

@@ -25,21 +25,22 @@ class Workspace:
         self.folder = new_dir(spark)
         self._written = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, *by: str) -> DataFrame:
+        """The table, written; with columns `by`, in a folder for each of their values."""
         self._written += 1
         path = f"{self.folder}/t{self._written}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved._workspace_path = path
         return saved
 
-    def save_tidy(self, df: DataFrame) -> DataFrame:
+    def save_tidy(self, df: DataFrame, *by: str) -> DataFrame:
         """`save`, and the shuffle files of the write are deleted with it: nothing reads them again."""
         conf, key = self.spark.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
         before = conf.get(key, "false")
         conf.set(key, "true")
         try:
-            return self.save(df)
+            return self.save(df, *by)
         finally:
             conf.set(key, before)
 

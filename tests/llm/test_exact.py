@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,6 +202,53 @@ def test_counting_holds_few_tokens_and_counts_no_text_held_out(monkeypatch):
     assert {r["n"] for r in rows if r["asked"]} == {0} and sum(r["asked"] for r in rows) == 3 * sum(out)
 
 
+def _plain_counts(contexts, numbers, out):
+    counts, asked = Counter(), set()
+    for c, w, o in zip(contexts.tolist(), numbers.tolist(), out.tolist()):
+        if o:
+            asked.add((c, w))
+        else:
+            counts[c, w] += 1
+    return counts, asked
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_counted_pairs_meet_in_blocks(monkeypatch, collide):
+    rng = np.random.default_rng(17)
+    texts = [" ".join(f"w{i}" for i in (rng.pareto(1.0, 20) * 3).astype(int) % 200) for _ in range(600)]
+    out = np.arange(600) % 7 == 2
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(out)], names=["text", "held_out"])
+    numbers, contexts, bounds = pitman_yor.tokens_of(batch.column("text"))
+    counts, asked = _plain_counts(contexts, numbers, np.repeat(out, np.diff(bounds)))
+    monkeypatch.setattr(pitman_yor, "HELD_TOKENS", 1000)
+    if collide:  # few hashes, many pairs to each
+        plain = pitman_yor._pair_hash
+        monkeypatch.setattr(pitman_yor, "_pair_hash", lambda c, w, seed=0: plain(c, w, seed) % np.uint64(50))
+    blocks = pa.Table.from_batches(pitman_yor._count_blocks(8)(iter([batch])))
+    assert blocks.num_rows <= 8 * (600 * 21 // 1000 + 1)
+    merged = [pitman_yor._merge(blocks.filter(pc.equal(blocks["bucket"], b))) for b in set(blocks["bucket"].to_pylist())]
+    rows = pa.concat_tables(merged).to_pylist()
+    pairs = {(r["context"], r["word"]): r["n"] for r in rows if r["context"] is not None}
+    assert len(pairs) == sum(r["context"] is not None for r in rows)
+    assert pairs == {p: n for p, n in counts.items() if n > 1 or p in asked}
+    sums = Counter()
+    for r in rows:
+        if r["context"] is None:
+            sums.update({(r["word"], k): r[k] for k in ("n", "single", "live", "out_single", "out_live")})
+    want = Counter()
+    for (c, w), n in counts.items():
+        want.update({(w, "n"): n, (w, "live" if n > 1 else "single"): 1, (c, "out_live" if n > 1 else "out_single"): 1})
+    assert +sums == want
+
+
+@pytest.mark.parametrize("size", [0, 1, 5000])
+def test_places_by_hash(size):
+    keys = np.random.default_rng(6).choice(1 << 40, size, replace=False)
+    asked = np.concatenate([keys[::3], np.arange(-1, 2000)])
+    where = {k: i for i, k in enumerate(keys.tolist())}
+    assert pitman_yor.Lookup(keys)(asked).tolist() == [where.get(k, -1) for k in asked.tolist()]
+
+
 @pytest.mark.parametrize("size", [6, 26])
 def test_the_filter_of_listed_pairs_misses_none(monkeypatch, size):
     monkeypatch.setattr(pitman_yor, "FILTER_BITS", size)
